@@ -137,7 +137,7 @@ _STEPS: dict[str, tuple[tuple[str, ...], str]] = {
             SELECT a.suburb_id, b.suburb_id AS near_id, b.slug, b.name, b.region, 2 * 6371e0 * asin(sqrt(least(1e0, pow(sin((radians(b.lat) - radians(a.lat)) / 2), 2)
                    + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin((radians(b.lng) - radians(a.lng)) / 2), 2)))) AS km
             FROM areas a JOIN areas b ON a.suburb_id <> b.suburb_id
-            WHERE a.lat <> 0 AND a.lng <> 0 AND b.lat <> 0 AND b.lng <> 0 AND b.slug <> '') WHERE km <= 25)
+            WHERE a.lat <> 0 AND a.lng <> 0 AND b.lat <> 0 AND b.lng <> 0 AND b.slug <> '') WHERE km <= 150)
         QUALIFY pos < 3"""),
     "blocks": (("incidents",), """
         SELECT block AS id, arg_min(suburb_id, row_no) AS suburb_id, count(*) AS crime_count FROM incidents GROUP BY 1"""),
@@ -226,10 +226,6 @@ _BLOCK_TESTS = [
 ]
 
 
-def _turn(a: str, b: str, px: str, py: str) -> str:
-    return f"sign(({a}2x - {a}1x) * ({py} - {a}1y) - ({a}2y - {a}1y) * ({px} - {a}1x))".replace("@", b)
-
-
 _VALIDITY = """
   , seg AS (
     SELECT feature_id, part, ring, seq, x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2, max(seq) OVER (PARTITION BY feature_id, part, ring) AS top
@@ -280,6 +276,45 @@ _MERCATOR = """
     FROM total)"""
 
 
+_SIMPLIFY = """
+  , far AS (
+    SELECT feature_id, part, ring, lo, hi, seq AS c, d
+    FROM (
+      SELECT *, sqrt(ex * ex + ey * ey) AS d
+      FROM (
+        SELECT *, x - lx - t * dx AS ex, y - ly - t * dy AS ey
+        FROM (
+          SELECT *, greatest(0e0, least(1e0, coalesce(CASE WHEN dx * dx + dy * dy <> 0 THEN ((x - lx) * dx + (y - ly) * dy) / (dx * dx + dy * dy) END, 0e0))) AS t
+          FROM (
+            SELECT a.feature_id, a.part, a.ring, a.seq AS lo, b.seq AS hi, v.seq, v.x, v.y, a.x AS lx, a.y AS ly, b.x - a.x AS dx, b.y - a.y AS dy
+            FROM vertices a JOIN vertices b ON a.feature_id = b.feature_id AND a.part = b.part AND a.ring = b.ring AND a.seq < b.seq
+            JOIN vertices v ON a.feature_id = v.feature_id AND a.part = v.part AND a.ring = v.ring AND v.seq > a.seq AND v.seq < b.seq))))
+    QUALIFY row_number() OVER (PARTITION BY feature_id, part, ring, lo, hi ORDER BY d DESC, seq) = 1),
+  tree AS (
+    SELECT feature_id, part, ring, CAST(0 AS INTEGER) AS lo, max(seq) AS hi, 1 AS depth FROM vertices GROUP BY 1, 2, 3
+    UNION ALL
+    SELECT feature_id, part, ring, CASE side WHEN 0 THEN lo ELSE c END, CASE side WHEN 0 THEN c ELSE hi END, depth + 1
+    FROM tree JOIN far USING (feature_id, part, ring, lo, hi), (VALUES (0), (1)) s(side)
+    WHERE d > 0.03e0 OR depth = 1 OR (depth = 2 AND lo = 0)),
+  cut AS (SELECT feature_id, part, ring, min(hi) FILTER (WHERE depth = 2) AS c, max(hi) AS top FROM tree GROUP BY 1, 2, 3),
+  tip AS (SELECT DISTINCT feature_id, part, ring, hi AS seq FROM tree),
+  thin AS (
+    SELECT feature_id, part, ring, any_value(c) AS lo, any_value(top) AS hi
+    FROM tip JOIN cut USING (feature_id, part, ring) GROUP BY 1, 2, 3
+    HAVING count(*) FILTER (WHERE seq <= c) < 3 AND count(*) FILTER (WHERE seq > c) = 1),
+  tree2 AS (
+    SELECT feature_id, part, ring, lo, hi, 1 AS depth FROM thin
+    UNION ALL
+    SELECT feature_id, part, ring, CASE side WHEN 0 THEN lo ELSE c END, CASE side WHEN 0 THEN c ELSE hi END, depth + 1
+    FROM tree2 JOIN far USING (feature_id, part, ring, lo, hi), (VALUES (0), (1)) s(side)
+    WHERE d > 0.03e0 OR depth = 1),
+  kept AS (
+    SELECT feature_id, part, ring, lo AS seq FROM tree UNION SELECT feature_id, part, ring, hi FROM tree
+    UNION SELECT feature_id, part, ring, lo FROM tree2 UNION SELECT feature_id, part, ring, hi FROM tree2)
+  SELECT feature_id, part, ring, CAST(row_number() OVER (PARTITION BY feature_id, part, ring ORDER BY seq) - 1 AS INTEGER) AS seq, x, y
+  FROM kept JOIN vertices USING (feature_id, part, ring, seq)"""
+
+
 def _reproject() -> str:
     from precinct.functions.geo import NZTM2000 as tm
 
@@ -354,7 +389,7 @@ def oracle_sql() -> dict[str, str]:
       FROM rated"""
     q["filter_areas_page"] = _with("rated") + """
       SELECT area AS suburb_id, name, rate AS crime_rate_per_1000, crime_trend FROM rated
-      WHERE region = 'ASIA' AND rate >= 1.0 AND total_12m <= 5000 ORDER BY area LIMIT 10 OFFSET 10"""
+      WHERE region = 'ASIA' AND rate >= 0.5 AND total_12m <= 5000 ORDER BY area LIMIT 10 OFFSET 10"""
     q["filter_incidents_month"] = _with("incidents") + """
       SELECT event_id, suburb_id, code AS offence_code, anzsoc_group AS offence_description, division AS offence_category,
              strftime(day, '%Y-%m-%d') AS victimisation_date, block AS meshblock_code
@@ -365,10 +400,10 @@ def oracle_sql() -> dict[str, str]:
       ORDER BY event_id LIMIT 1000"""
     detail = ("suburb_id, slug, name, region, council, lat, lng, safety_score, crime_rate_per_1000, crime_trend, total_crimes_12m, report_url, "
               "rank_in_region, crime_breakdown, trend_3m_change, population, nearby_suburbs, peak_crime_months, CAST(NULL AS VARCHAR) AS geometry")
-    q["area_detail"] = _with("areas") + f"SELECT {detail} FROM areas WHERE suburb_id = '100042'"
-    q["meshblocks_of_area"] = _with("blocks") + "SELECT * FROM blocks WHERE suburb_id = '100042'"
-    q["area_report"] = _with("firsts") + "SELECT '' AS pdf_url, 'not_purchased' AS status FROM firsts WHERE area = '100042'"
-    q["area_widget"] = _with("firsts") + "SELECT '' AS embed_code FROM firsts WHERE area = '100042'"
+    q["area_detail"] = _with("areas") + f"SELECT {detail} FROM areas WHERE suburb_id = '100050'"
+    q["meshblocks_of_area"] = _with("blocks") + "SELECT * FROM blocks WHERE suburb_id = '100050'"
+    q["area_report"] = _with("firsts") + "SELECT '' AS pdf_url, 'not_purchased' AS status FROM firsts WHERE area = '100050'"
+    q["area_widget"] = _with("firsts") + "SELECT '' AS embed_code FROM firsts WHERE area = '100050'"
     q["validate_incidents_split"] = _with("flawed") + """
       SELECT 'valid' AS what, count(*) AS n_rows FROM flawed WHERE suburb_id <> '' AND (division IS NULL OR length(division) <= 200)
       UNION ALL SELECT 'rejected', count(*) FROM flawed WHERE suburb_id = '' OR length(division) > 200
@@ -421,6 +456,7 @@ def oracle_sql() -> dict[str, str]:
     q["polygon_wkt"] = _with("wkt") + "SELECT * FROM wkt"
     q["reproject_tm"] = _reproject()
     q["ring_validity"] = _with("defective") + _VALIDITY
+    q["simplify_layer"] = _with("vertices", recursive=_SIMPLIFY)
     q["sorted_batches"] = _with("concordance") + """
       SELECT row_no AS id, place AS name, (row_number() OVER (ORDER BY place, row_no) - 1) // 100 + 1 AS batch FROM concordance"""
     q["prepared_layer"] = _with("vertices", "concordance") + _MERCATOR + """

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, functions as F
 
 from precinct.catalog import views
 from precinct.functions.dates import iso_day, month_from_name
@@ -21,12 +23,23 @@ from precinct.sources import files, sinks
 from precinct.sources.keyed_table import KeyedTable
 from precinct.streaming import incremental
 
+# The areas of the test tables lie far apart, so their neighbours are looked for in a wider circle.
+WIDE_KM = 150.0
+
 
+@lru_cache(maxsize=4)
 def _dims(spark, d):
+    """Area dimension and code remap (plans only, no data is held)."""
     c = views.concordance(spark, d)
     return dims.area_dimension(c), dims.code_remap(c)
 
 
+def _sized(spark, d) -> DataFrame:
+    """Area dimension with population."""
+    areas = materialize(_dims(spark, d)[0], "area-dimension")
+    return materialize(dims.attach_population(areas, views.census(spark, d)), "area-population")
+
+
 def _counted(spark, d) -> DataFrame:
     """Matched incidents as distinct rows with copies."""
     areas, blocks = _dims(spark, d)
@@ -63,16 +76,14 @@ def _block_layer(spark, d) -> DataFrame:
 
 
 def _areas(spark, d, shapes: bool = False) -> tuple[DataFrame, DataFrame]:
-    dim, _ = _dims(spark, d)
     layer = build.layer_dimension(_layer(spark, d), "name") if shapes else None
-    return build.build_areas(_cube(spark, d), dim, views.census(spark, d), layer)
+    return build.build_areas(_cube(spark, d), _sized(spark, d), layer)
 
 
 def _located_areas(spark, d) -> DataFrame:
     """Areas with coordinates but without shapes, for lookups and neighbours."""
-    dim, _ = _dims(spark, d)
     spots = dims.last_row_wins(_layer_points(spark, d), "name", "row_no", ["lat", "lng"]).withColumn("geometry", F.lit(None).cast("string"))
-    return build.build_areas(_cube(spark, d), dim, views.census(spark, d), spots)[0]
+    return build.build_areas(_cube(spark, d), _sized(spark, d), spots)[0]
 
 
 def _layer_points(spark, d) -> DataFrame:
@@ -202,10 +213,8 @@ def population_fuzzy(spark, d):
 
 def _rated(spark, d):
     """Area, region and rate, without the rest of the area table."""
-    dim = _dims(spark, d)[0]
     m = measures.area_measures(_cube(spark, d)).select("area", "label", "total_12m", "crime_trend", "trend_3m_change")
-    m = m.join(dim.select("area_key", "name_orig", "name", "region"), F.col("label") == F.col("area_key"))
-    m = dims.attach_population(materialize(m.drop("area_key", "label"), "rated"), views.census(spark, d))
+    m = m.join(_sized(spark, d).select("area_key", "name", "region", "population"), F.col("label") == F.col("area_key"))
     return m.withColumn("crime_rate_per_1000", rate_per_1000(F.col("total_12m"), F.col("population")))
 
 
@@ -237,7 +246,7 @@ def meshblocks_built(spark, d):
 
 
 def areas_with_nearby(spark, d):
-    near = build.attach_nearby(materialize(_located_areas(spark, d), "areas"))
+    near = build.attach_nearby(materialize(_located_areas(spark, d), "areas"), WIDE_KM, 3)
     return near.select("suburb_id", F.posexplode("nearby_suburbs").alias("pos", "n")).select(
         "suburb_id", "pos", F.col("n.suburb_id").alias("near_id"), "n.slug", "n.name", "n.region", "n.distance_km"
     )
@@ -267,7 +276,7 @@ def area_statistics(spark, d):
 
 def filter_areas_page(spark, d):
     return serving.query_areas(
-        _areas(spark, d)[0], page=2, page_size=10, region="ASIA", min_crime_rate=1.0, max_total_crimes=5000,
+        _areas(spark, d)[0], page=2, page_size=10, region="ASIA", min_crime_rate=0.5, max_total_crimes=5000,
         columns=["suburb_id", "name", "crime_rate_per_1000", "crime_trend"],
     )
 
@@ -285,20 +294,20 @@ def filter_incidents_council(spark, d):
 
 
 def area_detail(spark, d):
-    return _flat(serving.query_area(_located_areas(spark, d), "100042"))
+    return _flat(serving.query_area(_located_areas(spark, d), "100050"))
 
 
 def meshblocks_of_area(spark, d):
     blocks = build.build_blocks(materialize(_counted(spark, d), "incidents"), weight="copies")[0]
-    return serving.query_blocks(blocks, "100042").select("id", "suburb_id", "crime_count")
+    return serving.query_blocks(blocks, "100050").select("id", "suburb_id", "crime_count")
 
 
 def area_report(spark, d):
-    return serving.area_report(_areas(spark, d)[0], "100042")
+    return serving.area_report(_areas(spark, d)[0], "100050")
 
 
 def area_widget(spark, d):
-    return serving.area_widget(_areas(spark, d)[0], "100042")
+    return serving.area_widget(_areas(spark, d)[0], "100050")
 
 
 # ---------------------------------------------------------------- validation, upsert, files
@@ -404,7 +413,7 @@ def full_build(spark, d):
         incidents=_write_tsv(spark, d), concordance=f"{base}/concordance", census=f"{base}/census", area_layer=f"{base}/areas",
         encoding="utf-8", layer_lines=True,
     )
-    tables = build.run_build(spark, inputs, f"{base}/out", parts=4)
+    tables = build.run_build(spark, inputs, f"{base}/out", parts=4, radius_km=WIDE_KM)
     return _flat(tables["suburbs"].read()).drop("AU2017_name")
 
 
@@ -491,7 +500,7 @@ def prepared_layer(spark, d):
 
 
 def stream_monthly_counts(spark, d):
-    schema = views.table(spark, d, "orders").schema
+    schema = views.SCHEMAS["orders"]
     base = scratch_path(spark, "stream")
     t = KeyedTable(spark, f"{base}/counts", ["area", "month"], 8)
     stream = incremental.read_stream(spark, d, schema, "orders.parquet").withColumn("area", F.col("o_custkey") % 200)
@@ -501,7 +510,7 @@ def stream_monthly_counts(spark, d):
 
 def stream_upsert(spark, d):
     """Orders upserted by customer as they arrive: the latest order of each customer."""
-    schema = views.table(spark, d, "orders").schema
+    schema = views.SCHEMAS["orders"]
     base = scratch_path(spark, "stream")
     t = KeyedTable(spark, f"{base}/latest", ["o_custkey"], 8)
     stream = incremental.read_stream(spark, d, schema, "orders.parquet").select("o_custkey", "o_orderkey", "o_totalprice")

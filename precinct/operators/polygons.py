@@ -235,7 +235,8 @@ def simplify(vertices: DataFrame, tolerance: float = 0.001) -> DataFrame:
     dx, dy = F.col("hx") - F.col("lx"), F.col("hy") - F.col("ly")
     along = F.try_divide((F.col("x") - F.col("lx")) * dx + (F.col("y") - F.col("ly")) * dy, dx * dx + dy * dy)
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(along, F.lit(0.0))))
-    off = F.hypot(F.col("x") - F.col("lx") - t * dx, F.col("y") - F.col("ly") - t * dy)
+    off_x, off_y = F.col("x") - F.col("lx") - t * dx, F.col("y") - F.col("ly") - t * dy
+    off = F.sqrt(off_x * off_x + off_y * off_y)
 
     def cut(open_rows: DataFrame, forced: Column) -> tuple[DataFrame, DataFrame]:
         """One round: (cuts made, vertices of the stretches that were cut)."""

@@ -33,70 +33,71 @@ def _levels(radius_km: float) -> int:
     return max(1, int(math.floor(math.log2(max(radius_km / _FINEST_KM, 2.0)))) + 1)
 
 
-def _cell_km(radius_km: float, level: Column) -> Column:
-    return F.lit(radius_km * _SLACK) / F.pow(F.lit(2.0), level)
+def _cell_km(radius_km: float) -> str:
+    return f"({radius_km * _SLACK!r}D / pow(2D, _level))"
 
 
-def _row_height(radius_km: float, level: Column) -> Column:
+def _row_height(radius_km: float) -> str:
     """Height of a grid row in degrees of latitude."""
-    return _cell_km(radius_km, level) / F.lit(_KM_PER_DEGREE)
+    return f"({_cell_km(radius_km)} / {_KM_PER_DEGREE!r}D)"
 
 
-def _lng_reach(theta: Column, lat: Column) -> Column:
+def _lng_reach(theta: str, lat: str) -> str:
     """Largest longitude difference (degrees) of a circle of angle theta; null if it holds a pole."""
-    ratio = F.sin(theta) / F.cos(F.radians(lat))
-    return F.when(theta + F.abs(F.radians(lat)) < F.lit(math.pi / 2), F.degrees(F.asin(ratio)))
+    inside = f"{theta} + abs(radians({lat})) < {math.pi / 2!r}D"
+    return f"(case when {inside} then degrees(asin(sin({theta}) / cos(radians({lat})))) end)"
 
 
-def _row_of(lat: Column, height: Column) -> Column:
-    return F.floor((lat + 90.0) / height)
+def _row_of(lat: str) -> str:
+    return f"floor(({lat} + 90D) / _height)"
 
 
-def _columns_in_row(row: Column, height: Column, theta: Column) -> Column:
-    """Number of cells in a row: as many as keep each at least one reach wide."""
-    edge = F.greatest(F.abs(row * height - 90.0), F.abs((row + 1) * height - 90.0)) + height
-    reach = _lng_reach(theta, edge)
-    return F.greatest(F.lit(1), F.coalesce(F.floor(F.lit(360.0) / (reach * _SLACK)), F.lit(1))).cast("bigint")
+def _columns_in_row(radius_km: float) -> str:
+    """Number of cells in ``_row``: as many as keep each at least one reach wide."""
+    edge = "(greatest(abs(_row * _height - 90D), abs((_row + 1) * _height - 90D)) + _height)"
+    reach = _lng_reach(f"({_cell_km(radius_km)} / {EARTH_KM!r}D)", edge)
+    return f"cast(greatest(1, coalesce(floor(360D / ({reach} * {_SLACK!r}D)), 1)) as bigint)"
 
 
-def _column_of(lng: Column, count: Column) -> Column:
-    return F.floor((lng + 180.0) / 360.0 * count)
+def _column_of(lng: str) -> str:
+    return f"floor(({lng} + 180D) / 360D * _cols)"
 
 
 def _own_cells(sites: DataFrame, radius_km: float, lat: str, lng: str) -> DataFrame:
     """Each site once per level, with its cell and the cell's diagonal in km."""
-    out = sites.withColumn("_level", F.explode(F.array(*[F.lit(i) for i in range(_levels(radius_km))])))
-    height = _row_height(radius_km, F.col("_level"))
-    theta = _cell_km(radius_km, F.col("_level")) / EARTH_KM
-    out = out.withColumn("_row", _row_of(F.col(lat), height))
-    out = out.withColumn("_cols", _columns_in_row(F.col("_row"), height, theta))
-    out = out.withColumn("_col", F.pmod(_column_of(F.col(lng), F.col("_cols")), F.col("_cols")))
-    nearest = F.when((F.col("_row") * height - 90.0) * ((F.col("_row") + 1) * height - 90.0) <= 0, F.lit(0.0)).otherwise(
-        F.least(F.abs(F.col("_row") * height - 90.0), F.abs((F.col("_row") + 1) * height - 90.0))
+    levels = ", ".join(str(i) for i in range(_levels(radius_km)))
+    low, high = "(_row * _height - 90D)", "((_row + 1) * _height - 90D)"
+    equatorward = f"(case when {low} * {high} <= 0 then 0D else least(abs({low}), abs({high})) end)"
+    width_km = f"({360.0 * _KM_PER_DEGREE!r}D / _cols * cos(radians({equatorward})))"
+    return (
+        sites.selectExpr("*", f"explode(array({levels})) as _level")
+        .selectExpr("*", f"{_row_height(radius_km)} as _height")
+        .selectExpr("*", f"{_row_of(lat)} as _row")
+        .selectExpr("*", f"{_columns_in_row(radius_km)} as _cols")
+        .selectExpr(
+            "*", f"pmod({_column_of(lng)}, _cols) as _col",
+            f"sqrt(pow({width_km}, 2) + pow(_height * {_KM_PER_DEGREE!r}D, 2)) * {_SLACK!r}D as _diagonal",
+        )
     )
-    width_km = F.lit(360.0 * _KM_PER_DEGREE) / F.col("_cols") * F.cos(F.radians(nearest))
-    height_km = height * F.lit(_KM_PER_DEGREE)
-    return out.withColumn("_diagonal", F.sqrt(width_km * width_km + height_km * height_km) * _SLACK)
 
 
-def _search_cells(sites: DataFrame, radius_km: float, lat: str, lng: str, reach_km: str) -> DataFrame:
-    """Cells that can hold a point within ``reach_km`` of the site, on the finest level as wide as that."""
+def _search_cells(sites: DataFrame, radius_km: float) -> DataFrame:
+    """Cells that can hold a point within ``_reach`` km of the site, on the finest level as wide as that."""
     finest = _levels(radius_km) - 1
-    level = F.floor(F.log2(F.lit(radius_km * _SLACK) / F.col(reach_km)))
-    out = sites.withColumn("_level", F.greatest(F.lit(0), F.least(F.lit(finest), level)).cast("int"))
-    height = _row_height(radius_km, F.col("_level"))
-    theta = _cell_km(radius_km, F.col("_level")) / EARTH_KM
-    angle = F.col(reach_km) * _SLACK / EARTH_KM
-    top_row = F.floor(F.lit(180.0) / height)
-    low = F.greatest(F.lit(0), _row_of(F.col(lat) - F.degrees(angle), height))
-    high = F.least(top_row, _row_of(F.col(lat) + F.degrees(angle), height))
-    out = out.withColumn("_row", F.explode(F.sequence(low, high)))
-    out = out.withColumn("_cols", _columns_in_row(F.col("_row"), height, theta))
-    span = _lng_reach(angle, F.col(lat))
-    every = F.sequence(F.lit(0).cast("bigint"), F.col("_cols") - 1)
-    near = F.sequence(_column_of(F.col(lng) - span, F.col("_cols")), _column_of(F.col(lng) + span, F.col("_cols")))
-    wrapped = F.array_distinct(F.transform(near, lambda c: F.pmod(c, F.col("_cols"))))
-    return out.withColumn("_col", F.explode(F.when(span.isNull(), every).otherwise(wrapped)))
+    angle = f"(_reach * {_SLACK!r}D / {EARTH_KM!r}D)"
+    level = f"floor(log2({radius_km * _SLACK!r}D / _reach))"
+    near = f"sequence({_column_of('(_lng - _span)')}, {_column_of('(_lng + _span)')})"
+    wrapped = f"array_distinct(transform({near}, c -> pmod(c, _cols)))"
+    return (
+        sites.selectExpr("*", f"cast(greatest(0, least({finest}, {level})) as int) as _level")
+        .selectExpr("*", f"{_row_height(radius_km)} as _height", f"{_lng_reach(angle, '_lat')} as _span")
+        .selectExpr(
+            "*", f"explode(sequence(greatest(0L, {_row_of(f'(_lat - degrees({angle}))')}), "
+            f"least(floor(180D / _height), {_row_of(f'(_lat + degrees({angle}))')}))) as _row",
+        )
+        .selectExpr("*", f"{_columns_in_row(radius_km)} as _cols")
+        .selectExpr("*", f"explode(case when _span is null then sequence(0L, _cols - 1) else {wrapped} end) as _col")
+    )
 
 
 def nearest_pairs(
@@ -124,7 +125,7 @@ def nearest_pairs(
     )
     reach = F.least(F.lit(float(radius_km)), F.coalesce(F.col("_diagonal") + _ROUNDING_KM, F.lit(float(radius_km))))
     search = sites.join(bound, ["_lat", "_lng"], "left").select("_lat", "_lng", reach.alias("_reach"))
-    found = _search_cells(search, radius_km, "_lat", "_lng", "_reach").select("_lat", "_lng", "_reach", *key)
+    found = _search_cells(search, radius_km).select("_lat", "_lng", "_reach", *key)
     pairs = found.join(cells.select("_nid", "_nlat", "_nlng", *key), key)
     pairs = pairs.withColumn("_d", haversine_km(F.col("_lat"), F.col("_lng"), F.col("_nlat"), F.col("_nlng")))
     pairs = pairs.where((F.col("_d") <= radius_km) & (F.col("_d") <= F.col("_reach")))

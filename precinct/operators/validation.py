@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 @dataclass(frozen=True)
@@ -17,27 +17,33 @@ class Rule:
     high: float | None = None
     allowed: tuple[str, ...] = ()
 
-    def holds(self) -> Column:
-        c = F.col(self.field)
+    def test(self) -> str:
+        """SQL condition that holds for a good value."""
+        c = f"`{self.field}`"
         if self.name == "required":
-            return c.isNotNull()
+            return f"{c} is not null"
         if self.name == "min_length":
-            ok = F.length(c) >= int(self.low)
+            ok = f"length({c}) >= {int(self.low)}"
         elif self.name == "max_length":
-            ok = F.length(c) <= int(self.high)
+            ok = f"length({c}) <= {int(self.high)}"
         elif self.name == "one_of":
-            ok = c.isin(*self.allowed)
+            ok = f"{c} in ({', '.join(repr(a) for a in self.allowed)})"
         elif self.name == "range":
             # NaN sorts above every number in Spark, so it needs its own test.
-            value = c.cast("double")
-            ok = ~F.isnan(value)
+            value = f"cast({c} as double)"
+            ok = f"not isnan({value})"
             if self.low is not None:
-                ok = ok & (value >= F.lit(float(self.low)))
+                ok += f" and {value} >= {float(self.low)}D"
             if self.high is not None:
-                ok = ok & (value <= F.lit(float(self.high)))
+                ok += f" and {value} <= {float(self.high)}D"
         else:
             raise ValueError(f"unknown rule {self.name}")
-        return c.isNull() | ok
+        return f"{c} is null or ({ok})"
+
+    def error(self) -> str:
+        """SQL struct (field, rule, value) for a bad value, null for a good one."""
+        found = f"named_struct('field', '{self.field}', 'rule', '{self.name}', 'value', cast(`{self.field}` as string))"
+        return f"case when not ({self.test()}) then {found} end"
 
 
 def text(field: str, longest: int | None = None, required: bool = False) -> list[Rule]:
@@ -87,12 +93,8 @@ BLOCK_RULES = [
 
 def with_errors(df: DataFrame, rules: list[Rule], out: str = "errors") -> DataFrame:
     """Add the broken rules of each row as an array of (field, rule, value)."""
-    broken = [
-        F.when(~r.holds(), F.struct(F.lit(r.field).alias("field"), F.lit(r.name).alias("rule"),
-                                    F.col(r.field).cast("string").alias("value")))
-        for r in rules if r.field in df.columns
-    ]
-    return df.withColumn(out, F.array_compact(F.array(*broken)))
+    broken = [r.error() for r in rules if r.field in df.columns]
+    return df.withColumn(out, F.expr(f"array_compact(array({', '.join(broken)}))"))
 
 
 def split_valid(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:

@@ -7,13 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from precinct.functions.dates import month_from_name
-from precinct.functions.geo import usable_coordinates
 from precinct.functions.scores import cap_smallint, finite_or_null, rate_per_1000
 from precinct.functions.text import clean_text, offence_code, slugify
 from precinct.operators.copies import count_copies, expand_copies
 from precinct.operators.dims import area_dimension, attach_population, code_remap, last_row_wins, remap
 from precinct.operators.measures import area_measures, block_counts, event_cube
-from precinct.operators.ordering import dense_rank_desc
+from precinct.operators.ordering import dense_rank_desc, exact_quantiles
 from precinct.operators.polygons import explode_layer, valid_wkt
 from precinct.operators.spatial import nearest_pairs
 from precinct.operators.validation import AREA_RULES, BLOCK_RULES, INCIDENT_RULES, split_valid
@@ -49,12 +48,15 @@ def layer_dimension(layer: DataFrame, key: str) -> DataFrame:
 
 
 def build_areas(
-    cube: DataFrame, areas: DataFrame, census: DataFrame | None, layer: DataFrame | None = None, as_of: Column | None = None
+    cube: DataFrame, areas: DataFrame, layer: DataFrame | None = None, as_of: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(valid area rows, rejected area rows) from the event cube.
 
+    ``areas`` is the area dimension with ``population`` (see ``attach_population``),
     ``layer`` is (name, lat, lng, geometry), see ``layer_dimension``.
     """
+    if "population" not in areas.columns:
+        areas = attach_population(areas, None)
     measures = area_measures(cube, as_of)
     joined = measures.withColumnRenamed("area", "group_id").join(
         areas, F.col("label") == F.col("area_key"), "left"
@@ -62,16 +64,14 @@ def build_areas(
     joined = joined.withColumns(
         {
             "suburb_id": F.coalesce("suburb_id", "group_id"), "AU2017_name": F.col("label"),
-            "name": F.coalesce("name", "label"), "name_orig": F.coalesce("name_orig", "label"),
+            "name": F.coalesce("name", "label"),
             "council": F.coalesce("council", F.lit("")), "location_type": F.coalesce("location_type", F.lit("")),
         }
     )
-    joined = materialize(joined.drop("area_key", "label", "group_id"), "area-measures")
-    sized = attach_population(joined, census)
     if layer is None:
-        located = sized.withColumns({"lat": F.lit(None).cast("double"), "lng": F.lit(None).cast("double"), "geometry": F.lit(None).cast("string")})
+        located = joined.withColumns({"lat": F.lit(None).cast("double"), "lng": F.lit(None).cast("double"), "geometry": F.lit(None).cast("string")})
     else:
-        located = sized.join(layer.select(F.col("name"), "lat", "lng", "geometry"), "name", "left")
+        located = joined.join(layer.select(F.col("name"), "lat", "lng", "geometry"), "name", "left")
     empty = F.lit("")
     rows = located.withColumns(
         {
@@ -127,8 +127,6 @@ def build_blocks(
 
 def area_statistics(areas: DataFrame) -> DataFrame:
     """Quartiles of rate and 12-month total, plus count, sum and mean: one row."""
-    from precinct.operators.ordering import exact_quantiles
-
     quartiles = lambda prefix: {f"{prefix}_p{100 * p // 4}": ("inclusive", p, 4) for p in (1, 2, 3)}
     rate = exact_quantiles(areas, [], "crime_rate_per_1000", quartiles("rate"))
     total = exact_quantiles(areas, [], "total_crimes_12m", quartiles("total"))
@@ -153,7 +151,9 @@ class Inputs:
     layer_lines: bool = False
 
 
-def run_build(spark: SparkSession, inputs: Inputs, out: str, nearby: bool = True, parts: int = 16) -> dict:
+def run_build(
+    spark: SparkSession, inputs: Inputs, out: str, nearby: bool = True, parts: int = 16, radius_km: float = 25.0, k: int = 3
+) -> dict:
     """Read the sources, build the three tables and upsert them; rejects go to JSON.
 
     The incident file is read once, into distinct rows with counts; everything
@@ -163,6 +163,7 @@ def run_build(spark: SparkSession, inputs: Inputs, out: str, nearby: bool = True
     areas = materialize(area_dimension(concordance), "area-dimension")
     blocks = materialize(code_remap(concordance), "block-remap")
     census = materialize(files.read_census(spark, inputs.census), "census") if inputs.census else None
+    sized = materialize(attach_population(areas, census), "area-population")
     area_layer = layer_dimension(files.read_area_layer(spark, inputs.area_layer, lines=inputs.layer_lines), "name") if inputs.area_layer else None
     block_layer = layer_dimension(files.read_block_layer(spark, inputs.block_layer, lines=inputs.layer_lines), "id") if inputs.block_layer else None
 
@@ -171,9 +172,9 @@ def run_build(spark: SparkSession, inputs: Inputs, out: str, nearby: bool = True
     incidents, bad_incidents = split_valid(incidents, INCIDENT_RULES)
     cube = materialize(event_cube(incidents, weight="copies"), "cube")
 
-    suburbs, bad_areas = build_areas(cube, areas, census, area_layer)
+    suburbs, bad_areas = build_areas(cube, sized, area_layer)
     if nearby:
-        suburbs = attach_nearby(materialize(suburbs, "ranked"))
+        suburbs = attach_nearby(materialize(suburbs, "ranked"), radius_km, k)
     meshblocks, bad_blocks = build_blocks(incidents, block_layer, weight="copies")
     tables = save_tables(spark, out, suburbs.select(*AREA), meshblocks, expand_copies(incidents).select(*INCIDENT), parts)
     for name, rejected in (("crimes", bad_incidents), ("suburbs", bad_areas), ("meshblocks", bad_blocks)):

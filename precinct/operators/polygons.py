@@ -59,6 +59,19 @@ def segments(vertices: DataFrame) -> DataFrame:
     )
 
 
+def renumber(rows: DataFrame) -> DataFrame:
+    """Make ``seq`` consecutive again: count per run of the old numbers, then add the run's start."""
+    others = [c for c in rows.columns if c not in (*RING, "seq")]
+    rows = rows.withColumn("_run", F.floor(F.col("seq") / RUN))
+    before = Window.partitionBy(*RING).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(*RING, "_run").agg(F.count(F.lit(1)).alias("_n")).select(
+        *RING, "_run", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+    )
+    inside = Window.partitionBy(*RING, "_run").orderBy("seq")
+    rows = rows.withColumn("_i", F.row_number().over(inside)).join(starts, [*RING, "_run"])
+    return rows.select(*RING, (F.col("_start") + F.col("_i") - 1).cast("int").alias("seq"), *others)
+
+
 def planar_centroid(vertices: DataFrame) -> DataFrame:
     """Area-weighted centroid (cx, cy) and area per feature.
 
@@ -144,9 +157,11 @@ def crossings(vertices: DataFrame) -> DataFrame:
     segment opens at most four cells per level in use, and only pairs that
     share a cell are compared.
     """
-    ring_size = vertices.groupBy(*RING).agg((F.max("seq")).alias("_last"))
-    seg = segments(vertices).join(ring_size, RING)
-    seg = seg.where((F.col("x") != F.col("x2")) | (F.col("y") != F.col("y2")))
+    # repeated vertices make edges without length; the others are numbered without them
+    seg = segments(vertices).where((F.col("x") != F.col("x2")) | (F.col("y") != F.col("y2")))
+    seg = materialize(renumber(seg), "edges")
+    ring_size = seg.groupBy(*RING).agg(F.max("seq").alias("_last"))
+    seg = seg.join(ring_size, RING)
     size = F.greatest(F.abs(F.col("x2") - F.col("x")), F.abs(F.col("y2") - F.col("y")))
     seg = seg.withColumn("level", F.ceil(F.log2(size)).cast("int") + 1)
     in_use = seg.groupBy("feature_id").agg(F.sort_array(F.collect_set("level")).alias("_levels"))
@@ -184,7 +199,7 @@ def crossings(vertices: DataFrame) -> DataFrame:
     before = (B[2] == A[0]) & (B[3] == A[1])
     gap = F.abs(c("a_seq") - c("b_seq"))
     adjacent = after & (c("b_seq") > c("a_seq")) & (gap == 1) | before & (c("a_seq") > c("b_seq")) & (gap == 1)
-    around = (gap == c("a__last") - 1) & (after | before)
+    around = (gap == c("a__last")) & (after | before)
     neighbour = adjacent | around
     dot = (A[2] - A[0]) * (B[2] - B[0]) + (A[3] - A[1]) * (B[3] - B[1])
     folded = (t1 == 0) & (t2 == 0) & (dot < 0)
@@ -279,15 +294,3 @@ def simplify(vertices: DataFrame, tolerance: float = 0.001) -> DataFrame:
     for part in kept[1:]:
         out = out.unionByName(part)
     return renumber(out)
-
-
-def renumber(vertices: DataFrame) -> DataFrame:
-    """Make ``seq`` consecutive again: count per run of the old numbers, then add the run's start."""
-    rows = vertices.withColumn("_run", F.floor(F.col("seq") / RUN))
-    before = Window.partitionBy(*RING).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    starts = rows.groupBy(*RING, "_run").agg(F.count(F.lit(1)).alias("_n")).select(
-        *RING, "_run", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
-    )
-    inside = Window.partitionBy(*RING, "_run").orderBy("seq")
-    rows = rows.withColumn("_i", F.row_number().over(inside)).join(starts, [*RING, "_run"])
-    return rows.select(*RING, (F.col("_start") + F.col("_i") - 1).cast("int").alias("seq"), "x", "y")

@@ -77,7 +77,7 @@ def paginate(df: DataFrame, key: str, page: int, size: int, largest: int, after=
 
 def query_areas(areas: DataFrame, page: int = 1, page_size: int = 50, after=None, columns=None, **params) -> DataFrame:
     kept = apply_filters(areas, AREA_FILTERS, params)
-    return paginate(kept.select(*(columns or AREA_SUMMARY)), "suburb_id", page, page_size, AREA_PAGE, after)
+    return paginate(kept, "suburb_id", page, page_size, AREA_PAGE, after).select(*(columns or AREA_SUMMARY))
 
 
 def query_area(areas: DataFrame, suburb_id: str, columns=None) -> DataFrame:
@@ -96,7 +96,7 @@ def query_incidents(
             raise ValueError(f"{sorted(area_params)} need the area table")
         tests = [F.col(k) == v for k, v in area_params.items()]
         kept = kept.join(areas.where(reduce(and_, tests)).select("suburb_id"), "suburb_id", "left_semi")
-    return paginate(kept.select(*(columns or EVENT_MODEL)), "event_id", page, page_size, INCIDENT_PAGE, after)
+    return paginate(kept, "event_id", page, page_size, INCIDENT_PAGE, after).select(*(columns or EVENT_MODEL))
 
 
 def query_blocks(blocks: DataFrame, suburb_id: str) -> DataFrame:

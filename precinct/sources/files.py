@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from precinct.functions.text import code_text, integer_text, strip_space
 from precinct.schemas import CENSUS, CENSUS_COLUMNS, CONCORDANCE_COLUMNS, INCIDENT_COLUMNS
 
-# Encodings in the order they are tried.
-ENCODINGS = ("utf-8", "utf-16", "latin1", "iso-8859-1", "cp1252")
+# Encodings in the order they are tried. ISO-8859-1 (Latin-1) decodes
+# any byte, so nothing after it could be reached.
+ENCODINGS = ("utf-8", "utf-16", "iso-8859-1")
 REPLACEMENT = "�"
 
 

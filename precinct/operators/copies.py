@@ -7,9 +7,10 @@ task) lets every later step work on distinct rows with a count.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-COPIES_PER_CHUNK = 100_000
+COPIES_PER_CHUNK = 1 << 16
+COPIES_PER_PIECE = 16
 
 
 def count_copies(raw: DataFrame, row_no: str, identity: list[str] | None = None) -> DataFrame:
@@ -23,16 +24,25 @@ def count_copies(raw: DataFrame, row_no: str, identity: list[str] | None = None)
     return counted.withColumn("source_key", F.sha2(F.to_json(F.struct(*keys)), 256))
 
 
-def expand_copies(counted: DataFrame, out: str = "event_id") -> DataFrame:
+def _cut(rows: DataFrame, start: str, stop: str, size: int) -> DataFrame:
+    """Split each row's copies [start, stop) into rows of at most ``size`` copies."""
+    cut = rows.withColumn("_at", F.expr(f"explode(sequence({start}, {stop} - 1, {size}L))"))
+    return cut.withColumns({"_from": F.col("_at"), "_to": F.expr(f"least(_at + {size}L, {stop})")}).drop("_at")
+
+
+def expand_copies(counted: DataFrame, out: str = "event_id", cluster: Column | None = None) -> DataFrame:
     """One row per copy; the id depends on content and copy number only.
 
-    A hot row is first cut into chunks that are spread over tasks, so no task
-    writes all of its copies.
+    A hot row is cut into chunks that are spread over tasks, so no task writes
+    all of its copies. With ``cluster`` the rows come out grouped by that value
+    for a partitioned write: small pieces of the counted rows are shuffled for
+    it, never the single copies.
     """
-    chunks = counted.withColumn(
-        "_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1, F.lit(COPIES_PER_CHUNK).cast("bigint")))
-    ).repartition("source_key", "_chunk")
-    last = F.least(F.col("_chunk") + COPIES_PER_CHUNK, F.col("copies")) - 1
-    rows = chunks.withColumn("_copy", F.explode(F.sequence(F.col("_chunk"), last)))
+    whole = counted.withColumns({"_from": F.lit(0).cast("bigint"), "_to": F.col("copies")})
+    pieces = _cut(whole, "_from", "_to", COPIES_PER_CHUNK).repartition("source_key", "_from")
+    if cluster is not None:
+        pieces = _cut(pieces, "_from", "_to", COPIES_PER_PIECE).withColumn("_cluster", cluster)
+        pieces = pieces.hint("rebalance", "_cluster").drop("_cluster")
+    rows = pieces.withColumn("_copy", F.expr("explode(sequence(_from, _to - 1))"))
     ident = F.sha2(F.concat_ws("#", "source_key", F.col("_copy").cast("string")), 256)
-    return rows.withColumn(out, ident).drop("_chunk", "_copy", "copies", "source_key")
+    return rows.withColumn(out, ident).drop("_from", "_to", "_copy", "copies", "source_key")

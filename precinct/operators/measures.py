@@ -1,6 +1,6 @@
 """Per-area measures. Facts are read once into a counted cube; the rest is small.
 
-``event_cube`` groups by (area, date, code) with map-side combine, so an area
+``event_cube`` groups by area, date, code (and source name) with map-side combine, so an area
 or code that holds a third of all rows shuffles only its partial counts. Every
 measure below takes the cube (or any frame with a count column).
 """
@@ -28,11 +28,14 @@ def event_cube(
     row_no: str = "row_no",
     weight: str | None = None,
 ) -> DataFrame:
-    """(area, date, code) -> n, plus the label of the first row and its number."""
+    """(area, date, code, label) -> n and the number of the first row.
+
+    Only numbers are aggregated, so Spark keeps to hash aggregation.
+    """
     return (
         incidents.where(F.col(area).isNotNull() & (F.col(area) != ""))
-        .groupBy(F.col(area).alias("area"), F.col(date).alias("date"), F.col(code).alias("code"))
-        .agg(row_count(weight).alias("n"), F.min(row_no).alias("first_row"), F.min_by(label, row_no).alias("first_label"))
+        .groupBy(F.col(area).alias("area"), F.col(date).alias("date"), F.col(code).alias("code"), F.col(label).alias("label"))
+        .agg(row_count(weight).alias("n"), F.min(row_no).alias("first_row"))
     )
 
 
@@ -119,7 +122,7 @@ def area_measures(cube: DataFrame, as_of: Column | None = None, top: int = 3) ->
     sized = sized.withColumn("month", month_floor(F.col("date")))
     area, month, code = F.col("area"), F.col("month"), F.col("code")
     rolled = sized.groupingSets([[area, month], [area, code]], area, month, code).agg(
-        F.sum("n").alias("n"), F.sum("_n12").alias("_n12"), F.min(F.struct("first_row", "first_label")).alias("_first"),
+        F.sum("n").alias("n"), F.sum("_n12").alias("_n12"), F.min(F.struct("first_row", "label")).alias("_first"),
         F.grouping("month").alias("_is_code"),
     )
     by_area = Window.partitionBy("area")
@@ -142,15 +145,23 @@ def area_measures(cube: DataFrame, as_of: Column | None = None, top: int = 3) ->
         recent.alias("recent_avg"), previous.alias("previous_avg"), seen.alias("_seen"),
         F.sort_array(peaks).alias("peak_crime_months"),
         F.map_from_entries(F.array_sort(codes)).alias("crime_breakdown"),
-        F.min("_first").getField("first_label").alias("label"),
+        F.min("_first").getField("label").alias("label"),
     )
     return _with_trend(out)
 
 
 def block_counts(incidents: DataFrame, block: str, area: str, row_no: str, weight: str | None = None) -> DataFrame:
     """Incidents and first area per small area; empty codes are left out."""
-    return (
+    per_area = (
         incidents.where(F.col(block).isNotNull() & (F.col(block) != ""))
-        .groupBy(F.col(block).alias("id"))
-        .agg(F.min_by(area, row_no).alias("suburb_id"), row_count(weight).cast("bigint").alias("crime_count"))
+        .groupBy(F.col(block).alias("id"), F.col(area).alias("_area"))
+        .agg(row_count(weight).alias("_n"), F.min(row_no).alias("_first"))
     )
+    return per_area.groupBy("id").agg(
+        F.min_by("_area", "_first").alias("suburb_id"), F.sum("_n").cast("bigint").alias("crime_count")
+    )
+
+
+def by_frequency(counts: DataFrame, count: str, key: str) -> DataFrame:
+    """Most frequent first, ties by key."""
+    return counts.orderBy(F.desc(count), key)

@@ -19,7 +19,7 @@ from precinct.operators.validation import AREA_RULES, BLOCK_RULES, INCIDENT_RULE
 from precinct.schemas import AREA, BLOCK, INCIDENT, NEIGHBOURS
 from precinct.session import materialize
 from precinct.sources import files
-from precinct.sources.sinks import save_tables, write_rejects
+from precinct.sources.sinks import incident_month, save_tables, write_rejects
 
 
 def build_incidents(raw: DataFrame, areas: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -176,7 +176,8 @@ def run_build(
     if nearby:
         suburbs = attach_nearby(materialize(suburbs, "ranked"), radius_km, k)
     meshblocks, bad_blocks = build_blocks(incidents, block_layer, weight="copies")
-    tables = save_tables(spark, out, suburbs.select(*AREA), meshblocks, expand_copies(incidents).select(*INCIDENT), parts)
+    events = expand_copies(incidents, cluster=incident_month()).select(*INCIDENT)
+    tables = save_tables(spark, out, suburbs.select(*AREA), meshblocks, events, parts)
     for name, rejected in (("crimes", bad_incidents), ("suburbs", bad_areas), ("meshblocks", bad_blocks)):
         write_rejects(rejected, f"{out}/rejected/{name}")
     return tables

@@ -24,12 +24,26 @@ def file_order() -> Column:
     )
 
 
+def row_position() -> Column:
+    """Number that orders the rows of a file; equal places in several files tie-break by file.
+
+    A block's first byte plus the row's place in its task never passes the next
+    block's first byte, since a row takes at least one byte. A number keeps the
+    aggregations over facts on hash aggregation.
+    """
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    offset = F.col("_metadata.file_block_start") + place
+    return F.shiftleft(offset, 20) + F.pmod(F.xxhash64("_metadata.file_path"), F.lit(1 << 20))
+
+
 def _header(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
     reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
     return reader.option("multiLine", encoding.startswith("utf-16")).csv(path).columns
 
 
-def _text_columns(spark: SparkSession, path: str, wanted, sep: str = ",", encoding: str = "utf-8") -> DataFrame:
+def _text_columns(
+    spark: SparkSession, path: str, wanted, sep: str = ",", encoding: str = "utf-8", order=file_order
+) -> DataFrame:
     """All columns of a headed file as text, names trimmed; fails on a missing column."""
     names = _header(spark, path, sep, encoding)
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
@@ -41,7 +55,7 @@ def _text_columns(spark: SparkSession, path: str, wanted, sep: str = ",", encodi
     missing = [w for w in wanted if w not in position]
     if missing:
         raise ValueError(f"columns missing in {path}: {missing}")
-    return df.select(*[F.col(f"_c{position[w]}").alias(w) for w in wanted], file_order().alias("row_no"))
+    return df.select(*[F.col(f"_c{position[w]}").alias(w) for w in wanted], order().alias("row_no"))
 
 
 def detect_encoding(spark: SparkSession, path: str, wanted=tuple(INCIDENT_COLUMNS), sep: str = "\t") -> str:
@@ -63,7 +77,7 @@ def read_incidents(spark: SparkSession, path: str, encoding: str | None = None)
     Pass ``encoding`` when it is known; finding it costs a pass over the file.
     """
     encoding = encoding or detect_encoding(spark, path)
-    df = _text_columns(spark, path, INCIDENT_COLUMNS, "\t", encoding)
+    df = _text_columns(spark, path, INCIDENT_COLUMNS, "\t", encoding, row_position)
     out = [strip_space(F.col(f"`{src}`")).alias(name) for src, name in INCIDENT_COLUMNS.items()]
     return df.select("row_no", *out).withColumn("meshblock", code_text(F.col("meshblock")))
 

@@ -13,11 +13,9 @@ import json
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from precinct.session import materialize
-
 _LOG = "part string, snap string, schema string"
 
 
@@ -46,7 +44,7 @@ class KeyedTable:
             return None
         newest = max(entries, key=lambda e: e["snap"])
         schema = StructType.fromJson(json.loads(newest["schema"]))
-        paths = [f"{self.path}/data/part={e['part']}/snap={e['snap']}" for e in entries]
+        paths = [self._folder(e["part"], e["snap"]) for e in entries]
         return self.spark.read.schema(schema).parquet(*paths)
 
     def read(self) -> DataFrame:
@@ -62,30 +60,45 @@ class KeyedTable:
         log = self.spark.createDataFrame([(p, snap, schema) for p in parts], _LOG)
         log.coalesce(1).write.mode("append").json(f"{self.path}/_commits")
 
-    def upsert(self, updates: DataFrame, order: Column | None = None) -> None:
+    def upsert(self, updates: DataFrame, order: Column | None = None, clustered: bool = False) -> None:
         """Insert new keys, replace known ones.
 
         Updates must be unique by key unless ``order`` says which row wins
-        (largest). The new rows replace old ones of the same key whole.
+        (largest). The new rows replace old ones of the same key whole. They
+        are written once, straight into the new snapshot; then the old rows of
+        the parts they fell into follow, except replaced ones; then the commit.
+        ``clustered`` says that the updates already come grouped by part.
         """
         if order is not None:
-            columns = updates.columns
-            best = F.max_by(F.struct(*columns), order).alias("_row")
+            best = F.max_by(F.struct(*updates.columns), order).alias("_row")
             updates = updates.groupBy(*self.keys).agg(best).select("_row.*")
-        staged = materialize(updates.withColumn("part", self.part.cast("string")), "upsert")
-        touched = [r["part"] for r in staged.select("part").distinct().collect()]
-        if not touched:
-            return
         current = {e["part"]: e for e in self._current()}
         # a name no failed attempt can have used, sorting after every committed one
         number = max((int(e["snap"].split("-")[0]) for e in current.values()), default=0) + 1
         snap = f"{number:012d}-{uuid.uuid4().hex[:8]}"
-        fresh = staged
+        seen = Observation()
+        fresh = updates.withColumn("part", self.part.cast("string")).observe(seen, F.collect_set("part").alias("parts"))
+        self._write(fresh, snap, clustered)
+        touched = sorted(seen.get["parts"])
+        if not touched:
+            return
         old = self._scan([current[p] for p in touched if p in current])
+        schema = updates.schema
         if old is not None:
-            survivors = old.join(staged.select(*self.keys), self.keys, "left_anti")
-            fresh = fresh.unionByName(survivors.withColumn("part", self.part.cast("string")), allowMissingColumns=True)
-        # AQE splits large parts and merges small ones to even files
-        out = fresh.withColumn("snap", F.lit(snap)).hint("rebalance", "part")
-        out.write.mode("append").partitionBy("part", "snap").parquet(f"{self.path}/data")
-        self._publish(touched, snap, fresh.drop("part").schema.json())
+            new_keys = self.spark.read.schema(schema).parquet(*[self._folder(p, snap) for p in touched]).select(*self.keys)
+            survivors = old.join(new_keys, self.keys, "left_anti")
+            known = {f.name: f.dataType for f in old.schema.fields}
+            survivors = survivors.select(
+                *[(F.col(f.name) if f.name in known else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields]
+            )
+            self._write(survivors.withColumn("part", self.part.cast("string")), snap, False)
+        self._publish(touched, snap, schema.json())
+
+    def _folder(self, part: str, snap: str) -> str:
+        return f"{self.path}/data/part={part}/snap={snap}"
+
+    def _write(self, rows: DataFrame, snap: str, clustered: bool) -> None:
+        if not clustered:
+            # AQE splits large parts and merges small ones to even files
+            rows = rows.hint("rebalance", "part")
+        rows.withColumn("snap", F.lit(snap)).write.mode("append").partitionBy("part", "snap").parquet(f"{self.path}/data")

@@ -67,18 +67,25 @@ def write_layer_batches(layer: DataFrame, path: str, properties: list[str], orde
     files.write.mode("overwrite").partitionBy("batch").text(path)
 
 
+def incident_month() -> Column:
+    """Part of an incident: its month."""
+    return F.coalesce(F.date_format("victimisation_date", "yyyy-MM"), F.lit("undated"))
+
+
 def save_tables(spark: SparkSession, out: str, areas: DataFrame, blocks: DataFrame, incidents: DataFrame, parts: int = 16) -> dict:
-    """Upsert areas, then small areas, then incidents (without the helper name column)."""
-    month = F.coalesce(F.date_format("victimisation_date", "yyyy-MM"), F.lit("undated"))
+    """Upsert areas, then small areas, then incidents (without the helper name column).
+
+    Incidents must come grouped by ``incident_month``.
+    """
     tables = {
         "suburbs": KeyedTable(spark, f"{out}/suburbs", ["suburb_id"], parts),
         "meshblocks": KeyedTable(spark, f"{out}/meshblocks", ["id"], parts),
         # the id is a hash of the source row, so the month follows from the key
-        "crimes": KeyedTable(spark, f"{out}/crimes", ["event_id"], part=month),
+        "crimes": KeyedTable(spark, f"{out}/crimes", ["event_id"], part=incident_month()),
     }
     tables["suburbs"].upsert(areas)
     tables["meshblocks"].upsert(blocks)
-    tables["crimes"].upsert(incidents.drop("AU2017_name"))
+    tables["crimes"].upsert(incidents.drop("AU2017_name"), clustered=True)
     return tables
 
 

@@ -158,11 +158,13 @@ def test_number_rows(spark):
 
 def test_copies_survive_and_ids_are_stable(spark, monkeypatch):
     monkeypatch.setattr("precinct.operators.copies.COPIES_PER_CHUNK", 7)
+    monkeypatch.setattr("precinct.operators.copies.COPIES_PER_PIECE", 3)
     rows = [(i, "hot", None) for i in range(100)] + [(100 + i, f"k{i}", "x") for i in range(30)]
     df = spark.createDataFrame(rows, "row_no long, a string, b string")
     ids = []
     for n in (1, 9):
-        out = expand_copies(count_copies(df.orderBy(F.rand(n)).repartition(n), "row_no")).collect()
+        counted = count_copies(df.orderBy(F.rand(n)).repartition(n), "row_no")
+        out = expand_copies(counted, cluster=F.col("a") if n > 1 else None).collect()
         assert len(out) == 130 and len({r.event_id for r in out}) == 130
         assert sum(r.a == "hot" for r in out) == 100
         ids.append({r.event_id for r in out})

@@ -113,39 +113,40 @@ def breakdown(df: DataFrame, area: str, code: str, weight: str | None = None) ->
 def area_measures(cube: DataFrame, as_of: Column | None = None, top: int = 3) -> DataFrame:
     """All per-area measures in one pass over the cube.
 
-    Grouping sets give the (area, month) and (area, code) counts together; both
-    windows and the last aggregation then share one partitioning by area, whose
-    rows are bounded by observed months + codes.
+    Grouping sets give the counts per month, per code and per source name
+    together; both windows and the last aggregation then share one partitioning
+    by area, whose rows are bounded by its months, codes and names.
     """
     as_of = reference_date(cube) if as_of is None else as_of
     sized = cube.withColumn("_n12", F.when(F.col("date") >= window_start(as_of), F.col("n")).otherwise(F.lit(0)))
     sized = sized.withColumn("month", month_floor(F.col("date")))
     area, month, code = F.col("area"), F.col("month"), F.col("code")
-    rolled = sized.groupingSets([[area, month], [area, code]], area, month, code).agg(
-        F.sum("n").alias("n"), F.sum("_n12").alias("_n12"), F.min(F.struct("first_row", "label")).alias("_first"),
-        F.grouping("month").alias("_is_code"),
+    label = F.col("label")
+    rolled = sized.groupingSets([[area, month], [area, code], [area, label]], area, month, code, label).agg(
+        F.sum("n").alias("n"), F.sum("_n12").alias("_n12"), F.min("first_row").alias("_first"),
+        F.grouping("month").alias("_no_month"), F.grouping("code").alias("_no_code"), F.grouping("label").alias("_no_label"),
     )
     by_area = Window.partitionBy("area")
-    is_month = (F.col("_is_code") == 0) & F.col("month").isNotNull()
-    is_code = (F.col("_is_code") == 1) & F.col("code").isNotNull()
-    # months come first in both orders, null months last among them
+    in_months, in_codes, in_labels = F.col("_no_month") == 0, F.col("_no_code") == 0, F.col("_no_label") == 0
+    is_month = in_months & F.col("month").isNotNull()
+    # observed months come first in both orders
     rolled = rolled.withColumn("_kind", F.when(is_month, 0).otherwise(1))
     rolled = rolled.withColumns(
         {
-            "_recency": F.row_number().over(by_area.orderBy("_kind", F.desc("month"), "code")),
-            "_busy": F.row_number().over(by_area.orderBy("_kind", F.desc("n"), "month", "code")),
+            "_recency": F.row_number().over(by_area.orderBy("_kind", F.desc("month"))),
+            "_busy": F.row_number().over(by_area.orderBy("_kind", F.desc("n"), "month")),
         }
     )
     recent, previous, seen = _trend_columns(F.col("_recency"), F.col("n"), is_month)
     peaks = F.collect_list(F.when(is_month & (F.col("_busy") <= top), iso_day(F.col("month"))))
-    codes = F.collect_list(F.when(is_code, F.struct("code", "n")))
+    codes = F.collect_list(F.when(in_codes & F.col("code").isNotNull(), F.struct("code", "n")))
     out = rolled.groupBy("area").agg(
-        F.sum(F.when(F.col("_is_code") == 0, F.col("_n12"))).cast("bigint").alias("total_12m"),
-        F.sum(F.when(F.col("_is_code") == 0, F.col("n"))).cast("bigint").alias("total_all"),
+        F.sum(F.when(in_months, F.col("_n12"))).cast("bigint").alias("total_12m"),
+        F.sum(F.when(in_months, F.col("n"))).cast("bigint").alias("total_all"),
         recent.alias("recent_avg"), previous.alias("previous_avg"), seen.alias("_seen"),
         F.sort_array(peaks).alias("peak_crime_months"),
         F.map_from_entries(F.array_sort(codes)).alias("crime_breakdown"),
-        F.min("_first").getField("label").alias("label"),
+        F.min_by(F.when(in_labels, label), F.when(in_labels, F.col("_first"))).alias("label"),
     )
     return _with_trend(out)
 

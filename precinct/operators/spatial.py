@@ -4,15 +4,16 @@ A single grid fails when points crowd: one cell may hold a third of them, and
 its pairs grow with the square. Here every point searches on a cell size that
 fits its surroundings:
 
-* cells halve from the radius down to about the 10 m the ranking can tell apart;
+* cells halve from the radius down to 3 m, below the 10 m the ranking can tell apart;
 * points with identical coordinates are one site that keeps its k + 1 smallest ids;
 * a site finds its finest cell with more than k points. That cell's diagonal
   bounds the distance of the k-th neighbour, so only cells within that distance
   (or the radius, if smaller) are searched, one level up.
 
-Candidates per site therefore stay near k per cell whatever the density, and
-the result is exact: nothing is capped. Distances rank by their value rounded
-to 10 m and then by id, so points closer together than that all compete.
+Candidates per site therefore stay near k per cell at any density down to that
+scale, and the result is exact: nothing is capped. Distances rank by their
+value rounded to 10 m and then by id, so different coordinates within 5 m of
+each other all have to compete; identical ones do not.
 """
 
 from __future__ import annotations
@@ -24,8 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from precinct.functions.geo import EARTH_KM, haversine_km, usable_coordinates
 
 _SLACK = 1.001
-_FINEST_KM = 0.02
-_ROUNDING_KM = 0.01
+_FINEST_KM = 0.003
 _KM_PER_DEGREE = math.radians(1.0) * EARTH_KM
 
 
@@ -123,7 +123,8 @@ def nearest_pairs(
         _own_cells(sites, radius_km, "_lat", "_lng").join(crowded, key)
         .groupBy("_lat", "_lng").agg(F.min("_diagonal").alias("_diagonal"))
     )
-    reach = F.least(F.lit(float(radius_km)), F.coalesce(F.col("_diagonal") + _ROUNDING_KM, F.lit(float(radius_km))))
+    # whatever shows the same rounded distance as the bound still competes
+    reach = F.least(F.lit(float(radius_km)), F.coalesce(F.round("_diagonal", 2) + 0.005 + 1e-9, F.lit(float(radius_km))))
     search = sites.join(bound, ["_lat", "_lng"], "left").select("_lat", "_lng", reach.alias("_reach"))
     found = _search_cells(search, radius_km).select("_lat", "_lng", "_reach", *key)
     pairs = found.join(cells.select("_nid", "_nlat", "_nlng", *key), key)

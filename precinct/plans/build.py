@@ -127,15 +127,17 @@ def build_blocks(
 
 def area_statistics(areas: DataFrame) -> DataFrame:
     """Quartiles of rate and 12-month total, plus count, sum and mean: one row."""
-    quartiles = lambda prefix: {f"{prefix}_p{100 * p // 4}": ("inclusive", p, 4) for p in (1, 2, 3)}
-    rate = exact_quantiles(areas, [], "crime_rate_per_1000", quartiles("rate"))
-    total = exact_quantiles(areas, [], "total_crimes_12m", quartiles("total"))
-    plain = areas.agg(
-        F.count(F.lit(1)).alias("n_areas"), F.sum("total_crimes_12m").cast("bigint").alias("total_crimes"),
-        F.avg("crime_rate_per_1000").alias("mean_rate"),
+    both = areas.selectExpr(
+        "stack(2, 'rate', cast(crime_rate_per_1000 as double), 'total', cast(total_crimes_12m as double)) as (measure, value)"
+    )
+    quartiles = exact_quantiles(both, ["measure"], "value", {f"p{25 * p}": ("inclusive", p, 4) for p in (1, 2, 3)})
+    plain = both.groupBy("measure").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("sum"), F.avg("value").alias("mean"))
+    of = lambda measure, column: F.max(F.when(F.col("measure") == measure, F.col(column)))
+    return plain.join(quartiles, "measure", "left").agg(
+        F.coalesce(of("total", "n"), F.lit(0)).alias("n_areas"), of("total", "sum").cast("bigint").alias("total_crimes"),
+        of("rate", "mean").alias("mean_rate"),
+        *[of(m, f"p{p}").alias(f"{m}_p{p}") for m in ("rate", "total") for p in (25, 50, 75)],
     )
-    one = lambda df: df.withColumn("_one", F.lit(1))
-    return one(plain).join(one(rate), "_one").join(one(total), "_one").drop("_one")
 
 
 @dataclass

@@ -346,6 +346,7 @@ def oracle_sql() -> dict[str, str]:
     q["incidents_built"] = _with("incidents") + """
       SELECT event_id, suburb_id, strftime(day, '%Y-%m-%d') AS victimisation_date, code AS offence_code, division AS offence_category,
              anzsoc_group AS offence_description, block AS meshblock_code, area_key AS "AU2017_name" FROM incidents"""
+    q["stream_incidents"] = q["incidents_built"]
     q["incidents_unmatched"] = _with("cleaned", "area_dim") + """
       SELECT area_key, count(*) AS n_rows FROM cleaned WHERE area_key NOT IN (SELECT area_key FROM area_dim) GROUP BY 1"""
     q["last_wins_dim"] = _with("area_dim") + "SELECT * FROM area_dim"

@@ -518,6 +518,16 @@ def stream_upsert(spark, d):
     return t.read()
 
 
+def stream_incidents(spark, d):
+    """Orders as raw incidents through the incident stream."""
+    base = scratch_path(spark, "stream")
+    areas, blocks = (materialize(x, "dimension") for x in _dims(spark, d))
+    t = KeyedTable(spark, f"{base}/incidents", ["event_id"], part=sinks.incident_month())
+    stream = views.as_incidents(incremental.read_stream(spark, d, views.SCHEMAS["orders"], "orders.parquet"))
+    incremental.incident_stream(stream, areas, blocks, t, f"{base}/checkpoint").awaitTermination()
+    return t.read().withColumn("victimisation_date", iso_day(F.col("victimisation_date")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -529,6 +539,6 @@ QUERIES = {
         validate_areas_reasons, validate_blocks, upsert_snapshot, tsv_scan, geojson_layer, full_build, metric_summary,
         metric_p95_exclusive, endpoint_latency, user_latency, metric_latest, metric_grades, throughput, hit_rate,
         polygon_centroid, polygon_wkt, reproject_tm, ring_validity, simplify_layer, sorted_batches, prepared_layer,
-        stream_monthly_counts, stream_upsert,
+        stream_monthly_counts, stream_upsert, stream_incidents,
     )
 }

@@ -30,9 +30,14 @@ def _txt(c: Column) -> Column:
 
 
 def incidents_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_incidents(table(spark, sf_dir, "orders"))
+
+
+def as_incidents(orders: DataFrame) -> DataFrame:
+    """Orders (a table or a stream) in the shape of raw incident rows."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     division = F.when(key % 5 == 0, DIVISIONS[0]).when(key % 5 == 1, DIVISIONS[1]).when(key % 5 == 2, DIVISIONS[2]).when(key % 5 == 3, DIVISIONS[3])
-    return table(spark, sf_dir, "orders").select(
+    return orders.select(
         key.alias("row_no"),
         F.concat(F.lit(" Area. "), _txt(cust % 200), F.lit("  Unit ")).alias("area_unit"),
         F.when(key % 97 == 0, "unknown").otherwise(F.date_format("o_orderdate", "MMMM yyyy")).alias("year_month"),

@@ -29,6 +29,8 @@ def get_session(app: str = "precinct", master: str | None = None, conf: dict | N
         builder = builder.master(master)
         if master.startswith("local"):
             builder = builder.config("spark.sql.shuffle.partitions", str(os.cpu_count() or 8))
+            # small inputs still use every core after a shuffle
+            builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -36,7 +36,8 @@ def row_position() -> Column:
     return F.shiftleft(offset, 20) + F.pmod(F.xxhash64("_metadata.file_path"), F.lit(1 << 20))
 
 
-def _header(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
+def header(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
+    """Column names of a headed file; reads its first line only."""
     reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
     return reader.option("multiLine", encoding.startswith("utf-16")).csv(path).columns
 
@@ -45,7 +46,7 @@ def _text_columns(
     spark: SparkSession, path: str, wanted, sep: str = ",", encoding: str = "utf-8", order=file_order
 ) -> DataFrame:
     """All columns of a headed file as text, names trimmed; fails on a missing column."""
-    names = _header(spark, path, sep, encoding)
+    names = header(spark, path, sep, encoding)
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
     reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("sep", sep)
     reader = reader.option("encoding", encoding).option("quote", '"').option("escape", '"')
@@ -61,7 +62,7 @@ def _text_columns(
 def detect_encoding(spark: SparkSession, path: str, wanted=tuple(INCIDENT_COLUMNS), sep: str = "\t") -> str:
     """First encoding that shows the header and decodes every byte."""
     for encoding in ENCODINGS:
-        names = {n.strip().lstrip("﻿") for n in _header(spark, path, sep, encoding)}
+        names = {n.strip().lstrip("﻿") for n in header(spark, path, sep, encoding)}
         if not set(wanted) <= names:
             continue
         lines = spark.read.option("header", False).option("sep", "\u0001").option("quote", "").option("encoding", encoding)

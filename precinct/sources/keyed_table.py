@@ -12,7 +12,6 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -28,12 +27,10 @@ class KeyedTable:
         self.part = part if part is not None else F.pmod(F.xxhash64(*keys), F.lit(parts))
 
     def _log(self) -> DataFrame:
-        try:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/_commits")
+        if path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
             return self.spark.read.schema(_LOG).json(f"{self.path}/_commits")
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return self.spark.createDataFrame([], _LOG)
+        return self.spark.createDataFrame([], _LOG)
 
     def _current(self) -> list:
         """Newest snapshot per part: one row per part, never data."""

@@ -6,6 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from precinct.functions.dates import month_floor
+from precinct.functions.text import code_text, strip_space
+from precinct.operators.copies import count_copies, expand_copies
+from precinct.operators.validation import INCIDENT_RULES, split_valid
+from precinct.plans.build import build_incidents
+from precinct.schemas import INCIDENT, INCIDENT_COLUMNS
+from precinct.sources import files
 from precinct.sources.keyed_table import KeyedTable
 
 
@@ -28,6 +34,35 @@ def upsert_stream(stream: DataFrame, table: KeyedTable, checkpoint: str, transfo
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def read_incident_stream(spark: SparkSession, folder: str, example: str, encoding: str = "utf-8") -> DataFrame:
+    """Tab-separated incident files as they arrive; ``example`` is a file whose header all others share.
+
+    The file name is part of a row, so equal rows of different files stay apart.
+    """
+    names = [n.strip() for n in files.header(spark, example, "\t", encoding)]
+    position = {n: i for i, n in enumerate(names)}
+    schema = ", ".join(f"_c{i} string" for i in range(len(names)))
+    reader = spark.readStream.schema(schema).option("header", True).option("sep", "\t").option("encoding", encoding)
+    rows = reader.option("quote", '"').option("escape", '"').csv(folder)
+    columns = [strip_space(F.col(f"_c{position[src]}")).alias(name) for src, name in INCIDENT_COLUMNS.items()]
+    rows = rows.select(*columns, F.col("_metadata.file_path").alias("source_file"))
+    return rows.withColumn("meshblock", code_text(F.col("meshblock")))
+
+
+def incident_stream(stream: DataFrame, areas: DataFrame, blocks: DataFrame, table: KeyedTable, checkpoint: str) -> StreamingQuery:
+    """Raw incident rows into the incident table: build, validate, give ids, upsert.
+
+    Ids come from the rows alone, so a replayed batch finds its own keys.
+    """
+
+    def to_rows(batch: DataFrame) -> DataFrame:
+        raw = batch if "row_no" in batch.columns else batch.withColumn("row_no", F.lit(0))
+        valid, _ = split_valid(build_incidents(count_copies(raw, "row_no"), areas, blocks), INCIDENT_RULES)
+        return expand_copies(valid).select(*INCIDENT)
+
+    return upsert_stream(stream, table, checkpoint, to_rows)
+
+
 def monthly_count_stream(stream: DataFrame, area: str, date: str, table: KeyedTable, checkpoint: str) -> StreamingQuery:
     """Keep (area, month) -> n up to date; state is one row per area and month."""
     counts = (

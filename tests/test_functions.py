@@ -39,8 +39,9 @@ def test_strip_strings(spark):
 
 
 def test_months(spark):
-    got = one(spark, ["May 2023", "MAY 2023", "Sept 2023", None], dates.month_from_name)
-    assert got == [dt.date(2023, 5, 1), dt.date(2023, 5, 1), None, None]
+    got = one(spark, ["May 2023", "MAY 2023", "Sept 2023", None, "May", "May 23", "May 2023 x", "December  1999", "unknown"], dates.month_from_name)
+    may = dt.date(2023, 5, 1)
+    assert got == [may, may, None, None, None, None, None, dt.date(1999, 12, 1), None]
 
 
 def test_window_bounds(spark):

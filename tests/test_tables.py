@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from precinct.functions.dates import month_from_name
+from precinct.operators.dims import area_dimension, code_remap
 from precinct.plans import build, layers, metrics, serving
 from precinct.schemas import AREA_DETAIL, AREA_SUMMARY, DETAIL_MODEL, METRIC, SUMMARY_MODEL
 from precinct.session import scratch_path
@@ -254,6 +255,20 @@ def test_streams_equal_batch(spark, tmp_path):
     assert latest.read().count() == 5
 
 
+def test_incident_stream(spark, tmp_path):
+    write_inputs(tmp_path)
+    concordance = files.read_concordance(spark, str(tmp_path / "conc.csv"))
+    areas, blocks = area_dimension(concordance), code_remap(concordance)
+    (tmp_path / "in").mkdir()
+    table = KeyedTable(spark, str(tmp_path / "crimes"), ["event_id"], part=sinks.incident_month())
+    for i, want in enumerate((10, 20), 1):  # the same rows in a second file are further incidents
+        (tmp_path / f"in/{i}.tsv").write_text((tmp_path / "inc.tsv").read_text())
+        for _ in range(2):
+            stream = incremental.read_incident_stream(spark, str(tmp_path / "in"), str(tmp_path / "inc.tsv"))
+            incremental.incident_stream(stream, areas, blocks, table, str(tmp_path / "cp")).awaitTermination()
+        assert table.read().count() == want and table.read().select("event_id").distinct().count() == want
+
+
 def test_scratch_paths_are_fresh(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
     assert files.scan_limited(spark.range(50).withColumn("k", F.col("id") % 2), ["id"], 5, k=1).count() == 5

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import compare, duck
+from precinct.catalog.queries import QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,10 +17,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     ok, what = compare(spark, con, name, SF, entry.oracle_sql().get(name))
     assert ok, what

@@ -121,8 +121,8 @@ def remove_contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame)
 
 #: DuckDB: windows and document windows compared as lists.
 SQL = r"""
-WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS words FROM documents),
-b AS (SELECT item_id::varchar AS item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS words FROM benchmark),
+WITH d AS (SELECT doc_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS words FROM documents),
+b AS (SELECT item_id::varchar AS item_id, [x FOR x IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS words FROM benchmark),
 bw AS (SELECT DISTINCT item_id, size, array_to_string(words[s + 1 : s + size], ' ') AS w FROM (
   SELECT item_id, words, least(len(words), 10) AS size, unnest(range(0, greatest(len(words) - 10, 0) + 1)) AS s FROM b WHERE len(words) > 0)),
 dw AS (SELECT doc_id, s, size, array_to_string(words[s + 1 : s + size], ' ') AS w FROM (

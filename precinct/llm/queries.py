@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.llm import bpe, decontaminate, licenses, pii, sharding, topk
+from precinct.llm import bpe, decontaminate, licenses, near_dups, pii, sharding, topk
 from precinct.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +18,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
 
 
+def op4_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.components(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("places")
 
@@ -39,6 +43,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op5_licenses, op6_topk, op7_bpe, op8_sharding, op10_pii)
+    f.__name__: f for f in (op1_decontamination, op4_near_dups, op5_licenses, op6_topk, op7_bpe, op8_sharding, op10_pii)
 }
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": decontaminate.SQL}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": decontaminate.SQL, "op4_near_dups": near_dups.SQL}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.llm import bpe, decontaminate, licenses, near_dups, pii, sharding, topk, toxicity
+from precinct.llm import bpe, decontaminate, licenses, near_dups, pii, sharding, substrings, topk, toxicity
 from precinct.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +18,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.deduplicated(spark, table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.graded(docs, toxicity.train(spark, docs, table(spark, sf_dir, "labels")))
@@ -48,6 +53,6 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op3_toxicity, op4_near_dups, op5_licenses, op6_topk, op7_bpe, op8_sharding, op10_pii)
+    f.__name__: f for f in (op1_decontamination, op2_substrings, op3_toxicity, op4_near_dups, op5_licenses, op6_topk, op7_bpe, op8_sharding, op10_pii)
 }
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": decontaminate.SQL, "op4_near_dups": near_dups.SQL}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": decontaminate.SQL, "op2_substrings": substrings.SQL, "op4_near_dups": near_dups.SQL}

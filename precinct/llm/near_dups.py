@@ -21,10 +21,10 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import Scratch, WordHash, as_bytes, mix, ngram_hashes
+from precinct.llm.common import Scratch, WordHash, as_bytes, fits, mix, ngram_hashes
 
 BUCKETS, ROWS, MANTISSA = 128, 4, 10
 #: Per cent that the intersection must be of the union.
@@ -219,11 +219,20 @@ def components(spark: SparkSession, docs: DataFrame, words: int = 3, percent: in
 
 
 def deduplicated(spark: SparkSession, docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row of every component: that of its smallest id (of repeated rows of that id the first by content), with all columns."""
+    """One row of every component, with all columns: that of its smallest id, and of several rows of that id the first by text and digest."""
+    scratch = Scratch(spark)
     found = components(spark, docs, words, percent)
-    gone = Scratch(spark).write(found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    keep = docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
-    return keep.dropDuplicates()
+    gone = scratch.write(found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    key = docs["doc_id"].cast("long")
+    several = docs.where(key.isNotNull()).groupBy(key.alias("_several")).agg(F.count("*").alias("n")).where("n > 1").select("_several")
+    several = scratch.write(several, "several")
+    keep = docs.join(fits(gone, gone.count(), 16), key == gone["_gone"], "left_anti")
+    if several.isEmpty():
+        return keep
+    again = several["_several"] == keep["doc_id"].cast("long")
+    order = Window.partitionBy("doc_id").orderBy("text", F.md5(F.to_json(F.struct(*[F.col(c) for c in docs.columns]))))
+    one = keep.join(several, again, "left_semi").withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    return keep.join(several, again, "left_anti").unionByName(one)
 
 
 #: DuckDB: all pairs that share a shingle, then the smallest id reachable.

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.llm import bpe, decontaminate, licenses, near_dups, pii, sharding, substrings, topk, toxicity
+from precinct.llm import bpe, decontaminate, licenses, lm, near_dups, pii, sharding, substrings, topk, toxicity
 from precinct.llm.common import table
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -48,11 +48,15 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(spark, table(spark, sf_dir, "documents"))
 
 
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scores(spark, table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find(spark, table(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op2_substrings, op3_toxicity, op4_near_dups, op5_licenses, op6_topk, op7_bpe, op8_sharding, op10_pii)
+    f.__name__: f for f in (op1_decontamination, op2_substrings, op3_toxicity, op4_near_dups, op5_licenses, op6_topk, op7_bpe, op8_sharding, op9_lm, op10_pii)
 }
 ORACLE_SQL: dict[str, str] = {"op1_decontamination": decontaminate.SQL, "op2_substrings": substrings.SQL, "op4_near_dups": near_dups.SQL}

@@ -9,7 +9,7 @@ phrase stands there consecutively.
 
 Words: runs of a-z, 0-9 and non-ASCII characters after lower-casing A-Z. A null or empty text has no words and no labels. A very
 long text is one row's work. Rows are independent: copies and repeated ids give the same result each; ties of IDF go to the
-earlier position. Other columns are dropped. Over no documents every IDF is 0 and the result is empty.
+earlier position. Other columns are dropped. Over no documents the result is empty.
 """
 
 from __future__ import annotations
@@ -79,12 +79,12 @@ class Index:
         self.words = [t.text.encode().split() for t in templates]
         self.keys = [t.key.encode().split() for t in templates]
         self.at = [next(i for i in range(len(w)) if w[i : i + len(k)] == k) for w, k in zip(self.words, self.keys)]
-        self.idf = {w: math.log((rows + 1) / (df.get(w, 0) + 1)) for ws in self.words for w in ws}
+        self.idf = {w: 1 + math.log((rows + 1) / (df.get(w, 0) + 1)) for ws in self.words for w in ws}
         self.anchors: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
         for t, (key, at) in enumerate(zip(self.keys, self.at)):
             for i in sorted(range(len(key)), key=lambda i: (-self.idf[key[i]], i))[:ANCHORS]:
                 self.anchors[key[i]].append((t, at + i))
-        self.total = [sum(self.idf[w] for w in ws) or 1.0 for ws in self.words]
+        self.total = [sum(self.idf[w] for w in ws) for ws in self.words]
 
     def scan(self, words: list[bytes]) -> list[tuple[int, int, float]]:
         """(template, place of the key phrase, share of the template's IDF that stands there) of every place."""
@@ -104,7 +104,7 @@ class Index:
                     first = begin + at
                     if first >= 0 and words[first : first + len(key)] == key:
                         here = sum(self.idf[x] for j, x in enumerate(text) if 0 <= begin + j < len(words) and words[begin + j] == x)
-                        found.append((t, first, min(1.0, here / self.total[t]) if self.total[t] else 1.0))
+                        found.append((t, first, min(1.0, here / self.total[t])))
         return sorted(found)
 
 

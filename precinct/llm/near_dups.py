@@ -230,8 +230,11 @@ def deduplicated(spark: SparkSession, docs: DataFrame, words: int = 5, percent:
     if several.isEmpty():
         return keep
     again = several["_several"] == keep["doc_id"].cast("long")
-    order = Window.partitionBy("doc_id").orderBy("text", F.md5(F.to_json(F.struct(*[F.col(c) for c in docs.columns]))))
-    one = keep.join(several, again, "left_semi").withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    # inside one struct no name of docs can clash
+    r = F.col("r")
+    order = Window.partitionBy(r["doc_id"]).orderBy(r["text"], F.md5(F.to_json(r)))
+    one = keep.join(several, again, "left_semi").select(F.struct(*[keep[c] for c in docs.columns]).alias("r"))
+    one = one.select("r", F.row_number().over(order).alias("n")).where("n = 1").select("r.*")
     return keep.join(several, again, "left_anti").unionByName(one)
 
 

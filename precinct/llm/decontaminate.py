@@ -1,10 +1,9 @@
 """Benchmark decontamination as a prefix-filtered set join, in DataFrame operations only.
 
 A window is `window` consecutive words of an item (the whole item if it has fewer). Its elements are shingles of up to `shingle`
-words. For containment of a whole window one element must be looked up: its rarest, by counts over all documents. Windows of an item
-that share their rarest shingle are looked up together as one segment of at most 2 * window - 1 words. Every document position
-looks its shingle up among these; the position bound asks that the window lies inside the document, the length bound drops windows
-of which an element occurs nowhere, and what is left is compared word by word.
+words. For containment of a whole window one element must be looked up: its rarest, by counts over all documents; windows with an
+element that occurs nowhere are dropped. Every document position looks its shingle up among these. The element's offset gives the window's place; the
+position and length bounds ask that it lies inside the document, and what is left is compared word by word.
 
 Null and empty texts have no words. Items without an id take no part; an id in several rows is one item with all their windows. Each
 document row gives one result row; rows are told apart by id and a hash of the text, so repeated rows and null ids work. Other
@@ -16,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import LOWER, UPPER, Scratch, fits
+from precinct.llm.common import BROADCAST_BYTES, LOWER, UPPER, Scratch, fits
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same words before lower-casing, to be counted.
@@ -36,43 +35,59 @@ def _shingle(words: str, at: Column, size: int) -> Column:
 
 def _shingles(rows: DataFrame, sizes: list[int]) -> DataFrame:
     """Adds pos and key: a row for every position and shingle size that fits."""
-    rows = rows.select("*", F.posexplode("words").alias("pos", "word"))
+    # outer: else the optimiser asks for a non-empty array first, and splits every text twice
+    rows = rows.select("*", F.posexplode_outer("words").alias("pos", "word"))
     keys = [F.when(F.col("pos") + s <= F.size("words"), _shingle("words", F.col("pos"), s)) for s in sizes]
     key = keys[0] if len(keys) == 1 else F.explode(F.array(*keys))
     return rows.select("*", key.alias("key")).where("key is not null")
 
 
 def windows_of(items: DataFrame, window: int) -> DataFrame:
-    """item_id, words of the item, start and size of every window."""
+    """item_id, the words, size and digest of every window."""
     rows = items.select(items["item_id"].cast("string").alias("item_id"), _words(F.coalesce(items["text"].cast("string"), F.lit(""))).alias("words"))
     rows = rows.where(F.col("item_id").isNotNull() & (F.size("words") > 0)).distinct()
     start = F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0))))
-    return rows.select("item_id", "words", start.alias("start"), F.least(F.size("words"), F.lit(window)).alias("size"))
+    rows = rows.select("item_id", "words", start.alias("start"))
+    rows = rows.select("item_id", F.slice("words", F.col("start") + 1, F.lit(window)).alias("window"))
+    return rows.select("item_id", "window", F.size("window").alias("size"), F.md5(F.concat_ws(" ", "window")).alias("window_id"))
 
 
-def segments(spark, scratch: Scratch, docs: DataFrame, items: DataFrame, window: int, shingle: int):
-    """Segments by their rarest shingle, the items of each, and the shingle sizes in use (all tables, or None without items)."""
+def lookups(scratch: Scratch, docs: DataFrame, items: DataFrame, window: int, shingle: int):
+    """Distinct windows by their rarest shingle, the items of each, and the shingle sizes in use (None without windows)."""
     cut = scratch.write(windows_of(items, window), "windows")
     sizes = sorted({min(shingle, r["size"]) for r in cut.select("size").distinct().collect()})
     if not sizes:
         return None
+    owners = cut.select("window_id", "item_id").distinct()
+    distinct = cut.drop("item_id").dropDuplicates(["window_id"])
     size = F.least(F.col("size"), F.lit(shingle))
-    key = F.coalesce(*[F.when(size == s, _shingle("words", F.col("start") + F.col("offset"), s)) for s in sizes])
-    elements = cut.withColumn("offset", F.explode(F.sequence(F.lit(0), F.col("size") - size))).withColumn("key", key)
+    key = F.coalesce(*[F.when(size == s, _shingle("window", F.col("offset"), s)) for s in sizes])
+    elements = distinct.withColumn("offset", F.explode(F.sequence(F.lit(0), F.col("size") - size))).withColumn("key", key)
     keys = scratch.write(elements.select("key").distinct(), "keys")
     seen = _shingles(docs, sizes).select("key").join(fits(keys, keys.count(), 32), "key", "left_semi")
     counts = scratch.write(seen.groupBy("key").agg(F.count("*").alias("n")), "counts")
-    rarest = elements.join(counts, "key", "left").groupBy("item_id", "words", "start", "size").agg(
+    rarest = elements.join(counts, "key", "left").groupBy("window_id", "window", "size").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "key", "offset")).alias("rare"))
-    rarest = rarest.where("rare.n > 0").select("*", "rare.key", (F.col("start") + F.col("rare.offset")).alias("at"))
-    joint = rarest.groupBy("item_id", "words", "size", "key", "at").agg(F.sort_array(F.collect_set("start")).alias("starts"))
-    low = F.array_min("starts")
-    joint = joint.select(
-        "item_id", "key", "size", (F.col("at") - low).alias("anchor"), F.transform("starts", lambda s: s - low).alias("starts"),
-        F.slice("words", low + 1, F.array_max("starts") - low + F.col("size")).alias("segment"))
-    name = F.md5(F.concat_ws(" ", F.concat_ws(" ", "segment"), F.col("size"), F.col("anchor"), F.to_json("starts")))
-    joint = scratch.write(joint.withColumn("segment_id", name), "joint")
-    return joint.drop("item_id").dropDuplicates(["segment_id"]), joint.select("segment_id", "item_id"), sizes
+    looked = rarest.where("rare.n > 0").select("window_id", "window", "size", "rare.key", F.col("rare.offset").alias("anchor"))
+    return scratch.write(looked, "lookups"), owners, sizes
+
+
+def occurrences(docs: DataFrame, looked: DataFrame, sizes: list[int]) -> DataFrame:
+    """doc_id, row, window_id, first and end of every place where a window stands."""
+    begin, size = F.col("pos") - F.col("anchor"), F.col("size")
+    inside = (begin >= 0) & (begin + size <= F.size("words"))
+    equal = F.slice("words", F.greatest(begin, F.lit(0)) + 1, size) == F.col("window")
+    rows = looked.count()
+    if rows * 600 <= BROADCAST_BYTES:
+        # the words stay in the task: only places that are equal leave the join
+        found = _shingles(docs, sizes).join(F.broadcast(looked), "key").where(inside & equal)
+    else:
+        # only keys and places are shuffled; candidates meet the words of their document again
+        narrow = _shingles(docs, sizes).select("doc_id", "row", "pos", "key").join(looked, "key").where(begin >= 0)
+        each = narrow.groupBy("doc_id", "row").agg(F.collect_list(F.struct("pos", "anchor", "size", "window", "window_id")).alias("c"))
+        again = docs.dropDuplicates(["doc_id", "row"]).join(each.toDF("_id", "_row", "c"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")))
+        found = again.select("doc_id", "row", "words", F.explode("c").alias("c")).select("doc_id", "row", "words", "c.*").where(inside & equal)
+    return found.select("doc_id", "row", "window_id", begin.alias("first"), (begin + size).alias("end"))
 
 
 def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
@@ -83,25 +98,18 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, window
     docs = docs.withColumn("row", F.xxhash64("text"))
     every = docs.select("doc_id", "row", F.regexp_count(text, F.lit(WORDS)).cast("long").alias("n_words"))
     split = docs.select("doc_id", "row", _words(text).alias("words"))
-    found = segments(spark, scratch, split, items, window, shingle)
+    found = lookups(scratch, split, items, window, shingle)
     none = F.sha2(F.lit("").cast("binary"), 256)
     if found is None:
         return every.select("doc_id", "n_words", *(F.lit(0).cast("long").alias(c) for c in ("n_hit", "n_items")), none.alias("items_sha256"), F.lit(False).alias("contaminated"), "row")
-    segs, owners, sizes = found
-    begin, size = F.col("pos") - F.col("anchor"), F.col("size")
-    fitting = F.filter("starts", lambda s: (begin + s >= 0) & (begin + s + size <= F.size("words")) & (
-        F.slice("words", F.greatest(begin + s, F.lit(0)) + 1, size) == F.slice("segment", s + 1, size)))
-    hits = _shingles(split, sizes).join(fits(segs, segs.count(), 600), "key")
-    hits = hits.select("doc_id", "row", "segment_id", "size", begin.alias("begin"), fitting.alias("fitting")).where(F.size("fitting") > 0)
-    hits = scratch.write(hits.select(
-        "doc_id", "row", "segment_id", (F.col("begin") + F.array_min("fitting")).alias("first"),
-        (F.col("begin") + F.array_max("fitting") + F.col("size")).alias("end")), "hits")
-    scratch.drop("windows", "keys", "counts")
+    looked, owners, sizes = found
+    hits = scratch.write(occurrences(split, looked, sizes), "hits")
+    scratch.drop("keys", "counts", "lookups")
     order = Window.partitionBy("doc_id", "row").orderBy("first", "end").rowsBetween(Window.unboundedPreceding, -1)
     covered = F.greatest(F.col("end") - F.greatest(F.col("first"), F.coalesce(F.max("end").over(order), F.lit(0))), F.lit(0))
     spans = hits.select("doc_id", "row", "first", "end").distinct().withColumn("n", covered)
     spans = spans.groupBy("doc_id", "row").agg(F.sum("n").cast("long").alias("n_hit"))
-    named = hits.select("doc_id", "row", "segment_id").distinct().join(owners, "segment_id").groupBy("doc_id", "row").agg(
+    named = hits.select("doc_id", "row", "window_id").distinct().join(owners, "window_id").groupBy("doc_id", "row").agg(
         F.sort_array(F.collect_set("item_id")).alias("items"))
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["row"].eqNullSafe(b["row"])
     marks = spans.join(named, same(spans, named)).select(spans["doc_id"], spans["row"], "n_hit", "items")

@@ -68,7 +68,7 @@ _STEPS: dict[str, tuple[tuple[str, ...], str]] = {
     "incidents": (("cleaned", "area_dim", "concordance"), """
         SELECT i.row_no, d.suburb_id, i.day, i.code, i.division, i.anzsoc_group, coalesce(m.new_code, i.meshblock) AS block, i.area_key,
                sha256(sha256('{"area_unit":"' || area_unit || '","year_month":"' || year_month || '","meshblock":"' || meshblock || '"'
-                 || coalesce(',"division":"' || division || '"', '') || ',"anzsoc_group":"' || anzsoc_group || '"}') || '#'
+                 || coalesce(',"division":"' || division || '"', '') || ',"anzsoc_group":"' || anzsoc_group || '","source":"orders"}') || '#'
                  || (row_number() OVER (PARTITION BY area_unit, year_month, meshblock, division, anzsoc_group ORDER BY i.row_no) - 1)) AS event_id
         FROM cleaned i JOIN area_dim d ON i.area_key = d.area_key
         LEFT JOIN (SELECT old_code, arg_max(new_code, row_no) AS new_code FROM concordance GROUP BY 1) m ON i.meshblock = m.old_code"""),
@@ -346,7 +346,11 @@ def oracle_sql() -> dict[str, str]:
     q["incidents_built"] = _with("incidents") + """
       SELECT event_id, suburb_id, strftime(day, '%Y-%m-%d') AS victimisation_date, code AS offence_code, division AS offence_category,
              anzsoc_group AS offence_description, block AS meshblock_code, area_key AS "AU2017_name" FROM incidents"""
-    q["stream_incidents"] = q["incidents_built"]
+    q["stream_incidents"] = _with("incidents") + """
+      SELECT suburb_id, strftime(day, '%Y-%m-%d') AS victimisation_date, code AS offence_code, division AS offence_category,
+             anzsoc_group AS offence_description, block AS meshblock_code, area_key AS "AU2017_name", count(*) AS n, count(*) AS n_ids
+      FROM incidents GROUP BY ALL"""
+    q["stream_incidents_batches"] = q["stream_incidents"]
     q["incidents_unmatched"] = _with("cleaned", "area_dim") + """
       SELECT area_key, count(*) AS n_rows FROM cleaned WHERE area_key NOT IN (SELECT area_key FROM area_dim) GROUP BY 1"""
     q["last_wins_dim"] = _with("area_dim") + "SELECT * FROM area_dim"
@@ -403,8 +407,37 @@ def oracle_sql() -> dict[str, str]:
               "rank_in_region, crime_breakdown, trend_3m_change, population, nearby_suburbs, peak_crime_months, CAST(NULL AS VARCHAR) AS geometry")
     q["area_detail"] = _with("areas") + f"SELECT {detail} FROM areas WHERE suburb_id = '100050'"
     q["meshblocks_of_area"] = _with("blocks") + "SELECT * FROM blocks WHERE suburb_id = '100050'"
-    q["area_report"] = _with("firsts") + "SELECT '' AS pdf_url, 'not_purchased' AS status FROM firsts WHERE area = '100050'"
-    q["area_widget"] = _with("firsts") + "SELECT '' AS embed_code FROM firsts WHERE area = '100050'"
+    q["area_reports"] = _with("firsts") + "SELECT area AS suburb_id, '' AS pdf_url, 'not_purchased' AS status, '' AS embed_code FROM firsts"
+    q["rejects_of_build"] = _with("incidents") + """
+      SELECT suburb_id, code AS offence_code, count(*) AS n, count(*) AS n_ids, 'offence_description:max_length' AS what
+      FROM incidents WHERE row_no % 50 = 0 GROUP BY ALL"""
+    q["rejects_written"] = q["rejects_of_build"]
+    q["block_layer_scan"] = _with("concordance", "points") + """
+      SELECT new_code AS id, count(*) AS n, round(min(lat), 6) AS lat, round(max(lng), 6) AS lng FROM concordance JOIN points ON row_no = id GROUP BY 1"""
+    q["appended_rows"] = "SELECT c_nationkey AS nation, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM customer GROUP BY 1"
+    q["csv_export"] = _with("areas") + """
+      SELECT suburb_id, name, population, total_crimes_12m, crime_breakdown, peak_crime_months, crime_trend FROM areas"""
+    q["stored_columns"] = _with("incidents") + "SELECT suburb_id, code AS offence_code, count(*) AS n FROM incidents GROUP BY ALL"
+    q["limited_lookup"] = _with("firsts") + "SELECT area AS suburb_id, label AS \"AU2017_name\" FROM firsts WHERE area = '100050'"
+    q["crimes_stored"] = _with("incidents") + """
+      SELECT event_id, suburb_id, strftime(day, '%Y-%m-%d') AS victimisation_date, code AS offence_code, block AS meshblock_code FROM incidents"""
+    q["metric_samples"] = _with("metrics") + "SELECT metric_name, count(*) AS n, round(sum(value), 4) AS total FROM metrics GROUP BY 1"
+    q["metric_report"] = _with("metrics") + """
+      SELECT split_part(metric_name, '_', 1) AS family, count(*) AS count, round(avg(value), 6) AS average, (SELECT count(*) FROM metrics) AS total_metrics_collected
+      FROM metrics GROUP BY 1"""
+    q["sorted_layer"] = _with("concordance") + """
+      SELECT row_no AS id, place AS name FROM concordance ORDER BY place, row_no LIMIT 40"""
+    q["category_frequency"] = _with("incidents") + """
+      SELECT coalesce(division, '') AS category, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, coalesce(division, '')) AS place
+      FROM incidents GROUP BY 1"""
+    q["breakdown_text"] = _with("codes") + """
+      SELECT area, '{' || coalesce(string_agg('"' || split_part(c, ':', 1) || '":' || split_part(c, ':', 2), ',' ORDER BY c), '') || '}' AS text, count(*) AS n_codes
+      FROM (SELECT area, unnest(string_split(codes, ',')) AS c FROM codes WHERE codes <> '') GROUP BY 1"""
+    q["name_matches"] = _with("names", "census") + """
+      SELECT name_orig, count(*) AS n FROM names JOIN (SELECT DISTINCT area FROM census) ON contains(lower(area), lower(name_orig)) OR contains(lower(name_orig), lower(area))
+      GROUP BY 1"""
+    q["orders_days"] = "SELECT strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, count(*) AS n FROM orders GROUP BY 1"
+    q["full_build_blocks"] = _with("blocks") + "SELECT id, suburb_id, crime_count FROM blocks"
     q["validate_incidents_split"] = _with("flawed") + """
       SELECT 'valid' AS what, count(*) AS n_rows FROM flawed WHERE suburb_id <> '' AND (division IS NULL OR length(division) <= 200)
       UNION ALL SELECT 'rejected', count(*) FROM flawed WHERE suburb_id = '' OR length(division) > 200

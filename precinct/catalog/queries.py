@@ -7,17 +7,17 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, functions as F
 
 from precinct.catalog import views
-from precinct.functions.dates import iso_day, month_from_name
+from precinct.functions.dates import dates_as_text, iso_day, month_from_name
 from precinct.functions.geo import NZTM2000
 from precinct.functions.scores import rate_per_1000
-from precinct.functions.text import clean_text, offence_code, slugify
+from precinct.functions.text import clean_text, contains_either, map_as_text, offence_code, slugify, text_as_counts
 from precinct.operators import dims, measures, polygons
 from precinct.operators.copies import count_copies, expand_copies
-from precinct.operators.ordering import dense_rank_desc
+from precinct.operators.ordering import dense_rank_desc, number_rows
 from precinct.operators.spatial import nearest_pairs
-from precinct.operators.validation import AREA_RULES, BLOCK_RULES, INCIDENT_RULES, reject_reasons, split_valid
+from precinct.operators.validation import AREA_RULES, BLOCK_RULES, INCIDENT_RULES, reject_reasons, split_valid, summary
 from precinct.plans import build, layers, metrics as metric_plans, serving
-from precinct.schemas import INCIDENT
+from precinct.schemas import INCIDENT, METRIC
 from precinct.session import materialize, scratch_path
 from precinct.sources import files, sinks
 from precinct.sources.keyed_table import KeyedTable
@@ -47,11 +47,24 @@ def _counted(spark, d) -> DataFrame:
 
 
 def _incidents(spark, d) -> DataFrame:
-    return expand_copies(split_valid(_counted(spark, d), INCIDENT_RULES)[0]).select(*INCIDENT)
+    return expand_copies(build.split_incidents(_counted(spark, d))[0]).select(*INCIDENT)
+
+
+def _stored(spark, d) -> KeyedTable:
+    """The incident table as the job stores it: in parts by month."""
+    table = KeyedTable(spark, scratch_path(spark, "crimes"), ["event_id"], part=sinks.incident_month(), sort=("suburb_id",))
+    valid = build.split_incidents(_counted(spark, d))[0]
+    table.upsert(expand_copies(valid, cluster=sinks.incident_month()).select(*INCIDENT).drop("AU2017_name"), clustered=True, unique=True)
+    return table
+
+
+def _reduced(spark, d) -> DataFrame:
+    """Event cube from one scan of the raw rows."""
+    return build.incident_cube(views.incidents_raw(spark, d), _dims(spark, d)[0])
 
 
 def _cube(spark, d) -> DataFrame:
-    return materialize(measures.event_cube(_counted(spark, d), weight="copies"), "cube")
+    return materialize(_reduced(spark, d), "cube")
 
 
 def _layer(spark, d) -> DataFrame:
@@ -159,19 +172,18 @@ def mapping_fanout(spark, d):
 
 
 def area_counts(spark, d):
-    inc = _counted(spark, d)
-    return inc.agg(F.countDistinct("AU2017_name").alias("n_names"), F.countDistinct("suburb_id").alias("n_areas"))
+    return _reduced(spark, d).agg(F.countDistinct("label").alias("n_names"), F.countDistinct("area").alias("n_areas"))
 
 
 # ---------------------------------------------------------------- measures
 
 
 def rolling_12m(spark, d):
-    return measures.rolling_total(_counted(spark, d), "suburb_id", "victimisation_date", "copies")
+    return measures.rolling_total(_cube(spark, d), "area", "date", "n")
 
 
 def _months(spark, d):
-    return measures.monthly_counts(_counted(spark, d), "suburb_id", "victimisation_date", "copies")
+    return measures.monthly_counts(_reduced(spark, d), "area", "date", "n")
 
 
 def monthly_counts(spark, d):
@@ -187,7 +199,7 @@ def peak_months(spark, d):
 
 
 def breakdown_map(spark, d):
-    m = measures.breakdown(_counted(spark, d), "suburb_id", "offence_code", "copies")
+    m = measures.breakdown(_reduced(spark, d), "area", "code", "n")
     text = F.transform(F.map_entries("crime_breakdown"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string")))
     return m.select("area", F.array_join(text, ",").alias("codes"))
 
@@ -215,7 +227,7 @@ def _rated(spark, d):
     """Area, region and rate, without the rest of the area table."""
     m = measures.area_measures(_cube(spark, d)).select("area", "label", "total_12m", "crime_trend", "trend_3m_change")
     m = m.join(_sized(spark, d).select("area_key", "name", "region", "population"), F.col("label") == F.col("area_key"))
-    return m.withColumn("crime_rate_per_1000", rate_per_1000(F.col("total_12m"), F.col("population")))
+    return materialize(m.withColumn("crime_rate_per_1000", rate_per_1000(F.col("total_12m"), F.col("population"))), "rated")
 
 
 def rate_rank(spark, d):
@@ -282,13 +294,13 @@ def filter_areas_page(spark, d):
 
 
 def filter_incidents_month(spark, d):
-    found = serving.query_incidents(_incidents(spark, d), page=2, page_size=25, month="1997-03", offence_code="8")
+    found = serving.query_stored_incidents(_stored(spark, d), page=2, page_size=25, month="1997-03", offence_code="8")
     return found.withColumn("victimisation_date", iso_day(F.col("victimisation_date")))
 
 
 def filter_incidents_council(spark, d):
-    found = serving.query_incidents(
-        _incidents(spark, d), _areas(spark, d)[0], district="NATION_7", start_date="1996-02-01", end_date="1997-06-01", page_size=1000
+    found = serving.query_stored_incidents(
+        _stored(spark, d), _areas(spark, d)[0], district="NATION_7", start_date="1996-02-01", end_date="1997-06-01", page_size=1000
     )
     return found.select("event_id", "suburb_id", iso_day(F.col("victimisation_date")).alias("victimisation_date"))
 
@@ -302,12 +314,8 @@ def meshblocks_of_area(spark, d):
     return serving.query_blocks(blocks, "100050").select("id", "suburb_id", "crime_count")
 
 
-def area_report(spark, d):
-    return serving.area_report(_areas(spark, d)[0], "100050")
-
-
-def area_widget(spark, d):
-    return serving.area_widget(_areas(spark, d)[0], "100050")
+def area_reports(spark, d):
+    return serving.area_reports(_areas(spark, d)[0])
 
 
 # ---------------------------------------------------------------- validation, upsert, files
@@ -324,10 +332,32 @@ def _flawed_incidents(spark, d):
 
 
 def validate_incidents_split(spark, d):
-    valid, rejected = split_valid(_flawed_incidents(spark, d), INCIDENT_RULES)
-    reasons = reject_reasons(rejected).select(F.concat_ws(":", "field", "rule").alias("what"), "n_rows")
-    count = lambda df, name: df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("what"), "n_rows")
-    return count(valid, "valid").unionByName(count(rejected, "rejected")).unionByName(reasons)
+    return summary(_flawed_incidents(spark, d), INCIDENT_RULES)
+
+
+def _rejected(spark, d) -> DataFrame:
+    """Rejected records where every fiftieth raw row has an over-long group."""
+    raw = views.incidents_raw(spark, d)
+    raw = raw.withColumn("anzsoc_group", F.when(F.col("row_no") % 50 == 0, F.repeat(F.lit("x"), 501)).otherwise(F.col("anzsoc_group")))
+    areas, blocks = _dims(spark, d)
+    return build.split_incidents(build.build_incidents(count_copies(raw, "row_no"), areas, blocks))[1]
+
+
+def _reject_counts(rejected: DataFrame) -> DataFrame:
+    each = rejected.select("original_record.*", F.explode("errors").alias("e"))
+    return each.groupBy("suburb_id", "offence_code", F.concat_ws(":", "e.field", "e.rule").alias("what")).agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("n_ids"))
+
+
+def rejects_of_build(spark, d):
+    return _reject_counts(_rejected(spark, d))
+
+
+def rejects_written(spark, d):
+    """The same records through the reject files."""
+    path, rejected = scratch_path(spark, "rejects"), _rejected(spark, d)
+    sinks.write_rejects(rejected, path)
+    return _reject_counts(spark.read.schema(rejected.schema).json(path))
 
 
 def validate_areas_reasons(spark, d):
@@ -396,6 +426,91 @@ def geojson_layer(spark, d):
     )
 
 
+def _block_lines(spark, d, path: str) -> None:
+    """The small-area layer as Feature lines."""
+    layer = _block_layer(spark, d).select(
+        F.col("id").alias("MB2023_V1_"), F.col("lat").alias("latitude"), F.col("lng").alias("longitude"),
+        F.lit("MultiPolygon").alias("geometry_type"), "coordinates",
+    )
+    sinks.write_layer(layer, path, ["MB2023_V1_", "latitude", "longitude"])
+
+
+def block_layer_scan(spark, d):
+    """The small-area layer written as Feature lines and read back."""
+    path = scratch_path(spark, "blocks")
+    _block_lines(spark, d, path)
+    back = files.read_block_layer(spark, path, lines=True)
+    return back.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.round(F.min("lat"), 6).alias("lat"), F.round(F.max("lng"), 6).alias("lng"))
+
+
+def appended_rows(spark, d):
+    """Customers inserted in two loads."""
+    path, customers = scratch_path(spark, "appended"), views.table(spark, d, "customer")
+    for odd in (0, 1):
+        sinks.append_rows(customers.where(F.col("c_custkey") % 2 == odd).select("c_nationkey", "c_acctbal"), path)
+    back = files.scan_table(spark, path, ["c_nationkey", "c_acctbal"])
+    return back.groupBy(F.col("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+
+
+def csv_export(spark, d):
+    """The area table exported as CSV and read back, with its counts as a map again."""
+    path = scratch_path(spark, "csv")
+    sinks.write_csv(_areas(spark, d)[0], path)
+    back = spark.read.option("header", True).option("escape", '"').csv(path)
+    counts, peaks = text_as_counts(F.col("crime_breakdown")), F.from_json("peak_crime_months", "array<string>")
+    codes = F.array_join(F.transform(F.array_sort(F.map_entries(counts)), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string"))), ",")
+    return back.select(
+        "suburb_id", "name", F.col("population").cast("bigint").alias("population"), F.col("total_crimes_12m").cast("bigint").alias("total_crimes_12m"),
+        codes.alias("crime_breakdown"), F.array_join(peaks, ",").alias("peak_crime_months"), "crime_trend")
+
+
+def stored_columns(spark, d):
+    """Two columns of the stored incidents."""
+    return _stored(spark, d).read().select("suburb_id", "offence_code").groupBy("suburb_id", "offence_code").agg(F.count(F.lit(1)).alias("n"))
+
+
+def limited_lookup(spark, d):
+    return files.scan_limited(_areas(spark, d)[0], ["suburb_id", "AU2017_name"], 10, suburb_id="100050")
+
+
+def crimes_stored(spark, d):
+    """The stored incident table, which has no helper column."""
+    crimes = _stored(spark, d).read()
+    if "AU2017_name" in crimes.columns:
+        raise ValueError("the helper column was stored")
+    return crimes.select("event_id", "suburb_id", iso_day(F.col("victimisation_date")).alias("victimisation_date"), "offence_code", "meshblock_code")
+
+
+def full_build_blocks(spark, d):
+    return build.build_blocks(materialize(_counted(spark, d), "incidents"), weight="copies")[0].select("id", "suburb_id", "crime_count")
+
+
+def category_frequency(spark, d):
+    """Categories by how often they occur, with their place."""
+    cube = _counted(spark, d).groupBy(F.coalesce("offence_category", F.lit("")).alias("category")).agg(F.sum("copies").alias("n"))
+    ordered = materialize(measures.by_frequency(cube, "n", "category"), "frequency")
+    return number_rows(ordered, [F.desc("n"), F.col("category")], "place")
+
+
+def breakdown_text(spark, d):
+    """Counts per code as JSON text and back."""
+    m = measures.breakdown(_reduced(spark, d), "area", "code", "n").select("area", map_as_text(F.col("crime_breakdown")).alias("text"))
+    return m.select("area", "text", F.size(text_as_counts(F.col("text"))).cast("bigint").alias("n_codes"))
+
+
+def name_matches(spark, d):
+    """How many census names hold an area's name or are held by it, through the lookup by substrings."""
+    names = _names(spark, d).select("name_orig").distinct()
+    census = views.census(spark, d).select(F.col("area")).distinct()
+    pairs = dims.containment_pairs(names, "name_orig", census, "area").where(contains_either(F.col("name_orig"), F.col("area")))
+    return pairs.groupBy("name_orig").agg(F.count(F.lit(1)).alias("n"))
+
+
+def orders_days(spark, d):
+    days = dates_as_text(views.table(spark, d, "orders").select("o_orderdate"))
+    return days.groupBy("o_orderdate").agg(F.count(F.lit(1)).alias("n"))
+
+
 def full_build(spark, d):
     """Sources as files, the whole job, and the stored area table with its neighbours."""
     base = scratch_path(spark, "full")
@@ -428,6 +543,24 @@ def metric_summary(spark, d):
     return _rounded(metric_plans.summarise_metrics(views.metrics(spark, d)))
 
 
+def metric_samples(spark, d):
+    """Samples appended to the metric table and read back."""
+    path = scratch_path(spark, "samples")
+    rows = views.metrics(spark, d).select(F.col("ts").cast("string").alias("timestamp"), "metric_name", F.col("value").cast("double").alias("value"))
+    sinks.append_rows(rows.select("*", F.lit("ms").alias("unit"), F.expr("map('endpoint', 'x')").alias("context")), path)
+    back = spark.read.schema(METRIC).parquet(path)
+    return back.groupBy("metric_name").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+
+
+def metric_report(spark, d):
+    """The saved report, read back."""
+    path, samples = scratch_path(spark, "report"), views.metrics(spark, d)
+    told, _, total = metric_plans.performance_report(samples)
+    sinks.save_report(told, samples, path, total)
+    back, head = spark.read.json(f"{path}/summary"), spark.read.json(f"{path}/report")
+    return _rounded(back.select("family", "count", "average")).withColumn("total_metrics_collected", F.lit(head.first()["total_metrics_collected"]))
+
+
 def metric_p95_exclusive(spark, d):
     return _rounded(metric_plans.latency_stats(views.metrics(spark, d), "metric_name", always_interpolate=True))
 
@@ -487,6 +620,12 @@ def sorted_batches(spark, d):
     return sinks.batch_numbers(layer, [F.col("name").asc_nulls_last(), F.col("id")], 100)
 
 
+def sorted_layer(spark, d):
+    """The first rows of the layer in name order."""
+    layer = views.concordance(spark, d).select(F.col("row_no").alias("id"), F.col("SA22023_name").alias("name"))
+    return layers.sort_layer(layer, "name", "id").limit(40)
+
+
 def prepared_layer(spark, d):
     """Centroids added to the area layer, as the layer job does."""
     layer = _layer(spark, d).select(
@@ -503,7 +642,7 @@ def stream_monthly_counts(spark, d):
     schema = views.SCHEMAS["orders"]
     base = scratch_path(spark, "stream")
     t = KeyedTable(spark, f"{base}/counts", ["area", "month"], 8)
-    stream = incremental.read_stream(spark, d, schema, "orders.parquet").withColumn("area", F.col("o_custkey") % 200)
+    stream = incremental.read_stream(spark, f"{d}/orders.parquet", schema).withColumn("area", F.col("o_custkey") % 200)
     incremental.monthly_count_stream(stream, "area", "o_orderdate", t, f"{base}/checkpoint").awaitTermination()
     return t.read().withColumn("month", iso_day(F.col("month")))
 
@@ -513,19 +652,32 @@ def stream_upsert(spark, d):
     schema = views.SCHEMAS["orders"]
     base = scratch_path(spark, "stream")
     t = KeyedTable(spark, f"{base}/latest", ["o_custkey"], 8)
-    stream = incremental.read_stream(spark, d, schema, "orders.parquet").select("o_custkey", "o_orderkey", "o_totalprice")
+    stream = incremental.read_stream(spark, f"{d}/orders.parquet", schema).select("o_custkey", "o_orderkey", "o_totalprice")
     incremental.upsert_stream(stream, t, f"{base}/checkpoint", order=F.col("o_orderkey")).awaitTermination()
     return t.read()
 
 
-def stream_incidents(spark, d):
-    """Orders as raw incidents through the incident stream."""
+def _streamed_incidents(spark, d, orders: str, files_per_batch: int) -> DataFrame:
+    """Incidents of a stream of order files, counted; their ids hold the files' paths, so only their number is told."""
     base = scratch_path(spark, "stream")
     areas, blocks = (materialize(x, "dimension") for x in _dims(spark, d))
     t = KeyedTable(spark, f"{base}/incidents", ["event_id"], part=sinks.incident_month())
-    stream = views.as_incidents(incremental.read_stream(spark, d, views.SCHEMAS["orders"], "orders.parquet"))
+    stream = views.as_incidents(incremental.read_stream(spark, orders, views.SCHEMAS["orders"], files_per_batch=files_per_batch))
     incremental.incident_stream(stream, areas, blocks, t, f"{base}/checkpoint").awaitTermination()
-    return t.read().withColumn("victimisation_date", iso_day(F.col("victimisation_date")))
+    rows = t.read().withColumn("victimisation_date", iso_day(F.col("victimisation_date")))
+    return rows.groupBy(*[c for c in INCIDENT if c != "event_id"]).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("n_ids"))
+
+
+def stream_incidents(spark, d):
+    """Orders as raw incidents through the incident stream."""
+    return _streamed_incidents(spark, d, f"{d}/orders.parquet", 1000)
+
+
+def stream_incidents_batches(spark, d):
+    """The same from several files, a micro-batch each."""
+    path = scratch_path(spark, "orders")
+    views.table(spark, d, "orders").repartition(3).write.parquet(path)
+    return _streamed_incidents(spark, d, path, 1)
 
 
 QUERIES = {
@@ -535,10 +687,12 @@ QUERIES = {
         last_wins_dim, meshblock_remap, area_block_list, mapping_fanout, area_counts, rolling_12m, monthly_counts, trend_3m,
         peak_months, breakdown_map, area_measures, population_exact, population_fuzzy, rate_rank, areas_built, meshblocks_built,
         areas_with_nearby, nearby_topk, nearby_default, area_statistics, filter_areas_page, filter_incidents_month,
-        filter_incidents_council, area_detail, meshblocks_of_area, area_report, area_widget, validate_incidents_split,
+        filter_incidents_council, area_detail, meshblocks_of_area, area_reports, validate_incidents_split, rejects_of_build, rejects_written,
         validate_areas_reasons, validate_blocks, upsert_snapshot, tsv_scan, geojson_layer, full_build, metric_summary,
         metric_p95_exclusive, endpoint_latency, user_latency, metric_latest, metric_grades, throughput, hit_rate,
         polygon_centroid, polygon_wkt, reproject_tm, ring_validity, simplify_layer, sorted_batches, prepared_layer,
-        stream_monthly_counts, stream_upsert, stream_incidents,
+        stream_monthly_counts, stream_upsert, stream_incidents, stream_incidents_batches, block_layer_scan, appended_rows, csv_export,
+        stored_columns, limited_lookup, crimes_stored, full_build_blocks, category_frequency, breakdown_text, name_matches, orders_days,
+        metric_samples, metric_report, sorted_layer,
     )
 }

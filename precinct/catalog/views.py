@@ -36,6 +36,7 @@ def incidents_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def as_incidents(orders: DataFrame) -> DataFrame:
     """Orders (a table or a stream) in the shape of raw incident rows."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    source = F.col("source") if "source" in orders.columns else F.lit("orders")
     division = F.when(key % 5 == 0, DIVISIONS[0]).when(key % 5 == 1, DIVISIONS[1]).when(key % 5 == 2, DIVISIONS[2]).when(key % 5 == 3, DIVISIONS[3])
     return orders.select(
         key.alias("row_no"),
@@ -44,6 +45,7 @@ def as_incidents(orders: DataFrame) -> DataFrame:
         _txt(cust).alias("meshblock"),
         division.alias("division"),
         F.col("o_orderpriority").alias("anzsoc_group"),
+        source.alias("source"),
     )
 
 

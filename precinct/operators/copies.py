@@ -13,13 +13,15 @@ COPIES_PER_CHUNK = 1 << 16
 COPIES_PER_PIECE = 16
 
 
-def count_copies(raw: DataFrame, row_no: str, identity: list[str] | None = None) -> DataFrame:
+def count_copies(raw: DataFrame, row_no: str, source: str = "source") -> DataFrame:
     """Distinct source rows with ``copies``, their first ``row_no`` and a content hash.
 
-    ``identity`` names the columns that make two rows copies of each other
-    (default: all but ``row_no``).
+    Rows are copies of each other if all columns but ``row_no`` agree. ``source``, the file or load a row came from, is one of
+    them: equal rows of two loads are different incidents, and loading a source again finds its own.
     """
-    keys = identity or [c for c in raw.columns if c != row_no]
+    keys = [c for c in raw.columns if c != row_no]
+    if source not in keys:
+        raise ValueError(f"rows need a column {source}, or equal rows of two loads would share ids")
     counted = raw.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"), F.min(row_no).alias(row_no))
     return counted.withColumn("source_key", F.sha2(F.to_json(F.struct(*keys)), 256))
 
@@ -39,8 +41,10 @@ def expand_copies(counted: DataFrame, out: str = "event_id", cluster: Column | N
     it, never the single copies.
     """
     whole = counted.withColumns({"_from": F.lit(0).cast("bigint"), "_to": F.col("copies")})
-    pieces = _cut(whole, "_from", "_to", COPIES_PER_CHUNK).repartition("source_key", "_from")
-    if cluster is not None:
+    pieces = _cut(whole, "_from", "_to", COPIES_PER_CHUNK)
+    if cluster is None:
+        pieces = pieces.repartition("source_key", "_from")
+    else:
         pieces = _cut(pieces, "_from", "_to", COPIES_PER_PIECE).withColumn("_cluster", cluster)
         pieces = pieces.hint("rebalance", "_cluster").drop("_cluster")
     rows = pieces.withColumn("_copy", F.expr("explode(sequence(_from, _to - 1))"))

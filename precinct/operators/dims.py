@@ -103,6 +103,16 @@ def first_containing(names: DataFrame, name: str, census: DataFrame, area: str,
     return wanted.join(best, "_low").select(name, F.col("_hit.value").alias("value"))
 
 
+def containment_pairs(names: DataFrame, name: str, others: DataFrame, other: str) -> DataFrame:
+    """Distinct (name, other) where one text holds the other, case ignored, by equality of substrings."""
+    a = names.select(F.col(name), F.lower(name).alias("_a")).where(F.length("_a") > 0).distinct()
+    b = others.select(F.col(other), F.lower(other).alias("_b")).where(F.length("_b") > 0).distinct()
+    inner, outer = _substrings(a, "_a", _lengths(b, "_b")), _substrings(b, "_b", _lengths(a, "_a"))
+    inside = inner.join(b, inner["_part"] == b["_b"]).select(name, other)
+    around = outer.join(a, outer["_part"] == a["_a"]).select(name, other)
+    return inside.union(around).distinct()
+
+
 def attach_population(
     areas: DataFrame, census: DataFrame | None, name: str = "name_orig", out: str = "population", year: int = 2023
 ) -> DataFrame:

@@ -92,7 +92,13 @@ BLOCK_RULES = [
 
 
 def with_errors(df: DataFrame, rules: list[Rule], out: str = "errors") -> DataFrame:
-    """Add the broken rules of each row as an array of (field, rule, value)."""
+    """Add the broken rules of each row as an array of (field, rule, value).
+
+    Rules of absent columns are left out, but a required column must be there.
+    """
+    absent = sorted({r.field for r in rules if r.name == "required" and r.field not in df.columns})
+    if absent:
+        raise ValueError(f"required columns are missing: {absent}")
     broken = [r.error() for r in rules if r.field in df.columns]
     return df.withColumn(out, F.expr(f"array_compact(array({', '.join(broken)}))"))
 
@@ -106,6 +112,14 @@ def split_valid(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]
     return valid, rejected
 
 
+def summary(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """(what, n_rows): valid rows, rejected rows and rows per broken field:rule, counted in one pass."""
+    reasons = F.transform("errors", lambda e: F.concat_ws(":", e["field"], e["rule"]))
+    kind = F.array(F.when(F.size("errors") == 0, "valid").otherwise("rejected"))
+    told = with_errors(df, rules).select(F.explode(F.concat(kind, reasons)).alias("what"))
+    return told.groupBy("what").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def reject_reasons(rejected: DataFrame) -> DataFrame:
     """Rows per broken (field, rule)."""
     return (

@@ -15,7 +15,7 @@ from precinct.operators.measures import area_measures, block_counts, event_cube
 from precinct.operators.ordering import dense_rank_desc, exact_quantiles
 from precinct.operators.polygons import explode_layer, valid_wkt
 from precinct.operators.spatial import nearest_pairs
-from precinct.operators.validation import AREA_RULES, BLOCK_RULES, INCIDENT_RULES, split_valid
+from precinct.operators.validation import AREA_RULES, BLOCK_RULES, INCIDENT_RULES, split_valid, with_errors
 from precinct.schemas import AREA, BLOCK, INCIDENT, NEIGHBOURS
 from precinct.session import materialize
 from precinct.sources import files
@@ -40,6 +40,32 @@ def build_incidents(raw: DataFrame, areas: DataFrame, blocks: DataFrame) -> Data
     )
 
 
+def incident_cube(raw: DataFrame, areas: DataFrame) -> DataFrame:
+    """Event cube straight from raw rows, for measures that need no single incident.
+
+    Raw rows are counted by area text, month text and division first, map-side, so that only partial counts are shuffled; the few
+    groups that are left are then cleaned, looked up and coded.
+    """
+    counted = raw.groupBy("area_unit", "year_month", "division").agg(F.count(F.lit(1)).alias("copies"), F.min("row_no").alias("row_no"))
+    matched = counted.withColumn("area_key", clean_text(F.col("area_unit"))).join(areas.select("area_key", "suburb_id"), "area_key")
+    rows = matched.where(F.col("suburb_id") != "").select(
+        "suburb_id", month_from_name(F.col("year_month")).alias("victimisation_date"), offence_code(F.col("division")).alias("offence_code"),
+        F.col("area_key").alias("AU2017_name"), "row_no", "copies")
+    return event_cube(rows, weight="copies")
+
+
+def split_incidents(incidents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rejected records) of counted incidents, evaluated once.
+
+    Valid rows stay counted. Of the rejected ones every single record comes out, with its id and what is wrong with it. Ids start
+    from the content hash, so the rules for ids are tried on that.
+    """
+    checked = materialize(with_errors(incidents.withColumn("event_id", F.col("source_key")), INCIDENT_RULES).drop("event_id"), "checked-incidents")
+    valid = checked.where(F.size("errors") == 0).drop("errors")
+    bad = expand_copies(checked.where(F.size("errors") > 0))
+    return valid, bad.select(F.struct(*INCIDENT).alias("original_record"), "errors")
+
+
 def layer_dimension(layer: DataFrame, key: str) -> DataFrame:
     """key -> lat, lng, geometry (WKT, null when invalid); the last feature of a key wins."""
     last = materialize(last_row_wins(layer, key, "row_no", ["lat", "lng", "coordinates"]), "layer")
@@ -122,7 +148,7 @@ def build_blocks(
         rows = counted.join(shape, "id", "left")
         fill = lambda c: finite_or_null(F.when(F.col("_hit"), F.col(c)).otherwise(F.lit(0.0)))
         rows = rows.withColumns({"lat": fill("_lat"), "lng": fill("_lng")})
-    return split_valid(rows.select(*BLOCK), BLOCK_RULES)
+    return split_valid(materialize(rows.select(*BLOCK), "blocks"), BLOCK_RULES)
 
 
 def area_statistics(areas: DataFrame) -> DataFrame:
@@ -142,7 +168,10 @@ def area_statistics(areas: DataFrame) -> DataFrame:
 
 @dataclass
 class Inputs:
-    """Paths of one load. Census and layers may be missing."""
+    """Paths of one load. Census and layers may be missing.
+
+    ``source`` names the load in the ids of its incidents; by default each file's path does.
+    """
 
     incidents: str
     concordance: str
@@ -151,6 +180,7 @@ class Inputs:
     block_layer: str | None = None
     encoding: str | None = None
     layer_lines: bool = False
+    source: str | None = None
 
 
 def run_build(
@@ -169,9 +199,8 @@ def run_build(
     area_layer = layer_dimension(files.read_area_layer(spark, inputs.area_layer, lines=inputs.layer_lines), "name") if inputs.area_layer else None
     block_layer = layer_dimension(files.read_block_layer(spark, inputs.block_layer, lines=inputs.layer_lines), "id") if inputs.block_layer else None
 
-    counted = count_copies(files.read_incidents(spark, inputs.incidents, inputs.encoding), "row_no")
-    incidents = materialize(build_incidents(counted, areas, blocks), "incidents")
-    incidents, bad_incidents = split_valid(incidents, INCIDENT_RULES)
+    counted = count_copies(files.read_incidents(spark, inputs.incidents, inputs.encoding, inputs.source), "row_no")
+    incidents, bad_incidents = split_incidents(build_incidents(counted, areas, blocks))
     cube = materialize(event_cube(incidents, weight="copies"), "cube")
 
     suburbs, bad_areas = build_areas(cube, sized, area_layer)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from precinct.functions.dates import month_bounds
 from precinct.schemas import AREA_DETAIL, AREA_SUMMARY, BLOCK, EVENT_MODEL
+from precinct.sources.keyed_table import KeyedTable
 
 # Parameter -> (column, comparison).
 AREA_FILTERS = {
@@ -99,13 +100,26 @@ def query_incidents(
     return paginate(kept, "event_id", page, page_size, INCIDENT_PAGE, after).select(*(columns or EVENT_MODEL))
 
 
-def query_blocks(blocks: DataFrame, suburb_id: str) -> DataFrame:
-    return blocks.where(F.col("suburb_id") == suburb_id).select(*BLOCK)
+def month_parts(month: str | None = None, start_date: str | None = None, end_date: str | None = None):
+    """Test for the names of the stored parts (months, or ``undated``) that can hold rows of the dates; None for all."""
+    if month is None and start_date is None and end_date is None:
+        return None
+    low, high = max(month or "", (start_date or "")[:7]), min(month or "9999-99", (end_date or "9999-99")[:7])
+    return lambda part: part != "undated" and low <= part <= high
+
 
+def query_stored_incidents(table: KeyedTable, areas: DataFrame | None = None, **params) -> DataFrame:
+    """``query_incidents`` on the stored table; only the folders of months that can match are listed and read."""
+    dates = {k: params.get(k) for k in ("month", "start_date", "end_date")}
+    return query_incidents(table.read(month_parts(**dates)), areas, **params)
 
-def area_report(areas: DataFrame, suburb_id: str) -> DataFrame:
-    return areas.where(F.col("suburb_id") == suburb_id).select(F.col("report_url").alias("pdf_url"), F.lit("not_purchased").alias("status"))
+
+def query_blocks(blocks: DataFrame, suburb_id: str) -> DataFrame:
+    return blocks.where(F.col("suburb_id") == suburb_id).select(*BLOCK)
 
 
-def area_widget(areas: DataFrame, suburb_id: str) -> DataFrame:
-    return areas.where(F.col("suburb_id") == suburb_id).select(F.col("widget_embed_code").alias("embed_code"))
+def area_reports(areas: DataFrame, *suburb_ids: str) -> DataFrame:
+    """Report address and status, and widget code, of the given areas (default: all)."""
+    if suburb_ids:
+        areas = areas.where(F.col("suburb_id").isin(*suburb_ids))
+    return areas.select("suburb_id", F.col("report_url").alias("pdf_url"), F.lit("not_purchased").alias("status"), F.col("widget_embed_code").alias("embed_code"))

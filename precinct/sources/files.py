@@ -43,7 +43,7 @@ def header(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]
 
 
 def _text_columns(
-    spark: SparkSession, path: str, wanted, sep: str = ",", encoding: str = "utf-8", order=file_order
+    spark: SparkSession, path: str, wanted, sep: str = ",", encoding: str = "utf-8", order=file_order, source: Column | None = None
 ) -> DataFrame:
     """All columns of a headed file as text, names trimmed; fails on a missing column."""
     names = header(spark, path, sep, encoding)
@@ -56,7 +56,8 @@ def _text_columns(
     missing = [w for w in wanted if w not in position]
     if missing:
         raise ValueError(f"columns missing in {path}: {missing}")
-    return df.select(*[F.col(f"_c{position[w]}").alias(w) for w in wanted], order().alias("row_no"))
+    more = [] if source is None else [source.alias("source")]
+    return df.select(*[F.col(f"_c{position[w]}").alias(w) for w in wanted], order().alias("row_no"), *more)
 
 
 def detect_encoding(spark: SparkSession, path: str, wanted=tuple(INCIDENT_COLUMNS), sep: str = "\t") -> str:
@@ -72,15 +73,16 @@ def detect_encoding(spark: SparkSession, path: str, wanted=tuple(INCIDENT_COLUMN
     raise ValueError(f"no encoding fits {path}")
 
 
-def read_incidents(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
-    """Tab-separated incidents: the six used columns as trimmed text, plus ``row_no``.
+def read_incidents(spark: SparkSession, path: str, encoding: str | None = None, source: str | None = None) -> DataFrame:
+    """Tab-separated incidents: the six used columns as trimmed text, plus ``row_no`` and ``source``.
 
-    Pass ``encoding`` when it is known; finding it costs a pass over the file.
+    ``source`` names the load; by default it is the path of a row's file. Pass ``encoding`` when it is known; finding it costs a
+    pass over the file.
     """
     encoding = encoding or detect_encoding(spark, path)
-    df = _text_columns(spark, path, INCIDENT_COLUMNS, "\t", encoding, row_position)
+    df = _text_columns(spark, path, INCIDENT_COLUMNS, "\t", encoding, row_position, F.col("_metadata.file_path") if source is None else F.lit(source))
     out = [strip_space(F.col(f"`{src}`")).alias(name) for src, name in INCIDENT_COLUMNS.items()]
-    return df.select("row_no", *out).withColumn("meshblock", code_text(F.col("meshblock")))
+    return df.select("row_no", *out, "source").withColumn("meshblock", code_text(F.col("meshblock")))
 
 
 def read_census(spark: SparkSession, path: str | None) -> DataFrame:

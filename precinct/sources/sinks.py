@@ -81,22 +81,24 @@ def save_tables(spark: SparkSession, out: str, areas: DataFrame, blocks: DataFra
         "suburbs": KeyedTable(spark, f"{out}/suburbs", ["suburb_id"], parts),
         "meshblocks": KeyedTable(spark, f"{out}/meshblocks", ["id"], parts),
         # the id is a hash of the source row, so the month follows from the key
-        "crimes": KeyedTable(spark, f"{out}/crimes", ["event_id"], part=incident_month()),
+        "crimes": KeyedTable(spark, f"{out}/crimes", ["event_id"], part=incident_month(), sort=("suburb_id",)),
     }
-    tables["suburbs"].upsert(areas)
-    tables["meshblocks"].upsert(blocks)
-    tables["crimes"].upsert(incidents.drop("AU2017_name"), clustered=True)
+    tables["suburbs"].upsert(areas, unique=True)
+    tables["meshblocks"].upsert(blocks, unique=True)
+    tables["crimes"].upsert(incidents.drop("AU2017_name"), clustered=True, unique=True)
     return tables
 
 
-def record_metric(spark: SparkSession, path: str, name: str, value: float, unit: str, context: dict | None = None) -> None:
-    """Append one sample to the metric table."""
+def record_metrics(spark: SparkSession, path: str, samples: list[tuple]) -> None:
+    """Append samples (name, value, unit[, context]) to the metric table: one job and one file per call."""
     now = datetime.now(timezone.utc).isoformat()
-    row = (now, name, float(value), unit, {k: str(v) for k, v in (context or {}).items()})
-    append_rows(spark.createDataFrame([row], METRIC), path)
+    rows = [(now, s[0], float(s[1]), s[2], {k: str(v) for k, v in ((s[3:] or ({},))[0] or {}).items()}) for s in samples]
+    append_rows(spark.createDataFrame(rows, METRIC).coalesce(1), path)
 
 
-def save_report(summary: DataFrame, details: DataFrame, path: str) -> None:
-    """Summary and samples of a metric report as JSON."""
+def save_report(summary: DataFrame, details: DataFrame, path: str, total: DataFrame | None = None) -> None:
+    """Summary, samples, and their number with the time of the report, as JSON."""
     summary.write.mode("overwrite").json(f"{path}/summary")
     details.write.mode("overwrite").json(f"{path}/detailed_metrics")
+    total = total if total is not None else details.agg(F.count(F.lit(1)).alias("total_metrics_collected"))
+    total.withColumn("report_generated_at", F.lit(datetime.now(timezone.utc).isoformat())).write.mode("overwrite").json(f"{path}/report")

@@ -160,7 +160,9 @@ def test_copies_survive_and_ids_are_stable(spark, monkeypatch):
     monkeypatch.setattr("precinct.operators.copies.COPIES_PER_CHUNK", 7)
     monkeypatch.setattr("precinct.operators.copies.COPIES_PER_PIECE", 3)
     rows = [(i, "hot", None) for i in range(100)] + [(100 + i, f"k{i}", "x") for i in range(30)]
-    df = spark.createDataFrame(rows, "row_no long, a string, b string")
+    df = spark.createDataFrame(rows, "row_no long, a string, b string").withColumn("source", F.lit("f"))
+    with pytest.raises(ValueError):
+        count_copies(df.drop("source"), "row_no")
     ids = []
     for n in (1, 9):
         counted = count_copies(df.orderBy(F.rand(n)).repartition(n), "row_no")
@@ -184,5 +186,9 @@ def test_validation(spark):
 
 def test_area_ranges(spark):
     rows = [(91.0, "up"), (float("nan"), "up"), (None, "up"), (5.0, "sideways"), (-90.0, "flat")]
-    valid, rejected = split_valid(spark.createDataFrame(rows, "lat double, crime_trend string"), AREA_RULES)
+    df = spark.createDataFrame(rows, "lat double, crime_trend string")
+    with pytest.raises(ValueError):
+        split_valid(df, AREA_RULES)
+    df = df.withColumns({c: F.lit("x") for c in ("suburb_id", "name", "slug")})
+    valid, rejected = split_valid(df, AREA_RULES)
     assert valid.count() == 2 and rejected.count() == 3

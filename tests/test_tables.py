@@ -11,7 +11,7 @@ from precinct.plans import build, layers, metrics, serving
 from precinct.schemas import AREA_DETAIL, AREA_SUMMARY, DETAIL_MODEL, METRIC, SUMMARY_MODEL
 from precinct.session import scratch_path
 from precinct.sources import files, sinks
-from precinct.sources.keyed_table import KeyedTable
+from precinct.sources.keyed_table import MERGE, ConcurrentWrite, KeyedTable
 from precinct.streaming import incremental
 
 
@@ -57,6 +57,73 @@ def test_untouched_parts_are_not_rewritten(spark, tmp_path):
     assert rows(t.read()) == [(1, "a"), (2, "b"), (3, "c")]
 
 
+def test_no_rows_change_nothing(spark, tmp_path):
+    t = KeyedTable(spark, str(tmp_path / "t"), ["id"], 4)
+    t.upsert(spark.createDataFrame([], "id int, v string"))
+    assert not t.exists()
+    t.upsert(pairs(spark, (1, "a")))
+    t.upsert(spark.createDataFrame([], "id int, v string"))
+    assert rows(t.read()) == [(1, "a")]
+
+
+def test_repeated_keys_are_an_error(spark, tmp_path):
+    t = KeyedTable(spark, str(tmp_path / "t"), ["id"], 2)
+    t.upsert(pairs(spark, (1, "a")))
+    with pytest.raises(ValueError):
+        t.upsert(pairs(spark, (2, "b"), (2, "c")))
+    assert rows(t.read()) == [(1, "a")]
+
+
+def test_the_second_of_two_writers_fails(spark, tmp_path, monkeypatch):
+    a, b = (KeyedTable(spark, str(tmp_path / "t"), ["id"], 2) for _ in range(2))
+    a.upsert(pairs(spark, (1, "a")))
+    write = b._write
+
+    def late(*args):  # the other writer commits while this one writes
+        write(*args)
+        monkeypatch.undo()
+        a.upsert(pairs(spark, (2, "from a")))
+
+    monkeypatch.setattr(b, "_write", late)
+    with pytest.raises(ConcurrentWrite):
+        b.upsert(pairs(spark, (2, "from b")))
+    assert rows(a.read()) == [(1, "a"), (2, "from a")]
+    b.upsert(pairs(spark, (2, "from b")))
+    assert rows(a.read()) == [(1, "a"), (2, "from b")]
+
+
+def test_other_number_of_parts_is_an_error(spark, tmp_path):
+    KeyedTable(spark, str(tmp_path / "t"), ["id"], 2).upsert(pairs(spark, (1, "a")))
+    with pytest.raises(ValueError):
+        KeyedTable(spark, str(tmp_path / "t"), ["id"], 3).read()
+
+
+def test_new_keys_are_appended_and_merged_later(spark, tmp_path):
+    t = KeyedTable(spark, str(tmp_path / "t"), ["id"], 1)
+    for i in range(MERGE + 2):
+        t.upsert(pairs(spark, (i, str(i))))
+    # the first MERGE folders were merged into one with the next row, and one row came after
+    assert len({f.split("snap=")[1].split("/")[0] for f in t.read().inputFiles()}) == 2
+    assert rows(t.read()) == [(i, str(i)) for i in range(MERGE + 2)]
+    t.vacuum()
+    assert rows(t.read()) == [(i, str(i)) for i in range(MERGE + 2)]
+    left = [f for f in (tmp_path / "t/data").rglob("*.parquet") if spark.read.parquet(str(f)).count()]
+    assert len(left) == len(t.read().inputFiles())
+
+
+def test_a_month_lists_one_folder(spark, tmp_path):
+    days = [(f"e{i}", "1", dt.date(2023, 1 + i % 4, 1)) for i in range(40)] + [("u", "1", None)]
+    df = spark.createDataFrame(days, "event_id string, suburb_id string, victimisation_date date")
+    t = KeyedTable(spark, str(tmp_path / "t"), ["event_id"], part=sinks.incident_month())
+    t.upsert(df)
+    got = serving.query_stored_incidents(t, month="2023-03", columns=["event_id"])
+    assert got.count() == 10 and {f.split("part=")[1].split("/")[0] for f in got.inputFiles()} == {"2023-03"}
+    some = serving.query_stored_incidents(t, start_date="2023-02-15", end_date="2023-04-01", columns=["event_id"])
+    assert some.count() == 20 and all("undated" not in f and "2023-01" not in f for f in some.inputFiles())
+    assert serving.query_stored_incidents(t, columns=["event_id"]).count() == 41
+    assert serving.query_stored_incidents(t, month="2020-01", columns=["event_id"]).isEmpty()
+
+
 HEAD = "Area Unit\tTerritorial Authority\t Meshblock\tYear Month\tANZSOC Division\tANZSOC Group\tOther\n"
 BODY = "St. Māori \tX\t0016901\tMay 2023\t08 Theft\tg\t1\nSt. Māori \tX\t0016901\tMay 2023\t08 Theft\tg\t2\n"
 
@@ -184,13 +251,55 @@ def test_whole_job(spark, tmp_path):
     assert serving.query_area(tables["suburbs"].read(), "nope").isEmpty()
     assert serving.query_area(tables["suburbs"].read(), "2").columns == AREA_DETAIL
     assert serving.query_blocks(tables["meshblocks"].read(), "2").count() == 2
-    assert serving.area_report(tables["suburbs"].read(), "2").collect()[0].status == "not_purchased"
+    assert serving.area_reports(tables["suburbs"].read(), "2").collect()[0].status == "not_purchased"
     assert set(SUMMARY_MODEL) < set(DETAIL_MODEL)
     sinks.write_csv(tables["suburbs"].read(), p("csv"))
     back = spark.read.option("header", True).option("escape", '"').csv(p("csv")).where("suburb_id = 2").collect()[0]
     assert json.loads(back.crime_breakdown) == {"08": 5, "1": 2}
 
 
+def test_equal_rows_of_two_files_all_stay(spark, tmp_path):
+    """Two deliveries with 5 and 3 equal rows are 8 incidents, in two loads and in two micro-batches, with the same ids."""
+    write_inputs(tmp_path)
+    (tmp_path / "in").mkdir()
+    line = "Old. One\tX\t100\tMay 2023\t08 T\tg\t1\n"
+    ids = {}
+    for name, n in (("a.tsv", 5), ("b.tsv", 3)):
+        (tmp_path / "in" / name).write_text(HEAD + line * n)
+    for name in ("a.tsv", "b.tsv", "a.tsv"):  # the last is a reload
+        tables = build.run_build(spark, build.Inputs(str(tmp_path / "in" / name), str(tmp_path / "conc.csv"), encoding="utf-8"), str(tmp_path / "out"), parts=1)
+    ids["batch"] = {r.event_id for r in tables["crimes"].read().collect()}
+    concordance = files.read_concordance(spark, str(tmp_path / "conc.csv"))
+    table = KeyedTable(spark, str(tmp_path / "crimes"), ["event_id"], part=sinks.incident_month())
+    stream = incremental.read_incident_stream(spark, str(tmp_path / "in"), str(tmp_path / "in/a.tsv"), files_per_batch=1)
+    incremental.incident_stream(stream, area_dimension(concordance), code_remap(concordance), table, str(tmp_path / "cp")).awaitTermination()
+    ids["stream"] = {r.event_id for r in table.read().collect()}
+    assert len(ids["batch"]) == 8 and ids["batch"] == ids["stream"]
+
+
+def test_a_batch_without_known_areas(spark, tmp_path):
+    write_inputs(tmp_path)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/1.tsv").write_text(HEAD + "Nowhere\tX\t1\tMay 2023\t08 T\tg\t1\n")
+    concordance = files.read_concordance(spark, str(tmp_path / "conc.csv"))
+    table = KeyedTable(spark, str(tmp_path / "crimes"), ["event_id"], part=sinks.incident_month())
+    stream = incremental.read_incident_stream(spark, str(tmp_path / "in"), str(tmp_path / "inc.tsv"))
+    incremental.incident_stream(stream, area_dimension(concordance), code_remap(concordance), table, str(tmp_path / "cp")).awaitTermination()
+    assert not table.exists()
+    tables = build.run_build(spark, build.Inputs(str(tmp_path / "in/1.tsv"), str(tmp_path / "conc.csv"), encoding="utf-8"), str(tmp_path / "out"), parts=1)
+    assert not any(t.exists() for t in tables.values())
+
+
+def test_every_rejected_record_is_told(spark, tmp_path):
+    write_inputs(tmp_path)
+    bad = f"Old. Two\tX\t300\tMay 2023\t{'T' * 201}\tg\t1\n"
+    (tmp_path / "inc.tsv").write_text(HEAD + bad * 7)
+    inputs = build.Inputs(str(tmp_path / "inc.tsv"), str(tmp_path / "conc.csv"), encoding="utf-8")
+    build.run_build(spark, inputs, str(tmp_path / "out"), parts=1)
+    got = spark.read.json(str(tmp_path / "out/rejected/crimes")).collect()
+    assert len(got) == 7 and len({r.original_record.event_id for r in got}) == 7
+
+
 def test_job_without_optional_files(spark, tmp_path):
     write_inputs(tmp_path)
     inputs = build.Inputs(str(tmp_path / "inc.tsv"), str(tmp_path / "conc.csv"), encoding="utf-8")
@@ -221,14 +330,16 @@ def test_month_filter_is_a_pushed_range(spark, tmp_path):
 
 def test_metric_table_and_report(spark, tmp_path):
     path = str(tmp_path / "m")
-    for i, (name, v) in enumerate([("api_time", 40.0), ("api_time", 70.0), ("cache_hit_rate", 90.0), ("data_ingestion_rate", 60000.0)]):
-        sinks.record_metric(spark, path, name, v, "ms", {"i": i})
+    samples = [("api_time", 40.0), ("api_time", 70.0), ("cache_hit_rate", 90.0), ("data_ingestion_rate", 60000.0)]
+    sinks.record_metrics(spark, path, [(name, v, "ms", {"i": i}) for i, (name, v) in enumerate(samples)])
     df = spark.read.schema(METRIC).parquet(path).withColumn("tie", F.col("context")["i"])
     summary, grades, total = metrics.performance_report(df, "timestamp", "tie")
     assert {r.family: (r["count"], r.median, r.std_dev) for r in summary.collect()}["cache"] == (1, 90.0, None)
     assert {r.subject: r.grade for r in grades.collect()} == {"api_response": "GOOD", "cache_performance": "GOOD", "ingestion_performance": "GOOD"}
     assert total.collect()[0][0] == 4
-    sinks.save_report(summary, df, str(tmp_path / "r"))
+    sinks.save_report(summary, df, str(tmp_path / "r"), total)
+    head = spark.read.json(str(tmp_path / "r/report")).first()
+    assert head.total_metrics_collected == 4 and head.report_generated_at
     assert spark.read.json(str(tmp_path / "r/summary")).count() == 3
 
 

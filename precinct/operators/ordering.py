@@ -3,7 +3,9 @@
 All of them use ``order_bucket``: a pure, monotone function of the value. Rows
 are first reduced to counts per (group, bucket); running totals over those
 bounded histograms give every bucket its offset, and exact order is only
-needed inside a bucket.
+needed inside a bucket. Buckets that still hold many distinct values, as where
+all values lie close together, are cut anew between their own smallest and
+largest value until they are small or hold a single value.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from precinct.session import materialize
 
 BUCKETS_PER_OCTAVE = 4096
 _TOP = 1 << 40
+#: Distinct values of a bucket that may be sorted in one task, and pieces a larger one is cut into.
+LARGE, PIECES = 100_000, 4096
 
 
 def order_bucket(value: str) -> Column:
@@ -26,6 +30,26 @@ def order_bucket(value: str) -> Column:
     )
 
 
+def _piece(value: str) -> Column:
+    """Piece of a value between the smallest and largest of its bucket (``_lo``, ``_hi``); monotone, 0 to PIECES - 1."""
+    share = F.try_divide(F.col(value) - F.col("_lo"), F.col("_hi") - F.col("_lo")) * PIECES
+    return F.coalesce(F.least(F.floor(share), F.lit(PIECES - 1)), F.lit(0)).cast("bigint")
+
+
+def _refined(pairs: DataFrame, group: str, value: str) -> DataFrame:
+    """Distinct (group, value) with ``_bucket`` numbers in the order of values, no bucket with more than LARGE of them."""
+    pairs, whole = materialize(pairs, "rank-pairs"), [group, "_bucket"]
+    while True:
+        sizes = pairs.groupBy(*whole).agg(F.count(F.lit(1)).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+        large = materialize(sizes.where((F.col("_n") > LARGE) & (F.col("_lo") < F.col("_hi")) & (F.abs("_hi") < float("inf")) & (F.abs("_lo") < float("inf"))), "large-buckets")
+        if large.isEmpty():
+            return pairs
+        # every bucket leaves room for the pieces of the large ones; dense numbers keep them from growing out of range
+        cut = pairs.join(large.drop("_n"), whole, "left").withColumn("_p", F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(_piece(value)))
+        numbers = cut.select(group, "_bucket", "_p").distinct().withColumn("_new", F.row_number().over(Window.partitionBy(group).orderBy("_bucket", "_p")).cast("bigint"))
+        pairs = materialize(cut.join(numbers, [group, "_bucket", "_p"]).select(group, value, F.col("_new").alias("_bucket")), "rank-pairs")
+
+
 def dense_rank_desc(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
     """Dense rank of ``value`` within ``group``, highest = 1; rows without a group get 0.
 
@@ -38,6 +62,7 @@ def dense_rank_desc(df: DataFrame, group: str, value: str, out: str) -> DataFram
         .distinct()
         .withColumn("_bucket", order_bucket(value))
     )
+    pairs = _refined(pairs, group, value)
     above = Window.partitionBy(group).orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         pairs.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -101,10 +126,10 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, picks: dict[st
     # the scan below is not shuffled for it.
     targets = materialize(targets, "quantile-targets")
     hit = [*groups, "_bucket"]
-    buckets = targets.select(*hit).distinct()
     null_safe = lambda a, b, names: [a[c].eqNullSafe(b[c]) for c in names]
+    buckets = targets.select(*hit).distinct()
     found = data.join(buckets, null_safe(data, buckets, hit), "left_semi")
-    found = found.groupBy(*hit, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    found, targets = _narrowed(materialize(found.groupBy(*hit, "_v").agg(F.count(F.lit(1)).alias("_n")), "quantile-values"), targets, hit)
     upto = Window.partitionBy(*hit).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     found = found.withColumn("_upto", F.sum("_n").over(upto))
     t, f = targets.alias("t"), found.alias("f")
@@ -121,6 +146,29 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, picks: dict[st
     return picked.groupBy(*groups).agg(*[value_of(name) for name in picks])
 
 
+def _narrowed(found: DataFrame, targets: DataFrame, hit: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Counted values of the wanted buckets and the targets in them, cut until no bucket has more than LARGE distinct values."""
+    same = lambda a, b, names: [a[c].eqNullSafe(b[c]) for c in names]
+    while True:
+        sizes = found.groupBy(*hit).agg(F.count(F.lit(1)).alias("_many"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        large = (F.col("_many") > LARGE) & (F.col("_lo") < F.col("_hi")) & (F.abs("_hi") < float("inf")) & (F.abs("_lo") < float("inf"))
+        sizes = materialize(sizes.where(large), "large-buckets")
+        if sizes.isEmpty():
+            return found, targets
+        cut = found.join(sizes, same(found, sizes, hit), "left").select(*[found[c] for c in hit], found["_v"], found["_n"], "_lo", "_hi")
+        cut = materialize(cut.withColumn("_p", F.when(F.col("_lo").isNull(), F.lit(0)).otherwise(_piece("_v"))), "cut-values")
+        below = Window.partitionBy(*hit).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+        pieces = cut.groupBy(*hit, "_p").agg(F.sum("_n").alias("_m")).withColumn("_below", F.coalesce(F.sum("_m").over(below), F.lit(0)))
+        t = targets.join(pieces, same(targets, pieces, hit)).where((F.col("_r") > F.col("_below")) & (F.col("_r") <= F.col("_below") + F.col("_m")))
+        t = t.select(*[targets[c] for c in targets.columns if c not in ("_bucket", "_r")], F.struct(targets["_bucket"].cast("string").alias("b"), "_p").alias("_k"), (F.col("_r") - F.col("_below")).alias("_r"))
+        # a piece is named by its bucket's name and its place
+        name = lambda b, p: F.xxhash64(b, p)
+        targets = materialize(t.withColumn("_bucket", name(F.col("_k.b"), F.col("_k._p"))).drop("_k"), "quantile-targets")
+        cut = cut.withColumn("_bucket", name(F.col("_bucket").cast("string"), F.col("_p"))).select(*hit, "_v", "_n")
+        wanted = targets.select(*hit).distinct()
+        found = materialize(cut.join(wanted, same(cut, wanted, hit), "left_semi"), "quantile-values")
+
+
 def number_rows(df: DataFrame, order: list[Column], out: str) -> DataFrame:
     """Consecutive numbers from 1 in a total order, without a single-task window.
 

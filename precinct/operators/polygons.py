@@ -7,6 +7,8 @@ Work is spread over vertices, so one huge polygon does not sit in one task.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from precinct.functions.geo import from_mercator, number_text, to_mercator, to_wgs84
@@ -147,11 +149,36 @@ def _within_box(ax, ay, bx, by, px, py) -> Column:
     return px.between(F.least(ax, bx), F.greatest(ax, bx)) & py.between(F.least(ay, by), F.greatest(ay, by))
 
 
+def _overlap(A, B) -> Column:
+    """Collinear segments that share more than a point."""
+    longer_x = F.abs(A[2] - A[0]) >= F.abs(A[3] - A[1])
+    shared = lambda i: F.least(F.greatest(A[i], A[i + 2]), F.greatest(B[i], B[i + 2])) > F.greatest(F.least(A[i], A[i + 2]), F.least(B[i], B[i + 2]))
+    return F.when(longer_x, shared(0)).otherwise(shared(1))
+
+
+def _through(A, before, B, b_before) -> Column:
+    """The ring that turns at A's start passes from one side of the ring of B to the other there.
+
+    ``before`` is the vertex before A's start. Where A starts on B's start, the ring of B turns there too, coming from ``b_before``.
+    """
+    cross = lambda a, b: a[0] * b[1] - a[1] * b[0]
+    to = lambda x, y: (x - A[0], y - A[1])
+    at_vertex = (A[0] == B[0]) & (A[1] == B[1])
+    back = (F.when(at_vertex, b_before[0]).otherwise(B[0]) - A[0], F.when(at_vertex, b_before[1]).otherwise(B[1]) - A[1])
+    ahead, enter, leave = to(B[2], B[3]), to(*before), to(A[2], A[3])
+    turn = cross(back, ahead)
+    between = lambda low, d, high: (cross(low, d) > 0) & (cross(d, high) > 0)
+    inside = lambda d: F.when(turn > 0, between(back, d, ahead)).when(turn < 0, ~between(ahead, d, back)).otherwise(cross(back, d) > 0)
+    on_b = (_turn(*B, A[0], A[1]) == 0) & _within_box(*B, A[0], A[1]) & ~((A[0] == B[2]) & (A[1] == B[3]))
+    return on_b & (inside(enter) != inside(leave))
+
+
 def crossings(vertices: DataFrame) -> DataFrame:
     """Features with a segment pair that makes the polygon invalid: (feature_id).
 
     Within a ring two segments may only share the vertex between neighbours;
-    between rings they may touch but not cross. Segments meet through grid
+    between rings they may touch in points, but neither share a piece of an edge
+    nor cross, be it inside an edge or at a vertex. Segments meet through grid
     cells as large as the segment itself, on a level per power of two of its
     length, so a pair is looked for at the level of the longer one. Each
     segment opens at most four cells per level in use, and only pairs that
@@ -162,6 +189,9 @@ def crossings(vertices: DataFrame) -> DataFrame:
     seg = materialize(renumber(seg), "edges")
     ring_size = seg.groupBy(*RING).agg(F.max("seq").alias("_last"))
     seg = seg.join(ring_size, RING)
+    # the vertex before a segment's start is the start of the segment that ends there
+    ends = seg.select(*RING, F.when(F.col("seq") == F.col("_last"), 0).otherwise(F.col("seq") + 1).alias("seq"), F.col("x").alias("px"), F.col("y").alias("py"))
+    seg = seg.join(ends, [*RING, "seq"])
     size = F.greatest(F.abs(F.col("x2") - F.col("x")), F.abs(F.col("y2") - F.col("y")))
     seg = seg.withColumn("level", F.ceil(F.log2(size)).cast("int") + 1)
     in_use = seg.groupBy("feature_id").agg(F.sort_array(F.collect_set("level")).alias("_levels"))
@@ -176,7 +206,7 @@ def crossings(vertices: DataFrame) -> DataFrame:
     home = cells(seg.withColumn("_level", F.col("level")))
     visits = cells(seg.join(in_use, "feature_id").withColumn("_level", F.explode("_levels")).where(F.col("_level") >= F.col("level")).drop("_levels"))
     key = ["feature_id", "_level", "_cx", "_cy"]
-    names = ["part", "ring", "seq", "x", "y", "x2", "y2", "_last"]
+    names = ["part", "ring", "seq", "x", "y", "x2", "y2", "px", "py", "_last"]
     a = visits.select(*key, "level", *[F.col(c).alias(f"a_{c}") for c in names])
     b = home.select(*key, *[F.col(c).alias(f"b_{c}") for c in names])
     pairs = a.join(b, key)
@@ -203,7 +233,10 @@ def crossings(vertices: DataFrame) -> DataFrame:
     neighbour = adjacent | around
     dot = (A[2] - A[0]) * (B[2] - B[0]) + (A[3] - A[1]) * (B[3] - B[1])
     folded = (t1 == 0) & (t2 == 0) & (dot < 0)
-    wrong = F.when(same_ring & neighbour, folded).when(same_ring, touch).otherwise(proper)
+    collinear = (t1 == 0) & (t2 == 0) & (t3 == 0) & (t4 == 0)
+    p, q = (c("a_px"), c("a_py")), (c("b_px"), c("b_py"))
+    across = proper | (collinear & _overlap(A, B)) | _through(A, p, B, q) | _through(B, q, A, p)
+    wrong = F.when(same_ring & neighbour, folded).when(same_ring, touch).otherwise(across)
     return pairs.where(wrong).select("feature_id").distinct()
 
 
@@ -228,15 +261,34 @@ def valid_wkt(vertices: DataFrame) -> DataFrame:
     )
 
 
-def simplify(vertices: DataFrame, tolerance: float = 0.001) -> DataFrame:
+def simplify(vertices: DataFrame, tolerance: float = 0.001, tries: int = 3) -> DataFrame:
+    """Thin each ring, and keep valid features valid.
+
+    Features that were valid and are not after thinning are thinned anew with a quarter of the tolerance, up to ``tries`` times;
+    those that still aren't valid keep all their vertices.
+    """
+    whole = materialize(vertices.select(*RING, "seq", "x", "y"), "simplify-whole")
+    sound = materialize(validity(whole).where("is_valid").select("feature_id"), "simplify-sound")
+    done, todo = [], whole
+    for k in range(tries):
+        thin = materialize(thinned(todo, tolerance / 4**k), "simplify-thin")
+        broken = materialize(validity(thin).where(~F.col("is_valid")).select("feature_id").join(sound, "feature_id", "left_semi"), "simplify-broken")
+        if broken.isEmpty():
+            return reduce(DataFrame.unionByName, [*done, thin])
+        done.append(thin.join(broken, "feature_id", "left_anti"))
+        todo = whole.join(broken, "feature_id", "left_semi")
+    return reduce(DataFrame.unionByName, [*done, todo])
+
+
+def thinned(vertices: DataFrame, tolerance: float) -> DataFrame:
     """Thin each ring: a stretch whose vertices all lie within the tolerance keeps its ends only.
 
     Works in rounds over all rings at once. Every open stretch finds its
     farthest vertex with one aggregation and is cut there; stretches without
     one beyond the tolerance are done. To keep an area, a ring is always cut
     once, its first half always once more, and its second half too when the
-    first half ends with fewer than three edges. Crossings that thinning may
-    cause between distant stretches are not prevented.
+    first half ends with fewer than three edges. Stretches may come to cross;
+    ``simplify`` sees to that.
     """
     ends = vertices.groupBy(*RING).agg(F.max("seq").alias("_last"), F.min_by(F.struct("x", "y"), "seq").alias("_start"))
     stretch = [*RING, "lo", "hi"]

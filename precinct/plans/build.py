@@ -7,13 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from precinct.functions.dates import month_from_name
+from precinct.functions.geo import multipolygon_wkt
 from precinct.functions.scores import cap_smallint, finite_or_null, rate_per_1000
 from precinct.functions.text import clean_text, offence_code, slugify
 from precinct.operators.copies import count_copies, expand_copies
 from precinct.operators.dims import area_dimension, attach_population, code_remap, last_row_wins, remap
 from precinct.operators.measures import area_measures, block_counts, event_cube
 from precinct.operators.ordering import dense_rank_desc, exact_quantiles
-from precinct.operators.polygons import explode_layer, valid_wkt
+from precinct.operators.polygons import explode_layer, validity
 from precinct.operators.spatial import nearest_pairs
 from precinct.operators.validation import AREA_RULES, BLOCK_RULES, INCIDENT_RULES, split_valid, with_errors
 from precinct.schemas import AREA, BLOCK, INCIDENT, NEIGHBOURS
@@ -69,8 +70,10 @@ def split_incidents(incidents: DataFrame) -> tuple[DataFrame, DataFrame]:
 def layer_dimension(layer: DataFrame, key: str) -> DataFrame:
     """key -> lat, lng, geometry (WKT, null when invalid); the last feature of a key wins."""
     last = materialize(last_row_wins(layer, key, "row_no", ["lat", "lng", "coordinates"]), "layer")
-    text = valid_wkt(explode_layer(last, key)).withColumnRenamed("wkt", "geometry")
-    return last.join(text, last[key] == text["feature_id"], "left").select(F.col(key), "lat", "lng", "geometry")
+    sound = validity(explode_layer(last, key))
+    # the text stands in the row already: only the verdict is joined
+    text = multipolygon_wkt(F.col("coordinates"), F.size("coordinates") > 1)
+    return last.join(sound, last[key] == sound["feature_id"], "left").select(F.col(key), "lat", "lng", F.when(F.col("is_valid"), text).alias("geometry"))
 
 
 def build_areas(

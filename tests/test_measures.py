@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from precinct.operators import dims, measures
+from precinct.operators import dims, measures, ordering
 from precinct.operators.copies import count_copies, expand_copies
 from precinct.operators.ordering import dense_rank_desc, exact_quantiles, number_rows
 from precinct.operators.validation import AREA_RULES, INCIDENT_RULES, split_valid
@@ -136,6 +136,22 @@ def test_exact_quantiles(spark, n):
     assert got[None].med == 7.0
 
 
+def test_crowded_values(spark, monkeypatch):
+    """Values much closer together than a bucket is wide are cut until no bucket is large."""
+    monkeypatch.setattr(ordering, "LARGE", 100)
+    monkeypatch.setattr(ordering, "PIECES", 8)
+    rng = random.Random(2)
+    data = {"a": [1 + rng.random() ** 9 * 1e-4 for _ in range(3000)], "b": [5.0] * 500 + [rng.uniform(-1, 1) for _ in range(40)], "c": [float("inf"), 1.0]}
+    df = spark.createDataFrame([(g, v) for g, vs in data.items() for v in vs], "g string, v double")
+    got = {r.g: r for r in exact_quantiles(df, ["g"], "v", {"q1": ("inclusive", 1, 4), "p95": ("exclusive", 19, 20)}).collect()}
+    for g in "ab":
+        assert got[g].q1 == pytest.approx(np.percentile(data[g], 25), abs=1e-15) and got[g].p95 == pytest.approx(statistics.quantiles(data[g], n=20)[18], abs=1e-15)
+    ranks = dense_rank_desc(df, "g", "v", "rank").collect()
+    for g, vs in data.items():
+        order = {v: i for i, v in enumerate(sorted(set(vs), reverse=True), 1)}
+        assert all(r["rank"] == order[r.v] for r in ranks if r.g == g)
+
+
 def test_p95_published_cases(spark):
     for n, want in ((19, 19.0), (20, 19.95)):
         df = spark.createDataFrame([(float(i),) for i in range(1, n + 1)], "v double")

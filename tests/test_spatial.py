@@ -65,6 +65,16 @@ SHAPES = {
     11: (ring(11, [(0, 0), (4, 0), (float("nan"), 4), (0, 4), (0, 0)]), False),
     12: (ring(12, [(0, 0), (2, 0), (4, 0), (4, 4), (0, 4), (0, 0)]), True),  # vertex on a straight side
 }
+SHAPES |= {
+    13: (ring(13, SQUARE) + ring(13, SQUARE, part=1), False),  # the same part twice
+    14: (ring(14, SQUARE) + ring(14, [(4, 1), (8, 1), (8, 3), (4, 3), (4, 1)], part=1), False),  # parts share a piece of an edge
+    15: (ring(15, SQUARE) + ring(15, [(2, 0), (5, -3), (2, 4), (-1, -3), (2, 0)], part=1), False),  # leaves through a vertex on an edge
+    16: (ring(16, SQUARE) + ring(16, [(4, 4), (6, 2), (2, 2), (2, 6), (4, 4)], part=1), False),  # edges cross
+    17: (ring(17, [(0, 0), (4, 0), (4, 4), (0, 4), (0, 0)]) + ring(17, [(2, 1), (4, 2), (2, 3), (2, 1)], r=1), True),  # hole touches from inside
+    18: (ring(18, [(0, 0), (2, 2), (0, 4), (-4, 2), (0, 0)]) + ring(18, [(2, 2), (3, 1), (1, 3), (5, 5), (2, 2)], part=1), False),  # crosses
+    19: (ring(19, [(0, 0), (2, 2), (0, 4), (-4, 2), (0, 0)]) + ring(19, [(2, 2), (4, 0), (4, 4), (2, 2)], part=1), True),  # corner to corner
+    20: (ring(20, [(0, 0), (2, 0), (2, 2), (0, 2), (0, 0)]) + ring(20, [(2, 2), (-1, 5), (-1, -1), (3, 1), (2, 2)], part=1), False),
+}
 VERTEX = "feature_id int, part int, ring int, seq int, x double, y double"
 
 
@@ -157,6 +167,23 @@ def test_simplify_matches_recursion(spark):
     assert got == want
 
 
+def test_thinning_keeps_valid_shapes_valid(spark):
+    notch = [(0, 0), (10, 0), (10, 5), (5.4, 5), (5.2, 0.6), (5.0, 5), (0, 5), (0, 4), (0, 0)]
+    rng = random.Random(11)
+    rows = ring(0, notch)
+    for f in range(1, 40):
+        n = rng.randint(8, 40)
+        pts = [((1 + rng.choice([0, 0.9]) * rng.random()) * math.cos(2 * math.pi * i / n), (1 + 0.9 * rng.random()) * math.sin(2 * math.pi * i / n)) for i in range(n)]
+        rows += ring(f, pts + pts[:1])
+    df = spark.createDataFrame(rows, VERTEX)
+    before = {r.feature_id: r.is_valid for r in polygons.validity(df).collect()}
+    for tolerance in (0.3, 1.0):
+        out = polygons.simplify(df, tolerance)
+        after = {r.feature_id: r.is_valid for r in polygons.validity(out).collect()}
+        assert set(after) == set(before) and all(after[f] for f in before if before[f])
+    assert out.count() < len(rows)
+
+
 def test_layer_round_trip(spark):
     df = spark.createDataFrame(SHAPES[6][0] + SHAPES[8][0], VERTEX)
     back = polygons.explode_layer(polygons.collect_layer(df), "feature_id")

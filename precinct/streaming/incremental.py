@@ -17,7 +17,9 @@ from precinct.sources.keyed_table import KeyedTable
 def read_stream(spark: SparkSession, path: str, schema, pattern: str = "*.parquet", files_per_batch: int = 1000) -> DataFrame:
     """Parquet files of a table (a folder or a single file) as a stream, ``files_per_batch`` at a time, with their ``source``."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", pattern)
-    return reader.parquet(path).select("*", F.col("_metadata.file_path").alias("source"))
+    # as a pattern the path may name a single file as well as a folder
+    path = path.rstrip("/")
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]").select("*", F.col("_metadata.file_path").alias("source"))
 
 
 def upsert_stream(stream: DataFrame, table: KeyedTable, checkpoint: str, transform=None, order=None, unique: bool = False) -> StreamingQuery:

@@ -1,15 +1,20 @@
 """MinHash near-dedup with HyperMinHash registers.
 
 A document's set holds its distinct shingles of `words` consecutive words (the whole sequence if it has fewer). Equal sets form one node,
-so copies are never paired. Every shingle falls into one of 128 buckets; a bucket keeps the least hash as its count of leading zeros
-and ten mantissa bits, 16 bits in all. Empty buckets borrow from a filled one in an order fixed per bucket. Four registers make a band key, 32
-bands: two sets with Jaccard 0.85 miss all of them with probability 6e-11. Sets so small that one different shingle already breaks the threshold
+so copies are never paired. Every shingle falls into one of 240 buckets; a bucket keeps the least hash as its count of leading zeros
+and ten mantissa bits, 16 bits in all. Buckets left empty are filled by further rounds of hashing. Six registers make a band key, 40
+bands: two sets with Jaccard 0.85 miss all of them with probability 6e-9. Sets so small that one different shingle already breaks the threshold
 have equal sets only as partners and need no bands.
 
-In each band bucket the members are first paired with the smallest one, not with each other. Pairs must pass the size bound, then
-the collision-corrected estimate of the registers within six standard errors, then the exact comparison of the full sets. Linked nodes are
-merged into components. Buckets that still hold several components then pair their members across components, with no cap; those pairs pass
-the same tests. So every pair that shares a band is either compared or already connected.
+In buckets of up to sixteen nodes each pair must pass the size bound and the collision-corrected estimate of the registers, within six
+standard errors, before its full sets are compared. In larger ones every member is compared with the bucket's hub only, the member that
+shares most with others. Linked nodes are merged into components.
+
+Where members x and z of a hub are still in different components, their reference R, the hub and those of the rounds before, tells how they can be
+linked. With a = |x and R| and Bx = x without R, |x and z| <= min(ax, az) + |Bx and Bz|. So either min(ax, az) alone reaches the threshold, and the pair is compared, or x and z share a shingle outside
+R, and even one among the first of each in any common order (prefix filter): of hashes in the first round, of rarity among the hub's members after. Members of a hub that share such a shingle form the buckets of the
+next round, until none holds two components. No pair that shares a band is lost, no cap is set, and the pairs of a round are no more than eight times
+the members of its buckets.
 
 Null and empty texts and texts without words have no set: each is its own component. Rows without id are their own component (null)
 and stay. An id in several rows is one node for all its sets. Repeated rows count once. Other columns are dropped by `components` and kept by
@@ -26,11 +31,13 @@ from pyspark.sql import functions as F
 
 from precinct.llm.common import Scratch, WordHash, as_bytes, fits, mix, ngram_hashes
 
-BUCKETS, ROWS, MANTISSA = 128, 4, 10
+BUCKETS, ROWS, MANTISSA = 240, 6, 10
 #: Per cent that the intersection must be of the union.
 PERCENT = 85
 #: Standard errors that an estimate may lie below the threshold; smaller sets are always compared.
 ERRORS, LEAST = 6.0, 64
+#: Nodes of a bucket that is paired in full.
+SMALL = 16
 
 
 def shingle_set(words: list[bytes], hashes: WordHash, n: int) -> np.ndarray:
@@ -39,39 +46,44 @@ def shingle_set(words: list[bytes], hashes: WordHash, n: int) -> np.ndarray:
     return np.unique(ngram_hashes(h, min(n, len(h)))) if len(h) else np.empty(0, np.uint64)
 
 
-def _borrow_order() -> np.ndarray:
-    """For each bucket a rank of all others: where it looks first when it is empty."""
-    pairs = np.arange(BUCKETS * BUCKETS, dtype=np.uint64).reshape(BUCKETS, BUCKETS)
-    return np.argsort(np.argsort(mix(pairs + np.uint64(0x51ED270B)), axis=1), axis=1).astype(np.uint8)
-
-
 def registers(sets: list[np.ndarray]) -> np.ndarray:
     """One row of 16-bit registers for each non-empty set."""
     sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    flat = np.concatenate(sets)
-    least = np.full(len(sets) * BUCKETS, np.iinfo(np.uint64).max, np.uint64)
-    bucket = (mix(flat ^ np.uint64(0xA0761D6478BD642F)) % np.uint64(BUCKETS)).astype(np.int64)
-    np.minimum.at(least, np.repeat(np.arange(len(sets)), sizes) * BUCKETS + bucket, mix(flat + np.uint64(0xE7037ED1A0B428DB)))
-    least = least.reshape(len(sets), BUCKETS)
-    filled = least != np.iinfo(np.uint64).max
+    flat, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    out, empty = np.zeros(len(sets) * BUCKETS, np.uint16), np.ones(len(sets) * BUCKETS, bool)
+    k = 0
+    while len(flat):
+        # round k has hashes of its own and fills only buckets that all rounds before left empty
+        with np.errstate(over="ignore"):
+            h = mix(flat + np.uint64(k) * np.uint64(0x9E3779B97F4A7C15))
+        at = of * BUCKETS + (mix(h ^ np.uint64(0xA0761D6478BD642F)) % np.uint64(BUCKETS)).astype(np.int64)
+        free = empty[at]
+        place, inverse = np.unique(at[free], return_inverse=True)
+        least = np.full(len(place), np.iinfo(np.uint64).max, np.uint64)
+        np.minimum.at(least, inverse, h[free])
+        out[place] = _register(least)
+        empty[place] = False
+        left = empty.reshape(len(sets), BUCKETS).any(1)[of]
+        flat, of, k = flat[left], of[left], k + 1
+    return out.reshape(len(sets), BUCKETS)
+
+
+def _register(least: np.ndarray) -> np.ndarray:
+    """Leading zeros and the mantissa bits after the first one."""
     zeros = 53 - np.frexp((least >> np.uint64(11)).astype(np.float64))[1]
     zeros = np.minimum(zeros, 63 - MANTISSA).astype(np.uint64)
     mantissa = (least << (zeros + np.uint64(1))) >> np.uint64(64 - MANTISSA)
-    out = ((zeros << np.uint64(MANTISSA)) | mantissa).astype(np.uint16)
-    order, some = _borrow_order(), np.flatnonzero(~filled.all(1))
-    for k in range(0, len(some), 256):
-        part = some[k : k + 256]
-        rank = np.where(filled[part][:, None, :], order[None], np.uint8(255))
-        # a rank of 255 can't be a filled bucket's: there are 128 ranks
-        source = np.where(filled[part], np.arange(BUCKETS), rank.argmin(2))
-        out[part] = np.take_along_axis(out[part], source, 1)
-    return out
+    return ((zeros << np.uint64(MANTISSA)) | mantissa).astype(np.uint16)
 
 
 def band_keys(regs: np.ndarray) -> np.ndarray:
     """One 64-bit key per band of each row."""
-    wide = np.ascontiguousarray(regs).view(np.uint64).reshape(len(regs), -1)
-    return mix(mix(wide) + np.arange(wide.shape[1], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).astype(np.int64)
+    bands = regs.reshape(len(regs), -1, ROWS).astype(np.uint64)
+    keys = np.arange(bands.shape[1], dtype=np.uint64) + np.zeros((len(regs), 1), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(ROWS):
+            keys = mix(keys * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, k])
+    return keys.astype(np.int64)
 
 
 def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -108,39 +120,31 @@ def _bands(nodes: DataFrame) -> DataFrame:
             keys = band_keys(regs)
             times = np.full(len(keys), keys.shape[1])
             yield pa.RecordBatch.from_arrays([
-                pa.array(keys.ravel(), pa.int64()), pa.array(np.repeat(b.column("id").to_numpy(), times)),
-                pa.array(np.repeat(b.column("n").to_numpy(), times))], names=["band", "id", "n"])
-
-    return nodes.select("id", "n", "registers").mapInArrow(run, "band long, id long, n long")
+                pa.array(keys.ravel(), pa.int64()), pa.array(np.repeat(b.column("id").to_numpy(), times)), pa.array(np.repeat(b.column("n").to_numpy(), times))],
+                names=["k", "id", "n"])
 
+    return nodes.select("id", "n", "registers").mapInArrow(run, "k long, id long, n long")
 
-def _possible(a, b, percent: int):
-    """The size bound: the smaller set must be that large a part of the larger one."""
-    return (100 * a >= percent * b) & (100 * b >= percent * a)
 
-
-def _estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose estimate does not rule them out."""
-    left, right = (nodes.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("registers").alias(f"r{c}")) for c in "ab")
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ra", "rb")
+def _promising(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs that the estimate does not rule out."""
+    left, right = (nodes.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("registers").alias(f"r{c}")) for c in "hx")
+    both = pairs.join(left, "h").join(right, "x")
     need = percent / 100 - ERRORS * (percent / 100 * (1 - percent / 100) / BUCKETS) ** 0.5
 
     def run(batches):
         for b in batches:
             if not b.num_rows:
                 continue
-            ra, rb = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS) for c in ("ra", "rb"))
-            na, nb = (b.column(c).to_numpy().astype(float) for c in ("na", "nb"))
-            keep = pa.array((estimate(ra, rb, na, nb) >= need) | (np.minimum(na, nb) < LEAST))
-            yield b.select(["a", "b"]).filter(keep)
+            ra, rb = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS) for c in ("rh", "rx"))
+            na, nb = (b.column(c).to_numpy().astype(float) for c in ("nh", "nx"))
+            yield b.select(["h", "x"]).filter(pa.array((estimate(ra, rb, na, nb) >= need) | (np.minimum(na, nb) < LEAST)))
 
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return both.select("h", "x", "nh", "nx", "rh", "rx").mapInArrow(run, "h long, x long").distinct()
 
 
-def _verified(scratch: Scratch, pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int, label: str) -> DataFrame:
-    """The pairs linked on full sets."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.join(ids, "doc_id")
+def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """id and its full set, of every row of the wanted ids."""
 
     def run(batches):
         hashes = WordHash()
@@ -148,12 +152,58 @@ def _verified(scratch: Scratch, pairs: DataFrame, docs: DataFrame, nodes: DataFr
             sets = [shingle_set(x.lower().split(), hashes, n) for x in as_bytes(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "set"])
 
-    sets = scratch.write(texts.mapInArrow(run, "id long, set array<long>").where(F.size("set") > 0).distinct(), f"{label}-sets")
-    both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("sb")), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    links = scratch.write(both.where(100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b").distinct(), label)
-    scratch.drop(f"{label}-sets")
-    return links
+    return docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id").mapInArrow(run, "id long, set array<long>").where(F.size("set") > 0).distinct()
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: the pairs h, x linked on full sets."""
+    both = pairs.join(sets.select(F.col("id").alias("h"), F.col("set").alias("sh")), "h").join(sets.select(F.col("id").alias("x"), F.col("set").alias("sx")), "x")
+    common = F.size(F.array_intersect("sh", "sx"))
+    return both.where(100 * common >= percent * (F.size("sh") + F.size("sx") - common)).select(F.col("h").alias("a"), F.col("x").alias("b"))
+
+
+def _measured(stars: DataFrame, sets: DataFrame, references: DataFrame, percent: int, whole: bool) -> DataFrame:
+    """Members x against their hub h and their reference, all hubs that brought them here.
+
+    k: the reference with h; nx; linked; inside: |x and reference|; own: shingles of x outside it; take: a partner must share one of so
+    many of them, in whatever order all members have. Here that is the order of hashes, and own holds these alone unless the whole is asked for.
+    """
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for k, h, x, sh, sx, sr in zip(*(b.column(c) for c in ("k", "h", "x", "sh", "sx", "sr"))):
+                hub, z = sh.values.to_numpy(), sx.values.to_numpy()
+                own = z[np.isin(z, hub, assume_unique=True, invert=True)]
+                common = len(z) - len(own)
+                if sr.is_valid:
+                    own = own[np.isin(own, sr.values.to_numpy(), invert=True)]
+                inside = len(z) - len(own)
+                take = max(0, len(own) - max(1, -(-percent * len(z) // 100) - inside) + 1)
+                linked = 100 * common >= percent * (len(hub) + len(z) - common)
+                rows.append((k.as_py(), h.as_py(), x.as_py(), len(z), linked, inside, take, own if whole else own[:take]))
+            columns = list(zip(*rows)) if rows else [[]] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 4 + [pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64())])],
+                                             names=["k", "h", "x", "nx", "linked", "inside", "take", "own"])
+
+    both = stars.join(sets.select(F.col("id").alias("h"), F.col("set").alias("sh")), "h").join(sets.select(F.col("id").alias("x"), F.col("set").alias("sx")), "x")
+    both = both.join(references.select(F.col("k").alias("r"), F.col("set").alias("sr")), F.col("k") == F.col("r"), "left")
+    both = both.select(F.xxhash64("k", "h").alias("k"), "h", "x", "sh", "sx", "sr")
+    return both.mapInArrow(run, "k long, h long, x long, nx long, linked boolean, inside long, take long, own array<long>")
+
+
+def _counted(buckets: DataFrame) -> DataFrame:
+    """Buckets of two or more, with m, the number of their members."""
+    sizes = buckets.groupBy("k", "s").agg(F.count("*").alias("m")).where("m > 1")
+    return buckets.join(sizes, ["k", "s"])
+
+
+def _hubs(buckets: DataFrame) -> DataFrame:
+    """k, h, x, w: every member of a bucket with its hub, the member whose buckets are fullest, and how full those are."""
+    weight = buckets.groupBy("id").agg(F.sum("m").alias("w"))
+    hubs = buckets.join(weight, "id").groupBy("k", "s").agg(F.max(F.struct("w", (-F.col("id")).alias("id"))).alias("hub"))
+    hubs = hubs.select("k", "s", (-F.col("hub.id")).alias("h"), "hub.w")
+    return buckets.join(hubs, ["k", "s"]).where("id <> h").select("k", "h", F.col("id").alias("x"), "w").distinct()
 
 
 def connected(scratch: Scratch, links: DataFrame, label: str) -> DataFrame:
@@ -173,46 +223,88 @@ def connected(scratch: Scratch, links: DataFrame, label: str) -> DataFrame:
         else:
             new = names.join(jump, names["component"] == jump["a"], "left").select("id", F.coalesce("p", "component").alias("component"))
         names = scratch.write(new, f"{label}-names-{k}")
-        scratch.drop(f"{label}-edges-{k}", f"{label}-parent-{k}", f"{label}-jump-{k}", *([f"{label}-names-{k - 1}"] if k else []))
         edges, k = fewer, k + 1
     return names if names is not None else scratch.spark.createDataFrame([], "id long, component long")
 
 
 def components(spark: SparkSession, docs: DataFrame, words: int = 3, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, and row (a hash of the text), one row per row of docs."""
+    """doc_id, n_shingles, component_id and kept, one row per row of docs."""
     scratch = Scratch(spark)
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     sketched = scratch.write(_sketches(docs, words, percent), "sketches")
     named = sketched.where("doc_id is not null and node is not null")
     reps = scratch.write(named.groupBy("node").agg(F.min("doc_id").alias("id")), "reps")
     own = (sketched["node"] == reps["node"]) & (sketched["doc_id"] == reps["id"])
-    nodes = sketched.where("registers is not null").join(reps, own).select("id", F.col("n_shingles").alias("n"), "registers").distinct()
-    nodes = scratch.write(nodes, "nodes")
-    bands = scratch.write(_bands(nodes), "bands")
-    # buckets of one member are left out before anything is joined
-    hubs = scratch.write(bands.groupBy("band").agg(F.min(F.struct("id", "n")).alias("hub"), F.max("id").alias("most")).where("hub.id < most").select("band", F.col("hub.id").alias("a"), F.col("hub.n").alias("na")), "hubs")
-    shared = scratch.write(bands.join(hubs, "band").select("band", "id", "n", "a", "na"), "shared")
-    scratch.drop("bands", "hubs")
-    first = shared.where((F.col("id") > F.col("a")) & _possible(F.col("na"), F.col("n"), percent)).select("a", F.col("id").alias("b")).distinct()
-    first = scratch.write(_estimated(first, nodes, percent), "first")
-    links = _verified(scratch, first, docs, nodes, words, percent, "links")
-    names = connected(scratch, links, "first")
-    members = shared.join(names, "id", "left").select("band", "id", "n", F.coalesce("component", "id").alias("component"))
-    members = scratch.write(members, "members")
-    mixed = members.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("band")
-    left = scratch.write(members.join(mixed, "band"), "mixed")
-    x, y = left.toDF("band", "a", "na", "ca"), left.toDF("band", "b", "nb", "cb")
-    across = x.join(y, "band").where((F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & _possible(F.col("na"), F.col("nb"), percent))
-    second = scratch.write(across.select("a", "b").distinct().join(first, ["a", "b"], "left_anti"), "second")
-    scratch.drop("shared", "members", "mixed")
-    if not second.isEmpty():
-        second = scratch.write(_estimated(second, nodes, percent), "second-estimated")
-        more = _verified(scratch, second, docs, nodes, words, percent, "more")
-        names = connected(scratch, links.union(more).distinct(), "second")
-    scratch.drop("nodes", "first")
-    home = reps.join(names, "id", "left").select("node", F.coalesce("component", "id").alias("component"))
-    home = scratch.write(home, "home")
-    # the id itself may also be a node of a smaller component, by another row of the same id
+    nodes = scratch.write(sketched.where("registers is not null").join(reps, own).select("id", F.col("n_shingles").alias("n"), "registers").distinct(), "nodes")
+    bands = scratch.write(_bands(nodes).select("k", F.lit(0).cast("long").alias("s"), "id", "n").distinct(), "bands")
+    buckets, names = scratch.write(_counted(bands), "buckets-0"), None
+    scratch.drop("bands")
+    links, references, k = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "k long, set array<long>"), 0
+    while True:
+        if k == 0:
+            # bands have no reference yet
+            starred = scratch.write(_hubs(buckets.where(F.col("m") > SMALL)).select("h", "x", "w").distinct(), "starred")
+            stars = starred.select(F.lit(0).cast("long").alias("k"), "h", "x")
+            main = starred.groupBy("x").agg(F.max(F.struct("w", "h")).alias("main")).select("x", F.col("main.h").alias("p"))
+            main = scratch.write(main.union(main.select("p", "p")).groupBy("x").agg(F.min("p").alias("p")), "main")
+        # in full: small buckets, by size and estimate first; members of one main hub are compared by way of that
+        small = buckets.where(F.col("m") <= SMALL)
+        small = small.withColumn("c", F.col("id")) if names is None else small.join(names, "id", "left").withColumn("c", F.coalesce("component", "id"))
+        small = small.join(main.withColumnRenamed("x", "id"), "id", "left") if k == 0 else small.withColumn("p", F.lit(None).cast("long"))
+        one, two = (small.select("k", "s", F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("c").alias(f"c{x}"), F.col("p").alias(f"p{x}")) for x in "hx")
+        sized = (100 * F.col("nh") >= percent * F.col("nx")) & (100 * F.col("nx") >= percent * F.col("nh"))
+        apart = F.col("ph").isNull() | F.col("px").isNull() | (F.col("ph") != F.col("px"))
+        near = scratch.write(one.join(two, ["k", "s"]).where((F.col("h") < F.col("x")) & (F.col("ch") != F.col("cx")) & sized & apart).select("h", "x").distinct(), f"near-{k}")
+        near = scratch.write(_promising(near, nodes, percent), f"promising-{k}")
+        if k and not large:
+            links = links.union(_linked(near, sets, percent))
+            break
+        # by hub: large ones
+        if k:
+            stars = scratch.write(_hubs(buckets.where(F.col("m") > SMALL)).select("k", "h", "x").distinct(), f"stars-{k}")
+        else:
+            ids = near.select("h").union(near.select("x")).union(stars.select("h")).union(stars.select("x")).toDF("id").distinct()
+            sets = scratch.write(_sets(docs, ids, words), "sets")
+        measured = scratch.write(_measured(stars, sets, references, percent, whole=k > 0), f"measured-{k}")
+        found = measured.where("linked").select(F.col("h").alias("a"), F.col("x").alias("b")).union(_linked(near, sets, percent))
+        links = scratch.write(links.union(found).distinct(), f"links-{k}")
+        names = connected(scratch, links, f"names-{k}")
+        told = measured.join(names.withColumnRenamed("id", "x"), "x", "left").withColumn("c", F.coalesce("component", "x"))
+        mixed = told.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("k")
+        if k == 0:
+            # where all members have one main hub, another hub has nothing to add
+            of = told.select("k", "h", "x").join(main, "x").groupBy("k", "h").agg(F.min("p").alias("low"), F.max("p").alias("high"))
+            mixed = mixed.join(of.where("low < high or low = h").select("k"), "k")
+        # dealt by member, as one hub may have a third of them
+        told = scratch.write(told.join(mixed, "k").select("k", "h", "x", "nx", "inside", "take", "own", "c").repartition("x"), f"told-{k}")
+        # members that lie in the reference up to the threshold can be linked by what they share with it
+        inside = told.where(100 * F.col("inside") >= percent * F.col("nx"))
+        one, two = (inside.select("k", F.col("x").alias(n), F.col("nx").alias(f"n{n}"), F.col("inside").alias(f"s{n}"), F.col("c").alias(f"c{n}")) for n in "ab")
+        reach = (100 + percent) * F.least("sa", "sb") >= percent * (F.col("na") + F.col("nb"))
+        close = one.join(two, "k").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & reach).select(F.col("a").alias("h"), F.col("b").alias("x")).distinct()
+        close = scratch.write(_linked(close, sets, percent), f"close-{k}")
+        listed = told.select("k", F.explode("own").alias("s"), "x", "nx", "c", F.size("own").alias("n"), "take")
+        some = listed.groupBy("k", "s").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("df")).where("df > 1")
+        listed = listed.join(some, ["k", "s"])
+        if k:
+            # shingles that no other member has come first, then rare ones: what many documents quote doesn't bring them together
+            by = Window.partitionBy("k", "x")
+            listed = listed.withColumn("place", F.col("n") - F.count("*").over(by) + F.row_number().over(by.orderBy("df", "s"))).where("place <= take")
+        after = scratch.write(_counted(listed.where("low < high").select("k", "s", F.col("x").alias("id"), F.col("nx").alias("n")).distinct()), f"buckets-{k + 1}")
+        # the reference of a bucket gains the hub
+        grown = stars.select(F.xxhash64("k", "h").alias("new"), "k", "h").distinct().join(after.select(F.col("k").alias("new")).distinct(), "new")
+        grown = grown.join(sets.select(F.col("id").alias("h"), F.col("set").alias("sh")), "h").join(references, "k", "left")
+        grown = grown.select(F.col("new").alias("k"), F.when(F.col("set").isNull(), F.col("sh")).otherwise(F.array_union("set", "sh")).alias("set"))
+        references = scratch.write(grown.dropDuplicates(["k"]), f"references-{k}")
+        scratch.drop(*(f"{t}-{k}" for t in ("buckets", "near", "promising", "measured", "told")), *([f"references-{k - 1}"] if k else []))
+        links, buckets, k = links.union(close), after, k + 1
+        fullest = buckets.agg(F.max("m")).first()[0]
+        if fullest is None:
+            break
+        large = fullest > SMALL
+    names = connected(scratch, scratch.write(links.distinct(), "links"), "names")
+    scratch.drop("sets", "nodes")
+    home = scratch.write(reps.join(names, "id", "left").select("node", F.coalesce("component", "id").alias("component")), "home")
     keyed = sketched.join(home, "node", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
     return keyed.select("doc_id", "n_shingles", component.cast("long").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from precinct.llm import bpe, decontaminate, licenses, lm, near_dups, pii, sharding, substrings, topk, toxicity
+from precinct.llm import bpe, common, decontaminate, licenses, lm, near_dups, pii, sharding, substrings, topk, toxicity
 from precinct.llm.queries import VOCABULARY
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -92,6 +92,19 @@ def test_substrings(spark, docs, none):
     assert substrings.deduplicated(spark, none).count() == 0
 
 
+@pytest.mark.parametrize("piece", [8, common.PIECE])
+def test_word_hashes(monkeypatch, piece):
+    monkeypatch.setattr(common, "PIECE", piece)
+    monkeypatch.setattr(common, "_POWERS", {})
+    r, seen = random.Random(1), {}
+    for _ in range(2000):
+        text = b"".join(r.choice([b"a", b"b", b" ", b"\n", b"\x0b", b"\xc3\xa9", b"zz", b"  "]) for _ in range(r.randint(0, 60)))
+        hashes, words = common.word_hashes(text).tolist(), text.split()
+        assert len(hashes) == len(words)
+        assert all(seen.setdefault(w, h) == h for w, h in zip(words, hashes))
+    assert len(set(seen.values())) == len(seen)
+
+
 def test_anchor_of_equal_windows():
     r = np.random.default_rng(1)
     shared = r.integers(0, 2**63, 40).astype(np.uint64)
@@ -102,8 +115,9 @@ def test_anchor_of_equal_windows():
     assert all(x[s] == y[s] for s in range(0, 40 - 12))
 
 
-@pytest.mark.parametrize("n, percent", [(3, 85), (5, 80)])
-def test_near_dups(spark, docs, none, n, percent):
+@pytest.mark.parametrize("n, percent, small", [(3, 85, 8), (5, 80, 8), (3, 85, 1)])
+def test_near_dups(spark, docs, none, monkeypatch, n, percent, small):
+    monkeypatch.setattr(near_dups, "SMALL", small)  # with 1 every bucket goes through its hubs
     got = near_dups.components(spark, docs, n, percent).collect()
     want = brute.near_dups(ROWS, n, percent)
     # an id of several rows is one node for all its sets

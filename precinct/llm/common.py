@@ -114,12 +114,56 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+#: An odd number and its inverse modulo 2^64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
 def ngram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Hash of each n consecutive words, from the words' hashes."""
+    """Hash of each n consecutive words, from the words' hashes: a polynomial, as differences of running sums."""
     if len(hashes) < n:
         return np.empty(0, np.uint64)
-    out = np.zeros(len(hashes) - n + 1, np.uint64)
     with np.errstate(over="ignore"):
-        for i in range(n):
-            out = mix(out * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + len(out)])
-    return out
+        up, down = (np.multiply.accumulate(np.r_[np.uint64(1), np.full(len(hashes) - 1, b, np.uint64)]) for b in (_BASE, _INVERSE))
+        sums = np.r_[np.uint64(0), np.cumsum(hashes * down, dtype=np.uint64)]
+        return mix((sums[n:] - sums[:-n]) * up[: len(hashes) - n + 1])
+
+
+#: White space of bytes.split.
+_SPACES = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: Bytes hashed at once; a longer word is hashed whole.
+PIECE = 1 << 18
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    size = max(PIECE, n)
+    if size not in _POWERS:
+        _POWERS.clear()
+        with np.errstate(over="ignore"):
+            _POWERS[size] = tuple(np.multiply.accumulate(np.r_[np.uint64(1), np.full(size, b, np.uint64)]) for b in (_INVERSE, _BASE))
+    return _POWERS[size]
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text, as bytes.split cuts it: polynomials of their bytes, as differences of running sums."""
+    out, at = [], 0
+    while at < len(text):
+        end = min(len(text), at + PIECE)
+        if end < len(text):
+            # a piece ends at white space, or where the word that fills it ends
+            spaces = np.flatnonzero(_SPACES[np.frombuffer(text, np.uint8, end - at, at)])
+            if len(spaces):
+                end = at + int(spaces[-1]) + 1
+            else:
+                while end < len(text) and not _SPACES[text[end]]:
+                    end += 1
+        b = np.frombuffer(text, np.uint8, end - at, at)
+        edges = np.flatnonzero(np.diff(np.r_[True, _SPACES[b], True]))
+        starts, ends = edges[::2], edges[1::2]
+        down, up = _powers(len(b))
+        with np.errstate(over="ignore"):
+            sums = np.r_[np.uint64(0), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * down[: len(b)], dtype=np.uint64)]
+            out.append(mix((sums[ends] - sums[starts]) * up[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+        at = end
+    return np.concatenate(out) if out else np.empty(0, np.uint64)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.llm.common import Scratch, WordHash, as_bytes, mix, ngram_hashes
+from precinct.llm.common import Scratch, as_bytes, mix, ngram_hashes, word_hashes
 
 WINDOW, SEED = 13, 4
 
@@ -39,9 +39,8 @@ def winnow(hashes: np.ndarray, window: int = WINDOW, seed: int = SEED):
 
 def _anchors(docs: DataFrame) -> DataFrame:
     def run(batches):
-        hashes = WordHash()
         for b in batches:
-            found = [winnow(hashes.of(x.split())) for x in as_bytes(b.column("text"))]
+            found = [winnow(word_hashes(x)) for x in as_bytes(b.column("text"))]
             if not found:
                 continue
             counts = [len(f[0]) for f in found]
@@ -57,23 +56,27 @@ def _blocks(docs: DataFrame) -> DataFrame:
     """Blocks at the given places: their hash, first window start and window hashes."""
 
     def run(batches):
-        hashes = WordHash()
         for b in batches:
-            rows = [[] for _ in range(6)]
-            for doc_id, row, text, places in zip(*(b.column(c).to_pylist() if c != "text" else as_bytes(b.column(c)) for c in ("doc_id", "row", "text", "places"))):
-                h = hashes.of(text.split())
+            out = []
+            for doc_id, row, text, places in zip(b.column("doc_id").to_pylist(), b.column("row").to_pylist(), as_bytes(b.column("text")), b.column("places")):
+                h = word_hashes(text)
                 at, anchor, low, high = winnow(h)
+                wanted, n = np.isin(at, places.values.to_numpy()), high - low + 1
+                if not wanted.any():
+                    continue
                 windows = ngram_hashes(h, WINDOW)
-                for k in np.flatnonzero(np.isin(at, places)):
-                    w = windows[low[k] : high[k] + 1]
-                    size = np.uint64(int(at[k] - low[k]) * 64 + len(w))
-                    with np.errstate(over="ignore"):
-                        block = mix(np.array([(mix(w + np.arange(len(w), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))).sum(dtype=np.uint64) + size]))[0]
-                    for out, x in zip(rows, (doc_id, row, anchor[k].view(np.int64), block.view(np.int64), low[k], w.view(np.int64))):
-                        out.append(x)
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(r, pa.int64()) for r in rows[:4]), pa.array(rows[4], pa.int32()), pa.array(rows[5], pa.list_(pa.int64()))],
-                names=["doc_id", "row", "anchor", "block", "low", "windows"])
+                offset = np.arange(len(windows)) - np.repeat(low, n)
+                with np.errstate(over="ignore"):
+                    placed = mix(windows + offset.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                    block = mix(np.add.reduceat(placed, low) + ((at - low) * 64 + n).astype(np.uint64))
+                count = int(wanted.sum())
+                out.append((np.full(count, doc_id), np.full(count, row), anchor[wanted], block[wanted], low[wanted], n[wanted], windows[np.repeat(wanted, n)]))
+            if out:
+                doc_ids, row_ids, anchors, blocks, lows, sizes, windows = (np.concatenate(c) for c in zip(*out))
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(windows.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(c.view(np.int64)) for c in (doc_ids, row_ids, anchors, blocks)), pa.array(lows.astype(np.int32)), lists],
+                    names=["doc_id", "row", "anchor", "block", "low", "windows"])
 
     return docs.mapInArrow(run, "doc_id long, row long, anchor long, block long, low int, windows array<long>")
 
@@ -96,15 +99,15 @@ def repeats(spark: SparkSession, scratch: Scratch, docs: DataFrame) -> DataFrame
     windows = scratch.write(windows, "windows")
     known = scratch.write(windows.groupBy("anchor", "window").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("anchor", "window", "first"), "known")
     parts = windows.join(known, ["anchor", "window"]).where("first < doc_id").groupBy("anchor", "block").agg(F.collect_list("offset").alias("offsets"))
-    parts = scratch.write(parts, "parts")
-    scratch.drop("windows", "known")
-    size = F.size("windows")
-    again = blocks.select("doc_id", "row", "anchor", "block", "low", size.alias("n")).join(kinds.select("anchor", "block", "first"), ["anchor", "block"]).join(parts, ["anchor", "block"], "left")
+    # one table to join, so that Spark can split the occurrences of a hot block
+    told = scratch.write(kinds.join(parts, ["anchor", "block"], "left").where("first < last or offsets is not null").select("anchor", "block", "first", "offsets"), "told")
+    scratch.drop("windows", "known", "kinds")
+    again = blocks.select("doc_id", "row", "anchor", "block", "low", F.size("windows").alias("n")).join(told, ["anchor", "block"])
     whole = F.array(F.struct(F.col("low").alias("start"), (F.col("low") + F.col("n") + (WINDOW - 1)).alias("end")))
     single = F.transform("offsets", lambda o: F.struct((F.col("low") + o).alias("start"), (F.col("low") + o + WINDOW).alias("end")))
     spans = again.select("doc_id", "row", F.explode(F.when(F.col("doc_id") > F.col("first"), whole).otherwise(single)).alias("s"))
     found = scratch.write(spans.groupBy("doc_id", "row").agg(F.collect_set("s").alias("spans")), "spans")
-    scratch.drop("blocks", "kinds", "parts")
+    scratch.drop("blocks", "told")
     return found
 
 

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from precinct.llm.common import BROADCAST_BYTES, LOWER, UPPER, Scratch, fits
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same words before lower-casing, to be counted.
-WORDS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: What separates the same words before lower-casing, to count them.
+RAW_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WINDOW, SHINGLE = 10, 3
 
 
@@ -96,7 +96,7 @@ def contamination(spark: SparkSession, docs: DataFrame, items: DataFrame, window
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     docs = docs.withColumn("row", F.xxhash64("text"))
-    every = docs.select("doc_id", "row", F.regexp_count(text, F.lit(WORDS)).cast("long").alias("n_words"))
+    every = docs.select("doc_id", "row", F.size(F.array_remove(F.split(text, RAW_SEPARATORS), "")).cast("long").alias("n_words"))
     split = docs.select("doc_id", "row", _words(text).alias("words"))
     found = lookups(scratch, split, items, window, shingle)
     none = F.sha2(F.lit("").cast("binary"), 256)

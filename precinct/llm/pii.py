@@ -120,7 +120,7 @@ def find(spark: SparkSession, docs: DataFrame, radius: int = RADIUS, support: in
     n_c = entities.join(copies, joint(entities, copies)).groupBy("entity").agg(F.sum("copies").alias("n_c"))
     pairs = scratch.write(n_ct.where(F.col("n_ct") >= support).join(n_c, "entity"), "pairs")
     wanted = scratch.write(pairs.select("term").distinct(), "wanted")
-    terms = docs.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("term"))
+    terms = docs.select(F.explode_outer(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("term"))
     n_t = terms.join(fits(wanted, wanted.count(), 64), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
     n = F.lit(float(every))
     pmi, ic = F.log(F.col("n_ct") * n / (F.col("n_c") * F.col("n_t"))), F.log(n / F.col("n_c"))
@@ -159,6 +159,6 @@ def sanitised(spark: SparkSession, docs: DataFrame) -> DataFrame:
         between = F.substring(text, acc["at"] + 1, e["start"] - acc["at"])
         return F.struct(F.greatest(acc["at"], e["end"]).alias("at"), F.when(e["start"] >= acc["at"], F.concat(acc["out"], between, e["by"])).otherwise(acc["out"]).alias("out"))
 
-    new = F.aggregate("_edits", first, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    new = F.when(F.col("_edits").isNull(), text).otherwise(new)
+    new = F.aggregate(edits["_edits"], first, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    new = F.when(edits["_edits"].isNull(), text).otherwise(new)
     return joined.select(*[(new if c.lower() == "text" else F.length(new).cast("long") if c.lower() == "n_chars" else docs[c]).alias(c) for c in docs.columns])

@@ -34,7 +34,7 @@ from precinct.llm.common import Scratch, WordHash, as_bytes, mix
 
 MU = 100.0
 #: Tokens of a shard and of a chunk.
-SHARD, CHUNK = 2_000_000, 1_000_000
+SHARD, CHUNK = 1_000_000, 500_000
 # no word holds a space
 END, START = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b" end", b" start"))
 POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)

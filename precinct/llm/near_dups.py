@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import Scratch, WordHash, as_bytes, fits, mix, ngram_hashes
+from precinct.llm.common import Scratch, as_bytes, fits, mix, ngram_hashes, word_hashes
 
 BUCKETS, ROWS, MANTISSA = 240, 6, 10
 #: Per cent that the intersection must be of the union.
@@ -40,9 +40,9 @@ ERRORS, LEAST = 6.0, 64
 SMALL = 16
 
 
-def shingle_set(words: list[bytes], hashes: WordHash, n: int) -> np.ndarray:
+def shingle_set(text: bytes, n: int) -> np.ndarray:
     """Sorted distinct hashes of the shingles."""
-    h = hashes.of(words)
+    h = word_hashes(text.lower())
     return np.unique(ngram_hashes(h, min(n, len(h)))) if len(h) else np.empty(0, np.uint64)
 
 
@@ -99,9 +99,8 @@ def _sketches(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, node (digest of the set) and, where other sets can be linked, the registers."""
 
     def run(batches):
-        hashes = WordHash()
         for b in batches:
-            sets = [shingle_set(x.lower().split(), hashes, n) for x in as_bytes(b.column("text"))]
+            sets = [shingle_set(x, n) for x in as_bytes(b.column("text"))]
             large = [k for k, s in enumerate(sets) if 100 * len(s) >= percent * (len(s) + 1)]
             regs = dict(zip(large, registers([sets[k] for k in large]))) if large else {}
             yield pa.RecordBatch.from_arrays([
@@ -147,9 +146,8 @@ def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
     """id and its full set, of every row of the wanted ids."""
 
     def run(batches):
-        hashes = WordHash()
         for b in batches:
-            sets = [shingle_set(x.lower().split(), hashes, n) for x in as_bytes(b.column("text"))]
+            sets = [shingle_set(x, n) for x in as_bytes(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "set"])
 
     return docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id").mapInArrow(run, "id long, set array<long>").where(F.size("set") > 0).distinct()

@@ -59,4 +59,4 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_substrings, op3_toxicity, op4_near_dups, op5_licenses, op6_topk, op7_bpe, op8_sharding, op9_lm, op10_pii)
 }
-ORACLE_SQL: dict[str, str] = {"op1_decontamination": decontaminate.SQL, "op2_substrings": substrings.SQL, "op4_near_dups": near_dups.SQL}
+ORACLE_SQL: dict[str, str] = {"op1_decontamination": decontaminate.SQL, "op2_substrings": substrings.SQL, "op4_near_dups": near_dups.SQL, "op6_topk": topk.SQL}

@@ -100,3 +100,14 @@ def search(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 2
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+#: DuckDB: all products, summed by component. For unique ids.
+SQL = """
+WITH e AS (SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS i, unnest([CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding]) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(sum(a.x * b.x) AS BIGINT) AS score FROM e a JOIN e b ON a.i = b.i AND a.vec_id <> b.vec_id
+  WHERE a.vec_id % 20 = 0 GROUP BY 1, 2)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""

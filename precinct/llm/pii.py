@@ -1,20 +1,21 @@
 """Personal data, and terms that reveal it, in DataFrame operations only.
 
 Base spans come from patterns: emails, addresses, card and phone numbers. Every distinct value is a protected entity c. Terms t (words of
-three letters or more, lower-cased) within `radius` characters of an entity are its context. The corpus says how much t tells of c:
+three letters or more, lower-cased, outside base spans) of all texts that hold an entity are judged. The corpus says how much t tells of c:
 
     PMI(c; t) = log(n_ct * N / (n_c * n_t)),    IC(c) = log(N / n_c)
 
-with N documents, n_c that hold c, n_t that hold t anywhere, n_ct with t in a context of c. A term is disclosing if n_ct >= support and
-PMI >= alpha * IC: knowing the term then tells almost as much as the entity itself. Terms that determine it (n_ct / n_t >= certain) are
-removed, the others generalised. Only their places in contexts of that entity count.
+with N documents, n_c that hold c, n_t that hold t, n_ct that hold both, wherever they stand. A term is disclosing if n_ct >= support and
+PMI >= alpha * IC: knowing the term then tells almost as much as the entity itself. As n_ct <= n_c, that needs n_t <= n_c^alpha * N^(1 - alpha);
+pairs of more frequent terms are never made. Terms that determine the entity (n_ct / n_t >= certain) are removed wherever they stand, in all
+documents; the others are generalised wherever they stand in documents that hold the entity.
 
 Patterns are the base ones, written so that Java's matcher neither backtracks nor restarts inside a run it has failed on: a match can
 begin at the head of a run or where the last match ended. Positions are code points, as sums of the lengths of the texts between matches.
 
 Null and empty texts have no spans. Rows are told apart by id and a hash of the text, so repeated rows (each counts) and null ids work.
 Documents are counted by row. Other columns are kept by `sanitised` and dropped by `find`. Empty tables give no rows. A text with k
-matches costs k^2 / 2 copied references.
+matches, or k places of disclosing terms, costs k^2 / 2 copied references; one with entities costs their number times that of its rare terms.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TERM = r"\p{L}+"
-RADIUS, SUPPORT, ALPHA, CERTAIN = 64, 2, 0.9, 0.9
+SUPPORT, ALPHA, CERTAIN = 2, 0.9, 0.9
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
+PLACE = "array<struct<start:int,end:int,value:string,action:string>>"
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -83,55 +85,78 @@ def _spans_of(text: Column, kind: str, pattern: str, possible: Column, valid) ->
     return F.when(possible, spans).otherwise(F.array().cast(SPAN)).cast(SPAN)
 
 
-def _contexts(text: Column, spans: Column, radius: int) -> Column:
-    """Each span with its whole terms within the radius on either side."""
-    size = F.length(text)
+def _bare(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of its base spans: what is left keeps its places."""
+    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc, s):
+        gap = F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+        blank = F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], acc["at"]), F.lit(0)))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], gap, blank).alias("out"))
 
-    def one(s):
-        low = F.greatest(s["start"] - radius - 1, F.lit(0))  # one character more shows whether a word is cut
-        high = F.least(s["end"] + radius + 1, size)
-        left = F.transform(matches(F.substring(text, low + 1, s["start"] - low), TERM), lambda m: F.struct(
-            (m["start"] + low).alias("start"), (m["end"] + low).alias("end"), F.lower(m["value"]).alias("term")))
-        right = F.transform(matches(F.substring(text, s["end"] + 1, high - s["end"]), TERM), lambda m: F.struct(
-            (m["start"] + s["end"]).alias("start"), (m["end"] + s["end"]).alias("end"), F.lower(m["value"]).alias("term")))
-        inside = lambda m: (F.length(m["term"]) >= 3) & ((m["start"] > low) | (low == 0)) & ((m["end"] < high) | (high == size))
-        clear = lambda m: ~F.exists(spans, lambda o: (m["start"] < o["end"]) & (o["start"] < m["end"]))
-        return F.struct(F.concat_ws(":", s["kind"], F.lower(s["value"])).alias("entity"), F.filter(F.concat(left, right), lambda m: inside(m) & clear(m)).alias("terms"))
+    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"], s["end"])))
+    blanked = F.aggregate(ordered, first, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    return F.when(F.size(spans) > 0, blanked).otherwise(text)
 
-    return F.transform(spans, one)
 
+def _terms(bare: Column) -> Column:
+    """The distinct terms of a text."""
+    words = F.transform(F.array_distinct(F.split(bare, r"[^\p{L}]+")), F.lower)
+    return F.array_distinct(F.filter(words, lambda w: F.length(w) >= 3))
 
-def find(spark: SparkSession, docs: DataFrame, radius: int = RADIUS, support: int = SUPPORT, alpha: float = ALPHA, certain: float = CERTAIN) -> DataFrame:
+
+def _places(bare: Column, marks: Column) -> Column:
+    """Every place of the marked terms, by start."""
+    found, gaps = F.regexp_extract_all(bare, F.lit(TERM), F.lit(0)), F.split(bare, TERM, -1)
+    pieces = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda v, g: F.struct(v.alias("v"), g.alias("g")))
+    first = F.struct(F.lit(0).alias("at"), F.array().cast(PLACE).alias("out"))
+
+    def step(acc, x):
+        begin = acc["at"] + F.length(x["g"])
+        end, term = begin + F.length(x["v"]), F.lower(x["v"])
+        hit = F.array_position(marks["term"], term)
+        place = F.struct(begin.alias("start"), end.alias("end"), term.alias("value"), F.get(marks["action"], (hit - 1).cast("int")).alias("action"))
+        return F.struct(end.alias("at"), F.when(hit > 0, F.concat(acc["out"], F.array(place))).otherwise(acc["out"]).cast(PLACE).alias("out"))
+
+    return F.aggregate(pieces, first, step, lambda acc: acc["out"])
+
+
+def find(spark: SparkSession, docs: DataFrame, support: int = SUPPORT, alpha: float = ALPHA, certain: float = CERTAIN) -> DataFrame:
     """doc_id, row (hash of the text), spans (base) and terms (start, end, value and action of disclosing terms), a row per row of docs."""
     scratch = Scratch(spark)
-    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
-    based = scratch.write(docs.select("doc_id", "text", base_spans(F.col("text")).alias("spans")).select(
-        "doc_id", F.xxhash64("text").alias("row"), "spans", F.when(F.size("spans") > 0, _contexts(F.col("text"), F.col("spans"), radius)).alias("contexts")), "spans")
-    every = based.count()
-    near = based.where(F.size("spans") > 0).select("doc_id", "row", F.explode("contexts").alias("c")).select("doc_id", "row", "c.entity", F.explode_outer("c.terms").alias("m"))
-    near = scratch.write(near.select("doc_id", "row", "entity", "m.start", "m.end", "m.term"), "near")
-    # identical rows are as many documents: each (row, entity, term) counts the copies of its row
-    copies = based.where(F.size("spans") > 0).groupBy("doc_id", "row").agg(F.count("*").alias("copies"))
-    joint = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["row"].eqNullSafe(b["row"])
-    pairs = near.select("doc_id", "row", "entity", "term").distinct()
-    pairs = pairs.join(copies, joint(pairs, copies)).select("entity", "term", pairs["doc_id"], pairs["row"], "copies")
-    n_ct = pairs.where("term is not null").groupBy("entity", "term").agg(F.sum("copies").alias("n_ct"))
-    entities = near.select("doc_id", "row", "entity").distinct()
-    n_c = entities.join(copies, joint(entities, copies)).groupBy("entity").agg(F.sum("copies").alias("n_c"))
-    pairs = scratch.write(n_ct.where(F.col("n_ct") >= support).join(n_c, "entity"), "pairs")
-    wanted = scratch.write(pairs.select("term").distinct(), "wanted")
-    terms = docs.select(F.explode_outer(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("term"))
-    n_t = terms.join(fits(wanted, wanted.count(), 64), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
-    n = F.lit(float(every))
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
+    bare = docs.select("*", base_spans(F.col("text")).alias("spans")).select("doc_id", "row", "spans", _bare(F.col("text"), F.col("spans")).alias("bare"))
+    based = scratch.write(bare.select("doc_id", "row", "spans", _terms(F.col("bare")).alias("terms")), "spans")
+    n = float(based.count())
+    entities = F.array_distinct(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))
+    holders = based.where(F.size("spans") > 0).select("doc_id", "row", entities.alias("entities"), "terms")
+    n_c = scratch.write(holders.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_c")), "entities")
+    counted = n_c.agg(F.count("*").alias("n"), F.coalesce(F.max("n_c"), F.lit(0)).alias("most")).first()
+    # no term that stands in more texts can be disclosing
+    reach = lambda c: F.pow(c, F.lit(alpha)) * (n ** (1 - alpha) * (1 + 1e-9))
+    n_t = based.select(F.explode("terms").alias("term"), (F.size("spans") > 0).alias("held")).groupBy("term").agg(F.count("*").alias("n_t"), F.max("held").alias("held"))
+    rare = scratch.write(n_t.where(F.col("held") & (F.col("n_t") <= reach(F.lit(float(counted["most"]))))).select("term", "n_t"), "rare")
+    near = holders.select("doc_id", "row", "entities", F.explode("terms").alias("term")).join(fits(rare, rare.count(), 64), "term")
+    near = near.select("doc_id", "row", "term", "n_t", F.explode("entities").alias("entity")).join(fits(n_c, counted["n"], 128), "entity")
+    near = scratch.write(near.where(F.col("n_t") <= reach(F.col("n_c"))), "near")
+    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("n_ct"), F.max("n_c").alias("n_c"), F.max("n_t").alias("n_t"))
     pmi, ic = F.log(F.col("n_ct") * n / (F.col("n_c") * F.col("n_t"))), F.log(n / F.col("n_c"))
-    told = pairs.join(n_t, "term").where((pmi >= alpha * ic) & (ic > 0))
+    told = pairs.where((F.col("n_ct") >= support) & (pmi >= alpha * ic) & (ic > 0))
     told = scratch.write(told.select("entity", "term", F.when(F.col("n_ct") >= certain * F.col("n_t"), "remove").otherwise("generalise").alias("action")), "told")
-    marks = near.join(fits(told, told.count(), 128), ["entity", "term"]).groupBy("doc_id", "row", "start", "end", "term").agg(F.max("action").alias("action"))
-    marks = scratch.write(marks.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.struct("start", "end", F.col("term").alias("value"), "action"))).alias("terms")), "marks")
-    scratch.drop("near", "pairs", "wanted", "told")
-    none = F.array().cast("array<struct<start:int,end:int,value:string,action:string>>")
-    return based.join(fits(marks, marks.count(), 512), joint(based, marks), "left").select(
-        based["doc_id"], based["row"], "spans", F.coalesce("terms", none).alias("terms"))
+    gone = scratch.write(told.where("action = 'remove'").select("term", "action").distinct(), "gone")
+    marks = near.join(fits(told, told.count(), 192), ["entity", "term"]).select("doc_id", "row", "term", "action").union(
+        based.select("doc_id", "row", F.explode("terms").alias("term")).join(fits(gone, gone.count(), 96), "term").select("doc_id", "row", "term", "action"))
+    marks = marks.groupBy("doc_id", "row", "term").agg(F.max("action").alias("action"))
+    marks = scratch.write(marks.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.struct("term", "action"))).alias("marks")), "marks")
+    scratch.drop("entities", "rare", "near", "told", "gone")
+    joint = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["row"].eqNullSafe(b["row"])
+    marked = docs.join(fits(marks, marks.count(), 512), joint(docs, marks)).select(docs["doc_id"], docs["row"], "text", "marks", base_spans(F.col("text")).alias("spans"))
+    marked = marked.select("doc_id", "row", "marks", _bare(F.col("text"), F.col("spans")).alias("bare"))
+    places = marked.select("doc_id", "row", _places(F.col("bare"), F.col("marks")).alias("places")).dropDuplicates(["doc_id", "row"])
+    places = scratch.write(places, "places")
+    return based.join(fits(places, places.count(), 512), joint(based, places), "left").select(
+        based["doc_id"], based["row"], "spans", F.coalesce("places", F.array().cast(PLACE)).alias("terms"))
 
 
 def digests(found: DataFrame) -> DataFrame:

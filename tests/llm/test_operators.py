@@ -283,6 +283,17 @@ def test_telling_terms(spark):
     assert out[0] == " called <EMAIL> from home  a" and out[10] == "somebody called from home today and tomorrow"
 
 
+def test_terms_of_whole_texts(spark):
+    far = "so it goes on and on " * 20
+    some = [(i, f"Xerxes wrote. {far}to rare@site.org {far}said xerxes") for i in range(10)]
+    some += [(50, "a note of Xerxes alone")] + [(100 + i, f"somebody wrote to nobody and said {far}") for i in range(60)]
+    by = {r.doc_id: r for r in pii.find(spark, frame(spark, some)).collect()}
+    assert [(x.start, x.value, x.action) for x in by[0].terms] == [(0, "xerxes", "remove"), (some[0][1].rindex("xerxes"), "xerxes", "remove")]
+    assert [(x.start, x.end, x.value) for x in by[50].terms] == [(10, 16, "xerxes")] and not by[100].terms
+    out = {r.doc_id: r.text for r in pii.sanitised(spark, frame(spark, some)).collect()}
+    assert out[50] == "a note of  alone" and out[0] == f" wrote. {far}to <EMAIL> {far}said " and out[100] == some[-60][1]
+
+
 def test_sanitised_keeps_rows(spark, docs):
     out = pii.sanitised(spark, docs)
     assert out.columns == docs.columns and out.count() == len(ROWS)

@@ -3,11 +3,12 @@
 Base spans come from patterns: emails, addresses, card and phone numbers. Every distinct value is a protected entity c. Terms t (words of
 three letters or more, lower-cased, outside base spans) of all texts that hold an entity are judged. The corpus says how much t tells of c:
 
-    PMI(c; t) = log(n_ct * N / (n_c * n_t)),    IC(c) = log(N / n_c)
+    PMI(c; t) = log(n_ct * N / (n_c * (n_t + doubt))),    IC(c) = log(N / n_c)
 
-with N documents, n_c that hold c, n_t that hold t, n_ct that hold both, wherever they stand. A term is disclosing if n_ct >= support and
-PMI >= alpha * IC: knowing the term then tells almost as much as the entity itself. As n_ct <= n_c, that needs n_t <= n_c^alpha * N^(1 - alpha);
-pairs of more frequent terms are never made. Terms that determine the entity (n_ct / n_t >= certain) are removed wherever they stand, in all
+with N documents, n_c that hold c, n_t that hold t, n_ct that hold both, wherever they stand. Doubt smooths the share of t's documents that
+hold c, as few documents prove little: a text more in which t stands without c is counted in part. A term is disclosing if PMI >= alpha * IC:
+knowing the term then tells almost as much as the entity itself. Entities of a single document are judged like all others. As n_ct <= n_c, a
+disclosing term has n_t + doubt <= n_c^alpha * N^(1 - alpha); pairs of more frequent terms are never made. Terms that determine the entity (n_ct / n_t >= certain) are removed wherever they stand, in all
 documents; the others are generalised wherever they stand in documents that hold the entity.
 
 Patterns are the base ones, written so that Java's matcher neither backtracks nor restarts inside a run it has failed on: a match can
@@ -30,7 +31,7 @@ IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TERM = r"\p{L}+"
-SUPPORT, ALPHA, CERTAIN = 2, 0.9, 0.9
+DOUBT, ALPHA, CERTAIN = 0.5, 0.9, 0.9
 SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 PLACE = "array<struct<start:int,end:int,value:string,action:string>>"
 
@@ -121,7 +122,7 @@ def _places(bare: Column, marks: Column) -> Column:
     return F.aggregate(pieces, first, step, lambda acc: acc["out"])
 
 
-def find(spark: SparkSession, docs: DataFrame, support: int = SUPPORT, alpha: float = ALPHA, certain: float = CERTAIN) -> DataFrame:
+def find(spark: SparkSession, docs: DataFrame, doubt: float = DOUBT, alpha: float = ALPHA, certain: float = CERTAIN) -> DataFrame:
     """doc_id, row (hash of the text), spans (base) and terms (start, end, value and action of disclosing terms), a row per row of docs."""
     scratch = Scratch(spark)
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
@@ -136,13 +137,13 @@ def find(spark: SparkSession, docs: DataFrame, support: int = SUPPORT, alpha: fl
     # no term that stands in more texts can be disclosing
     reach = lambda c: F.pow(c, F.lit(alpha)) * (n ** (1 - alpha) * (1 + 1e-9))
     n_t = based.select(F.explode("terms").alias("term"), (F.size("spans") > 0).alias("held")).groupBy("term").agg(F.count("*").alias("n_t"), F.max("held").alias("held"))
-    rare = scratch.write(n_t.where(F.col("held") & (F.col("n_t") <= reach(F.lit(float(counted["most"]))))).select("term", "n_t"), "rare")
+    rare = scratch.write(n_t.where(F.col("held") & (F.col("n_t") + doubt <= reach(F.lit(float(counted["most"]))))).select("term", "n_t"), "rare")
     near = holders.select("doc_id", "row", "entities", F.explode("terms").alias("term")).join(fits(rare, rare.count(), 64), "term")
     near = near.select("doc_id", "row", "term", "n_t", F.explode("entities").alias("entity")).join(fits(n_c, counted["n"], 128), "entity")
-    near = scratch.write(near.where(F.col("n_t") <= reach(F.col("n_c"))), "near")
+    near = scratch.write(near.where(F.col("n_t") + doubt <= reach(F.col("n_c"))), "near")
     pairs = near.groupBy("entity", "term").agg(F.count("*").alias("n_ct"), F.max("n_c").alias("n_c"), F.max("n_t").alias("n_t"))
-    pmi, ic = F.log(F.col("n_ct") * n / (F.col("n_c") * F.col("n_t"))), F.log(n / F.col("n_c"))
-    told = pairs.where((F.col("n_ct") >= support) & (pmi >= alpha * ic) & (ic > 0))
+    pmi, ic = F.log(F.col("n_ct") * n / (F.col("n_c") * (F.col("n_t") + doubt))), F.log(n / F.col("n_c"))
+    told = pairs.where((pmi >= alpha * ic) & (ic > 0))
     told = scratch.write(told.select("entity", "term", F.when(F.col("n_ct") >= certain * F.col("n_t"), "remove").otherwise("generalise").alias("action")), "told")
     gone = scratch.write(told.where("action = 'remove'").select("term", "action").distinct(), "gone")
     marks = near.join(fits(told, told.count(), 192), ["entity", "term"]).select("doc_id", "row", "term", "action").union(

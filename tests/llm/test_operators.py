@@ -294,6 +294,12 @@ def test_terms_of_whole_texts(spark):
     assert out[50] == "a note of  alone" and out[0] == f" wrote. {far}to <EMAIL> {far}said " and out[100] == some[-60][1]
 
 
+def test_terms_of_a_single_document(spark):
+    some = [(1, "Zebulon wrote to only@site.org about somebody")] + [(100 + i, "somebody wrote about nobody") for i in range(99)]
+    by = {r.doc_id: r for r in pii.find(spark, frame(spark, some)).collect()}
+    assert [(x.value, x.action) for x in by[1].terms] == [("zebulon", "remove")] and not by[100].terms
+
+
 def test_sanitised_keeps_rows(spark, docs):
     out = pii.sanitised(spark, docs)
     assert out.columns == docs.columns and out.count() == len(ROWS)

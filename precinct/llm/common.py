@@ -8,6 +8,7 @@ import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from precinct.session import scratch_path
 
@@ -63,8 +64,30 @@ class Scratch:
 
 
 def fits(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
-    """Marked for broadcast if its counted rows stay below the bound, else left to a shuffled join."""
-    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
+    """Marked for broadcast if its counted rows, all of a known size, stay below the bound, else for a shuffled join."""
+    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df.hint("merge")
+
+
+def _bytes(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a value in a row of Spark, at most."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)).cast("long") + 16
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.aggregate(value, F.lit(32).cast("long"), lambda n, x: n + _bytes(x, kind.elementType) + 1), F.lit(32).cast("long"))
+    if isinstance(kind, T.StructType):
+        return sum((_bytes(value[f.name], f.dataType) for f in kind.fields), F.lit(24).cast("long"))
+    return F.lit(16).cast("long")
+
+
+def measured(df: DataFrame) -> int:
+    """Bytes of all rows of a written table, strings and arrays by their real sizes."""
+    row = sum((_bytes(df[f.name], f.dataType) for f in df.schema.fields), F.lit(24).cast("long"))
+    return df.agg(F.coalesce(F.sum(row), F.lit(0)).alias("n")).first()["n"]
+
+
+def fits_measured(df: DataFrame) -> DataFrame:
+    """As `fits`, for rows that hold strings or arrays: by their summed sizes."""
+    return F.broadcast(df) if measured(df) <= BROADCAST_BYTES else df.hint("merge")
 
 
 def ascii_lower(text: Column) -> Column:

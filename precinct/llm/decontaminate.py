@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import BROADCAST_BYTES, LOWER, UPPER, Scratch, fits
+from precinct.llm.common import BROADCAST_BYTES, LOWER, UPPER, Scratch, fits, measured
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: What separates the same words before lower-casing, to count them.
@@ -77,13 +77,12 @@ def occurrences(docs: DataFrame, looked: DataFrame, sizes: list[int]) -> DataFra
     begin, size = F.col("pos") - F.col("anchor"), F.col("size")
     inside = (begin >= 0) & (begin + size <= F.size("words"))
     equal = F.slice("words", F.greatest(begin, F.lit(0)) + 1, size) == F.col("window")
-    rows = looked.count()
-    if rows * 600 <= BROADCAST_BYTES:
+    if measured(looked) <= BROADCAST_BYTES:
         # the words stay in the task: only places that are equal leave the join
         found = _shingles(docs, sizes).join(F.broadcast(looked), "key").where(inside & equal)
     else:
         # only keys and places are shuffled; candidates meet the words of their document again
-        narrow = _shingles(docs, sizes).select("doc_id", "row", "pos", "key").join(looked, "key").where(begin >= 0)
+        narrow = _shingles(docs, sizes).select("doc_id", "row", "pos", "key").join(looked.hint("merge"), "key").where(begin >= 0)
         each = narrow.groupBy("doc_id", "row").agg(F.collect_list(F.struct("pos", "anchor", "size", "window", "window_id")).alias("c"))
         again = docs.dropDuplicates(["doc_id", "row"]).join(each.toDF("_id", "_row", "c"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")))
         found = again.select("doc_id", "row", "words", F.explode("c").alias("c")).select("doc_id", "row", "words", "c.*").where(inside & equal)

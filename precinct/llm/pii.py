@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.llm.common import Scratch, fits
+from precinct.llm.common import Scratch, fits_measured
 
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
@@ -133,30 +133,30 @@ def find(spark: SparkSession, docs: DataFrame, doubt: float = DOUBT, alpha: floa
     entities = F.array_distinct(F.transform("spans", lambda s: F.concat_ws(":", s["kind"], F.lower(s["value"]))))
     holders = based.where(F.size("spans") > 0).select("doc_id", "row", entities.alias("entities"), "terms")
     n_c = scratch.write(holders.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_c")), "entities")
-    counted = n_c.agg(F.count("*").alias("n"), F.coalesce(F.max("n_c"), F.lit(0)).alias("most")).first()
+    most = float(n_c.agg(F.coalesce(F.max("n_c"), F.lit(0)).alias("n")).first()["n"])
     # no term that stands in more texts can be disclosing
     reach = lambda c: F.pow(c, F.lit(alpha)) * (n ** (1 - alpha) * (1 + 1e-9))
     n_t = based.select(F.explode("terms").alias("term"), (F.size("spans") > 0).alias("held")).groupBy("term").agg(F.count("*").alias("n_t"), F.max("held").alias("held"))
-    rare = scratch.write(n_t.where(F.col("held") & (F.col("n_t") + doubt <= reach(F.lit(float(counted["most"]))))).select("term", "n_t"), "rare")
-    near = holders.select("doc_id", "row", "entities", F.explode("terms").alias("term")).join(fits(rare, rare.count(), 64), "term")
-    near = near.select("doc_id", "row", "term", "n_t", F.explode("entities").alias("entity")).join(fits(n_c, counted["n"], 128), "entity")
+    rare = scratch.write(n_t.where(F.col("held") & (F.col("n_t") + doubt <= reach(F.lit(most)))).select("term", "n_t"), "rare")
+    near = holders.select("doc_id", "row", "entities", F.explode("terms").alias("term")).join(fits_measured(rare), "term")
+    near = near.select("doc_id", "row", "term", "n_t", F.explode("entities").alias("entity")).join(fits_measured(n_c), "entity")
     near = scratch.write(near.where(F.col("n_t") + doubt <= reach(F.col("n_c"))), "near")
     pairs = near.groupBy("entity", "term").agg(F.count("*").alias("n_ct"), F.max("n_c").alias("n_c"), F.max("n_t").alias("n_t"))
     pmi, ic = F.log(F.col("n_ct") * n / (F.col("n_c") * (F.col("n_t") + doubt))), F.log(n / F.col("n_c"))
     told = pairs.where((pmi >= alpha * ic) & (ic > 0))
     told = scratch.write(told.select("entity", "term", F.when(F.col("n_ct") >= certain * F.col("n_t"), "remove").otherwise("generalise").alias("action")), "told")
     gone = scratch.write(told.where("action = 'remove'").select("term", "action").distinct(), "gone")
-    marks = near.join(fits(told, told.count(), 192), ["entity", "term"]).select("doc_id", "row", "term", "action").union(
-        based.select("doc_id", "row", F.explode("terms").alias("term")).join(fits(gone, gone.count(), 96), "term").select("doc_id", "row", "term", "action"))
+    marks = near.join(fits_measured(told), ["entity", "term"]).select("doc_id", "row", "term", "action").union(
+        based.select("doc_id", "row", F.explode("terms").alias("term")).join(fits_measured(gone), "term").select("doc_id", "row", "term", "action"))
     marks = marks.groupBy("doc_id", "row", "term").agg(F.max("action").alias("action"))
     marks = scratch.write(marks.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.struct("term", "action"))).alias("marks")), "marks")
     scratch.drop("entities", "rare", "near", "told", "gone")
     joint = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & a["row"].eqNullSafe(b["row"])
-    marked = docs.join(fits(marks, marks.count(), 512), joint(docs, marks)).select(docs["doc_id"], docs["row"], "text", "marks", base_spans(F.col("text")).alias("spans"))
+    marked = docs.join(fits_measured(marks), joint(docs, marks)).select(docs["doc_id"], docs["row"], "text", "marks", base_spans(F.col("text")).alias("spans"))
     marked = marked.select("doc_id", "row", "marks", _bare(F.col("text"), F.col("spans")).alias("bare"))
     places = marked.select("doc_id", "row", _places(F.col("bare"), F.col("marks")).alias("places")).dropDuplicates(["doc_id", "row"])
     places = scratch.write(places, "places")
-    return based.join(fits(places, places.count(), 512), joint(based, places), "left").select(
+    return based.join(fits_measured(places), joint(based, places), "left").select(
         based["doc_id"], based["row"], "spans", F.coalesce("places", F.array().cast(PLACE)).alias("terms"))
 
 
@@ -178,7 +178,7 @@ def sanitised(spark: SparkSession, docs: DataFrame) -> DataFrame:
         F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.sort_array(F.concat(spans, terms)).alias("_edits")).dropDuplicates(["_id", "_row"])
     edits = Scratch(spark).write(edits, "edits")
     text = docs["text"].cast("string")
-    joined = docs.join(fits(edits, edits.count(), 512), docs["doc_id"].cast("long").eqNullSafe(edits["_id"]) & F.xxhash64(F.coalesce(text, F.lit(""))).eqNullSafe(edits["_row"]), "left")
+    joined = docs.join(fits_measured(edits), docs["doc_id"].cast("long").eqNullSafe(edits["_id"]) & F.xxhash64(F.coalesce(text, F.lit(""))).eqNullSafe(edits["_row"]), "left")
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc, e):

@@ -256,6 +256,19 @@ def test_language_model(spark, docs, none, monkeypatch, shard, chunk):
     assert lm.scores(spark, none).count() == 0
 
 
+def test_broadcast_by_measured_size(spark, tmp_path):
+    path, texts = str(tmp_path / "wide"), F.transform(F.sequence(F.lit(1), F.lit(2000)), lambda i: F.concat(F.lit("x" * 30), i.cast("string")))
+    spark.range(1000).select("id", F.transform(texts, lambda t: F.struct(t.alias("value"))).alias("spans")).write.parquet(path)
+    wide = spark.read.parquet(path)
+    real = wide.select(F.sum(F.aggregate("spans", F.lit(0), lambda n, x: n + F.length(x["value"])))).first()[0]
+    assert real > common.BROADCAST_BYTES and common.measured(wide) >= real
+    ids = spark.range(5).toDF("doc_id")
+    plan = lambda df: ids.join(df, F.col("doc_id") == F.col("id"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan(common.fits_measured(wide)) and "BroadcastHashJoin" in plan(common.fits_measured(wide.limit(20)))
+    looked = spark.range(200).select("id", F.repeat(F.lit("y"), 300_000).alias("window"))
+    assert common.measured(looked) > 200 * 300_000
+
+
 def test_elias_fano():
     r = np.random.default_rng(3)
     for n, top in ((0, 10), (1, 1), (1000, 50), (5000, 1 << 62), (3000, 1 << 20)):

@@ -11,7 +11,8 @@ pointers, and the context by successor search inside that range.
 
 Tokens, of training and scored texts alike, are dealt by word to shards of bounded size, packed by chunks of documents: sorted words with run lengths, 32-bit
 hashes of contexts, and document numbers. Words so frequent that they would fill much of a shard are dealt by word and context; their counts
-come from the word counts made before, which also give N and V. A task builds the trie of one shard and scores the shard's tokens with it. As a word's
+come from the word counts made before, which also give N and V. A pair that a chunk holds HEAVY times or more goes to its shard as one entry with
+its count, and the chunk keeps how often each document holds it: no pair brings a shard more than HEAVY tokens or one entry a chunk. A task builds the trie of one shard and scores the shard's tokens with it. As a word's
 occurrence is also the next token's context, -log10(c(w) + MU) is added where w is, and every denominator is at hand without a second
 shuffle. Chunks then sum up their documents' parts. Pairs of a shard whose contexts agree in 32 bits share an entry.
 
@@ -35,6 +36,8 @@ from precinct.llm.common import Scratch, WordHash, as_bytes, mix
 MU = 100.0
 #: Tokens of a shard and of a chunk.
 SHARD, CHUNK = 1_000_000, 500_000
+#: A pair that stands so often in a chunk is sent as one entry.
+HEAVY = 32
 # no word holds a space
 END, START = (np.uint64(xxhash.xxh3_64_intdigest(x)) for x in (b" end", b" start"))
 POPCOUNT = np.array([bin(i).count("1") for i in range(256)], np.uint8)
@@ -170,8 +173,11 @@ def _counts(docs: DataFrame) -> DataFrame:
     return docs.select("text", "held_out").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-PACKED = "shard long, chunk long, words binary, runs binary, contexts binary, rows binary, held binary, ids binary, sizes binary"
-PARTS = "chunk long, shard long, ids binary, held binary, sizes binary, known binary, base binary, score binary"
+#: A heavy pair as its shard gets it, with its count in training, and as the chunk keeps it.
+ENTRY = np.dtype([("word", "<u8"), ("context", "<u4"), ("n", "<i8")])
+KEPT = np.dtype([("entry", "<u4"), ("row", "<u4"), ("n", "<u4")])
+PACKED = "shard long, chunk long, words binary, runs binary, contexts binary, rows binary, held binary, ids binary, sizes binary, heavy binary"
+PARTS = "chunk long, shard long, ids binary, held binary, sizes binary, known binary, base binary, score binary, heavy binary"
 
 
 def _names(schema: str) -> list[str]:
@@ -196,14 +202,30 @@ def _packed(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
         shard, words, context = shard[order], words[order], context[order]
         row = np.repeat(np.arange(len(tokens), dtype=np.uint32), sizes)[order]
         bits = np.packbits(np.array(held, bool)).tobytes()
-        out = [(-1 - chunk % shards, chunk, None, None, None, None, bits, np.array([-1 if i is None else i for i in ids], np.int64).tobytes() + np.packbits([i is None for i in ids]).tobytes(), sizes.tobytes())]
-        edges = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True])
+        same = np.flatnonzero(np.r_[True, (words[1:] != words[:-1]) | (context[1:] != context[:-1]), True])
+        often = np.diff(same) >= HEAVY
+        is_heavy = np.repeat(often, np.diff(same))
+        entry = np.repeat(np.cumsum(often) - 1, np.diff(same))[is_heavy]
+        begin = same[:-1][often]
+        train = np.bincount(entry[~np.array(held, bool)[row[is_heavy]]], minlength=len(begin))
+        entries = np.zeros(len(begin), ENTRY)
+        entries["word"], entries["context"], entries["n"] = words[begin], context[begin], train
+        of_entry = shard[begin]
+        # (entry, document) with counts, for the merge
+        places, n = np.unique(entry.astype(np.uint64) << np.uint64(32) | row[is_heavy], return_counts=True)
+        kept = np.zeros(len(places), KEPT)
+        kept["entry"], kept["row"], kept["n"] = places >> np.uint64(32), places & np.uint64(0xFFFFFFFF), n
+        out = [(-1 - chunk % shards, chunk, None, None, None, None, bits, np.array([-1 if i is None else i for i in ids], np.int64).tobytes() + np.packbits([i is None for i in ids]).tobytes(), sizes.tobytes(), kept.tobytes())]
+        touched = np.unique(shard)
+        shard, words, context, row = (x[~is_heavy] for x in (shard, words, context, row))
         row = row.astype(np.uint16 if len(tokens) <= 1 << 16 else np.uint32)
-        for a, b in zip(edges[:-1], edges[1:]):
-            first = np.flatnonzero(np.r_[True, words[a + 1 : b] != words[a : b - 1]])
+        for k in touched:
+            a, b = np.searchsorted(shard, [k, k + 1])
+            first = np.flatnonzero(np.r_[True, words[a + 1 : b] != words[a : b - 1]]) if b > a else np.empty(0, np.int64)
             runs = np.diff(np.r_[first, b - a]).astype(np.uint32)
-            out.append((int(shard[a]), chunk, words[a:b][first].tobytes(), runs.tobytes(), context[a:b].tobytes(), row[a:b].tobytes(), bits, None, None))
-        kinds = [pa.int64()] * 2 + [pa.binary()] * 7
+            low, high = np.searchsorted(of_entry, [k, k + 1])
+            out.append((int(k), chunk, words[a:b][first].tobytes(), runs.tobytes(), context[a:b].tobytes(), row[a:b].tobytes(), bits, None, None, entries[low:high].tobytes()))
+        kinds = [pa.int64()] * 2 + [pa.binary()] * 8
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=_names(PACKED))
 
     def run(batches):
@@ -228,16 +250,20 @@ def _scored(packed: DataFrame, norm: float, train_rows: int, hot: np.ndarray, ho
 
     def score(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
         rows = sorted(part.to_pylist(), key=lambda r: r["chunk"])
-        kinds = [pa.int64()] * 2 + [pa.binary()] * 6
+        kinds = [pa.int64()] * 2 + [pa.binary()] * 7
         if key[0].as_py() < 0:
-            out = [(r["chunk"], r["shard"], r["ids"], r["held"], r["sizes"], None, None, None) for r in rows]
+            out = [(r["chunk"], r["shard"], r["ids"], r["held"], r["sizes"], None, None, None, r["heavy"]) for r in rows]
             return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=_names(PARTS))
         each = [np.frombuffer(r["words"], np.uint64) for r in rows]
-        words, inverse = np.unique(np.concatenate(each), return_inverse=True)
+        entries = [np.frombuffer(r["heavy"], ENTRY) for r in rows]
+        heavy = np.concatenate(entries)
+        words, inverse = np.unique(np.concatenate([*each, heavy["word"]]), return_inverse=True)
+        inverse = inverse.astype(np.uint64)
         runs = [np.frombuffer(r["runs"], np.uint32) for r in rows]
-        rank = np.repeat(inverse.astype(np.uint64), np.concatenate(runs))
+        rank = np.repeat(inverse[: len(inverse) - len(heavy)], np.concatenate(runs))
         keys = (rank << np.uint64(32)) | np.concatenate([np.frombuffer(r["contexts"], np.uint32) for r in rows])
         del rank
+        heavy_keys = (inverse[len(inverse) - len(heavy) :] << np.uint64(32)) | heavy["context"]
         sizes = [int(x.sum()) for x in runs]
         ends = np.cumsum(sizes)
         docs, train = [], []
@@ -245,8 +271,8 @@ def _scored(packed: DataFrame, norm: float, train_rows: int, hot: np.ndarray, ho
             d = np.frombuffer(r["rows"], np.uint16 if len(r["rows"]) == 2 * n else np.uint32)
             docs.append(d)
             train.append(~np.unpackbits(np.frombuffer(r["held"], np.uint8)).astype(bool)[d])
-        asked, back = np.unique(keys, return_inverse=True)
-        n = np.bincount(back, np.concatenate(train), len(asked)).astype(np.int64)
+        asked, back = np.unique(np.concatenate([keys, heavy_keys]), return_inverse=True)
+        n = np.bincount(back, np.concatenate([*train, heavy["n"]]), len(asked)).astype(np.int64)
         pairs, pair_counts = asked[n > 0], n[n > 0]
         counts = np.bincount((pairs >> np.uint64(32)).astype(np.int64), pair_counts, len(words))
         if len(hot):
@@ -266,11 +292,12 @@ def _scored(packed: DataFrame, norm: float, train_rows: int, hot: np.ndarray, ho
         denominator = np.where(words == END >> np.uint64(1), np.log10(train_rows + MU), denominator)
         value, base, known = numerator - denominator[asked_word], np.log10(counts + 0.5)[asked_word], some[asked_word]
         out = []
-        for r, d, low, high in zip(rows, docs, np.r_[0, ends[:-1]], ends):
-            b = back[low:high]
-            size = int(d.max()) + 1
-            sums = [np.bincount(d, x[b], size) for x in (known, base, value)]
-            out.append((r["chunk"], r["shard"], None, None, None, *(x.tobytes() for x in sums)))
+        heavy_ends = len(keys) + np.cumsum([len(x) for x in entries])
+        for r, d, low, high, first, last in zip(rows, docs, np.r_[0, ends[:-1]], ends, np.r_[len(keys), heavy_ends[:-1]], heavy_ends):
+            b, h = back[low:high], back[first:last]
+            sums = [np.bincount(d, x[b], int(d.max()) + 1 if len(d) else 0).astype(np.float64) for x in (known, base, value)]
+            told = np.concatenate([x[h].astype(np.float64) for x in (known, base, value)])
+            out.append((r["chunk"], r["shard"], None, None, None, *(x.tobytes() for x in sums), told.tobytes()))
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=_names(PARTS))
 
     return packed.groupBy("shard").applyInArrow(score, PARTS)
@@ -301,6 +328,11 @@ def scores(spark: SparkSession, docs: DataFrame) -> DataFrame:
         ids = np.frombuffer(head["ids"][: 8 * n], np.int64)
         null = np.unpackbits(np.frombuffer(head["ids"][8 * n :], np.uint8))[:n].astype(bool)
         sums = np.zeros((3, n))
+        # shards in order give the values of the entries in order
+        kept = np.frombuffer(head["heavy"], KEPT)
+        told = np.concatenate([np.frombuffer(r["heavy"], np.float64).reshape(3, -1) for r in rows if r["ids"] is None], axis=1)
+        for k in range(3):
+            sums[k] += np.bincount(kept["row"], kept["n"] * told[k][kept["entry"]], n)
         for r in rows:
             if r["ids"] is None:
                 for k, name in enumerate(("known", "base", "score")):

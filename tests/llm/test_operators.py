@@ -269,6 +269,25 @@ def test_broadcast_by_measured_size(spark, tmp_path):
     assert common.measured(looked) > 200 * 300_000
 
 
+def test_hot_pair_is_split(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD", 1000)
+    monkeypatch.setattr(lm, "CHUNK", 500)
+    some = [(i, "" if i % 3 else f"word{i} again word{i % 7} here") for i in range(3000)]
+    most, packed = [], lm._packed
+
+    def looked(*args):
+        out = packed(*args)
+        most.extend(len(r.rows) // 2 for r in out.where("shard >= 0").groupBy("shard").agg(F.concat_ws("", F.collect_list(F.hex("rows"))).alias("x")).select(F.unhex("x").alias("rows")).collect())
+        return out
+
+    monkeypatch.setattr(lm, "_packed", looked)
+    got = sorted((r.doc_id, r.n_tokens, r.n_known, r.base_score, r.score) for r in lm.scores(spark, frame(spark, some)).collect())
+    # 2,000 rows hold the pair of start and end, twice a shard
+    assert max(most) < 1500
+    for g, (d, _), w in zip(got, some, brute.bigram(some, lm.MU), strict=True):
+        assert g[:3] == (d, w[1], w[2]) and g[3] == pytest.approx(w[4], rel=1e-9) and abs(g[4] - w[5]) <= 0.04 * w[1]
+
+
 def test_elias_fano():
     r = np.random.default_rng(3)
     for n, top in ((0, 10), (1, 1), (1000, 50), (5000, 1 << 62), (3000, 1 << 20)):

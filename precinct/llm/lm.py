@@ -173,11 +173,27 @@ def _counts(docs: DataFrame) -> DataFrame:
     return docs.select("text", "held_out").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-#: A heavy pair as its shard gets it, with its count in training, and as the chunk keeps it.
+#: A heavy pair as its shard gets it, with its count in training, and the head of how documents hold them.
 ENTRY = np.dtype([("word", "<u8"), ("context", "<u4"), ("n", "<i8")])
-KEPT = np.dtype([("entry", "<u4"), ("row", "<u4"), ("n", "<u4")])
 PACKED = "shard long, chunk long, words binary, runs binary, contexts binary, rows binary, held binary, ids binary, sizes binary, heavy binary"
-PARTS = "chunk long, shard long, ids binary, held binary, sizes binary, known binary, base binary, score binary, heavy binary"
+PARTS = "chunk long, shard long, ids binary, held binary, sizes binary, known binary, base binary, score binary, heavy binary, rows binary"
+
+
+def _narrow(values: np.ndarray) -> np.ndarray:
+    return values.astype(np.uint16 if not len(values) or values.max() < 1 << 16 else np.uint32)
+
+
+def _pack_kept(runs: np.ndarray, rows: np.ndarray, n: np.ndarray) -> bytes:
+    """Documents per entry, and of each its number and count."""
+    rows, n = _narrow(rows), _narrow(n)
+    return np.array([len(runs), len(rows), rows.itemsize, n.itemsize], np.int64).tobytes() + runs.astype(np.uint32).tobytes() + rows.tobytes() + n.tobytes()
+
+
+def _unpack_kept(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    entries, places, a, b = np.frombuffer(raw, np.int64, 4).tolist()
+    at = 32 + 4 * entries
+    rows, n = np.frombuffer(raw, f"<u{a}", places, at), np.frombuffer(raw, f"<u{b}", places, at + a * places)
+    return np.repeat(np.arange(entries), np.frombuffer(raw, np.uint32, entries, 32)), rows, n
 
 
 def _names(schema: str) -> list[str]:
@@ -213,9 +229,9 @@ def _packed(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
         of_entry = shard[begin]
         # (entry, document) with counts, for the merge
         places, n = np.unique(entry.astype(np.uint64) << np.uint64(32) | row[is_heavy], return_counts=True)
-        kept = np.zeros(len(places), KEPT)
-        kept["entry"], kept["row"], kept["n"] = places >> np.uint64(32), places & np.uint64(0xFFFFFFFF), n
-        out = [(-1 - chunk % shards, chunk, None, None, None, None, bits, np.array([-1 if i is None else i for i in ids], np.int64).tobytes() + np.packbits([i is None for i in ids]).tobytes(), sizes.tobytes(), kept.tobytes())]
+        of = np.bincount((places >> np.uint64(32)).astype(np.int64), minlength=len(begin))
+        kept = _pack_kept(of, places & np.uint64(0xFFFFFFFF), n)
+        out = [(-1 - chunk % shards, chunk, None, None, None, None, bits, np.array([-1 if i is None else i for i in ids], np.int64).tobytes() + np.packbits([i is None for i in ids]).tobytes(), sizes.tobytes(), kept)]
         touched = np.unique(shard)
         shard, words, context, row = (x[~is_heavy] for x in (shard, words, context, row))
         row = row.astype(np.uint16 if len(tokens) <= 1 << 16 else np.uint32)
@@ -250,9 +266,9 @@ def _scored(packed: DataFrame, norm: float, train_rows: int, hot: np.ndarray, ho
 
     def score(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
         rows = sorted(part.to_pylist(), key=lambda r: r["chunk"])
-        kinds = [pa.int64()] * 2 + [pa.binary()] * 7
+        kinds = [pa.int64()] * 2 + [pa.binary()] * 8
         if key[0].as_py() < 0:
-            out = [(r["chunk"], r["shard"], r["ids"], r["held"], r["sizes"], None, None, None, r["heavy"]) for r in rows]
+            out = [(r["chunk"], r["shard"], r["ids"], r["held"], r["sizes"], None, None, None, r["heavy"], None) for r in rows]
             return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=_names(PARTS))
         each = [np.frombuffer(r["words"], np.uint64) for r in rows]
         entries = [np.frombuffer(r["heavy"], ENTRY) for r in rows]
@@ -295,9 +311,12 @@ def _scored(packed: DataFrame, norm: float, train_rows: int, hot: np.ndarray, ho
         heavy_ends = len(keys) + np.cumsum([len(x) for x in entries])
         for r, d, low, high, first, last in zip(rows, docs, np.r_[0, ends[:-1]], ends, np.r_[len(keys), heavy_ends[:-1]], heavy_ends):
             b, h = back[low:high], back[first:last]
-            sums = [np.bincount(d, x[b], int(d.max()) + 1 if len(d) else 0).astype(np.float64) for x in (known, base, value)]
+            # only documents that have tokens here: with many shards most have none
+            some_rows, place = np.unique(d, return_inverse=True)
+            sums = [np.bincount(place, x[b], len(some_rows)) for x in (known, base, value)]
+            sums[0] = sums[0].astype(np.uint32)
             told = np.concatenate([x[h].astype(np.float64) for x in (known, base, value)])
-            out.append((r["chunk"], r["shard"], None, None, None, *(x.tobytes() for x in sums), told.tobytes()))
+            out.append((r["chunk"], r["shard"], None, None, None, *(x.tobytes() for x in sums), told.tobytes(), _narrow(some_rows).tobytes()))
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=_names(PARTS))
 
     return packed.groupBy("shard").applyInArrow(score, PARTS)
@@ -329,15 +348,16 @@ def scores(spark: SparkSession, docs: DataFrame) -> DataFrame:
         null = np.unpackbits(np.frombuffer(head["ids"][8 * n :], np.uint8))[:n].astype(bool)
         sums = np.zeros((3, n))
         # shards in order give the values of the entries in order
-        kept = np.frombuffer(head["heavy"], KEPT)
+        entry, row, times = _unpack_kept(head["heavy"])
         told = np.concatenate([np.frombuffer(r["heavy"], np.float64).reshape(3, -1) for r in rows if r["ids"] is None], axis=1)
         for k in range(3):
-            sums[k] += np.bincount(kept["row"], kept["n"] * told[k][kept["entry"]], n)
+            sums[k] += np.bincount(row, times * told[k][entry], n)
         for r in rows:
             if r["ids"] is None:
-                for k, name in enumerate(("known", "base", "score")):
-                    x = np.frombuffer(r[name], np.float64)
-                    sums[k, : len(x)] += x
+                some = len(r["base"]) // 8
+                at = np.frombuffer(r["rows"], np.uint16 if len(r["rows"]) == 2 * some else np.uint32)
+                for k, (name, kind) in enumerate((("known", np.uint32), ("base", np.float64), ("score", np.float64))):
+                    sums[k, at] += np.frombuffer(r[name], kind)
         return pa.table({
             "doc_id": pa.array(ids, mask=null), "held_out": np.unpackbits(np.frombuffer(head["held"], np.uint8))[:n].astype(bool), "n_tokens": sizes,
             "n_known": sums[0].round().astype(np.int64), "base_score": sums[1] - sizes * np.log10(norm), "score": sums[2]})

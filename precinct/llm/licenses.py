@@ -1,11 +1,11 @@
 """License scan by a positional index of rare template words.
 
 Templates are short wordings of licenses; each has key phrases that must stand in the text. Word frequencies of all documents
-give every template word an IDF. A document's template words are looked up from the highest IDF down: the postings of a word
-(template, position) meet the word's places in the document, which gives the relative position (place minus position) at which
-a template may stand. Every template's anchors, its rarest words, are looked up, so that no place of a key phrase is missed; the
-postings of the other words then score how much of the template stands at that relative position. A place counts if its key
-phrase stands there consecutively.
+give every template word an IDF. Only the anchors have postings (template, position): the rarest word of each key phrase, chosen once for
+all documents. A posting meets the word's places in the document, which gives the relative position (place minus position) at which
+a template may stand; as a key phrase holds its anchor, no place is missed. A place counts if its key phrase stands there
+consecutively, and scores by the template's words that stand at that relative position. Both are found by comparing words: the other
+words have no postings, and none are intersected.
 
 Words: runs of a-z, 0-9 and non-ASCII characters after lower-casing A-Z. A null or empty text has no words and no labels. A very
 long text is one row's work. Rows are independent: copies and repeated ids give the same result each; ties of IDF go to the

@@ -388,5 +388,5 @@ def test_digest_of_registered_rows(spark):
     import __spark_entry__ as entry
 
     names = {q.split("_")[0] for q in entry.queries() if q.startswith("op")}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in entry.queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in entry.queries()
     assert hashlib.sha256(b"").hexdigest() == brute.sha("")

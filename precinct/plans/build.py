@@ -18,7 +18,7 @@ from precinct.operators.polygons import explode_layer, validity
 from precinct.operators.spatial import nearest_pairs
 from precinct.operators.validation import AREA_RULES, BLOCK_RULES, INCIDENT_RULES, split_valid, with_errors
 from precinct.schemas import AREA, BLOCK, INCIDENT, NEIGHBOURS
-from precinct.session import materialize
+from precinct.session import materialize, own_intermediates
 from precinct.sources import files
 from precinct.sources.sinks import incident_month, save_tables, write_rejects
 
@@ -192,8 +192,13 @@ def run_build(
     """Read the sources, build the three tables and upsert them; rejects go to JSON.
 
     The incident file is read once, into distinct rows with counts; everything
-    after that works on reduced tables in the shared folder.
+    after that works on reduced tables in the shared folder, which go when the job has ended.
     """
+    with own_intermediates(spark):
+        return _run_build(spark, inputs, out, nearby, parts, radius_km, k)
+
+
+def _run_build(spark: SparkSession, inputs: Inputs, out: str, nearby: bool, parts: int, radius_km: float, k: int) -> dict:
     concordance = files.read_concordance(spark, inputs.concordance)
     areas = materialize(area_dimension(concordance), "area-dimension")
     blocks = materialize(code_remap(concordance), "block-remap")

@@ -100,16 +100,16 @@ def query_incidents(
     return paginate(kept, "event_id", page, page_size, INCIDENT_PAGE, after).select(*(columns or EVENT_MODEL))
 
 
-def month_parts(month: str | None = None, start_date: str | None = None, end_date: str | None = None):
-    """Test for the names of the stored parts (months, or ``undated``) that can hold rows of the dates; None for all."""
+def month_parts(month: str | None = None, start_date: str | None = None, end_date: str | None = None) -> Column | None:
+    """Condition on the stored parts (months, or ``undated``) that can hold rows of the dates; None for all."""
     if month is None and start_date is None and end_date is None:
         return None
     low, high = max(month or "", (start_date or "")[:7]), min(month or "9999-99", (end_date or "9999-99")[:7])
-    return lambda part: part != "undated" and low <= part <= high
+    return (F.col("part") != "undated") & F.col("part").between(low, high)
 
 
 def query_stored_incidents(table: KeyedTable, areas: DataFrame | None = None, **params) -> DataFrame:
-    """``query_incidents`` on the stored table; only the folders of months that can match are listed and read."""
+    """``query_incidents`` on the stored table; only the folders of months that can match are read."""
     dates = {k: params.get(k) for k in ("month", "start_date", "end_date")}
     return query_incidents(table.read(month_parts(**dates)), areas, **params)
 

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+_own = threading.local()
+
 
 def get_session(app: str = "precinct", master: str | None = None, conf: dict | None = None) -> SparkSession:
     """Build (or fetch) a session with the defaults this package is tuned for.
@@ -69,5 +73,21 @@ def materialize(df, label: str):
     which is what its broadcast decision needs.
     """
     path = scratch_path(df.sparkSession, label)
+    if getattr(_own, "paths", None) is not None:
+        _own.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def own_intermediates(spark: SparkSession):
+    """What is materialized inside is removed at the end; nothing that reads it may be left by then."""
+    outer, _own.paths = getattr(_own, "paths", None), []
+    try:
+        yield
+    finally:
+        files = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in _own.paths:
+            at = files.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+        _own.paths = outer

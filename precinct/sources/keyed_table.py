@@ -1,166 +1,83 @@
-"""A keyed parquet table with idempotent upserts and no rewrite of untouched parts.
+"""Keyed upserts into a plain Parquet table, partitioned by a function of the key.
 
-Rows live under ``part=<p>/snap=<n>/``. The part is a function of the key. An upsert writes its rows once, as a new folder in
-every part they fall into. Only parts that already hold one of the keys, or have gathered many folders, are merged and
-rewritten; the others just get one folder more. New files are invisible until one small commit names them; a commit holds the
-folders of all parts, so readers need the newest one alone. A job that dies half-way leaves only files nobody reads, and
-running it again gives the same table.
+Only partitions that new keys fall into are read, and only those that already hold one of the keys are rewritten, by dynamic partition
+overwrite; rows of the others are appended. Rows carry the number of the batch that wrote them: a batch that is run again finds its
+own keys and gives the same table, and one that comes late leaves rows of later batches alone. For one writer at a time; versions,
+concurrent writers and compaction are the business of a table format.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Callable
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructField, StructType, StringType
-
-_COMMIT = "part string, folders array<string>, schema string, parts int, writer string"
-#: A part with so many folders is merged when next touched.
-MERGE = 8
-
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-class ConcurrentWrite(RuntimeError):
-    """Another writer committed the same version first; nothing of this write is visible, and it can be run again."""
+from precinct.session import materialize
 
-
-def _or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
-    """What is read, or None where nothing has been written yet."""
-    try:
-        return read()
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+BATCH = "_batch"
 
 
 class KeyedTable:
-    """Any number of readers; of writers that start from the same version one succeeds."""
-
     def __init__(self, spark: SparkSession, path: str, keys: list[str], parts: int = 16, part: Column | None = None, sort: tuple[str, ...] = ()):
         """``part`` must depend on the key alone (default: its hash into ``parts``); ``sort`` orders the rows of a file."""
         self.spark, self.path, self.keys, self.sort = spark, path.rstrip("/"), list(keys), list(sort)
-        self.parts = parts if part is None else -1
-        self.part = part if part is not None else F.pmod(F.xxhash64(*keys), F.lit(parts))
+        # the number of parts is in the column's name, so a table can't be opened with another one
+        self.column = f"part_of_{parts}" if part is None else "part"
+        self.part = (part if part is not None else F.pmod(F.xxhash64(*keys), F.lit(parts))).cast("string")
 
-    def _commits(self) -> DataFrame | None:
-        read = self.spark.read.schema(f"{_COMMIT}, v bigint")
-        return _or_none(lambda: read.json(f"{self.path}/_commits").select("*", F.col("_metadata.file_modification_time").alias("at")))
-
-    def _version(self) -> tuple[int, list]:
-        """Newest version and its state: one row per part, never data."""
-        commits = self._commits()
-        newest = commits.agg(F.max("v")).first()[0] if commits is not None else None
-        if newest is None:
-            return 0, []
-        rows = commits.where(F.col("v") == newest).collect()
-        first = min((r["at"], r["writer"]) for r in rows)[1]
-        rows = [r for r in rows if r["writer"] == first]
-        if rows[0]["parts"] != self.parts:
-            raise ValueError(f"{self.path} has {rows[0]['parts']} parts, not {self.parts}")
-        return newest, rows
-
-    def _scan(self, state: list) -> DataFrame | None:
-        paths = [f for r in state for f in r["folders"]]
-        if not paths:
-            return None
-        return self.spark.read.schema(StructType.fromJson(json.loads(state[0]["schema"]))).parquet(*[f"{self.path}/data/{p}" for p in paths])
-
-    def read(self, parts: Callable[[str], bool] | None = None) -> DataFrame:
-        """The rows, or those of the parts whose name passes; other folders are not even listed."""
-        _, state = self._version()
-        if not state:
-            raise ValueError(f"{self.path} holds no committed rows")
-        chosen = [r for r in state if parts is None or parts(r["part"])]
-        if not chosen:
-            return self.spark.createDataFrame([], StructType.fromJson(json.loads(state[0]["schema"])))
-        return self._scan(chosen)
+    def _stored(self) -> DataFrame | None:
+        try:
+            schema = self.spark.read.parquet(self.path).schema
+        except AnalysisException as e:
+            if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
+            raise
+        if self.column not in schema.names:
+            raise ValueError(f"{self.path} is not partitioned by {self.column}")
+        # names of parts stay text
+        return self.spark.read.schema(T.StructType([T.StructField(f.name, T.StringType()) if f.name == self.column else f for f in schema])).parquet(self.path)
 
     def exists(self) -> bool:
-        return bool(self._version()[1])
+        return self._stored() is not None
 
-    def upsert(self, updates: DataFrame, order: Column | None = None, clustered: bool = False, unique: bool = False) -> None:
-        """Insert new keys, replace known ones whole.
+    def read(self, parts: Column | None = None) -> DataFrame:
+        """The rows, or those of some parts: ``parts`` is a condition on the column ``part``, and only matching folders are read."""
+        rows = self._stored()
+        if rows is None:
+            raise ValueError(f"{self.path} holds no rows")
+        rows = rows.withColumnRenamed(self.column, "part")
+        return (rows if parts is None else rows.where(parts)).drop("part", BATCH)
+
+    def upsert(self, updates: DataFrame, order: Column | None = None, clustered: bool = False, unique: bool = False, batch: int = 0) -> None:
+        """Insert new keys, replace known ones whole, except rows of later batches.
 
         A key that comes twice is an error, unless ``order`` says which row wins (largest); ``unique`` vouches for keys that
         need no check. ``clustered`` says that the updates already come grouped by part. No rows change nothing.
         """
         if order is not None:
-            best = F.max_by(F.struct(*updates.columns), order).alias("_row")
-            updates = updates.groupBy(*self.keys).agg(best).select("_row.*")
-        version, state = self._version()
-        # a name no failed attempt can have used, sorting after every committed one
-        snap = f"{version + 1:012d}-{uuid.uuid4().hex[:8]}"
-        schema = updates.schema
-        self._write(updates, snap, clustered)
-        fresh = self._written(schema, snap)
-        if fresh is None:
-            return
+            updates = updates.groupBy(*self.keys).agg(F.max_by(F.struct(*updates.columns), order).alias("_row")).select("_row.*")
+        fresh, old = updates.withColumns({BATCH: F.lit(batch).cast("bigint"), self.column: self.part}), self._stored()
+        if old is None and (unique or order is not None):
+            return self._write(fresh, "append", clustered)
+        fresh = materialize(fresh, "updates")
         if order is None and not unique and not fresh.groupBy(*self.keys).count().where("count > 1").isEmpty():
             raise ValueError(f"keys {self.keys} repeat")
-        touched = {r["part"] for r in fresh.select("part").distinct().collect()}
-        old = [r for r in state if r["part"] in touched]
-        merged = self._merged(old, fresh)
-        if merged:
-            survivors = self._scan([r for r in old if r["part"] in merged]).join(fresh.select(*self.keys), self.keys, "left_anti")
-            known = set(survivors.columns)
-            self._write(survivors.select(*[(F.col(f.name) if f.name in known else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema]), snap, False)
-        folders = {r["part"]: list(r["folders"]) for r in state}
-        for p in touched:
-            folders[p] = ([] if p in merged else folders.get(p, [])) + [f"part={p}/snap={snap}"]
-        self._publish(version + 1, folders, schema.json())
-
-    def _written(self, schema: StructType, snap: str) -> DataFrame | None:
-        """The new rows with their part, or None if there were none."""
-        whole = StructType([*schema, StructField("part", StringType()), StructField("snap", StringType())])
-        read = self.spark.read.schema(whole).option("basePath", f"{self.path}/data")
-        return _or_none(lambda: read.parquet(f"{self.path}/data/part=*/snap={snap}"))
-
-    def _merged(self, old: list, fresh: DataFrame) -> set[str]:
-        """Parts to be rewritten: they hold one of the new keys, or many folders."""
-        rows = self._scan(old)
-        if rows is None:
-            return set()
-        known = rows.withColumn("part", self.part.cast("string")).select("part", *self.keys)
-        hit = known.join(fresh.select(*self.keys), self.keys, "left_semi").select("part").distinct()
-        return {r["part"] for r in hit.collect()} | {r["part"] for r in old if len(r["folders"]) >= MERGE}
-
-    def _publish(self, version: int, folders: dict[str, list[str]], schema: str) -> None:
-        writer, path = uuid.uuid4().hex, f"{self.path}/_commits/v={version}"
-        rows = self.spark.createDataFrame([(p, f, schema, self.parts, writer) for p, f in sorted(folders.items())], _COMMIT).coalesce(1)
-        try:
-            rows.write.mode("error").json(path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_ALREADY_EXISTS":
-                raise
-            raise ConcurrentWrite(f"version {version} of {self.path}") from e
-        # two writers may both have found the folder free: the file that was there first counts, for readers as here
-        there = self._commits().where(F.col("v") == version).select("at", "writer").distinct().collect()
-        if min((r["at"], r["writer"]) for r in there)[1] != writer:
-            raise ConcurrentWrite(f"version {version} of {self.path}")
-
-    def vacuum(self, keep: int = 1) -> None:
-        """Empty the folders and commits that only versions before the newest ``keep`` name. No reader may use those any more."""
-        version, _ = self._version()
-        commits = self._commits()
-        if commits is None or not version:
-            return
-        rows = commits.select("v", "folders").collect()
-        live = {f for r in rows if r["v"] > version - keep for f in r["folders"]}
-        dead = sorted({f for r in rows if r["v"] <= version - keep for f in r["folders"]} - live)
-        nothing = self.spark.createDataFrame([], _COMMIT)
-        for f in dead:
-            nothing.write.mode("overwrite").parquet(f"{self.path}/data/{f}")
-        for v in sorted({r["v"] for r in rows if r["v"] <= version - keep}):
-            nothing.write.mode("overwrite").json(f"{self.path}/_commits/v={v}")
-
-    def _write(self, rows: DataFrame, snap: str, clustered: bool) -> None:
-        rows = rows.withColumn("part", self.part.cast("string"))
+        if old is None:
+            return self._write(fresh, "append")
+        if set(old.columns) != set(fresh.columns):
+            raise ValueError(f"columns {sorted(updates.columns)} are not those of {self.path}")
+        among = lambda names: F.col(self.column).isin([r[0] for r in names.distinct().collect()])
+        old = old.where(among(fresh.select(self.column)))
+        known = materialize(old.select(self.column, BATCH, *self.keys).join(fresh.select(*self.keys), self.keys, "left_semi"), "known")
+        fresh = fresh.join(known.where(F.col(BATCH) > batch).select(*self.keys), self.keys, "left_anti")
+        met = among(known.where(F.col(BATCH) <= batch).select(self.column))
+        self._write(fresh.where(~met), "append")
+        kept = old.where(met).join(fresh.select(*self.keys), self.keys, "left_anti")
+        self._write(kept.unionByName(fresh.where(met)), "overwrite")
+
+    def _write(self, rows: DataFrame, mode: str, clustered: bool = False) -> None:
         if not clustered:
             # AQE splits large parts and merges small ones to even files
-            rows = rows.hint("rebalance", "part")
+            rows = rows.hint("rebalance", self.column)
         if self.sort:
-            rows = rows.sortWithinPartitions("part", *self.sort)
-        rows.withColumn("snap", F.lit(snap)).write.mode("append").partitionBy("part", "snap").parquet(f"{self.path}/data")
+            rows = rows.sortWithinPartitions(self.column, *self.sort)
+        rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(self.column).parquet(self.path)

@@ -10,6 +10,7 @@ from precinct.functions.text import code_text, strip_space
 from precinct.operators.copies import count_copies, expand_copies
 from precinct.plans.build import build_incidents, split_incidents
 from precinct.schemas import INCIDENT, INCIDENT_COLUMNS
+from precinct.session import own_intermediates
 from precinct.sources import files
 from precinct.sources.keyed_table import KeyedTable
 
@@ -29,8 +30,9 @@ def upsert_stream(stream: DataFrame, table: KeyedTable, checkpoint: str, transfo
     on the row alone, so a batch that is replayed after a failure changes nothing.
     """
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        table.upsert(transform(batch) if transform else batch, order, unique=unique)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with own_intermediates(batch.sparkSession):
+            table.upsert(transform(batch) if transform else batch, order, unique=unique, batch=batch_id)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -46,7 +48,7 @@ def read_incident_stream(spark: SparkSession, folder: str, example: str, encodin
     reader = spark.readStream.schema(schema).option("header", True).option("sep", "\t").option("encoding", encoding)
     reader = reader.option("maxFilesPerTrigger", files_per_batch)
     rows = reader.option("quote", '"').option("escape", '"').csv(folder)
-    columns = [strip_space(F.col(f"_c{position[src]}")).alias(name) for src, name in INCIDENT_COLUMNS.items()]
+    columns = [strip_space(files.present(F.col(f"_c{position[src]}"))).alias(name) for src, name in INCIDENT_COLUMNS.items()]
     rows = rows.select(*columns, F.col("_metadata.file_path").alias("source"))
     return rows.withColumn("meshblock", code_text(F.col("meshblock")))
 
@@ -72,7 +74,8 @@ def monthly_count_stream(stream: DataFrame, area: str, date: str, table: KeyedTa
         .groupBy(F.col(area).alias("area"), month_floor(F.col(date)).alias("month")).agg(F.count(F.lit(1)).alias("n"))
     )
 
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        table.upsert(batch, unique=True)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with own_intermediates(batch.sparkSession):
+            table.upsert(batch, unique=True, batch=batch_id)
 
     return counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

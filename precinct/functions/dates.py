@@ -11,8 +11,12 @@ MONTHS = (
 )
 
 
+# First and last month whose first day a timestamp of nanoseconds in 64 bits can hold.
+FIRST, LAST = "1677-10-01", "2262-04-01"
+
+
 def month_from_name(c: Column) -> Column:
-    """``May 2023`` -> 2023-05-01, any case; null when it does not parse.
+    """``May 2023`` -> 2023-05-01, any case; null when it does not parse or lies outside of ``FIRST`` to ``LAST``.
 
     A name lookup, since a timestamp pattern costs several times as much per row.
     """
@@ -21,7 +25,8 @@ def month_from_name(c: Column) -> Column:
     name, digits = F.get(words, F.lit(0)), F.get(words, F.lit(1))
     year = F.when((F.size(words) == 2) & digits.rlike("^[0-9]{4}$") & (digits != "0000"), digits.try_cast("int"))
     month = F.try_element_at(numbers, F.lower(name))
-    return F.when(year.isNotNull() & month.isNotNull(), F.make_date(year, month, F.lit(1)))
+    day = F.when(year.isNotNull() & month.isNotNull(), F.make_date(year, month, F.lit(1)))
+    return F.when(day.between(F.to_date(F.lit(FIRST)), F.to_date(F.lit(LAST))), day)
 
 
 def month_floor(c: Column) -> Column:

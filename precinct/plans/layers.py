@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from precinct.operators.polygons import centroids, collect_layer, explode_layer, reproject, simplify
 from precinct.session import materialize
-from precinct.sources.sinks import write_layer, write_layer_batches
+from precinct.sources.sinks import write_collection, write_layer, write_layer_batches
 
 
 def sort_layer(layer: DataFrame, column: str, tie: str) -> DataFrame:
@@ -34,13 +34,15 @@ def prepare_layer(layer: DataFrame, feature_id: str, epsg: int = 4326, tolerance
     return out.select(*properties, "longitude", "latitude", "coordinates")
 
 
-def write_prepared(layer: DataFrame, path: str, feature_id: str, sort: str | None = None, batch: int | None = None) -> None:
-    """One set of Feature lines, or one FeatureCollection per ``batch`` features."""
+def write_prepared(layer: DataFrame, path: str, feature_id: str, sort: str | None = None, batch: int | None = None, lines: bool = True) -> None:
+    """One set of Feature lines, or one FeatureCollection, in parts or with ``batch`` features to a file."""
     properties = [c for c in layer.columns if c not in ("coordinates", "geometry_type")]
     if sort is not None and sort not in layer.columns:
         raise ValueError(f"no column {sort} to sort by")
     order = ([F.col(sort).asc_nulls_last()] if sort else []) + [F.col(feature_id)]
-    if batch is None:
+    if batch is None and not lines:
+        write_collection(layer, path, properties, order)
+    elif batch is None:
         write_layer(sort_layer(layer, sort, feature_id) if sort else layer, path, properties)
     else:
         write_layer_batches(layer, path, properties, order, batch)

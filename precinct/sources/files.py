@@ -10,6 +10,11 @@ from precinct.schemas import CENSUS, CENSUS_COLUMNS, CONCORDANCE_COLUMNS, INCIDE
 # Encodings in the order they are tried. ISO-8859-1 (Latin-1) decodes
 # any byte, so nothing after it could be reached.
 ENCODINGS = ("utf-8", "utf-16", "iso-8859-1")
+# Fields that stand for a missing value.
+MISSING = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
+    "n/a", "nan", "null",
+)
 REPLACEMENT = "�"
 
 
@@ -36,6 +41,11 @@ def row_position() -> Column:
     return F.shiftleft(offset, 20) + F.pmod(F.xxhash64("_metadata.file_path"), F.lit(1 << 20))
 
 
+def present(c: Column) -> Column:
+    """The text of a field, or null where it stands for a missing value."""
+    return F.when(~c.isin(*MISSING), c)
+
+
 def header(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
     """Column names of a headed file; reads its first line only."""
     reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
@@ -57,7 +67,7 @@ def _text_columns(
     if missing:
         raise ValueError(f"columns missing in {path}: {missing}")
     more = [] if source is None else [source.alias("source")]
-    return df.select(*[F.col(f"_c{position[w]}").alias(w) for w in wanted], order().alias("row_no"), *more)
+    return df.select(*[present(F.col(f"_c{position[w]}")).alias(w) for w in wanted], order().alias("row_no"), *more)
 
 
 def detect_encoding(spark: SparkSession, path: str, wanted=tuple(INCIDENT_COLUMNS), sep: str = "\t") -> str:
@@ -110,17 +120,48 @@ def _parts(geometry_type: Column, coordinates: Column) -> Column:
     return F.when(geometry_type == "Polygon", polygon).when(geometry_type == "MultiPolygon", multi)
 
 
+#: What every feature of a collection holds once, as common writers put it: after its opening brace and the name of the member.
+FEATURE = '"Feature"'
+_OPENING = r'\{\s*"type"\s*:\s*$'
+
+
+def _feature_records(spark: SparkSession, path: str) -> DataFrame:
+    """A FeatureCollection cut at each feature's type, so that a file is split freely: text, row_no and regular.
+
+    The record before a file's first cut is its head; every other one starts inside a feature, right after its type, and ends inside the next. It
+    is regular if it does so. The files of a folder may also be the parts of one collection.
+    """
+    records = spark.read.option("lineSep", FEATURE).text(path).select(F.col("value").alias("text"), file_order().alias("row_no"), F.col("_metadata.file_path").alias("_file"))
+    head = F.rlike("text", F.lit(r"^[\x{FEFF}\s,]*\{"))
+    opens = F.rlike("text", F.lit(_OPENING))
+    inner = F.rlike("text", F.lit(r"^\s*[,}]"))
+    return records.withColumns({"head": head, "opens": opens, "regular": head | inner})
+
+
+def _is_regular(records: DataFrame) -> bool:
+    """Every file has one head, and all its records but one, the last, end where a feature starts."""
+    files = records.groupBy("_file").agg(
+        F.bool_and("regular").alias("regular"), F.count(F.when(F.col("head"), 1)).alias("heads"), F.count(F.when(~F.col("opens"), 1)).alias("ends"),
+        F.max(F.struct("row_no", "opens")).getField("opens").alias("open"), F.min(F.struct("row_no", "head")).getField("head").alias("first"))
+    return files.where(~F.col("regular") | (F.col("heads") != 1) | (F.col("ends") != 1) | F.col("open") | ~F.col("first")).isEmpty()
+
+
 def read_layer(spark: SparkSession, path: str, properties: dict[str, str], lines: bool = False) -> DataFrame:
     """GeoJSON layer -> row_no, the named properties, geometry_type, coordinates.
 
-    A FeatureCollection is one JSON document per file and is read whole by one
-    task; with ``lines`` every line is a Feature and files split freely.
+    A FeatureCollection is read in parallel, cut at its features; one whose features don't start with their type, or that has other members with
+    the value "Feature", is read whole by one task. With ``lines`` every line is a Feature.
     """
     props = T.StructType([T.StructField(k, T.StringType() if t == "string" else T.DoubleType()) for k, t in properties.items()])
     geometry = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
     feature = T.StructType([T.StructField("properties", props), T.StructField("geometry", geometry)])
+    records = None if lines else _feature_records(spark, path)
     if lines:
         df = spark.read.schema(feature).json(path).select("*", file_order().alias("row_no"))
+    elif _is_regular(records):
+        # the parser stops where the feature ends: what the record holds of the next one is not read
+        one = F.from_json(F.concat(F.lit('{"type":"Feature"'), F.col("text")), feature)
+        df = records.where(~F.col("head")).select(one.alias("_f"), "row_no").select("_f.*", "row_no")
     else:
         document = T.StructType([T.StructField("features", T.ArrayType(feature))])
         df = spark.read.schema(document).option("multiLine", True).json(path)

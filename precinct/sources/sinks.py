@@ -49,6 +49,20 @@ def write_layer(layer: DataFrame, path: str, properties: list[str]) -> None:
     layer.select(text.alias("value")).write.mode("overwrite").text(path)
 
 
+def write_collection(layer: DataFrame, path: str, properties: list[str], order: list[Column]) -> None:
+    """One FeatureCollection in the given order, written in parallel: its parts, put one after the other, are the document."""
+    numbered = number_rows(layer, order, "_number")
+    last = numbered.agg(F.max("_number")).first()[0]
+    if last is None:
+        rows = layer.sparkSession.createDataFrame([('{"type":"FeatureCollection","features":[]}',)], "value string")
+    else:
+        before = F.when(F.col("_number") == 1, '{"type":"FeatureCollection","features":[').otherwise(",")
+        after = F.when(F.col("_number") == last, "]}").otherwise("")
+        text = feature_text(properties, F.col("geometry_type"), F.col("coordinates"))
+        rows = numbered.orderBy("_number").select(F.concat(before, text, after).alias("value"))
+    rows.write.mode("overwrite").text(path)
+
+
 def batch_numbers(df: DataFrame, order: list[Column], size: int, out: str = "batch") -> DataFrame:
     """Consecutive batches of ``size`` rows in the given total order, from 1."""
     numbered = number_rows(df, order, "_number")

@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from precinct.functions.scores import DEFAULT_POPULATION
 from precinct.functions.text import clean_text
 
+#: Letters of the pieces by which texts that hold others are found.
+GRAM = 4
+
 
 def last_row_wins(df: DataFrame, key: str, row_no: str, attributes: list[str]) -> DataFrame:
     """One row per non-empty key holding the attributes of its last row."""
@@ -81,36 +84,60 @@ def _substrings(df: DataFrame, text: str, lengths: Column) -> DataFrame:
     return sized.withColumn("_part", F.explode(cut))
 
 
+def _short(df: DataFrame, text: str) -> DataFrame:
+    return df.where(F.length(text) <= GRAM)
+
+
+def _holders(outer: DataFrame, o: str, inner: DataFrame, i: str) -> DataFrame:
+    """Distinct (o, i) where the text o holds the text i, for texts i longer than GRAM.
+
+    Every text i is looked up by its piece of GRAM letters that fewest texts o have; those that have it are tried.
+    """
+    pieces = _substrings(outer.select(o).distinct(), o, F.array(F.lit(GRAM))).select(o, "_part")
+    asked = _substrings(inner.select(i).where(F.length(i) > GRAM).distinct(), i, F.array(F.lit(GRAM))).select(i, "_part")
+    rarest = asked.join(pieces.groupBy("_part").agg(F.count(F.lit(1)).alias("_df")), "_part", "left")
+    # a piece that no text o has rules its text out
+    rarest = rarest.groupBy(i).agg(F.min(F.struct(F.coalesce("_df", F.lit(0)).alias("df"), "_part")).alias("_k")).where("_k.df > 0")
+    return rarest.select(i, F.col("_k._part").alias("_part")).join(pieces, "_part").where(F.contains(F.col(o), F.col(i))).select(o, i)
+
+
 def first_containing(names: DataFrame, name: str, census: DataFrame, area: str, value: str, row_no: str) -> DataFrame:
     """For each name the first census row whose area holds the name or is held by it.
 
-    Ignores case. Containment is turned into equality of substrings: a text has
-    few substrings, so candidates stay proportional to the input instead of
-    names x census rows, and only lengths that exist on the other side are cut.
+    Ignores case. Containment is turned into equality: of whole short texts with pieces of their length, of longer ones by their rarest piece. A
+    text has as many pieces as letters, so candidates stay proportional to the input instead of names x census rows.
     """
     wanted = names.select(F.col(name), F.lower(name).alias("_low")).distinct()
     texts = wanted.select("_low").distinct()
     entries = census.where(F.col(area).isNotNull()).select(F.lower(area).alias("_area"), F.struct(F.col(row_no).alias("row_no"), F.col(value).alias("value")).alias("_hit"))
     entries = entries.groupBy("_area").agg(F.min_by("_hit", F.col("_hit.row_no")).alias("_hit"))
     # the census area lies inside the name
-    inner = _substrings(texts, "_low", _lengths(entries, "_area"))
-    inside = inner.join(entries, inner["_part"] == entries["_area"]).select("_low", "_hit")
-    # the name lies inside the census area: first row per substring, then equality
-    outer = _substrings(entries, "_area", _lengths(texts, "_low"))
+    short = _short(entries, "_area")
+    inner = _substrings(texts, "_low", _lengths(short, "_area"))
+    inside = inner.join(short, inner["_part"] == short["_area"]).select("_low", "_hit")
+    inside = inside.unionByName(_holders(texts, "_low", entries, "_area").join(entries, "_area").select("_low", "_hit"))
+    # the name lies inside the census area: of a short piece only the first row counts
+    few = _short(texts, "_low")
+    outer = _substrings(entries, "_area", _lengths(few, "_low"))
     outer = outer.groupBy("_part").agg(F.min_by("_hit", F.col("_hit.row_no")).alias("_hit"))
-    around = texts.join(outer, texts["_low"] == outer["_part"]).select("_low", "_hit")
+    around = few.join(outer, few["_low"] == outer["_part"]).select("_low", "_hit")
+    around = around.unionByName(_holders(entries, "_area", texts, "_low").join(entries, "_area").select("_low", "_hit"))
     best = inside.unionByName(around).groupBy("_low").agg(F.min_by("_hit", F.col("_hit.row_no")).alias("_hit"))
     return wanted.join(best, "_low").select(name, F.col("_hit.value").alias("value"))
 
 
 def containment_pairs(names: DataFrame, name: str, others: DataFrame, other: str) -> DataFrame:
-    """Distinct (name, other) where one text holds the other, case ignored, by equality of substrings."""
+    """Distinct (name, other) where one text holds the other, case ignored."""
     a = names.select(F.col(name), F.lower(name).alias("_a")).where(F.length("_a") > 0).distinct()
     b = others.select(F.col(other), F.lower(other).alias("_b")).where(F.length("_b") > 0).distinct()
-    inner, outer = _substrings(a, "_a", _lengths(b, "_b")), _substrings(b, "_b", _lengths(a, "_a"))
-    inside = inner.join(b, inner["_part"] == b["_b"]).select(name, other)
-    around = outer.join(a, outer["_part"] == a["_a"]).select(name, other)
-    return inside.union(around).distinct()
+
+    def held(outer: DataFrame, o: str, inner: DataFrame, i: str) -> DataFrame:
+        few = _short(inner, i).select(i).distinct()
+        pieces = _substrings(outer.select(o).distinct(), o, _lengths(few, i))
+        return pieces.join(few, pieces["_part"] == few[i]).select(o, i).unionByName(_holders(outer, o, inner, i))
+
+    pairs = held(a, "_a", b, "_b").unionByName(held(b, "_b", a, "_a")).distinct()
+    return pairs.join(a, "_a").join(b, "_b").select(name, other).distinct()
 
 
 def attach_population(

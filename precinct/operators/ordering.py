@@ -18,6 +18,8 @@ BUCKETS_PER_OCTAVE = 4096
 _TOP = 1 << 40
 #: Distinct values of a bucket that may be sorted in one task, and pieces a larger one is cut into.
 LARGE, PIECES = 100_000, 4096
+#: Values of a group that are sorted whole for its quantiles.
+SORTED = 10_000
 
 
 def order_bucket(value: str) -> Column:
@@ -95,10 +97,43 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, picks: dict[st
 
     ``picks`` maps an output column to (kind, p, q) for the p/q quantile, kind
     being ``inclusive`` (linear between order statistics, ends included) or
-    ``exclusive`` (position p/q * (n + 1)). The data is scanned twice: once for
+    ``exclusive`` (position p/q * (n + 1)). Groups of up to SORTED values are sorted, after one shuffle; larger ones are scanned twice: once for
     bounded histograms, once for the few buckets that hold a wanted rank.
     """
     data = df.select(*groups, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    if not groups:
+        return _by_histogram(data, groups, picks)
+    sizes = materialize(data.groupBy(*groups).agg(F.count(F.lit(1)).alias("_total")), "group-sizes")
+    large = sizes.where(F.col("_total") > SORTED)
+    n = sizes.agg(F.count(F.lit(1)).alias("all"), F.count_if(F.col("_total") > SORTED).alias("large")).first()
+    if n["all"] == n["large"]:
+        return _by_histogram(data, groups, picks)
+    if not n["large"]:
+        return _by_order(data, groups, picks)
+    same = [data[c].eqNullSafe(large[c]) for c in groups]
+    return _by_order(data.join(large, same, "left_anti"), groups, picks).unionByName(_by_histogram(data.join(large, same, "left_semi"), groups, picks))
+
+
+def _between(low: Column, high: Column, weight: Column) -> Column:
+    return F.when(low == high, low).otherwise(low * (F.lit(1.0) - weight) + high * weight)
+
+
+def _by_order(data: DataFrame, groups: list[str], picks: dict[str, tuple[str, int, int]]) -> DataFrame:
+    """Equal values of a group counted, and running totals in their order; all of it in one partitioning by group."""
+    whole = Window.partitionBy(*groups)
+    upto = whole.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    counted = data.repartition(*groups).groupBy(*groups, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counted = counted.withColumns({"_upto": F.sum("_n").over(upto), "_total": F.sum("_n").over(whole)})
+    at = lambda rank: F.max(F.when((rank <= F.col("_upto")) & (rank > F.col("_upto") - F.col("_n")), F.col("_v")))
+
+    def value_of(name, kind, p, q):
+        low, high, weight = _positions(kind, p, q, F.col("_total"))
+        return _between(at(low), at(high), F.max(weight.cast("double") / q)).alias(name)
+
+    return counted.groupBy(*groups).agg(*[value_of(name, *pick) for name, pick in picks.items()])
+
+
+def _by_histogram(data: DataFrame, groups: list[str], picks: dict[str, tuple[str, int, int]]) -> DataFrame:
     data = data.withColumn("_bucket", order_bucket("_v"))
     keys = [F.col(g) for g in groups] or [F.lit(0)]
     hist = data.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -140,8 +175,7 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, picks: dict[st
     def value_of(name):
         at = lambda side: F.max(F.when((F.col("pick") == name) & (F.col("side") == side), F.col("_v")))
         weight = F.max(F.when(F.col("pick") == name, F.col("weight")))
-        low, high = at("low"), at("high")
-        return F.when(low == high, low).otherwise(low * (F.lit(1.0) - weight) + high * weight).alias(name)
+        return _between(at("low"), at("high"), weight).alias(name)
 
     return picked.groupBy(*groups).agg(*[value_of(name) for name in picks])
 

@@ -240,44 +240,91 @@ def crossings(vertices: DataFrame) -> DataFrame:
     return pairs.where(wrong).select("feature_id").distinct()
 
 
+def _containment(probes: DataFrame, edges: DataFrame) -> DataFrame:
+    """feature_id, part, ring, k of each probe with the rings (b_part, b_ring) that have edges over it: odd (it lies inside) and on (on an edge).
+
+    Parity of the edges above the probe. Probes and edges meet in columns of a feature, as many as it has probes, so a probe sees the
+    edges over its own column only.
+    """
+    sized = edges.groupBy("feature_id").agg(F.min(F.least("x", "x2")).alias("_lo"), F.max(F.greatest("x", "x2")).alias("_hi"))
+    grid = sized.join(probes.groupBy("feature_id").agg(F.count(F.lit(1)).alias("_n")), "feature_id")
+    column = lambda x: F.floor((x - F.col("_lo")) / ((F.col("_hi") - F.col("_lo")) / F.col("_n")))
+    spans = edges.select("feature_id", F.col("part").alias("b_part"), F.col("ring").alias("b_ring"), "x", "y", "x2", "y2").join(grid, "feature_id")
+    spans = spans.withColumn("_c", F.explode(F.sequence(column(F.least("x", "x2")), column(F.greatest("x", "x2"))))).drop("_lo", "_hi", "_n")
+    asked = probes.join(grid, "feature_id").withColumn("_c", column(F.col("px"))).drop("_lo", "_hi", "_n")
+    met = asked.join(spans, ["feature_id", "_c"]).where((F.col("part") != F.col("b_part")) | (F.col("ring") != F.col("b_ring")))
+    x, y, x2, y2, px, py = map(F.col, ("x", "y", "x2", "y2", "px", "py"))
+    over = ((x > px) != (x2 > px)) & (y + (px - x) * F.try_divide(y2 - y, x2 - x) > py)
+    on = (_turn(x, y, x2, y2, px, py) == 0) & _within_box(x, y, x2, y2, px, py)
+    return met.groupBy(*RING, "k", "b_part", "b_ring").agg((F.count_if(over) % 2 == 1).alias("odd"), F.bool_or(on).alias("on"))
+
+
+def misplaced(vertices: DataFrame) -> DataFrame:
+    """Features of several rings with a hole outside its shell, a hole inside another one, or a part inside another part: (feature_id).
+
+    For rings that don't cross, where one vertex lies tells where the ring does. A vertex that lies on the other ring tells nothing; for
+    such pairs all vertices and edge midpoints are tried, and the first that is off the other ring counts.
+    """
+    several = vertices.where(F.col("seq") == 0).groupBy("feature_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("feature_id")
+    edges = materialize(segments(vertices.join(several, "feature_id", "left_semi")), "ring-edges")
+    edges = edges.where((F.col("x") != F.col("x2")) | (F.col("y") != F.col("y2")))
+    first = edges.groupBy(*RING).agg(F.min_by(F.struct("x", "y"), "seq").alias("_p")).select(*RING, F.lit(0).alias("k"), F.col("_p.x").alias("px"), F.col("_p.y").alias("py"))
+    pair = [*RING, "b_part", "b_ring"]
+    found = materialize(_containment(first, edges), "ring-places")
+    doubt = found.where("on").select(*pair)
+    if not doubt.isEmpty():
+        ends = edges.select(*RING, (F.col("seq") * 2).alias("k"), F.col("x").alias("px"), F.col("y").alias("py"))
+        middles = edges.select(*RING, (F.col("seq") * 2 + 1).alias("k"), ((F.col("x") + F.col("x2")) / 2).alias("px"), ((F.col("y") + F.col("y2")) / 2).alias("py"))
+        probes = materialize(ends.unionByName(middles).join(doubt.select(*RING).distinct(), RING, "left_semi"), "ring-probes")
+        places = materialize(_containment(probes, edges), "ring-doubts")
+        # probes that no edge of the other ring is over lie outside of it
+        off = probes.select(*RING, "k").join(doubt, RING).join(places.where("on").select(*pair, "k"), [*pair, "k"], "left_anti")
+        off = off.groupBy(*pair).agg(F.min("k").alias("k"))
+        sure = off.join(places.where("odd").select(*pair, "k"), [*pair, "k"], "left_semi").select(*pair)
+        inside = found.where("odd").select(*pair).join(doubt, pair, "left_anti").unionByName(sure)
+    else:
+        inside = found.where("odd").select(*pair)
+    own = F.col("part") == F.col("b_part")
+    in_shell, in_holes = F.count_if(own & (F.col("b_ring") == 0)), F.count_if(own & (F.col("b_ring") > 0))
+    holes = first.where("ring > 0").select(*RING).join(inside, RING, "left").groupBy(*RING).agg(in_shell.alias("shell"), in_holes.alias("holes"))
+    holes = holes.where("shell = 0 or holes > 0").select("feature_id")
+    # a part may lie in a hole of another: then it is inside two of that part's rings
+    shells = inside.where((F.col("ring") == 0) & ~own).groupBy("feature_id", "part", "b_part").agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1").select("feature_id")
+    return holes.unionByName(shells).distinct()
+
+
 def validity(vertices: DataFrame) -> DataFrame:
-    """(feature_id, is_valid): closed rings of 4+ finite points with extent and no crossing."""
+    """(feature_id, is_valid): closed rings of 4+ finite points with extent, no crossing, holes in their shell, not in each other, and parts beside each other."""
     rings = _ring_checks(vertices)
     sound = (F.col("n") >= 4) & F.col("closed") & F.col("finite") & F.col("wide")
     features = rings.groupBy("feature_id").agg(F.bool_and(F.coalesce(sound, F.lit(False))).alias("_sound"))
-    # only sound features are searched for crossings (their numbers are finite)
+    # only sound features are searched for crossings (their numbers are finite), and only those without any for misplaced rings
     checked = vertices.join(features.where("_sound").select("feature_id"), "feature_id", "left_semi")
-    crossed = crossings(checked).withColumn("_crossed", F.lit(True))
-    return features.join(crossed, "feature_id", "left").select(
-        "feature_id", (F.col("_sound") & F.col("_crossed").isNull()).alias("is_valid")
+    crossed = materialize(crossings(checked), "crossed")
+    wrong = crossed.unionByName(misplaced(checked.join(crossed, "feature_id", "left_anti"))).withColumn("_wrong", F.lit(True))
+    return features.join(wrong, "feature_id", "left").select(
+        "feature_id", (F.col("_sound") & F.col("_wrong").isNull()).alias("is_valid")
     )
 
 
-def valid_wkt(vertices: DataFrame) -> DataFrame:
-    """(feature_id, wkt) with a null text for invalid features."""
-    return (
-        layer_wkt(vertices).join(validity(vertices), "feature_id", "left")
-        .select("feature_id", F.when(F.col("is_valid"), F.col("wkt")).alias("wkt"))
-    )
-
-
-def simplify(vertices: DataFrame, tolerance: float = 0.001, tries: int = 3) -> DataFrame:
+def simplify(vertices: DataFrame, tolerance: float = 0.001) -> DataFrame:
     """Thin each ring, and keep valid features valid.
 
-    Features that were valid and are not after thinning are thinned anew with a quarter of the tolerance, up to ``tries`` times;
-    those that still aren't valid keep all their vertices.
+    Features that were valid and are not after thinning are thinned anew with a quarter of the tolerance, until they are valid: at the latest when only
+    vertices on a straight line go. Whether a feature was valid is asked only of those few that are not any more.
     """
     whole = materialize(vertices.select(*RING, "seq", "x", "y"), "simplify-whole")
-    sound = materialize(validity(whole).where("is_valid").select("feature_id"), "simplify-sound")
-    done, todo = [], whole
-    for k in range(tries):
-        thin = materialize(thinned(todo, tolerance / 4**k), "simplify-thin")
-        broken = materialize(validity(thin).where(~F.col("is_valid")).select("feature_id").join(sound, "feature_id", "left_semi"), "simplify-broken")
-        if broken.isEmpty():
-            return reduce(DataFrame.unionByName, [*done, thin])
+    done, todo, step = [], whole, 0
+    while True:
+        thin = materialize(thinned(todo, tolerance / 4**step), "simplify-thin")
+        broken = materialize(validity(thin).where(~F.col("is_valid")).select("feature_id"), "simplify-broken")
+        if step == 0 and not broken.isEmpty():
+            before = validity(whole.join(broken, "feature_id", "left_semi"))
+            broken = materialize(before.where("is_valid").select("feature_id"), "simplify-broken")
         done.append(thin.join(broken, "feature_id", "left_anti"))
-        todo = whole.join(broken, "feature_id", "left_semi")
-    return reduce(DataFrame.unionByName, [*done, todo])
+        if broken.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        todo, step = whole.join(broken, "feature_id", "left_semi"), step + 1
 
 
 def thinned(vertices: DataFrame, tolerance: float) -> DataFrame:

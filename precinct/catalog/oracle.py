@@ -10,7 +10,8 @@ _CASES = " ".join(f"WHEN '{name.lower()}' THEN '{code}'" for code, name in OFFEN
 _STEPS: dict[str, tuple[tuple[str, ...], str]] = {
     "incidents_raw": ((), """
         SELECT o_orderkey AS row_no, ' Area. ' || (o_custkey % 200) || '  Unit ' AS area_unit,
-               CASE WHEN o_orderkey % 97 = 0 THEN 'unknown' ELSE strftime(o_orderdate, '%B %Y') END AS year_month,
+               CASE WHEN o_orderkey % 97 = 0 THEN 'unknown' WHEN o_orderkey % 101 = 0 THEN 'January ' || CASE WHEN o_orderkey % 2 = 0 THEN 9999 ELSE 1500 END
+                    ELSE strftime(o_orderdate, '%B %Y') END AS year_month,
                CAST(o_custkey AS VARCHAR) AS meshblock,
                CASE o_orderkey % 5 WHEN 0 THEN 'Theft and Related Offences' WHEN 1 THEN 'ROBBERY, EXTORTION AND RELATED OFFENCES'
                     WHEN 2 THEN '08 Other' WHEN 3 THEN 'Unlisted' END AS division,
@@ -63,7 +64,8 @@ _STEPS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT *, trim(regexp_replace(replace(area_unit, '.', ' '), '\\s+', ' ', 'g')) AS area_key,
                CASE WHEN regexp_matches(division, '^[0-9]{2}') THEN substr(division, 1, 2)
                     ELSE CASE lower(division) """ + _CASES + """ END END AS code,
-               CAST(try_strptime(year_month, '%B %Y') AS DATE) AS day
+               CASE WHEN CAST(try_strptime(year_month, '%B %Y') AS DATE) BETWEEN DATE '1677-10-01' AND DATE '2262-04-01'
+                    THEN CAST(try_strptime(year_month, '%B %Y') AS DATE) END AS day
         FROM incidents_raw"""),
     "incidents": (("cleaned", "area_dim", "concordance"), """
         SELECT i.row_no, d.suburb_id, i.day, i.code, i.division, i.anzsoc_group, coalesce(m.new_code, i.meshblock) AS block, i.area_key,
@@ -144,12 +146,21 @@ _STEPS: dict[str, tuple[tuple[str, ...], str]] = {
     "flawed": (("incidents",), """
         SELECT CASE WHEN k % 10 = 0 THEN '' ELSE suburb_id END AS suburb_id, CASE WHEN k % 15 = 0 THEN repeat('x', 201) ELSE division END AS division
         FROM (SELECT *, CAST('0x' || substr(event_id, 1, 4) AS INTEGER) AS k FROM incidents)"""),
-    "defective": (("vertices",), """
+    "pinched": (("vertices",), """
         SELECT feature_id, part, ring, seq,
                CASE WHEN feature_id % 13 = 0 AND ring = 0 AND seq = 2 THEN round(166e0 + (feature_id * 91 % 1200) / 100e0 + part * 0.5e0 + 0.05e0, 6) ELSE x END AS x,
                CASE WHEN feature_id % 13 = 0 AND ring = 0 AND seq = 2 THEN round(-47e0 + (feature_id * 37 % 1300) / 100e0, 6) ELSE y END AS y
         FROM (SELECT * EXCLUDE seq, CASE WHEN ring = 0 AND feature_id % 4 = 1 AND seq = 1 THEN 2 WHEN ring = 0 AND feature_id % 4 = 1 AND seq = 2 THEN 1 ELSE seq END AS seq FROM vertices)
         WHERE NOT (feature_id % 7 = 0 AND seq = 4 + feature_id % 5)"""),
+    "defective": (("pinched",), """
+        SELECT feature_id, part, ring, seq, round(CASE WHEN ring = 1 AND feature_id % 16 = 0 THEN x + 0.2e0 ELSE x END, 6) AS x, y FROM pinched
+        UNION ALL
+        SELECT feature_id, part, ring, seq, round(cx + (x - cx) * share, 6), round(cy + (y - cy) * share, 6)
+        FROM (
+          SELECT feature_id, CASE WHEN again THEN 2 ELSE 0 END AS part, CASE WHEN again THEN 0 ELSE 2 END AS ring, seq, x, y, CASE WHEN again THEN 0.05e0 ELSE 0.5e0 END AS share,
+                 166e0 + (feature_id * 91 % 1200) / 100e0 AS cx, -47e0 + (feature_id * 37 % 1300) / 100e0 + 0.001e0 AS cy
+          FROM pinched, (SELECT unnest([true, false]) AS again)
+          WHERE part = 0 AND ((again AND ring = 0 AND feature_id % 17 = 0) OR (NOT again AND ring = 1 AND feature_id % 5 = 0)))"""),
 }
 
 
@@ -254,8 +265,18 @@ _VALIDITY = """
   rings AS (
     SELECT feature_id, part, ring, count(*) >= 4 AND arg_min(x, seq) = arg_max(x, seq) AND arg_min(y, seq) = arg_max(y, seq)
            AND max(x) > min(x) AND max(y) > min(y) AS sound
-    FROM defective GROUP BY 1, 2, 3)
-  SELECT feature_id, bool_and(sound) AND feature_id NOT IN (SELECT feature_id FROM crossed) AS is_valid FROM rings GROUP BY 1"""
+    FROM defective GROUP BY 1, 2, 3),
+  start AS (SELECT feature_id, part, ring, arg_min(x, seq) AS px, arg_min(y, seq) AS py FROM defective GROUP BY 1, 2, 3),
+  inside AS (
+    SELECT s.feature_id, s.part, s.ring, e.part AS b_part, e.ring AS b_ring,
+           count(*) FILTER (WHERE (e.x1 > px) <> (e.x2 > px) AND e.y1 + (px - e.x1) * (e.y2 - e.y1) / (e.x2 - e.x1) > py) % 2 AS odd
+    FROM start s JOIN edge e ON s.feature_id = e.feature_id AND (s.part, s.ring) <> (e.part, e.ring) GROUP BY ALL),
+  misplaced AS (
+    SELECT feature_id FROM inside WHERE ring > 0 AND part = b_part GROUP BY feature_id, part, ring
+    HAVING coalesce(sum(odd) FILTER (WHERE b_ring = 0), 0) = 0 OR coalesce(sum(odd) FILTER (WHERE b_ring > 0), 0) > 0
+    UNION SELECT feature_id FROM inside WHERE ring = 0 AND part <> b_part GROUP BY feature_id, part, b_part HAVING sum(odd) % 2 = 1)
+  SELECT feature_id, bool_and(sound) AND feature_id NOT IN (SELECT feature_id FROM crossed) AND feature_id NOT IN (SELECT feature_id FROM misplaced) AS is_valid
+  FROM rings GROUP BY 1"""
 
 _MERCATOR = """
   , flat AS (SELECT feature_id, part, ring, seq, radians(x) * 6378137e0 AS x, ln(tan(pi() / 4 + radians(y) / 2)) * 6378137e0 AS y FROM vertices),
@@ -316,19 +337,21 @@ _SIMPLIFY = """
 
 
 def _reproject() -> str:
-    from precinct.functions.geo import NZTM2000 as tm
-
-    xi, eta = "xi", "eta"
-    xi0 = xi + "".join(f" - ({b!r}) * sin({2 * k} * xi) * cosh({2 * k} * eta)" for k, b in enumerate(tm.beta, 1))
-    eta0 = eta + "".join(f" - ({b!r}) * cos({2 * k} * xi) * sinh({2 * k} * eta)" for k, b in enumerate(tm.beta, 1))
-    lat = "chi" + "".join(f" + ({x!r}) * sin({2 * k} * chi)" for k, x in enumerate(tm.delta, 1))
+    """Inverse transverse Mercator by the series in n, of the published parameters: GRS80, 173 degrees east, scale 0.9996."""
+    beta = ("n/2 - n**2*2/3 + n**3*37/96 - n**4/360", "n**2/48 + n**3/15 - n**4*437/1440", "n**3*17/480 - n**4*37/840", "n**4*4397/161280")
+    delta = ("n*2 - n**2*2/3 - n**3*2 + n**4*116/45", "n**2*7/3 - n**3*8/5 - n**4*227/45", "n**3*56/15 - n**4*136/35", "n**4*4279/630")
+    xi0 = "xi" + "".join(f" - b{k} * sin({2 * k} * xi) * cosh({2 * k} * eta)" for k in range(1, 5))
+    eta0 = "eta" + "".join(f" - b{k} * cos({2 * k} * xi) * sinh({2 * k} * eta)" for k in range(1, 5))
+    lat = "chi" + "".join(f" + d{k} * sin({2 * k} * chi)" for k in range(1, 5))
     return f"""
-      SELECT id, round(173e0 + degrees(atan2(sinh(eta0), cos(xi0))), 8) AS lng, round(degrees({lat}), 8) AS lat
-      FROM (SELECT *, asin(sin(xi0) / cosh(eta0)) AS chi
-        FROM (SELECT id, {xi0} AS xi0, {eta0} AS eta0
-          FROM (SELECT c_custkey AS id, (4750000.5e0 + (c_custkey * 91 % 1500) * 1000 - 10000000e0) / {tm.scale!r} AS xi,
-                       (1100000.25e0 + (c_custkey * 37 % 1000) * 1000 - 1600000e0) / {tm.scale!r} AS eta
-                FROM customer)))"""
+      WITH n AS (SELECT 1e0 / (2 * 298.257222101e0 - 1) AS n),
+      k AS (SELECT *, 0.9996e0 * 6378137e0 / (1 + n) * (1 + n**2/4 + n**4/64) AS scale,
+              {', '.join(f'{x} AS b{i}' for i, x in enumerate(beta, 1))}, {', '.join(f'{x} AS d{i}' for i, x in enumerate(delta, 1))} FROM n),
+      p AS (SELECT k.*, c_custkey AS id, (4750000.5e0 + (c_custkey * 91 % 1500) * 1000 - 10000000e0) / scale AS xi,
+              (1100000.25e0 + (c_custkey * 37 % 1000) * 1000 - 1600000e0) / scale AS eta FROM customer, k),
+      q AS (SELECT *, {xi0} AS xi0, {eta0} AS eta0 FROM p),
+      r AS (SELECT *, asin(sin(xi0) / cosh(eta0)) AS chi FROM q)
+      SELECT id, round(173e0 + degrees(atan2(sinh(eta0), cos(xi0))), 8) AS lng, round(degrees({lat}), 8) AS lat FROM r"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -426,7 +449,7 @@ def oracle_sql() -> dict[str, str]:
       SELECT split_part(metric_name, '_', 1) AS family, count(*) AS count, round(avg(value), 6) AS average, (SELECT count(*) FROM metrics) AS total_metrics_collected
       FROM metrics GROUP BY 1"""
     q["sorted_layer"] = _with("concordance") + """
-      SELECT row_no AS id, place AS name FROM concordance ORDER BY place, row_no LIMIT 40"""
+      SELECT row_no AS id, place AS name, row_number() OVER (ORDER BY place, row_no) AS position FROM concordance"""
     q["category_frequency"] = _with("incidents") + """
       SELECT coalesce(division, '') AS category, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, coalesce(division, '')) AS place
       FROM incidents GROUP BY 1"""
@@ -455,12 +478,29 @@ def oracle_sql() -> dict[str, str]:
       WITH u AS (SELECT o_custkey * 2 AS id, arg_max(o_totalprice, o_orderkey) AS amount FROM orders GROUP BY 1)
       SELECT id, amount FROM u UNION ALL SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey NOT IN (SELECT id FROM u)"""
     q["tsv_scan"] = _with("incidents_raw") + """
-      SELECT trim(area_unit) AS area_unit, year_month, meshblock, division, anzsoc_group, count(*) AS n FROM incidents_raw GROUP BY ALL"""
+      SELECT trim(area_unit) AS area_unit, year_month, CASE WHEN row_no % 41 <> 0 THEN meshblock END AS meshblock, division, anzsoc_group, count(*) AS n
+      FROM incidents_raw GROUP BY ALL"""
     q["geojson_layer"] = _with("concordance", "points", "wkt") + """
       SELECT p.id, c.place AS name, p.lat, p.lng, w.wkt FROM concordance c JOIN points p ON c.row_no = p.id JOIN wkt w ON w.feature_id = p.id"""
     q["full_build"] = _with("areas", "neighbours") + """
       SELECT a.* EXCLUDE ("AU2017_name", nearby_suburbs), coalesce(n.near, '') AS nearby_suburbs
       FROM areas a LEFT JOIN (SELECT suburb_id, string_agg(near_id, ',' ORDER BY pos) AS near FROM neighbours GROUP BY 1) n USING (suburb_id)"""
+    q["full_build_tables"] = _with("blocks", "incidents", "concordance", "points", "wkt") + """
+      SELECT 'meshblocks' AS stored, b.id, b.suburb_id, b.crime_count AS n, coalesce(l.lat, 0e0) AS lat, coalesce(l.lng, 0e0) AS lng, l.geometry AS text
+      FROM blocks b LEFT JOIN (
+        SELECT c.new_code, p.lat, p.lng, CASE WHEN p.id % 9 <> 0 THEN w.wkt END AS geometry
+        FROM concordance c JOIN points p ON c.row_no = p.id JOIN wkt w ON w.feature_id = p.id) l ON b.id = l.new_code
+      UNION ALL
+      SELECT 'crimes', block, suburb_id, count(*), NULL, NULL,
+             coalesce(strftime(day, '%Y-%m-%d'), '') || ':' || coalesce(code, '') || ':' || coalesce(division, '') || ':' || anzsoc_group FROM incidents GROUP BY ALL"""
+    q["incident_pages"] = _with("incidents") + """
+      , placed AS (SELECT event_id, suburb_id, code AS offence_code, row_number() OVER (ORDER BY event_id) AS r FROM incidents)
+      SELECT CASE WHEN r <= 1500 THEN 'page' ELSE 'after' END AS which, event_id, suburb_id, offence_code FROM placed WHERE r BETWEEN 1451 AND 1570"""
+    q["layer_collection"] = _with("concordance", "points", "vertices") + """
+      SELECT row_number() OVER (ORDER BY c.place, c.row_no) AS position, c.row_no AS id, c.place AS name, p.lat, p.lng, v.n_points
+      FROM concordance c JOIN points p ON c.row_no = p.id JOIN (SELECT feature_id, count(*) AS n_points FROM vertices GROUP BY 1) v ON v.feature_id = p.id"""
+    q["metric_recorded"] = _with("metrics") + """
+      SELECT metric_name, round(avg(value), 6) AS value, 'ms' AS unit, count(*)::VARCHAR AS samples FROM metrics GROUP BY 1"""
     q["metric_summary"] = _with("metrics") + """
       SELECT split_part(metric_name, '_', 1) AS family, count(*) AS count, round(avg(value), 6) AS average, round(min(value), 6) AS min, round(max(value), 6) AS max,
              round(median(value), 6) AS median, round(stddev_samp(value), 6) AS std_dev

@@ -19,7 +19,7 @@ from precinct.operators.validation import AREA_RULES, BLOCK_RULES, INCIDENT_RULE
 from precinct.plans import build, layers, metrics as metric_plans, serving
 from precinct.schemas import INCIDENT, METRIC
 from precinct.session import materialize, scratch_path
-from precinct.sources import files, sinks
+from precinct.sources import files, pages, sinks
 from precinct.sources.keyed_table import KeyedTable
 from precinct.streaming import incremental
 
@@ -394,31 +394,43 @@ def upsert_snapshot(spark, d):
     return t.read()
 
 
-def _write_tsv(spark, d) -> str:
+def _write_tsv(spark, d, meshblock=None) -> str:
     path = scratch_path(spark, "incidents-tsv")
     raw = views.incidents_raw(spark, d)
     # the writer keeps blanks so that the reader has something to trim
     raw.select(
-        F.col("area_unit").alias("Area Unit"), F.lit("").alias("Territorial Authority"), F.col("meshblock").alias("Meshblock"),
+        F.col("area_unit").alias("Area Unit"), F.lit("").alias("Territorial Authority"), (F.col("meshblock") if meshblock is None else meshblock).alias("Meshblock"),
         F.col("year_month").alias(" Year Month "), F.col("division").alias("ANZSOC Division"), F.col("anzsoc_group").alias("ANZSOC Group"),
     ).write.option("sep", "\t").option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
     return path
 
 
 def tsv_scan(spark, d):
-    """Incidents written as a tab-separated file and read back, counted per distinct row."""
-    df = files.read_incidents(spark, _write_tsv(spark, d))
+    """Incidents written as a tab-separated file, some blocks as missing in one way or another, and read back, counted per distinct row."""
+    markers = F.element_at(F.array(*[F.lit(x) for x in files.MISSING]), (F.col("row_no") % len(files.MISSING) + 1).cast("int"))
+    df = files.read_incidents(spark, _write_tsv(spark, d, F.when(F.col("row_no") % 41 == 0, markers).otherwise(F.col("meshblock"))))
     return df.groupBy("area_unit", "year_month", "meshblock", "division", "anzsoc_group").agg(F.count(F.lit(1)).alias("n"))
 
 
-def geojson_layer(spark, d):
-    """The polygon layer written as Feature lines and read back as WKT."""
-    path = scratch_path(spark, "layer")
-    layer = _layer(spark, d).select(
+def _area_features(spark, d) -> DataFrame:
+    """The area layer with the columns of its features."""
+    return _layer(spark, d).select(
         F.col("row_no").alias("id"), F.col("name").alias("SA22023__2"), F.col("lat").alias("latitude"), F.col("lng").alias("longitude"),
         F.when(F.size("coordinates") > 1, "MultiPolygon").otherwise("Polygon").alias("geometry_type"), "coordinates",
     )
-    sinks.write_layer(layer, path, ["id", "SA22023__2", "latitude", "longitude"])
+
+
+def _block_features(spark, d) -> DataFrame:
+    return _block_layer(spark, d).select(
+        F.col("row_no").alias("key"), F.col("id").alias("MB2023_V1_"), F.col("lat").alias("latitude"), F.col("lng").alias("longitude"),
+        F.lit("MultiPolygon").alias("geometry_type"), "coordinates",
+    )
+
+
+def geojson_layer(spark, d):
+    """The polygon layer written as Feature lines and read back as WKT."""
+    path = scratch_path(spark, "layer")
+    sinks.write_layer(_area_features(spark, d), path, ["id", "SA22023__2", "latitude", "longitude"])
     back = files.read_layer(spark, path, {"id": "double", "SA22023__2": "string", "latitude": "double", "longitude": "double"}, lines=True)
     wkt = polygons.layer_wkt(polygons.explode_layer(back.withColumn("id", F.col("id").cast("bigint")), "id"))
     return back.select(F.col("id").cast("bigint").alias("id"), F.col("SA22023__2").alias("name"), F.col("latitude").alias("lat"), F.col("longitude").alias("lng")).join(
@@ -428,11 +440,7 @@ def geojson_layer(spark, d):
 
 def _block_lines(spark, d, path: str) -> None:
     """The small-area layer as Feature lines."""
-    layer = _block_layer(spark, d).select(
-        F.col("id").alias("MB2023_V1_"), F.col("lat").alias("latitude"), F.col("lng").alias("longitude"),
-        F.lit("MultiPolygon").alias("geometry_type"), "coordinates",
-    )
-    sinks.write_layer(layer, path, ["MB2023_V1_", "latitude", "longitude"])
+    sinks.write_layer(_block_features(spark, d), path, ["MB2023_V1_", "latitude", "longitude"])
 
 
 def block_layer_scan(spark, d):
@@ -473,6 +481,16 @@ def limited_lookup(spark, d):
     return files.scan_limited(_areas(spark, d)[0], ["suburb_id", "AU2017_name"], 10, suburb_id="100050")
 
 
+def incident_pages(spark, d):
+    """A deep page of the incidents laid out by id, and the rows that follow its last one."""
+    path = scratch_path(spark, "pages")
+    pages.write_pages(materialize(_incidents(spark, d), "incidents"), path, "event_id", files=8, rows=2000)
+    page = pages.read_page(spark, path, "event_id", 30, 50)
+    rest = pages.read_after(spark, path, "event_id", page.agg(F.max("event_id")).first()[0] or "", 70)
+    named = lambda rows, which: rows.select(F.lit(which).alias("which"), "event_id", "suburb_id", "offence_code")
+    return named(page, "page").unionByName(named(rest, "after"))
+
+
 def crimes_stored(spark, d):
     """The stored incident table, which has no helper column."""
     crimes = _stored(spark, d).read()
@@ -511,25 +529,37 @@ def orders_days(spark, d):
     return days.groupBy("o_orderdate").agg(F.count(F.lit(1)).alias("n"))
 
 
-def full_build(spark, d):
-    """Sources as files, the whole job, and the stored area table with its neighbours."""
+def _whole_job(spark, d) -> dict:
+    """The tables of the whole job, from sources written as files: delimited ones, and both layers as FeatureCollections."""
     base = scratch_path(spark, "full")
     c = views.concordance(spark, d)
     # one file in row order: the order of rows is part of the input
     c.orderBy("row_no").drop("row_no").coalesce(1).write.option("header", True).csv(f"{base}/concordance")
     s = views.census(spark, d)
     s.orderBy("row_no").select(F.col("area").alias("Area"), F.col("census_year").alias("Census year"), F.col("value").alias("Value")).coalesce(1).write.option("header", True).csv(f"{base}/census")
-    layer = _layer(spark, d).select(
-        F.col("row_no").alias("id"), F.col("name").alias("SA22023__2"), F.col("lat").alias("latitude"), F.col("lng").alias("longitude"),
-        F.when(F.size("coordinates") > 1, "MultiPolygon").otherwise("Polygon").alias("geometry_type"), "coordinates",
-    )
-    sinks.write_layer(layer.orderBy("id").coalesce(1), f"{base}/areas", ["SA22023__2", "latitude", "longitude"])
+    sinks.write_collection(_area_features(spark, d), f"{base}/areas", ["SA22023__2", "latitude", "longitude"], [F.col("id")])
+    sinks.write_collection(_block_features(spark, d), f"{base}/blocks", ["MB2023_V1_", "latitude", "longitude"], [F.col("key")])
     inputs = build.Inputs(
         incidents=_write_tsv(spark, d), concordance=f"{base}/concordance", census=f"{base}/census", area_layer=f"{base}/areas",
-        encoding="utf-8", layer_lines=True,
+        block_layer=f"{base}/blocks", encoding="utf-8",
     )
-    tables = build.run_build(spark, inputs, f"{base}/out", parts=4, radius_km=WIDE_KM)
-    return _flat(tables["suburbs"].read()).drop("AU2017_name")
+    return build.run_build(spark, inputs, f"{base}/out", parts=4, radius_km=WIDE_KM)
+
+
+def full_build(spark, d):
+    """The whole job's area table with its neighbours."""
+    return _flat(_whole_job(spark, d)["suburbs"].read()).drop("AU2017_name")
+
+
+def full_build_tables(spark, d):
+    """The whole job's other two tables: small areas, and incidents counted by their columns."""
+    tables = _whole_job(spark, d)
+    crimes = tables["crimes"].read()
+    text = F.concat_ws(":", *[F.coalesce(x, F.lit("")) for x in (iso_day(F.col("victimisation_date")), F.col("offence_code"), F.col("offence_category"), F.col("offence_description"))])
+    nothing = F.lit(None).cast("double")
+    counted = crimes.groupBy(F.lit("crimes").alias("stored"), F.col("meshblock_code").alias("id"), "suburb_id", text.alias("text")).agg(F.count(F.lit(1)).alias("n"))
+    blocks = tables["meshblocks"].read().select(F.lit("meshblocks").alias("stored"), "id", "suburb_id", F.col("crime_count").alias("n"), "lat", "lng", F.col("geometry").alias("text"))
+    return blocks.unionByName(counted.withColumns({"lat": nothing, "lng": nothing}))
 
 
 # ---------------------------------------------------------------- metrics
@@ -552,6 +582,16 @@ def metric_samples(spark, d):
     return back.groupBy("metric_name").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
+def metric_recorded(spark, d):
+    """The mean of every metric recorded as a sample of its own, and read back."""
+    path = scratch_path(spark, "recorded")
+    means = views.metrics(spark, d).groupBy("metric_name").agg(F.round(F.avg("value"), 6).alias("value"), F.count(F.lit(1)).alias("n")).collect()
+    for m in means:  # one row for each of five metrics
+        sinks.record_metrics(spark, path, [(m["metric_name"], m["value"], "ms", {"samples": m["n"]})])
+    back = spark.read.schema(METRIC).parquet(path)
+    return back.select("metric_name", "value", "unit", F.col("context")["samples"].alias("samples"))
+
+
 def metric_report(spark, d):
     """The saved report, read back."""
     path, samples = scratch_path(spark, "report"), views.metrics(spark, d)
@@ -621,9 +661,22 @@ def sorted_batches(spark, d):
 
 
 def sorted_layer(spark, d):
-    """The first rows of the layer in name order."""
+    """The whole layer written in name order; the place of every row in its files."""
     layer = views.concordance(spark, d).select(F.col("row_no").alias("id"), F.col("SA22023_name").alias("name"))
-    return layers.sort_layer(layer, "name", "id").limit(40)
+    path = scratch_path(spark, "sorted")
+    layers.sort_layer(layer, "name", "id").write.parquet(path)
+    back = spark.read.parquet(path).select("id", "name", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    return number_rows(back, [F.col("file"), F.col("at")], "position").select("id", "name", "position")
+
+
+def layer_collection(spark, d):
+    """The layer in name order as one FeatureCollection, and read back in its order."""
+    path = scratch_path(spark, "collection")
+    layers.write_prepared(_area_features(spark, d), path, "id", sort="SA22023__2", lines=False)
+    back = files.read_layer(spark, path, {"id": "double", "SA22023__2": "string", "latitude": "double", "longitude": "double"})
+    points = F.aggregate(F.flatten("coordinates"), F.lit(0).cast("bigint"), lambda n, ring: n + F.size(ring))
+    return number_rows(back.withColumn("n_points", points), [F.col("row_no")], "position").select(
+        "position", F.col("id").cast("bigint").alias("id"), F.col("SA22023__2").alias("name"), F.col("latitude").alias("lat"), F.col("longitude").alias("lng"), "n_points")
 
 
 def prepared_layer(spark, d):
@@ -693,6 +746,6 @@ QUERIES = {
         polygon_centroid, polygon_wkt, reproject_tm, ring_validity, simplify_layer, sorted_batches, prepared_layer,
         stream_monthly_counts, stream_upsert, stream_incidents, stream_incidents_batches, block_layer_scan, appended_rows, csv_export,
         stored_columns, limited_lookup, crimes_stored, full_build_blocks, category_frequency, breakdown_text, name_matches, orders_days,
-        metric_samples, metric_report, sorted_layer,
+        metric_samples, metric_report, sorted_layer, layer_collection, full_build_tables, metric_recorded, incident_pages,
     )
 }

@@ -41,7 +41,8 @@ def as_incidents(orders: DataFrame) -> DataFrame:
     return orders.select(
         key.alias("row_no"),
         F.concat(F.lit(" Area. "), _txt(cust % 200), F.lit("  Unit ")).alias("area_unit"),
-        F.when(key % 97 == 0, "unknown").otherwise(F.date_format("o_orderdate", "MMMM yyyy")).alias("year_month"),
+        F.when(key % 97 == 0, "unknown").when(key % 101 == 0, F.concat(F.lit("January "), _txt(F.when(key % 2 == 0, 9999).otherwise(1500))))
+        .otherwise(F.date_format("o_orderdate", "MMMM yyyy")).alias("year_month"),
         _txt(cust).alias("meshblock"),
         division.alias("division"),
         F.col("o_orderpriority").alias("anzsoc_group"),
@@ -118,7 +119,7 @@ def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def defective_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The polygons with swapped corners, pinched corners or a missing last vertex here and there."""
+    """The polygons with swapped or pinched corners, a missing last vertex, and rings where they must not be, here and there."""
     key, seq = F.col("feature_id"), F.col("seq")
     v = vertices(spark, sf_dir).withColumn("n", 4 + key % 5)
     swapped = F.when((key % 4 == 1) & (seq == 1), 2).when((key % 4 == 1) & (seq == 2), 1).otherwise(seq)
@@ -128,7 +129,17 @@ def defective_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     pinched = (key % 13 == 0) & (F.col("ring") == 0) & (F.col("seq") == 2)
     v = v.withColumns({"x": F.when(pinched, center).otherwise(F.col("x")), "y": F.when(pinched, level).otherwise(F.col("y"))})
     unclosed = (key % 7 == 0) & (F.col("seq") == F.col("n"))
-    return v.where(~unclosed).select("feature_id", "part", "ring", "seq", "x", "y")
+    v = v.where(~unclosed).select("feature_id", "part", "ring", "seq", "x", "y")
+    # holes beside their shell, holes in holes, and a second part that lies in the first: inside its hole where it has one
+    own = v.where((F.col("part") == 0) & (F.col("ring") == 1))
+    inner = lambda rows, share: rows.select(
+        "feature_id", "part", "ring", "seq", F.round(F.col("cx") + (F.col("x") - F.col("cx")) * share, 6).alias("x"),
+        F.round(F.col("cy") + (F.col("y") - F.col("cy")) * share, 6).alias("y"))
+    cx, cy = F.lit(166.0) + (key * 91 % 1200) / F.lit(100.0), F.lit(-47.0) + (key * 37 % 1300) / F.lit(100.0) + F.lit(0.001)
+    nested = inner(own.where(key % 5 == 0).withColumns({"ring": F.lit(2), "cx": cx, "cy": cy}), 0.5)
+    within = v.where((F.col("part") == 0) & (F.col("ring") == 0) & (key % 17 == 0)).withColumns({"part": F.lit(2), "cx": cx, "cy": cy})
+    moved = F.when((F.col("ring") == 1) & (key % 16 == 0), F.col("x") + F.lit(0.2)).otherwise(F.col("x"))
+    return v.withColumn("x", F.round(moved, 6)).unionByName(nested).unionByName(inner(within, 0.05))
 
 
 def projected_points(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,13 +33,10 @@ def test_integer_text(spark):
     assert one(spark, ["0016901", "abc", None], text.code_text) == ["16901", "abc", None]
 
 
-def test_strip_strings(spark):
-    df = text.strip_strings(spark.createDataFrame([(" \ta ", 1)], "` x ` string, n int"))
-    assert df.columns == ["x", "n"] and df.collect()[0]["x"] == "a"
-
-
 def test_months(spark):
     got = one(spark, ["May 2023", "MAY 2023", "Sept 2023", None, "May", "May 23", "May 2023 x", "December  1999", "unknown"], dates.month_from_name)
+    edges = one(spark, ["January 9999", "January 1500", "September 1677", "October 1677", "April 2262", "May 2262"], dates.month_from_name)
+    assert edges == [None, None, None, dt.date(1677, 10, 1), dt.date(2262, 4, 1), None]
     may = dt.date(2023, 5, 1)
     assert got == [may, may, None, None, None, None, None, dt.date(1999, 12, 1), None]
 

@@ -123,8 +123,10 @@ def test_dense_rank(spark):
         assert r.r == (0 if r.g is None else ladder[r.g].index(r.v) + 1)
 
 
+@pytest.mark.parametrize("most", [0, 100, ordering.SORTED])  # by histogram, by both, by order
 @pytest.mark.parametrize("n", [1, 2, 3, 19, 20, 500])
-def test_exact_quantiles(spark, n):
+def test_exact_quantiles(spark, monkeypatch, n, most):
+    monkeypatch.setattr(ordering, "SORTED", most)
     rng = random.Random(n)
     data = [rng.choice([rng.uniform(-9, 9), 4.0, 0.0, rng.lognormvariate(0, 5)]) for _ in range(n)]
     df = spark.createDataFrame([("a", v) for v in data] + [(None, 7.0), ("a", None)], "g string, v double")
@@ -138,6 +140,7 @@ def test_exact_quantiles(spark, n):
 
 def test_crowded_values(spark, monkeypatch):
     """Values much closer together than a bucket is wide are cut until no bucket is large."""
+    monkeypatch.setattr(ordering, "SORTED", 0)
     monkeypatch.setattr(ordering, "LARGE", 100)
     monkeypatch.setattr(ordering, "PIECES", 8)
     rng = random.Random(2)
@@ -208,3 +211,26 @@ def test_area_ranges(spark):
     df = df.withColumns({c: F.lit("x") for c in ("suburb_id", "name", "slug")})
     valid, rejected = split_valid(df, AREA_RULES)
     assert valid.count() == 2 and rejected.count() == 3
+
+
+def test_small_groups_are_shuffled_once(spark, tmp_path):
+    spark.range(3000).select((F.col("id") % 700).alias("g"), (F.col("id") * 7 % 1000).cast("double").alias("v")).write.parquet(str(tmp_path / "s"))
+    df = exact_quantiles(spark.read.parquet(str(tmp_path / "s")), ["g"], "v", {"p95": ("exclusive", 19, 20)})
+    assert df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_containment_matches_all_pairs(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcAB ") for _ in range(rng.choice([1, 2, 3, 4, 5, 6, 9, 30])))
+    names, areas = [word() for _ in range(120)], [word() for _ in range(120)]
+    names += [areas[0] + "xy", areas[1][:5], "", "q" * 300 + "abca"]
+    areas += ["q" * 200, "Zürich", "", None]
+    a = spark.createDataFrame([(n,) for n in names], "n string")
+    b = spark.createDataFrame([(i, v, 10 + i) for i, v in enumerate(areas)], "row_no int, area string, value long")
+    hold = lambda x, y: x.lower() in y.lower() or y.lower() in x.lower()
+    pairs = {(n, v) for n in names for v in areas if n and v and hold(n, v)}
+    got = [tuple(r) for r in dims.containment_pairs(a, "n", b, "area").collect()]
+    assert set(got) == pairs and len(got) == len(pairs)
+    first = {n: next((10 + i for i, v in enumerate(areas) if v is not None and hold(n, v)), None) for n in names}
+    found = {r.n: r.value for r in dims.first_containing(a, "n", b, "area", "value", "row_no").collect()}
+    assert found == {n: v for n, v in first.items() if v is not None}

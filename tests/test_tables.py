@@ -5,13 +5,14 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from precinct import session
 from precinct.functions.dates import month_from_name
 from precinct.operators.dims import area_dimension, code_remap
 from precinct.plans import build, layers, metrics, serving
 from precinct.schemas import AREA_DETAIL, AREA_SUMMARY, DETAIL_MODEL, METRIC, SUMMARY_MODEL
 from precinct.session import scratch_path
-from precinct.sources import files, sinks
-from precinct.sources.keyed_table import MERGE, ConcurrentWrite, KeyedTable
+from precinct.sources import files, pages, sinks
+from precinct.sources.keyed_table import KeyedTable
 from precinct.streaming import incremental
 
 
@@ -39,22 +40,45 @@ def test_upsert_keeps_the_last_of_a_key(spark, tmp_path):
     assert rows(t.read()) == [(1, 3, "z")]
 
 
-def test_uncommitted_files_stay_invisible(spark, tmp_path):
-    t = KeyedTable(spark, str(tmp_path / "t"), ["id"], 1)
-    t.upsert(pairs(spark, (1, "a")))
-    # what a job that died before its commit leaves behind
-    pairs(spark, (9, "junk")).write.parquet(str(tmp_path / "t/data/part=0/snap=000000000002-dead"))
-    assert rows(t.read()) == [(1, "a")]
-    t.upsert(pairs(spark, (2, "b")))
-    assert rows(t.read()) == [(1, "a"), (2, "b")]
+def test_replayed_and_late_batches(spark, tmp_path):
+    t = KeyedTable(spark, str(tmp_path / "t"), ["id"], 2)
+    first, second = pairs(spark, (1, "a"), (2, "b"), (3, "c")), pairs(spark, (2, "B"), (4, "d"))
+    t.upsert(first, batch=0)
+    t.upsert(second, batch=1)
+    want = [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+    for df, batch in ((second, 1), (first, 0)):  # run again; the older one must not undo the newer one
+        t.upsert(df, batch=batch)
+        assert rows(t.read()) == want
+
+
+def test_a_run_that_stopped_between_its_writes(spark, tmp_path, monkeypatch):
+    t = KeyedTable(spark, str(tmp_path / "t"), ["id"], part=F.col("id") % 2)
+    t.upsert(pairs(spark, (1, "a"), (3, "c")))
+    more, write = pairs(spark, (1, "A"), (2, "b"), (5, "e")), t._write
+
+    def stops(df, mode, *args):
+        if mode == "overwrite":
+            raise RuntimeError
+        write(df, mode, *args)
+
+    monkeypatch.setattr(t, "_write", stops)
+    with pytest.raises(RuntimeError):
+        t.upsert(more)
+    monkeypatch.undo()
+    t.upsert(more)
+    assert rows(t.read()) == [(1, "A"), (2, "b"), (3, "c"), (5, "e")]
 
 
 def test_untouched_parts_are_not_rewritten(spark, tmp_path):
     t = KeyedTable(spark, str(tmp_path / "t"), ["id"], part=F.col("id") % 2)
+    files = lambda part: sorted(f for f in os.listdir(tmp_path / f"t/part={part}") if f.endswith(".parquet"))
     t.upsert(pairs(spark, (1, "a"), (2, "b")))
-    t.upsert(pairs(spark, (3, "c")))
-    assert len(os.listdir(tmp_path / "t/data/part=0")) == 1 and len(os.listdir(tmp_path / "t/data/part=1")) == 2
-    assert rows(t.read()) == [(1, "a"), (2, "b"), (3, "c")]
+    even, odd = files(0), files(1)
+    t.upsert(pairs(spark, (3, "c")))  # a new key: appended
+    assert files(0) == even and len(files(1)) == 2 and set(odd) < set(files(1))
+    t.upsert(pairs(spark, (1, "A")))  # a known one: its part alone is written anew
+    assert files(0) == even and not set(odd) & set(files(1))
+    assert rows(t.read()) == [(1, "A"), (2, "b"), (3, "c")]
 
 
 def test_no_rows_change_nothing(spark, tmp_path):
@@ -74,56 +98,121 @@ def test_repeated_keys_are_an_error(spark, tmp_path):
     assert rows(t.read()) == [(1, "a")]
 
 
-def test_the_second_of_two_writers_fails(spark, tmp_path, monkeypatch):
-    a, b = (KeyedTable(spark, str(tmp_path / "t"), ["id"], 2) for _ in range(2))
-    a.upsert(pairs(spark, (1, "a")))
-    write = b._write
-
-    def late(*args):  # the other writer commits while this one writes
-        write(*args)
-        monkeypatch.undo()
-        a.upsert(pairs(spark, (2, "from a")))
-
-    monkeypatch.setattr(b, "_write", late)
-    with pytest.raises(ConcurrentWrite):
-        b.upsert(pairs(spark, (2, "from b")))
-    assert rows(a.read()) == [(1, "a"), (2, "from a")]
-    b.upsert(pairs(spark, (2, "from b")))
-    assert rows(a.read()) == [(1, "a"), (2, "from b")]
-
-
 def test_other_number_of_parts_is_an_error(spark, tmp_path):
     KeyedTable(spark, str(tmp_path / "t"), ["id"], 2).upsert(pairs(spark, (1, "a")))
     with pytest.raises(ValueError):
         KeyedTable(spark, str(tmp_path / "t"), ["id"], 3).read()
 
 
-def test_new_keys_are_appended_and_merged_later(spark, tmp_path):
-    t = KeyedTable(spark, str(tmp_path / "t"), ["id"], 1)
-    for i in range(MERGE + 2):
-        t.upsert(pairs(spark, (i, str(i))))
-    # the first MERGE folders were merged into one with the next row, and one row came after
-    assert len({f.split("snap=")[1].split("/")[0] for f in t.read().inputFiles()}) == 2
-    assert rows(t.read()) == [(i, str(i)) for i in range(MERGE + 2)]
-    t.vacuum()
-    assert rows(t.read()) == [(i, str(i)) for i in range(MERGE + 2)]
-    left = [f for f in (tmp_path / "t/data").rglob("*.parquet") if spark.read.parquet(str(f)).count()]
-    assert len(left) == len(t.read().inputFiles())
+def test_other_columns_are_an_error(spark, tmp_path):
+    t = KeyedTable(spark, str(tmp_path / "t"), ["id"], 2)
+    t.upsert(pairs(spark, (1, "a")))
+    with pytest.raises(ValueError):
+        t.upsert(pairs(spark, (1, "a")).withColumnRenamed("v", "w"))
+    t.upsert(pairs(spark, (1, "b")).select("v", "id"))
+    assert rows(t.read().select("id", "v")) == [(1, "b")]
+
+
+def read_folders(df):
+    """Folders of the files that a scan opens."""
+    df.collect()
+    scan = df._jdf.queryExecution().executedPlan()
+    while "AdaptiveSparkPlan" in scan.nodeName():
+        scan = scan.executedPlan()
+    (leaf,) = [scan.collectLeaves().apply(i) for i in range(scan.collectLeaves().size())]
+    return leaf.metrics().apply("numPartitions").value()
 
 
-def test_a_month_lists_one_folder(spark, tmp_path):
+def test_a_month_reads_one_folder(spark, tmp_path):
     days = [(f"e{i}", "1", dt.date(2023, 1 + i % 4, 1)) for i in range(40)] + [("u", "1", None)]
     df = spark.createDataFrame(days, "event_id string, suburb_id string, victimisation_date date")
     t = KeyedTable(spark, str(tmp_path / "t"), ["event_id"], part=sinks.incident_month())
     t.upsert(df)
+    assert sorted(f for f in os.listdir(tmp_path / "t") if f.startswith("part=")) == [f"part=2023-0{i}" for i in range(1, 5)] + ["part=undated"]
     got = serving.query_stored_incidents(t, month="2023-03", columns=["event_id"])
-    assert got.count() == 10 and {f.split("part=")[1].split("/")[0] for f in got.inputFiles()} == {"2023-03"}
+    assert got.count() == 10 and read_folders(t.read(serving.month_parts("2023-03"))) == 1
     some = serving.query_stored_incidents(t, start_date="2023-02-15", end_date="2023-04-01", columns=["event_id"])
-    assert some.count() == 20 and all("undated" not in f and "2023-01" not in f for f in some.inputFiles())
+    assert some.count() == 20 and read_folders(t.read(serving.month_parts(None, "2023-02-15", "2023-04-01"))) == 3
     assert serving.query_stored_incidents(t, columns=["event_id"]).count() == 41
     assert serving.query_stored_incidents(t, month="2020-01", columns=["event_id"]).isEmpty()
 
 
+def test_a_deep_page_opens_few_files(spark, tmp_path):
+    path = str(tmp_path / "p")
+    df = spark.range(5000).select(F.format_string("%06d", (F.col("id") * 7919) % 5000).alias("key"), F.col("id").alias("v")).repartition(6)
+    pages.write_pages(df, path, "key", files=10, rows=300)
+
+    opened = lambda rows: len(rows.inputFiles())
+    page = pages.read_page(spark, path, "key", 40, 100)
+    assert [r.key for r in page.collect()] == [f"{i:06d}" for i in range(3900, 4000)] and 1 <= opened(page) <= 2
+    after = pages.read_after(spark, path, "key", "003999", 100)
+    assert [r.key for r in after.collect()] == [f"{i:06d}" for i in range(4000, 4100)] and 1 <= opened(after) <= 3
+    assert [r.key for r in pages.read_page(spark, path, "key", 50, 100).collect()] == [f"{i:06d}" for i in range(4900, 5000)]
+    assert pages.read_page(spark, path, "key", 51, 100).count() == 0 and pages.read_after(spark, path, "key", "004999", 10).count() == 0
+    assert sorted(pages.read_page(spark, path, "key", 1, 5000).columns) == ["key", "v"]
+    with pytest.raises(ValueError):
+        pages.read_page(spark, path, "key", 0, 10)
+
+
+def square(x, y, s=0.1):
+    return [[x, y], [x + s, y], [x + s, y + s], [x, y + s], [x, y]]
+
+
+def feature(i, **more):
+    shape = {"type": "Polygon", "coordinates": [square(170 + i % 7, -40)]} if i % 5 else None
+    return {"type": "Feature", "properties": {"name": f"n{i}", "latitude": float(i)} | more, "geometry": shape}
+
+
+@pytest.mark.parametrize("indent, separators", [(None, (",", ":")), (None, (", ", ": ")), (2, (",", ": "))])
+def test_a_collection_is_read_in_parallel(spark, tmp_path, indent, separators):
+    doc = {"type": "FeatureCollection", "name": "x", "crs": {"type": "name"}, "features": [feature(i, note='say "Feature", "type": {[') for i in range(1000)], "bbox": [1, 2]}
+    path = tmp_path / "areas.geojson"
+    path.write_text(json.dumps(doc, indent=indent, separators=separators))
+    wanted = {"name": "string", "latitude": "double"}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(path.stat().st_size // 6))
+    try:
+        df = files.read_layer(spark, str(path), wanted)
+        assert df.rdd.getNumPartitions() > 1
+        got = df.orderBy("row_no").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [(r.name, r.latitude) for r in got] == [(f"n{i}", float(i)) for i in range(1000)]
+    assert [r.geometry_type for r in got[:6]] == [None, "Polygon", "Polygon", "Polygon", "Polygon", None]
+    assert got[1].coordinates == [[[[float(v) for v in p] for p in square(171, -40)]]]
+
+
+@pytest.mark.parametrize("odd", [
+    {"type": "FeatureCollection", "features": [{k: f[k] for k in ("properties", "geometry", "type")} for f in map(feature, range(20))]},  # the type comes last
+    {"type": "FeatureCollection", "features": [feature(i, kind="Feature") for i in range(20)]},  # a property of that value
+    {"type": "FeatureCollection", "features": [{"id": i, **feature(i)} for i in range(20)]},
+])
+def test_other_collections_are_read_whole(spark, tmp_path, odd):
+    path = tmp_path / "odd.geojson"
+    path.write_text(json.dumps(odd))
+    got = files.read_layer(spark, str(path), {"name": "string"}).orderBy("row_no").collect()
+    assert [r.name for r in got] == [f"n{i}" for i in range(20)]
+
+
+def test_a_collection_without_features(spark, tmp_path):
+    path = tmp_path / "none.geojson"
+    path.write_text('{"type": "FeatureCollection", "features": []}')
+    assert files.read_layer(spark, str(path), {"name": "string"}).count() == 0
+
+
+def test_a_collection_in_parts(spark, tmp_path):
+    data = [(i, f"n{(i * 7) % 50:02d}", "Polygon", [[[[float(v) for v in p] for p in square(170, -40)]]] if i % 3 else None) for i in range(50)]
+    layer = spark.createDataFrame(data, "id int, name string, geometry_type string, coordinates array<array<array<array<double>>>>").repartition(4)
+    layers.write_prepared(layer, str(tmp_path / "c"), "id", sort="name", lines=False)
+    parts = sorted(p for p in os.listdir(tmp_path / "c") if p.startswith("part"))
+    doc = json.loads("".join((tmp_path / "c" / p).read_text() for p in parts))
+    assert doc["type"] == "FeatureCollection" and [f["properties"]["name"] for f in doc["features"]] == [f"n{i:02d}" for i in range(50)]
+    back = files.read_layer(spark, str(tmp_path / "c"), {"name": "string"}).orderBy("row_no").collect()
+    assert [r.name for r in back] == [f"n{i:02d}" for i in range(50)]
+    layers.write_prepared(layer.limit(0), str(tmp_path / "e"), "id", lines=False)
+    assert files.read_layer(spark, str(tmp_path / "e"), {"name": "string"}).count() == 0
+
+
 HEAD = "Area Unit\tTerritorial Authority\t Meshblock\tYear Month\tANZSOC Division\tANZSOC Group\tOther\n"
 BODY = "St. Māori \tX\t0016901\tMay 2023\t08 Theft\tg\t1\nSt. Māori \tX\t0016901\tMay 2023\t08 Theft\tg\t2\n"
 
@@ -156,10 +245,6 @@ def test_file_order_holds_across_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def square(x, y, s=0.1):
-    return [[x, y], [x + s, y], [x + s, y + s], [x, y + s], [x, y]]
-
-
 def collection(features):
     return json.dumps({"type": "FeatureCollection", "features": [
         {"type": "Feature", "properties": p, "geometry": g and {"type": g[0], "coordinates": g[1]}} for p, g in features]})
@@ -383,3 +468,12 @@ def test_incident_stream(spark, tmp_path):
 def test_scratch_paths_are_fresh(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
     assert files.scan_limited(spark.range(50).withColumn("k", F.col("id") % 2), ["id"], 5, k=1).count() == 5
+
+
+def test_a_job_leaves_no_intermediates(spark, tmp_path, monkeypatch):
+    write_inputs(tmp_path)
+    (tmp_path / "shared").mkdir()
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path / "shared"))
+    p = lambda n: str(tmp_path / n)
+    tables = build.run_build(spark, build.Inputs(p("inc.tsv"), p("conc.csv"), p("census.csv"), p("areas.geojson"), p("blocks.geojson")), p("out"), parts=2)
+    assert os.listdir(tmp_path / "shared") == [] and tables["suburbs"].read().count() == 2

@@ -17,7 +17,7 @@ occurrence is also the next token's context, -log10(c(w) + MU) is added where w
 shuffle. Chunks then sum up their documents' parts. Pairs of a shard whose contexts agree in 32 bits share an entry.
 
 Null and empty texts have the end token only. A null id counts as the text ''. Rows are independent apart from the counts, where every training row
-counts, repeated or not. Other columns are dropped. Without training rows counts are 0 and the base has V = N = 0. Empty tables give no rows.
+counts, repeated or not. A very long text is a chunk of its own. Other columns are dropped. Without training rows counts are 0 and the base has V = N = 0. Empty tables give no rows.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ Matches are of 64-bit hashes of the words under the anchor's 64-bit hash. Hot se
 put one row per occurrence on a key, which Spark may split.
 
 Null and empty texts have no words. Rows without id neither lose words nor cause removal. Rows of one id never remove each other's words; rows are told
-apart by id and a hash of the text, so repeated rows give equal results. Other columns are dropped. Empty tables give no rows.
+apart by id and a hash of the text, so repeated rows give equal results. Very long texts are hashed in pieces, in one row. Other columns are dropped. Empty tables give no rows.
 """
 
 from __future__ import annotations

@@ -6,19 +6,25 @@ and ten mantissa bits, 16 bits in all. Buckets left empty are filled by further
 bands: two sets with Jaccard 0.85 miss all of them with probability 6e-9. Sets so small that one different shingle already breaks the threshold
 have equal sets only as partners and need no bands.
 
-In buckets of up to sixteen nodes each pair must pass the size bound and the collision-corrected estimate of the registers, within six
-standard errors, before its full sets are compared. In larger ones every member is compared with the bucket's hub only, the member that
-shares most with others. Linked nodes are merged into components.
+Nodes of one key are paired in full if they are up to sixteen, else only with hubs: in every large bucket the member of least hash is the hub, and a node
+meets the first `HUBS` of its hubs. A pair must pass the size bound and the collision-corrected estimate of the registers, within six
+standard errors, before its full sets are compared. Linked nodes are merged into components.
 
-Where members x and z of a hub are still in different components, their reference R, the hub and those of the rounds before, tells how they can be
-linked. With a = |x and R| and Bx = x without R, |x and z| <= min(ax, az) + |Bx and Bz|. So either min(ax, az) alone reaches the threshold, and the pair is compared, or x and z share a shingle outside
-R, and even one among the first of each in any common order (prefix filter): of hashes in the first round, of rarity among the hub's members after. Members of a hub that share such a shingle form the buckets of the
-next round, until none holds two components. No pair that shares a band is lost, no cap is set, and the pairs of a round are no more than eight times
-the members of its buckets.
+Large buckets that share members make a family. Families that still hold several components are described by a reference R, the shingles that most of a
+bounded sample of members have, and by each member's edits, E(x) = x without R and R without x. With S = |x| + |z|, x and z are linked if and
+only if |x xor z| <= b S, where b = (1 - t) / (1 + t) for threshold t, and |x xor z| = |E(x) xor E(z)|. So
+
+* where |E(x)| + |E(z)| <= b S, the pair is linked without being compared; the member for which |E| - b |.| is least tells all components of such pairs,
+* all other linked pairs share an edit, and even one among the first b S + 1 edits of each in any common order, here the rarest first, as
+  |E(x)| and |E(z)| differ by b S at most, and S <= |x| (1 + 1 / t). From the first they share on, either has as many edits left as they must share.
+
+Members of a family that share such an edit are the buckets of the next round. What a family edits in common is in its reference, so few buckets
+are left. After `ROUNDS` rounds the members outside the largest component of a bucket are paired with those of other components in it. R decides how much work
+is done, never what is linked: no pair that shares a band is lost, and no cap is set.
 
 Null and empty texts and texts without words have no set: each is its own component. Rows without id are their own component (null)
-and stay. An id in several rows is one node for all its sets. Repeated rows count once. Other columns are dropped by `components` and kept by
-`deduplicated`. Empty tables give no rows.
+and stay. An id in several rows is one node for all its sets. Repeated rows count once. Very long texts are hashed in pieces; their sets must fit in a
+task. Other columns are dropped by `components` and kept by `deduplicated`. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +32,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from precinct.llm.common import Scratch, as_bytes, fits, mix, ngram_hashes, word_hashes
@@ -36,8 +42,10 @@ BUCKETS, ROWS, MANTISSA = 240, 6, 10
 PERCENT = 85
 #: Standard errors that an estimate may lie below the threshold; smaller sets are always compared.
 ERRORS, LEAST = 6.0, 64
-#: Nodes of a bucket that is paired in full.
-SMALL = 16
+#: Nodes of a bucket that is paired in full; hubs that a node of larger ones meets; rounds before all that is left is paired; members sampled for a reference.
+SMALL, HUBS, ROUNDS, SAMPLE = 16, 4, 2, 33
+#: Shingles that are sketched at once.
+SLICE = 1 << 19
 
 
 def shingle_set(text: bytes, n: int) -> np.ndarray:
@@ -101,8 +109,14 @@ def _sketches(docs: DataFrame, n: int, percent: int) -> DataFrame:
     def run(batches):
         for b in batches:
             sets = [shingle_set(x, n) for x in as_bytes(b.column("text"))]
-            large = [k for k, s in enumerate(sets) if 100 * len(s) >= percent * (len(s) + 1)]
-            regs = dict(zip(large, registers([sets[k] for k in large]))) if large else {}
+            regs, some, held = {}, [], 0
+            for k, s in enumerate(sets):
+                if 100 * len(s) >= percent * (len(s) + 1):
+                    some.append(k)
+                    held += len(s)
+                if some and (held >= SLICE or k + 1 == len(sets)):
+                    regs |= zip(some, registers([sets[i] for i in some]))
+                    some, held = [], 0
             yield pa.RecordBatch.from_arrays([
                 b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
@@ -160,48 +174,117 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.size("sh") + F.size("sx") - common)).select(F.col("h").alias("a"), F.col("x").alias("b"))
 
 
-def _measured(stars: DataFrame, sets: DataFrame, references: DataFrame, percent: int, whole: bool) -> DataFrame:
-    """Members x against their hub h and their reference, all hubs that brought them here.
+def _hash(*columns: str | Column) -> Column:
+    return F.xxhash64(*columns)
+
+
+def _buckets(scratch: Scratch, rows: DataFrame, turn: int) -> DataFrame:
+    """The rows with m, the number of rows of the key, and h, its hub with its size and component; keys of several components only."""
+    # most keys have one row: only their numbers and the others' rows go further
+    several = rows.groupBy("k").agg(F.count("*").alias("m")).where("m > 1")
+    rows = rows.join(several, "k")
+    zero = F.lit(0).cast("long")
+    rows = scratch.write(rows if "c" in rows.columns else rows.withColumns({"c": F.col("id"), "e": zero, "rest": zero}), f"several-{turn}")
+    first = F.min(F.struct(_hash("id", F.lit(turn)).alias("place"), "id", "n", "c")).alias("h")
+    keys = rows.groupBy("k").agg(first, F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    return rows.join(keys.select("k", "h"), "k")
+
+
+def _sized(a: Column, b: Column, percent: int) -> Column:
+    return (100 * a >= percent * b) & (100 * b >= percent * a)
+
+
+def _reach(a, b, percent: int) -> Column:
+    """Two members whose first common edit this is can have as many in common as a link needs: no more than are left of either from here on."""
+    return (100 + percent) * (a("e") + b("e") - 2 * F.least(a("rest"), b("rest"))) <= (100 - percent) * (a("n") + b("n"))
+
+
+def _in_full(small: DataFrame, percent: int) -> DataFrame:
+    """h, x: all pairs of a bucket that are of different components, of fitting sizes and within reach. Equal buckets are paired once."""
+    members = F.sort_array(F.collect_set(F.struct("id", "n", "c", "e", "rest"))).alias("members")
+    lists = small.groupBy("k").agg(members).select("members").distinct()
+    fit = lambda a, b: (a["id"] < b["id"]) & (a["c"] != b["c"]) & _sized(a["n"], b["n"], percent) & _reach(a.getField, b.getField, percent)
+    pairs = F.transform("members", lambda a: F.transform(F.filter("members", lambda b: fit(a, b)), lambda b: F.struct(a["id"].alias("h"), b["id"].alias("x"))))
+    return lists.select(F.explode(F.flatten(pairs)).alias("p")).select("p.h", "p.x").distinct()
+
+
+def _with_hubs(large: DataFrame, percent: int) -> DataFrame:
+    """h, x: every member with the first of its hubs that are of other components and fitting sizes."""
+    other = (F.col("h.c") != F.col("c")) & _sized(F.col("h.n"), F.col("n"), percent)
+    stars = large.where(other).select("h.place", F.col("h.id").alias("h"), F.col("id").alias("x")).distinct()
+    return stars.withColumn("at", F.row_number().over(Window.partitionBy("x").orderBy("place", "h"))).where(F.col("at") <= HUBS).select("h", "x")
+
+
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """h, x: members outside the largest component of a bucket with those of its other components, of fitting sizes and within reach."""
+    sizes = rows.groupBy("k", "c").agg(F.count("*").alias("of")).groupBy("k").agg(F.max(F.struct("of", "c")).alias("top"))
+    told = rows.join(sizes.select("k", F.col("top.c").alias("top")), "k")
+    one, two = (told.select("k", "top", *[F.col(c).alias(f"{c}{i}") for c in ("id", "n", "c", "e", "rest")]) for i in "ab")
+    of = lambda i: lambda c: F.col(f"{c}{i}")
+    fit = (F.col("ca") != F.col("cb")) & _sized(F.col("na"), F.col("nb"), percent) & _reach(of("a"), of("b"), percent)
+    pairs = one.where("ca <> top").join(two.drop("top"), "k").where(fit).select(F.col("ida").alias("a"), F.col("idb").alias("b"))
+    return pairs.select(F.least("a", "b").alias("h"), F.greatest("a", "b").alias("x")).distinct()
 
-    k: the reference with h; nx; linked; inside: |x and reference|; own: shingles of x outside it; take: a partner must share one of so
-    many of them, in whatever order all members have. Here that is the order of hashes, and own holds these alone unless the whole is asked for.
-    """
+
+def _families(scratch: Scratch, large: DataFrame, label: str) -> DataFrame:
+    """id, n, g: the members of large buckets with their family; buckets that share members are of one family."""
+    of = scratch.write(large.select("id", "n", F.struct(F.col("h.place"), F.col("h.id").alias("h")).alias("h")).distinct(), f"{label}-hubs")
+    main = scratch.write(of.groupBy("id", "n").agg(F.min("h").alias("main")).select("id", "n", F.col("main.h").alias("main")), f"{label}-main")
+    edges = of.join(main.select("id", "main"), "id").select(F.col("main").alias("a"), F.col("h.h").alias("b")).where("a <> b").distinct()
+    named = connected(scratch, edges, f"{label}-families")
+    out = main.join(named.select(F.col("id").alias("main"), "component"), "main", "left").select("id", "n", F.coalesce("component", "main").alias("g"))
+    out = scratch.write(out, label)
+    scratch.drop(f"{label}-hubs", f"{label}-main")
+    return out
+
+
+def _mixed(members: DataFrame, names: DataFrame) -> DataFrame:
+    """The members of families of several components, with their component c."""
+    told = members.drop("c").join(names, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+    mixed = told.groupBy("g").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("g")
+    return told.join(mixed, "g")
+
+
+def _references(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """g, reference: the shingles that most of a sample of the family's members have."""
+    place = F.row_number().over(Window.partitionBy("g").orderBy(_hash("id"), "id"))
+    some = members.select("g", "id").withColumn("at", place).where(F.col("at") <= SAMPLE).join(sets, "id")
+    counts = some.groupBy("g").agg(F.count("*").alias("of"))
+    common = some.select("g", F.explode("set").alias("s")).groupBy("g", "s").agg(F.count("*").alias("df")).join(counts, "g").where("2 * df > of")
+    return counts.select("g").join(common.groupBy("g").agg(F.collect_list("s").alias("reference")), "g", "left").withColumn("reference", F.coalesce("reference", F.array().cast("array<long>")))
+
+
+def _edits(members: DataFrame, sets: DataFrame, references: DataFrame, percent: int) -> DataFrame:
+    """g, id, n, v = (100 + percent) |E| - (100 - percent) n, and the edits E."""
 
     def run(batches):
         for b in batches:
-            rows = []
-            for k, h, x, sh, sx, sr in zip(*(b.column(c) for c in ("k", "h", "x", "sh", "sx", "sr"))):
-                hub, z = sh.values.to_numpy(), sx.values.to_numpy()
-                own = z[np.isin(z, hub, assume_unique=True, invert=True)]
-                common = len(z) - len(own)
-                if sr.is_valid:
-                    own = own[np.isin(own, sr.values.to_numpy(), invert=True)]
-                inside = len(z) - len(own)
-                take = max(0, len(own) - max(1, -(-percent * len(z) // 100) - inside) + 1)
-                linked = 100 * common >= percent * (len(hub) + len(z) - common)
-                rows.append((k.as_py(), h.as_py(), x.as_py(), len(z), linked, inside, take, own if whole else own[:take]))
-            columns = list(zip(*rows)) if rows else [[]] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 4 + [pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64())])],
-                                             names=["k", "h", "x", "nx", "linked", "inside", "take", "own"])
-
-    both = stars.join(sets.select(F.col("id").alias("h"), F.col("set").alias("sh")), "h").join(sets.select(F.col("id").alias("x"), F.col("set").alias("sx")), "x")
-    both = both.join(references.select(F.col("k").alias("r"), F.col("set").alias("sr")), F.col("k") == F.col("r"), "left")
-    both = both.select(F.xxhash64("k", "h").alias("k"), "h", "x", "sh", "sx", "sr")
-    return both.mapInArrow(run, "k long, h long, x long, nx long, linked boolean, inside long, take long, own array<long>")
-
-
-def _counted(buckets: DataFrame) -> DataFrame:
-    """Buckets of two or more, with m, the number of their members."""
-    sizes = buckets.groupBy("k", "s").agg(F.count("*").alias("m")).where("m > 1")
-    return buckets.join(sizes, ["k", "s"])
-
-
-def _hubs(buckets: DataFrame) -> DataFrame:
-    """k, h, x, w: every member of a bucket with its hub, the member whose buckets are fullest, and how full those are."""
-    weight = buckets.groupBy("id").agg(F.sum("m").alias("w"))
-    hubs = buckets.join(weight, "id").groupBy("k", "s").agg(F.max(F.struct("w", (-F.col("id")).alias("id"))).alias("hub"))
-    hubs = hubs.select("k", "s", (-F.col("hub.id")).alias("h"), "hub.w")
-    return buckets.join(hubs, ["k", "s"]).where("id <> h").select("k", "h", F.col("id").alias("x"), "w").distinct()
+            own = [np.setxor1d(s.values.to_numpy(), r.values.to_numpy(), assume_unique=True) for s, r in zip(b.column("set"), b.column("reference"))]
+            n = b.column("n").to_numpy()
+            v = (100 + percent) * np.fromiter(map(len, own), np.int64, len(own)) - (100 - percent) * n
+            yield pa.RecordBatch.from_arrays([b.column("g"), b.column("id"), b.column("n"), pa.array(v, pa.int64()), pa.array(own, pa.list_(pa.int64()))], names=["g", "id", "n", "v", "own"])
+
+    both = members.select("g", "id").join(sets, "id").join(references, "g").select("g", "id", F.size("set").cast("long").alias("n"), "set", "reference")
+    return both.mapInArrow(run, "g long, id long, n long, v long, own array<long>")
+
+
+def _near_reference(edits: DataFrame) -> DataFrame:
+    """a, b: links that follow from the distances to the reference alone, by way of the member that is nearest for its size."""
+    nearest = edits.groupBy("g").agg(F.min(F.struct("v", "id")).alias("z")).select("g", F.col("z.v").alias("vz"), F.col("z.id").alias("b"))
+    return edits.select("g", F.col("id").alias("a"), "v").join(nearest, "g").where((F.col("v") + F.col("vz") <= 0) & (F.col("a") != F.col("b"))).select("a", "b").distinct()
+
+
+def _rare_edits(edits: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """k, id, n, c: members that share one of the rarest edits of each, of families with several components; e: how many edits, rest: from this one on."""
+    told = edits.drop("n").join(members, ["g", "id"]).withColumn("take", F.floor(F.col("n") * (100 - percent) / percent) + 1)
+    # dealt by member, as one family may have a third of them
+    listed = told.repartition("id").select("g", F.explode("own").alias("s"), "id", "n", "c", F.size("own").alias("of"), "take")
+    shared = listed.groupBy("g", "s").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("df")).where("df > 1")
+    by = Window.partitionBy("g", "id")
+    # edits that no other member has come first
+    place = F.col("of") - F.count("*").over(by) + F.row_number().over(by.orderBy("df", "s"))
+    rare = listed.join(shared, ["g", "s"]).withColumn("place", place).where((F.col("place") <= F.col("take")) & (F.col("low") < F.col("high")))
+    return rare.select(_hash("g", "s").alias("k"), "id", "n", "c", F.col("of").cast("long").alias("e"), (F.col("of") - F.col("place") + 1).cast("long").alias("rest")).distinct()
 
 
 def connected(scratch: Scratch, links: DataFrame, label: str) -> DataFrame:
@@ -231,78 +314,40 @@ def components(spark: SparkSession, docs: DataFrame, words: int = 3, percent: in
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     sketched = scratch.write(_sketches(docs, words, percent), "sketches")
     named = sketched.where("doc_id is not null and node is not null")
-    reps = scratch.write(named.groupBy("node").agg(F.min("doc_id").alias("id")), "reps")
-    own = (sketched["node"] == reps["node"]) & (sketched["doc_id"] == reps["id"])
-    nodes = scratch.write(sketched.where("registers is not null").join(reps, own).select("id", F.col("n_shingles").alias("n"), "registers").distinct(), "nodes")
-    bands = scratch.write(_bands(nodes).select("k", F.lit(0).cast("long").alias("s"), "id", "n").distinct(), "bands")
-    buckets, names = scratch.write(_counted(bands), "buckets-0"), None
-    scratch.drop("bands")
-    links, references, k = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "k long, set array<long>"), 0
+    # equal sets have equal registers
+    same = named.groupBy("node").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
+    reps = scratch.write(same, "reps")
+    nodes = reps.where("registers is not null").select("id", "n", "registers")
+    rows = _bands(nodes)
+    links, names, sets, turn = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "id long, component long"), None, 0
     while True:
-        if k == 0:
-            # bands have no reference yet
-            starred = scratch.write(_hubs(buckets.where(F.col("m") > SMALL)).select("h", "x", "w").distinct(), "starred")
-            stars = starred.select(F.lit(0).cast("long").alias("k"), "h", "x")
-            main = starred.groupBy("x").agg(F.max(F.struct("w", "h")).alias("main")).select("x", F.col("main.h").alias("p"))
-            main = scratch.write(main.union(main.select("p", "p")).groupBy("x").agg(F.min("p").alias("p")), "main")
-        # in full: small buckets, by size and estimate first; members of one main hub are compared by way of that
-        small = buckets.where(F.col("m") <= SMALL)
-        small = small.withColumn("c", F.col("id")) if names is None else small.join(names, "id", "left").withColumn("c", F.coalesce("component", "id"))
-        small = small.join(main.withColumnRenamed("x", "id"), "id", "left") if k == 0 else small.withColumn("p", F.lit(None).cast("long"))
-        one, two = (small.select("k", "s", F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("c").alias(f"c{x}"), F.col("p").alias(f"p{x}")) for x in "hx")
-        sized = (100 * F.col("nh") >= percent * F.col("nx")) & (100 * F.col("nx") >= percent * F.col("nh"))
-        apart = F.col("ph").isNull() | F.col("px").isNull() | (F.col("ph") != F.col("px"))
-        near = scratch.write(one.join(two, ["k", "s"]).where((F.col("h") < F.col("x")) & (F.col("ch") != F.col("cx")) & sized & apart).select("h", "x").distinct(), f"near-{k}")
-        near = scratch.write(_promising(near, nodes, percent), f"promising-{k}")
-        if k and not large:
-            links = links.union(_linked(near, sets, percent))
+        buckets = scratch.write(_buckets(scratch, rows, turn), f"buckets-{turn}")
+        small, large = buckets.where(F.col("m") <= SMALL), buckets.where(F.col("m") > SMALL)
+        pairs = _in_full(small, percent).union(_with_hubs(large, percent) if turn < ROUNDS else _across(large, percent)).distinct()
+        near = scratch.write(_promising(scratch.write(pairs, f"pairs-{turn}"), nodes, percent), f"near-{turn}")
+        if sets is None:
+            ids = scratch.write(near.select("h").union(near.select("x")).union(large.select("id")).toDF("id").distinct(), "ids")
+            sets = scratch.write(_sets(docs, fits(ids, ids.count(), 16), words), "sets")
+        links = scratch.write(links.union(_linked(near, sets, percent)).distinct(), f"links-{turn}")
+        names = connected(scratch, links, f"names-{turn}")
+        if turn == ROUNDS or large.isEmpty():
             break
-        # by hub: large ones
-        if k:
-            stars = scratch.write(_hubs(buckets.where(F.col("m") > SMALL)).select("k", "h", "x").distinct(), f"stars-{k}")
-        else:
-            ids = near.select("h").union(near.select("x")).union(stars.select("h")).union(stars.select("x")).toDF("id").distinct()
-            sets = scratch.write(_sets(docs, ids, words), "sets")
-        measured = scratch.write(_measured(stars, sets, references, percent, whole=k > 0), f"measured-{k}")
-        found = measured.where("linked").select(F.col("h").alias("a"), F.col("x").alias("b")).union(_linked(near, sets, percent))
-        links = scratch.write(links.union(found).distinct(), f"links-{k}")
-        names = connected(scratch, links, f"names-{k}")
-        told = measured.join(names.withColumnRenamed("id", "x"), "x", "left").withColumn("c", F.coalesce("component", "x"))
-        mixed = told.groupBy("k").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("k")
-        if k == 0:
-            # where all members have one main hub, another hub has nothing to add
-            of = told.select("k", "h", "x").join(main, "x").groupBy("k", "h").agg(F.min("p").alias("low"), F.max("p").alias("high"))
-            mixed = mixed.join(of.where("low < high or low = h").select("k"), "k")
-        # dealt by member, as one hub may have a third of them
-        told = scratch.write(told.join(mixed, "k").select("k", "h", "x", "nx", "inside", "take", "own", "c").repartition("x"), f"told-{k}")
-        # members that lie in the reference up to the threshold can be linked by what they share with it
-        inside = told.where(100 * F.col("inside") >= percent * F.col("nx"))
-        one, two = (inside.select("k", F.col("x").alias(n), F.col("nx").alias(f"n{n}"), F.col("inside").alias(f"s{n}"), F.col("c").alias(f"c{n}")) for n in "ab")
-        reach = (100 + percent) * F.least("sa", "sb") >= percent * (F.col("na") + F.col("nb"))
-        close = one.join(two, "k").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & reach).select(F.col("a").alias("h"), F.col("b").alias("x")).distinct()
-        close = scratch.write(_linked(close, sets, percent), f"close-{k}")
-        listed = told.select("k", F.explode("own").alias("s"), "x", "nx", "c", F.size("own").alias("n"), "take")
-        some = listed.groupBy("k", "s").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("df")).where("df > 1")
-        listed = listed.join(some, ["k", "s"])
-        if k:
-            # shingles that no other member has come first, then rare ones: what many documents quote doesn't bring them together
-            by = Window.partitionBy("k", "x")
-            listed = listed.withColumn("place", F.col("n") - F.count("*").over(by) + F.row_number().over(by.orderBy("df", "s"))).where("place <= take")
-        after = scratch.write(_counted(listed.where("low < high").select("k", "s", F.col("x").alias("id"), F.col("nx").alias("n")).distinct()), f"buckets-{k + 1}")
-        # the reference of a bucket gains the hub
-        grown = stars.select(F.xxhash64("k", "h").alias("new"), "k", "h").distinct().join(after.select(F.col("k").alias("new")).distinct(), "new")
-        grown = grown.join(sets.select(F.col("id").alias("h"), F.col("set").alias("sh")), "h").join(references, "k", "left")
-        grown = grown.select(F.col("new").alias("k"), F.when(F.col("set").isNull(), F.col("sh")).otherwise(F.array_union("set", "sh")).alias("set"))
-        references = scratch.write(grown.dropDuplicates(["k"]), f"references-{k}")
-        scratch.drop(*(f"{t}-{k}" for t in ("buckets", "near", "promising", "measured", "told")), *([f"references-{k - 1}"] if k else []))
-        links, buckets, k = links.union(close), after, k + 1
-        fullest = buckets.agg(F.max("m")).first()[0]
-        if fullest is None:
+        members = scratch.write(_mixed(_families(scratch, large, f"members-{turn}"), names), f"mixed-{turn}")
+        scratch.drop(f"several-{turn}", f"buckets-{turn}", f"pairs-{turn}", f"near-{turn}", f"members-{turn}")
+        if members.isEmpty():
+            break
+        edits = scratch.write(_edits(members, sets, _references(members, sets), percent), f"edits-{turn}")
+        reached = scratch.write(_near_reference(edits), f"reached-{turn}")
+        links = links.union(reached)
+        told = _mixed(members.drop("c"), connected(scratch, links, f"told-{turn}")) if not reached.isEmpty() else members
+        rows = scratch.write(_rare_edits(edits, told, percent), f"rare-{turn}")
+        scratch.drop(f"edits-{turn}")
+        if rows.isEmpty():
+            names = connected(scratch, links, "names")
             break
-        large = fullest > SMALL
-    names = connected(scratch, scratch.write(links.distinct(), "links"), "names")
-    scratch.drop("sets", "nodes")
-    home = scratch.write(reps.join(names, "id", "left").select("node", F.coalesce("component", "id").alias("component")), "home")
+        turn += 1
+    scratch.drop("sets")
+    home = scratch.write(reps.select("node", "id").join(names, "id", "left").select("node", F.coalesce("component", "id").alias("component")), "home")
     keyed = sketched.join(home, "node", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
     return keyed.select("doc_id", "n_shingles", component.cast("long").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))

@@ -1,105 +1,111 @@
 """Exact top-k by inner product: term-at-a-time accumulation over blocks of candidates.
 
 Vectors become integers, floor(64 * x) of every component. Candidates are dealt into blocks, queries into blocks of bounded
-size; each block of queries meets every block of candidates by an equality join on the number of the query block. In a task the
-candidates of a block are postings by dimension; every non-zero component of a query scatters its weighted postings into the
-dense scores of the block. The best k of each block are selected by partition, and the blocks' winners merged per query, where
-Spark cuts to k rows per query before it shuffles.
-
-Vectors that are null, or hold null or non-finite components, and rows without an id take no part. Repeated rows of an id
-count once: the smallest vector stays. Missing components of shorter vectors count as 0. Ties go to the smaller id. Scores are
-64-bit integers; components beyond 2^24 times 64 may overflow them. No query or no candidate gives no rows.
+size; a task holds one block of candidates, and the blocks of queries pass by it one after the other. The candidates of a block are
+postings by dimension; every non-zero component of a query scatters its weighted postings into the dense scores of the block. The best k of
+each block are selected by partition, and the blocks' winners merged per query, where Spark cuts to k rows per query before it shuffles.
+
+Vectors that are null, or hold null or non-finite components, and rows without an id take no part. Repeated ids are rows like
+others: each is a candidate and, if its id is asked for, a query, which leaves out its own row only. Equal rows are one entry with their
+number. Missing components of shorter vectors count as 0. Ties go to the smaller id. Scores are 64-bit integers; components beyond
+2^24 times 64 may overflow them. Other columns are dropped. No query or no candidate gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from precinct.llm.blocks import blocks, matrix, meet, packed, usable
 from precinct.llm.common import Scratch
 
-BLOCK, QUERIES = 8192, 512
+BLOCK, QUERIES = 16_384, 4096
 
 
 def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
-    """vec_id long, v array<long>, one row per id."""
-    x = F.col("v")
-    rows = vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), vectors["embedding"].cast("array<double>").alias("v"))
-    whole = F.forall(x, lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(False)))
-    rows = rows.where(F.col("vec_id").isNotNull() & x.isNotNull() & whole)
-    return rows.groupBy("vec_id").agg(F.min(F.transform(x, lambda c: F.floor(c * scale))).alias("v"))
-
-
-def _blocks(rows: DataFrame, n: int, name: str) -> DataFrame:
-    """One row per block: its number, the ids and the vectors as one binary of 64-bit integers."""
-
-    def pack(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
-        vectors = part.column("v").to_pylist()
-        wide = max(map(len, vectors), default=0)
-        m = np.zeros((len(vectors), wide), np.int64)
-        for i, v in enumerate(vectors):
-            m[i, : len(v)] = v
-        ids = part.column("vec_id").to_numpy().astype(np.int64)
-        order = np.argsort(ids)
-        small = m.astype(np.int16) if m.size and np.abs(m).max() < 1 << 15 else m
-        return pa.table({name: pa.array([key[0].as_py()], pa.int64()), f"{name}_ids": pa.array([ids[order].tobytes()], pa.binary()),
-                         f"{name}_v": pa.array([small[order].tobytes()], pa.binary()), f"{name}_size": pa.array([small.itemsize], pa.int32())})
-
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(n)).alias(name)
-    return rows.select(block, "vec_id", "v").groupBy(name).applyInArrow(pack, f"{name} long, {name}_ids binary, {name}_v binary, {name}_size int")
-
-
-def _matrix(row, name: str) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(row[f"{name}_ids"], np.int64)
-    v = np.frombuffer(row[f"{name}_v"], f"i{row[f'{name}_size']}")
-    return ids, v.reshape(len(ids), -1)
-
-
-def best_of_block(query_ids, queries, ids, vectors, k: int):
-    """(query id, id, score) arrays of each query's k best of the block, ties to smaller ids; ids ascend."""
-    dims = min(queries.shape[1], vectors.shape[1])
-    postings = [(np.flatnonzero(vectors[:, d]), vectors[vectors[:, d] != 0, d].astype(np.int64)) for d in range(dims)]
-    out = []
-    for q, weights in zip(query_ids, queries[:, :dims].astype(np.int64)):
-        scores = np.zeros(len(ids), np.int64)
-        for d in np.flatnonzero(weights):
-            at, v = postings[d]
-            if len(at) == len(ids):
+    """vec_id long, v array<long>, key (a hash of v) and copies, one row for all equal rows."""
+    rows = usable(vectors).select("vec_id", F.transform("v", lambda c: F.floor(c * scale)).alias("v"))
+    return rows.groupBy("vec_id", "v").agg(F.count("*").alias("copies")).withColumn("key", F.xxhash64("v"))
+
+
+def _pack(part: pa.Table) -> dict[str, bytes]:
+    """Ids, keys, copies and vectors as integers, by id."""
+    ids, keys, copies = (part.column(c).to_numpy().astype(np.int64) for c in ("vec_id", "key", "copies"))
+    lists = part.column("v").combine_chunks()
+    m = matrix(part.column("v"), int(lists.value_lengths().to_numpy().max(initial=0)))
+    small = m.astype(np.int16) if m.size and np.abs(m).max() < 1 << 15 else m
+    order = np.lexsort((keys, ids))
+    arrays = {"ids": ids, "keys": keys, "copies": copies, "v": small}
+    return {c: x[order].tobytes() for c, x in arrays.items()} | {"shape": np.array([small.shape[1], small.itemsize]).tobytes()}
+
+
+class Entries:
+    def __init__(self, data: dict[str, bytes]):
+        self.ids, self.keys, self.copies = (np.frombuffer(data[c], np.int64) for c in ("ids", "keys", "copies"))
+        wide, size = np.frombuffer(data["shape"], np.int64)
+        self.v = np.frombuffer(data["v"], f"i{size}").reshape(len(self.ids), wide)
+
+
+class Postings:
+    """A block of candidates by dimension: which of them are not zero there, and their values."""
+
+    def __init__(self, data: dict[str, bytes]):
+        self.entries = Entries(data)
+        v = self.entries.v
+        self.of = [(np.flatnonzero(v[:, d]), v[v[:, d] != 0, d].astype(np.int64)) for d in range(v.shape[1])]
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        scores = np.zeros(len(self.entries.ids), np.int64)
+        for d in np.flatnonzero(weights[: len(self.of)]):
+            at, v = self.of[d]
+            if len(at) == len(scores):
                 scores += weights[d] * v
             else:
                 scores[at] += weights[d] * v
-        others = ids != q
-        rows = np.arange(len(ids))[others]
+        return scores
+
+    def best(self, q: int, key: int, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and scores of the k best rows but the query's own, ties to smaller ids."""
+        e, scores = self.entries, self.scores(weights)
+        copies = e.copies
+        own = slice(*np.searchsorted(e.ids, [q, q + 1]))
+        if own.start < own.stop:
+            copies = copies.copy()
+            copies[own] -= e.keys[own] == key
+        rows = np.flatnonzero(copies)
         if len(rows) > k:
             s = scores[rows]
             edge = np.partition(s, len(s) - k)[len(s) - k]
             above, ties = rows[s > edge], rows[s == edge]
             rows = np.r_[above, ties[: k - len(above)]]
-        out.append((np.full(len(rows), q), ids[rows], scores[rows]))
-    return [np.concatenate(x) for x in zip(*out)] if out else [np.empty(0, np.int64)] * 3
+        rows = rows[np.lexsort((e.ids[rows], -scores[rows]))]
+        rows = np.repeat(rows, np.minimum(copies[rows], k))[:k]
+        return e.ids[rows], scores[rows]
 
 
 def search(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 20, block: int = BLOCK, queries: int = QUERIES) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score of each query's k best; is_query is an expression over vec_id."""
-    scratch = Scratch(spark)
-    rows = scratch.write(quantised(vectors), "vectors")
+    """query_id, rank (from 1), vec_id, score of each query row's k best; is_query is an expression over vec_id."""
+    rows = Scratch(spark).write(quantised(vectors), "vectors")
     counts = rows.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
-    n, q = (-(-max(1, c) // size) for c, size in ((counts["n"], block), (counts["q"], queries)))
-    asked = _blocks(rows.where(is_query), q, "qb")
-    blocks = _blocks(rows, n, "cb").withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q - 1)).cast("array<long>")))
-
-    def run(batches):
-        for b in batches:
-            for row in b.to_pylist():
-                got = best_of_block(*_matrix(row, "qb"), *_matrix(row, "cb"), k)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in got], names=["query_id", "vec_id", "score"])
-
-    best = blocks.join(asked, "qb").repartition(n * q, "qb", "cb").mapInArrow(run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    held = packed(rows, ["vec_id", "key"], block, counts["n"], _pack)
+    asked = packed(rows.where(is_query), ["key", "vec_id"], queries, counts["q"], _pack)
+
+    def ask(postings: Postings, data: dict[str, bytes]) -> Iterator[pa.RecordBatch]:
+        e = Entries(data)
+        got = [postings.best(q, key, w, k) for q, key, w in zip(e.ids.tolist(), e.keys.tolist(), e.v.astype(np.int64))]
+        of = np.repeat(np.arange(len(got)), [len(ids) for ids, _ in got])
+        found = (np.concatenate(x) for x in zip(*got))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (e.ids[of], e.keys[of], e.copies[of], *found)], names=["query_id", "key", "copies", "vec_id", "score"])
+
+    best = meet(held, blocks(block, counts["n"]), asked, Postings, ask, "query_id long, key long, copies long, vec_id long, score long")
+    order = Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    each = F.explode(F.sequence(F.lit(1).cast("long"), "copies"))
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", each.alias("copy")).drop("copy")
 
 
 #: DuckDB: all products, summed by component. For unique ids.

@@ -8,9 +8,12 @@ import re
 
 import numpy as np
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 from test_operators import CLASHES, PASSAGE, ROWS, frame, same
 
+from tokenizers import Tokenizer
+
 from precinct.llm import alignment, audit, hashing
 from precinct.llm.queries import BYTE_LEVEL, PIECES, QUERIES
 
@@ -211,9 +214,16 @@ def vocabularies():
     return alignment.Vocabularies.load(BYTE_LEVEL, PIECES)
 
 
+def whole():
+    """Both vocabularies as their own libraries read them."""
+    first, second = Tokenizer.from_file(BYTE_LEVEL), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    first.encode_special_tokens = True
+    return first, second
+
+
 def plainly(vocabularies, rows):
-    """The contract by shared byte offsets of whole texts, with neither windows nor chunks."""
-    first, second, ab, bb = vocabularies.ready()
+    """The contract by shared byte offsets of whole texts, with neither units, windows nor chunks."""
+    (first, second), (*_, ab, bb) = whole(), vocabularies.ready()
     docs = []
     for d, t in rows:
         want = b" " + (t or "").encode()
@@ -258,37 +268,43 @@ def test_alignment_of_nothing(spark, vocabularies):
     same(got, [(None, 0, 0, 0, 0, 0, 0, ""), (1, 0, 0, 0, 0, 0, 0, "")])
 
 
-@pytest.mark.parametrize("most", [5, 40, 300])
-def test_pieces_give_the_tokens_of_the_whole(vocabularies, monkeypatch, most):
+def test_units_give_the_tokens_of_the_whole(vocabularies):
     r, texts = random.Random(5), [t for _, t in ROWS if t and len(t) < 5000] + odd_texts()
     texts += [" ".join(r.sample(texts, 4)) for _ in range(60)]
-    whole = list(alignment._encoded(vocabularies.ready(), texts))
-    pieces = [alignment.cut(t, most) for t in texts]
-    assert [" ".join(p) for p in pieces] == texts and max(map(len, pieces)) > 3
-    monkeypatch.setattr(alignment, "cut", lambda t: pieces[texts.index(t)])
-    assert list(alignment._encoded(vocabularies.ready(), texts)) == whole
+    (first, second), (a, b, *_) = whole(), vocabularies.ready()
+    split = [alignment.units(t) for t in texts]
+    assert [" ".join(u) for u in split] == texts and max(map(len, split)) > 50
+    assert [[i for u in x for i in a.encode_ordinary(" " + u)] for x in split] == [first.encode(" " + t, add_special_tokens=False).ids for t in texts]
+    # a text that holds the mark itself is not covered, however it is encoded
+    assert all([i for u in x for i in b.encode(u)] == second.encode(t) for x, t in zip(split, texts) if "▁" not in t)
 
 
 def test_windows_are_remembered(vocabularies, monkeypatch):
-    done, real = [], alignment.align
-    monkeypatch.setattr(alignment, "align", lambda *x: done.append(1) or real(*x))
-    tools = vocabularies.ready()
-    chunk = alignment.Chunk(tools, {})
-    (ids,) = alignment._encoded(tools, ["blorfent wazzle " * 500])
-    chunk.add(1, ids, 0)
-    assert len(done) <= 6 and len(chunk.windows) == len(done)
-    monkeypatch.setattr(alignment, "KEPT", 2)
+    done, memory = [], alignment.Memory(vocabularies.ready())
+    real = memory._aligned
+    monkeypatch.setattr(memory, "_aligned", lambda a, b: done.extend(a) or real(a, b))
+    chunk = alignment.Chunk(memory)
+    chunk.add([1], ["blorfent wazzle " * 500])
+    assert len(done) <= 4 and len(chunk.units) == len(done)
     chunk.clear()
-    chunk.add(1, ids, 0)
-    assert len(chunk.memo) <= 6
-
-
-def test_large_groups_are_counted_by_array(monkeypatch):
-    a, b, la, lb = [1, 2, 1, 3], [7, 8, 7], [2, 2, 2, 2], [3, 2, 3]
-    first = alignment.align(a, b, la, lb)
-    monkeypatch.setattr(alignment, "SMALL", 0)
-    second = alignment.align(a, b, la, lb)
-    assert first[:3] == second[:3] and dict(zip(*first[3:])) == dict(zip(*second[3:])) and first[2] == 12 and first[0] == b"1,2,1,3|7,8,7"
+    chunk.add([1], ["wazzle blorfent"])
+    assert len(done) <= 4 and len(chunk.units) == 2
+    monkeypatch.setattr(alignment, "KEPT", 1)
+    chunk.clear()
+    chunk.add([1], ["another one"])
+    assert set(memory.windows) == {"another", "one"}
+
+
+def test_large_groups_are_counted(spark, vocabularies, monkeypatch):
+    monkeypatch.setattr(alignment, "LARGE", 1)
+    chunk = alignment.Chunk(alignment.Memory(vocabularies.ready()))
+    rows = [(i, t) for i, t in enumerate(odd_texts() + ["blorfent wazzle blorfent 😀😀 12345"])]
+    chunk.add(*map(list, zip(*rows)))
+    got = chunk.row(0).to_pylist()[0]
+    monkeypatch.setattr(alignment, "LARGE", 1 << 12)
+    other = alignment.Chunk(alignment.Memory(vocabularies.ready()))
+    other.add(*map(list, zip(*rows)))
+    assert got == other.row(0).to_pylist()[0] and any(x > 1 for x in got["often"])
 
 
 @pytest.mark.parametrize("name", ["op11_neighbours", "op12_audit", "op13_alignment"])

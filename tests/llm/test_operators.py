@@ -127,6 +127,27 @@ def test_near_dups(spark, docs, none, monkeypatch, n, percent, small):
     assert near_dups.components(spark, none, n, percent).count() == 0
 
 
+@pytest.mark.parametrize("members", [100, 200, 400])
+def test_pairs_follow_the_members_of_a_family(spark, monkeypatch, members):
+    """One template less a fifth of it each, at another place: neighbours are linked, most pairs are not."""
+    r = random.Random(members)
+    template = [f"w{r.randrange(10**9)}" for _ in range(300)]
+    starts = [r.randrange(240) for _ in range(members)]
+    some = [(i, " ".join(template[:a] + template[a + 60 :])) for i, a in enumerate(starts)]
+    compared, write = [], near_dups.Scratch.write
+
+    def counted(self, df, label):
+        out = write(self, df, label)
+        if label.startswith("pairs-"):
+            compared.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dups.Scratch, "write", counted)
+    got = near_dups.components(spark, frame(spark, some)).collect()
+    assert {(x.doc_id, x.component_id) for x in got} == {(w[0], w[2]) for w in brute.near_dups(some)}
+    assert sum(compared) <= 12 * members, compared
+
+
 def test_one_of_each_group_stays(spark, docs):
     kept = near_dups.deduplicated(spark, docs, 3, 85)
     assert kept.columns == docs.columns
@@ -171,20 +192,30 @@ def test_license_templates_of_the_method(spark):
 def test_topk(spark):
     r = random.Random(1)
     vectors = [(i, [r.choice([0.0, -1.5, 0.3, 2.0, 0.01]) for _ in range(r.choice([3, 8]))]) for i in range(120)]
-    vectors += [(200, None), (220, [1.0, None]), (240, [float("nan"), 1.0]), (260, [float("inf")]), (None, [1.0]), (40, vectors[40][1]), (280, [])]
-    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)).withColumn("cb", F.lit(1))
-    own = {i: [int(np.floor(64 * x)) for x in v] for i, v in vectors if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    vectors += [(200, None), (220, [1.0, None]), (240, [float("nan"), 1.0]), (260, [float("inf")]), (None, [1.0]), (280, [])]
+    # ids of several rows: equal ones, others, of a query and of candidates
+    vectors += [(40, vectors[40][1]), (40, [2.0] * 8), (1, [9.0] * 3), (1, [9.0] * 3), (1, [4.5] * 3), (20, [1.0] * 3)] + [(7, [3.0, 3.0])] * 30
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").withColumn("v", F.lit(1)).withColumn("block", F.lit(1)).withColumn("key", F.lit(1))
+    own = [(i, [int(np.floor(64 * x)) for x in v]) for i, v in vectors if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     want = []
-    for q in own:
+    for at, (q, v) in enumerate(own):
         if q % 20 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(own[q], own[c])), c) for c in own if c != q)[:20]
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), c) for n, (c, w) in enumerate(own) if n != at)[:20]
             want += [(q, k + 1, c, -s) for k, (s, c) in enumerate(scored)]
     same(topk.search(spark, df, F.col("vec_id") % 20 == 0, block=16, queries=2).collect(), want)
+    same(topk.search(spark, df, F.col("vec_id") % 20 == 0).collect(), want)
     assert topk.search(spark, df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
-    few = df.where("vec_id in (20, 21, 22)")
+    few = df.where("vec_id in (41, 42) or vec_id = 60")
     assert topk.search(spark, few, F.col("vec_id") % 20 == 0).count() == 2
 
 
+def test_tasks_of_topk_follow_the_candidates(spark):
+    """One task per block of candidates, however many queries there are."""
+    df = spark.range(3000).select(F.col("id").alias("vec_id"), F.array(F.col("id") % 7, F.col("id") % 5).cast("array<double>").alias("embedding"))
+    plan = topk.search(spark, df, F.lit(True), block=500, queries=10)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [block" in plan and ", 6" in plan[plan.index("RepartitionByExpression [block"):].splitlines()[0]
+
+
 def test_bpe(spark, docs, none):
     from tokenizers import Tokenizer
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from precinct.operators.polygons import centroids, collect_layer, explode_layer, reproject, simplify
-from precinct.session import materialize
+from precinct.session import materialize, shuffled
 from precinct.sources.sinks import write_collection, write_layer, write_layer_batches
 
 
@@ -30,7 +30,7 @@ def prepare_layer(layer: DataFrame, feature_id: str, epsg: int = 4326, tolerance
     shapes = collect_layer(simplify(vertices, tolerance) if tolerance is not None else vertices)
     out = layer.select(*properties)
     for part in (centres, shapes):
-        out = out.join(part.withColumnRenamed("feature_id", feature_id), feature_id, "left")
+        out = out.join(shuffled(part.withColumnRenamed("feature_id", feature_id)), feature_id, "left")
     return out.select(*properties, "longitude", "latitude", "coordinates")
 
 

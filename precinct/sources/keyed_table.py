@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from precinct.session import materialize
+from precinct.session import few_or_shuffled, materialize
 
 BATCH = "_batch"
 
@@ -67,11 +67,11 @@ class KeyedTable:
             raise ValueError(f"columns {sorted(updates.columns)} are not those of {self.path}")
         among = lambda names: F.col(self.column).isin([r[0] for r in names.distinct().collect()])
         old = old.where(among(fresh.select(self.column)))
-        known = materialize(old.select(self.column, BATCH, *self.keys).join(fresh.select(*self.keys), self.keys, "left_semi"), "known")
-        fresh = fresh.join(known.where(F.col(BATCH) > batch).select(*self.keys), self.keys, "left_anti")
+        known = materialize(old.select(self.column, BATCH, *self.keys).join(few_or_shuffled(fresh.select(*self.keys)), self.keys, "left_semi"), "known")
+        fresh = fresh.join(few_or_shuffled(known.where(F.col(BATCH) > batch).select(*self.keys)), self.keys, "left_anti")
         met = among(known.where(F.col(BATCH) <= batch).select(self.column))
         self._write(fresh.where(~met), "append")
-        kept = old.where(met).join(fresh.select(*self.keys), self.keys, "left_anti")
+        kept = old.where(met).join(few_or_shuffled(fresh.select(*self.keys)), self.keys, "left_anti")
         self._write(kept.unionByName(fresh.where(met)), "overwrite")
 
     def _write(self, rows: DataFrame, mode: str, clustered: bool = False) -> None:

@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from precinct import session
 from precinct.operators import polygons
 from precinct.operators.spatial import nearest_pairs
 
@@ -197,3 +198,22 @@ def test_layer_round_trip(spark):
     df = spark.createDataFrame(SHAPES[6][0] + SHAPES[8][0], VERTEX)
     back = polygons.explode_layer(polygons.collect_layer(df), "feature_id")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sides_that_grow_are_not_broadcast(spark):
+    df = spark.createDataFrame(SHAPES[6][0] + SHAPES[8][0], VERTEX)
+    for out in (polygons.centroids(df), polygons.crossings(df), polygons.validity(df), polygons.thinned(df, 0.1)):
+        assert "Broadcast" not in plan(out)
+    ids = session.materialize(spark.range(20), "ids")
+    assert "Broadcast" in plan(spark.range(5).join(session.few_or_shuffled(ids), "id"))
+
+
+def test_written_sides_are_broadcast_while_few(spark, monkeypatch):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 10)
+    ids = session.materialize(spark.range(20), "ids")
+    out = spark.range(5).join(session.few_or_shuffled(ids), "id")
+    assert "Broadcast" not in plan(out) and out.count() == 5

@@ -477,3 +477,16 @@ def test_a_job_leaves_no_intermediates(spark, tmp_path, monkeypatch):
     p = lambda n: str(tmp_path / n)
     tables = build.run_build(spark, build.Inputs(p("inc.tsv"), p("conc.csv"), p("census.csv"), p("areas.geojson"), p("blocks.geojson")), p("out"), parts=2)
     assert os.listdir(tmp_path / "shared") == [] and tables["suburbs"].read().count() == 2
+
+
+def test_upsert_of_many_keys_is_not_broadcast(spark, tmp_path, monkeypatch):
+    """Keys beyond the bound are joined by a shuffle, with the same rows."""
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 1)
+    asked = []
+    monkeypatch.setattr(session, "shuffled", lambda df, f=session.shuffled: asked.append(df.columns) or f(df))
+    t = KeyedTable(spark, str(tmp_path / "t"), ["id"], 4)
+    t.upsert(pairs(spark, (1, "a"), (2, "b"), (3, "c")))
+    t.upsert(pairs(spark, (2, "x"), (3, "y"), (4, "z")), batch=1)
+    t.upsert(pairs(spark, (2, "old"), (3, "old"), (5, "new")))
+    assert rows(t.read()) == [(1, "a"), (2, "x"), (3, "y"), (4, "z"), (5, "new")]
+    assert asked and set(map(tuple, asked)) == {("id",)}

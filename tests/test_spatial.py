@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from precinct import session
+from precinct.catalog import views
 from precinct.operators import polygons
 from precinct.operators.spatial import nearest_pairs
 
@@ -217,3 +218,13 @@ def test_written_sides_are_broadcast_while_few(spark, monkeypatch):
     ids = session.materialize(spark.range(20), "ids")
     out = spark.range(5).join(session.few_or_shuffled(ids), "id")
     assert "Broadcast" not in plan(out) and out.count() == 5
+
+
+def test_polygons_are_made_by_many_tasks(spark, tmp_path, monkeypatch):
+    customers = ["id % 90 as c_custkey", "'x' as c_name", "1 as c_nationkey", "0D as c_acctbal", "'y' as c_mktsegment"]
+    spark.range(100).selectExpr(*customers).coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    whole = sorted(map(tuple, views.vertices(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(views, "SPREAD", 20)
+    dealt = views.vertices(spark, str(tmp_path))
+    assert dealt.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    assert sorted(map(tuple, dealt.collect())) == whole

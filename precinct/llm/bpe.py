@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from precinct.llm.common import released
+
 NONE = np.int64(1) << 40
 #: White space that Python's str.split takes and the vocabulary's rules don't.
 ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
@@ -172,7 +174,7 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
                 names=["doc_id", "n_tokens", "ids"])
 
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return rows.mapInArrow(released(run), "doc_id long, n_tokens long, ids binary")
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
@@ -187,7 +189,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
                 [*(b.column(c) for c in ("doc_id", "n_tokens", "ids")), pa.array(texts, pa.binary()).cast(pa.string())],
                 names=["doc_id", "n_tokens", "ids", "decoded"])
 
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")
+    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(released(run), "doc_id long, n_tokens long, ids binary, decoded string")
 
 
 def digests(docs: DataFrame, vocabulary: str) -> DataFrame:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from precinct.llm.common import Scratch, as_bytes, fits, mix, ngram_hashes, word_hashes
+from precinct.llm.common import Scratch, as_bytes, fits, mix, ngram_hashes, released, word_hashes
 
 BUCKETS, ROWS, MANTISSA = 240, 6, 10
 #: Per cent that the intersection must be of the union.
@@ -123,7 +123,7 @@ def _sketches(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 pa.array([regs[k].tobytes() if k in regs else None for k in range(len(sets))], pa.binary())],
                 names=["doc_id", "n_shingles", "node", "registers"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node binary, registers binary")
+    return docs.mapInArrow(released(run), "doc_id long, n_shingles long, node binary, registers binary")
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
@@ -136,7 +136,7 @@ def _bands(nodes: DataFrame) -> DataFrame:
                 pa.array(keys.ravel(), pa.int64()), pa.array(np.repeat(b.column("id").to_numpy(), times)), pa.array(np.repeat(b.column("n").to_numpy(), times))],
                 names=["k", "id", "n"])
 
-    return nodes.select("id", "n", "registers").mapInArrow(run, "k long, id long, n long")
+    return nodes.select("id", "n", "registers").mapInArrow(released(run), "k long, id long, n long")
 
 
 def _promising(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -153,7 +153,7 @@ def _promising(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             na, nb = (b.column(c).to_numpy().astype(float) for c in ("nh", "nx"))
             yield b.select(["h", "x"]).filter(pa.array((estimate(ra, rb, na, nb) >= need) | (np.minimum(na, nb) < LEAST)))
 
-    return both.select("h", "x", "nh", "nx", "rh", "rx").mapInArrow(run, "h long, x long").distinct()
+    return both.select("h", "x", "nh", "nx", "rh", "rx").mapInArrow(released(run), "h long, x long").distinct()
 
 
 def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
@@ -164,7 +164,7 @@ def _sets(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
             sets = [shingle_set(x, n) for x in as_bytes(b.column("text"))]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["id", "set"])
 
-    return docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id").mapInArrow(run, "id long, set array<long>").where(F.size("set") > 0).distinct()
+    return docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id").mapInArrow(released(run), "id long, set array<long>").where(F.size("set") > 0).distinct()
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -265,7 +265,7 @@ def _edits(members: DataFrame, sets: DataFrame, references: DataFrame, percent:
             yield pa.RecordBatch.from_arrays([b.column("g"), b.column("id"), b.column("n"), pa.array(v, pa.int64()), pa.array(own, pa.list_(pa.int64()))], names=["g", "id", "n", "v", "own"])
 
     both = members.select("g", "id").join(sets, "id").join(references, "g").select("g", "id", F.size("set").cast("long").alias("n"), "set", "reference")
-    return both.mapInArrow(run, "g long, id long, n long, v long, own array<long>")
+    return both.mapInArrow(released(run), "g long, id long, n long, v long, own array<long>")
 
 
 def _near_reference(edits: DataFrame) -> DataFrame:

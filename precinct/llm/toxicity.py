@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from precinct.llm.common import WORD_BYTES, Scratch, as_bytes
+from precinct.llm.common import WORD_BYTES, Scratch, as_bytes, released
 
 SAMPLE, FEATURES, FOLDS = 20_000, 4_000, 5
 PENALTIES = (0.1, 0.3, 1.0, 3.0)
@@ -147,7 +147,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int =
                 f = list(features(text))
                 yield pa.RecordBatch.from_arrays([pa.array(f, pa.binary()), pa.array([toxic] * len(f), pa.bool_())], names=["feature", "toxic"])
 
-    counts = rows.mapInArrow(listed, "feature binary, toxic boolean").groupBy("feature").agg(F.count_if("toxic").alias("t"), F.count("*").alias("n"))
+    counts = rows.mapInArrow(released(listed), "feature binary, toxic boolean").groupBy("feature").agg(F.count_if("toxic").alias("t"), F.count("*").alias("n"))
     t, c = F.col("t").cast("double"), (F.col("n") - F.col("t")).cast("double")
     whole = n[False] + n[True]
     expected = lambda x, of, part: x * F.log((x / of) / (F.col("n") / part))
@@ -166,7 +166,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int =
             yield pa.RecordBatch.from_arrays([pa.array([sorted(number[f] for f in fs & known) for fs in found], pa.list_(pa.int32())), b.column("toxic")], names=["at", "toxic"])
 
     # rows in one order, so that every run sums alike
-    sampled = sorted((r["toxic"], r["at"]) for r in rows.mapInArrow(indexed, "at array<int>, toxic boolean").collect())
+    sampled = sorted((r["toxic"], r["at"]) for r in rows.mapInArrow(released(indexed), "at array<int>, toxic boolean").collect())
     w, thresholds, recall, precision = chosen_fit([np.array(at, np.int64) for _, at in sampled], np.array([float(t) for t, _ in sampled]), len(number), noise)
     scratch.drop("wanted", "rows", "told")
     return Model({f: float(w[i]) for f, i in number.items() if abs(w[i]) > 1e-6}, thresholds, recall, precision)
@@ -184,7 +184,7 @@ def graded(docs: DataFrame, model: Model) -> DataFrame:
                 names=["doc_id", "severity", "grade", "toxic_probability", "rejected"])
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, severity double, grade int, toxic_probability double, rejected boolean")
+    return rows.mapInArrow(released(run), "doc_id long, severity double, grade int, toxic_probability double, rejected boolean")
 
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
@@ -195,4 +195,4 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
         for b in batches:
             yield b.filter(pa.array(model.grades(as_bytes(b.column(at).cast(pa.string())))[:, 0] < 0.5))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)

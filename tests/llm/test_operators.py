@@ -421,3 +421,19 @@ def test_digest_of_registered_rows(spark):
     names = {q.split("_")[0] for q in entry.queries() if q.startswith("op")}
     assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in entry.queries()
     assert hashlib.sha256(b"").hexdigest() == brute.sha("")
+
+
+def test_tasks_give_their_memory_back():
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096 / 1e6
+
+    def run(batches):
+        for b in batches:
+            many = [bytes(1000) for _ in range(200_000)]
+            held.append(many[-1])  # above what is freed, so that the allocator keeps that
+            yield len(many) + b
+
+    held, before = [], resident()
+    assert list(common.released(run)([1, 2])) == [200_001, 200_002]
+    assert resident() - before < 100

@@ -48,7 +48,7 @@ def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and the text decoded from them, a row per row; null and empty texts have no tokens."""
-    return bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY)
+    return bpe.encode_decode(docs, VOCABULARY)
 
 
 STAGES = [

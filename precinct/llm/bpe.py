@@ -13,18 +13,20 @@ from __future__ import annotations
 
 import json
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from precinct.llm.common import released
 
 NONE = np.int64(1) << 40
+#: Characters of texts that are encoded together.
+PORTION = 1 << 19
 #: White space that Python's str.split takes and the vocabulary's rules don't.
 ODD_SPACE = regex.compile(r"[\x1c-\x1f]")
 WHITE = regex.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -115,10 +117,10 @@ def merge_words(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarr
 
 
 class Encoder:
-    """Encodes batches of texts; keeps the ids of at most `most` words between batches."""
+    """Encodes batches of texts; keeps the ids of at most twice `most` words between batches, of which those met again stay longer."""
 
-    def __init__(self, v: Vocabulary, most: int = 300_000):
-        self.v, self.most, self.known = v, most, {}
+    def __init__(self, v: Vocabulary, most: int = 1 << 16):
+        self.v, self.most, self.known, self.older = v, most, {}, {}
         self.pattern = regex.compile(v.pattern)
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(v.special, key=len, reverse=True))) + ")") if v.special else None
 
@@ -154,46 +156,79 @@ class Encoder:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [list(self.pieces(t)) for t in texts]
         if len(self.known) > self.most:
-            self.known.clear()
-        new = {w for parts in cut for p in parts if not isinstance(p, int) for w in p} - self.known.keys()
-        self.learn(new)
+            self.known, self.older = {}, self.known
+        new = set().union(*(p for parts in cut for p in parts if not isinstance(p, int))).difference(self.known)
+        again = new.intersection(self.older)
+        self.known |= {w: self.older[w] for w in again}
+        self.learn(new - again)
         got = self.known.__getitem__
         return [b"".join(p.to_bytes(4, "little") if isinstance(p, int) else b"".join(map(got, p)) for p in parts) for parts in cut]
 
 
-def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_tokens long, ids binary (little-endian unsigned 32-bit), one row per row of docs."""
-    v = Vocabulary.load(vocabulary)
+IDS, DECODED = "doc_id long, n_tokens long, ids binary", "doc_id long, n_tokens long, ids binary, decoded string"
+Batches = Iterator[pa.RecordBatch]
+
+
+def portions(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str]]]:
+    """Ids and texts of a batch, of about PORTION characters at once."""
+    ids, texts, at = batch.column("doc_id"), batch.column("text"), 0
+    while at < len(texts):
+        some, held = [], 0
+        while at + len(some) < len(texts) and held < PORTION:
+            some.append(texts[at + len(some)].as_py() or "")
+            held += len(some[-1])
+        yield ids.slice(at, len(some)), some
+        at += len(some)
+
 
+def _encoding(v: Vocabulary) -> Callable[[Batches], Batches]:
     def run(batches):
         encoder = Encoder(v)
         for b in batches:
-            ids = encoder.batch([x or "" for x in b.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                names=["doc_id", "n_tokens", "ids"])
-
-    rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    return rows.mapInArrow(released(run), "doc_id long, n_tokens long, ids binary")
+            for doc_id, texts in portions(b):
+                ids = encoder.batch(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [doc_id, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                    names=["doc_id", "n_tokens", "ids"])
 
+    return run
 
-def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
-    """Adds decoded string to doc_id, n_tokens, ids: the tokens' strings, with spaces between, as the file names no decoder."""
-    pieces = [p.encode() for p in Vocabulary.load(vocabulary).pieces]
 
+def _decoding(v: Vocabulary) -> Callable[[Batches], Batches]:
     def run(batches):
-        got = pieces.__getitem__
+        got = [p.encode() for p in v.pieces].__getitem__
         for b in batches:
             texts = [b" ".join(map(got, np.frombuffer(x, "<u4").tolist())) for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in ("doc_id", "n_tokens", "ids")), pa.array(texts, pa.binary()).cast(pa.string())],
                 names=["doc_id", "n_tokens", "ids", "decoded"])
 
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(released(run), "doc_id long, n_tokens long, ids binary, decoded string")
+    return run
+
+
+def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
+
+
+def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_tokens long, ids binary (little-endian unsigned 32-bit), one row per row of docs."""
+    return _rows(docs, doc_id, text).mapInArrow(released(_encoding(Vocabulary.load(vocabulary))), IDS)
+
+
+def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
+    """Adds decoded string to doc_id, n_tokens, ids: the tokens' strings, with spaces between, as the file names no decoder."""
+    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(released(_decoding(Vocabulary.load(vocabulary))), DECODED)
+
+
+def encode_decode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """decode(encode(docs)), both in the same Python worker: Spark would hold two of them for each task, with a vocabulary each."""
+    v = Vocabulary.load(vocabulary)
+    encoding, decoding = _encoding(v), _decoding(v)
+    return _rows(docs, doc_id, text).mapInArrow(released(lambda batches: decoding(encoding(batches))), DECODED)
 
 
 def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_tokens and the digests of ids and decoded text."""
-    return decode(encode(docs, vocabulary), vocabulary).select(
+    return encode_decode(docs, vocabulary).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

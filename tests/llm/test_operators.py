@@ -6,7 +6,9 @@ import random
 import zlib
 
 import brute
+import corpus_pipeline as pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,6 +230,17 @@ def test_bpe(spark, docs, none):
     assert bpe.digests(none, VOCABULARY).count() == 0
 
 
+def test_bpe_and_back_take_one_python_worker(spark, docs, monkeypatch):
+    """Each Python step of a stage has a worker of its own in every running task."""
+    got = bpe.encode_decode(docs, VOCABULARY)
+    plans = [x._jdf.queryExecution().executedPlan().toString().count("MapInArrow") for x in (got, bpe.digests(docs, VOCABULARY), pipeline.tokenise(spark, docs, ""))]
+    assert plans == [1, 1, 1]
+    same(got.collect(), [tuple(r) for r in bpe.decode(bpe.encode(docs, VOCABULARY), VOCABULARY).collect()])
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2, 3, 4], "text": ["aaa", None, "b", "c"]})
+    monkeypatch.setattr(bpe, "PORTION", 3)
+    assert [(i.to_pylist(), t) for i, t in bpe.portions(batch)] == [([1], ["aaa"]), ([2, 3, 4], ["", "b", "c"])]
+
+
 def test_bpe_of_random_text():
     from tokenizers import Tokenizer
 

@@ -2,8 +2,10 @@
 
 Vectors become integers, floor(64 * x) of every component. Candidates are dealt into blocks, queries into blocks of bounded
 size; a task holds one block of candidates, and the blocks of queries pass by it one after the other. The candidates of a block are
-postings by dimension; every non-zero component of a query scatters its weighted postings into the dense scores of the block. The best k of
+postings by dimension; every non-zero component of a query scatters its weighted postings into the dense scores of the block. Postings of most of a
+block are columns, and sums are made in the narrowest numbers that hold them exactly. The best k of
 each block are selected by partition, and the blocks' winners merged per query, where Spark cuts to k rows per query before it shuffles.
+Work grows with queries x rows, as every score counts.
 
 Vectors that are null, or hold null or non-finite components, and rows without an id take no part. Repeated ids are rows like
 others: each is a candidate and, if its id is asked for, a query, which leaves out its own row only. Equal rows are one entry with their
@@ -24,6 +26,8 @@ from precinct.llm.blocks import blocks, matrix, meet, packed, usable
 from precinct.llm.common import Scratch
 
 BLOCK, QUERIES = 16_384, 4096
+#: Share of a block from which on a dimension is held as a whole column.
+COMMON = 0.2
 
 
 def quantised(vectors: DataFrame, scale: int = 64) -> DataFrame:
@@ -51,21 +55,38 @@ class Entries:
 
 
 class Postings:
-    """A block of candidates by dimension: which of them are not zero there, and their values."""
+    """A block of candidates by dimension: which of them are not zero there, and their values; of dimensions that most of them have, all values."""
 
     def __init__(self, data: dict[str, bytes]):
         self.entries = Entries(data)
         v = self.entries.v
-        self.of = [(np.flatnonzero(v[:, d]), v[v[:, d] != 0, d].astype(np.int64)) for d in range(v.shape[1])]
+        self.most = np.abs(v.astype(np.float64)).max(0, initial=0)
+        self.of, self.kind = [self._listed(v[:, d]) for d in range(v.shape[1])], v.dtype
+
+    def _listed(self, values: np.ndarray) -> tuple[np.ndarray | None, np.ndarray]:
+        """Places and values, or no places and the whole column: to pick places costs several times what adding zeros does."""
+        at = np.flatnonzero(values)
+        return (None, values.copy()) if len(at) > COMMON * len(values) else (at, values[at])
+
+    def fit(self, weights: np.ndarray) -> np.ndarray:
+        """The weights, and from now on the postings, as the narrowest numbers in which all sums are exact."""
+        wide = min(weights.shape[1], len(self.of))
+        bound = np.abs(weights[:, :wide].astype(np.float64)).max(0, initial=0) @ self.most[:wide]
+        kind = next((k for k, digits in ((np.float32, 24), (np.float64, 53)) if bound < 1 << digits), np.int64)
+        if kind != self.kind:
+            self.of, self.kind = [(at, v.astype(kind)) for at, v in self.of], np.dtype(kind)
+        self.product = np.empty(len(self.entries.ids), kind)
+        return weights[:, :wide].astype(kind)
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
-        scores = np.zeros(len(self.entries.ids), np.int64)
-        for d in np.flatnonzero(weights[: len(self.of)]):
+        scores = np.zeros(len(self.entries.ids), self.kind)
+        for d in np.flatnonzero(weights):
             at, v = self.of[d]
-            if len(at) == len(scores):
-                scores += weights[d] * v
+            product = np.multiply(v, weights[d], out=self.product[: len(v)])
+            if at is None:
+                scores += product
             else:
-                scores[at] += weights[d] * v
+                scores[at] += product
         return scores
 
     def best(self, q: int, key: int, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +105,7 @@ class Postings:
             rows = np.r_[above, ties[: k - len(above)]]
         rows = rows[np.lexsort((e.ids[rows], -scores[rows]))]
         rows = np.repeat(rows, np.minimum(copies[rows], k))[:k]
-        return e.ids[rows], scores[rows]
+        return e.ids[rows], scores[rows].astype(np.int64)
 
 
 def search(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 20, block: int = BLOCK, queries: int = QUERIES) -> DataFrame:
@@ -96,7 +117,7 @@ def search(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 2
 
     def ask(postings: Postings, data: dict[str, bytes]) -> Iterator[pa.RecordBatch]:
         e = Entries(data)
-        got = [postings.best(q, key, w, k) for q, key, w in zip(e.ids.tolist(), e.keys.tolist(), e.v.astype(np.int64))]
+        got = [postings.best(q, key, w, k) for q, key, w in zip(e.ids.tolist(), e.keys.tolist(), postings.fit(e.v))]
         of = np.repeat(np.arange(len(got)), [len(ids) for ids, _ in got])
         found = (np.concatenate(x) for x in zip(*got))
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (e.ids[of], e.keys[of], e.copies[of], *found)], names=["query_id", "key", "copies", "vec_id", "score"])

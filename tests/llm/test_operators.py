@@ -218,6 +218,21 @@ def test_tasks_of_topk_follow_the_candidates(spark):
     assert "RepartitionByExpression [block" in plan and ", 6" in plan[plan.index("RepartitionByExpression [block"):].splitlines()[0]
 
 
+@pytest.mark.parametrize("size,kind", [(1.0, np.float32), (2.0**16, np.float64), (2.0**22, np.int64)])
+def test_scores_of_postings_are_exact(size, kind):
+    """Columns and lists of places alike, in the narrowest numbers that hold the sums."""
+    r = np.random.default_rng(2)
+    v = np.floor(64 * size * r.uniform(-1, 1, (300, 6))).astype(np.int64)
+    v[r.random(300) < 0.1, 0], v[r.random(300) < 0.95, 1], v[:, 2] = 0, 0, 0
+    part = pa.table({"vec_id": np.arange(300), "key": np.arange(300), "copies": np.ones(300, np.int64), "v": pa.array(list(v))})
+    postings = topk.Postings(topk._pack(part))
+    got = [postings.scores(w) for w in postings.fit(v[:40])]
+    assert got[0].dtype == kind and [x.astype(np.int64).tolist() for x in got] == (v[:40] @ v.T).tolist()
+    assert [at is None for at, _ in postings.of] == [True, False, False, True, True, True]
+    # other weights may need wider or narrower numbers
+    assert [postings.scores(w).tolist() for w in postings.fit(np.ones((1, 9), np.int64))] == [v.sum(1).tolist()]
+
+
 def test_bpe(spark, docs, none):
     from tokenizers import Tokenizer
 

@@ -295,6 +295,19 @@ def test_windows_are_remembered(vocabularies, monkeypatch):
     assert set(memory.windows) == {"another", "one"}
 
 
+def test_windows_met_again_are_not_encoded_again(vocabularies, monkeypatch):
+    done, memory = [], alignment.Memory(vocabularies.ready())
+    real = memory._aligned
+    monkeypatch.setattr(memory, "_aligned", lambda a, b: done.extend(a) or real(a, b))
+    monkeypatch.setattr(alignment, "KEPT", 2)
+    chunk = alignment.Chunk(memory)
+    for k in range(9):
+        chunk.add([k], [f"blorfent {k} wazzle {-k} blorfent"])
+        chunk.clear()
+    # two words and each turn's own, though the memory was full after every turn
+    assert len(done) == 2 + 9 + 8 and len(memory.windows) + len(memory.older) <= 8
+
+
 def test_large_groups_are_counted(spark, vocabularies, monkeypatch):
     monkeypatch.setattr(alignment, "LARGE", 1)
     chunk = alignment.Chunk(alignment.Memory(vocabularies.ready()))

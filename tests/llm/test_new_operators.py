@@ -1,12 +1,18 @@
 """Neighbour search, filter audit and tokenizer alignment against brute force, on awkward rows."""
 
 import collections
+import glob
 import hashlib
 import itertools
 import random
 import re
+import tracemalloc
+import types
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+import pyspark
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -320,6 +326,69 @@ def test_large_groups_are_counted(spark, vocabularies, monkeypatch):
     assert got == other.row(0).to_pylist()[0] and any(x > 1 for x in got["often"])
 
 
+def test_pairs_are_counted_in_portions(vocabularies):
+    r = random.Random(6)
+    words = ["".join(r.choices("abcdefghij", k=r.randint(2, 9))) for _ in range(4000)]
+    texts = [" ".join(r.choices(words, k=300)) for _ in range(1500)]
+    chunk, rows = alignment.Chunk(alignment.Memory(vocabularies.ready())), list(enumerate(texts))
+    chunk.add(*map(list, zip(*rows)))
+    tracemalloc.start()
+    row = chunk.row(0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = row.to_pylist()[0]
+    assert sum(got["n_links"]) > 1 << 20 and peak < 40 * sum(got["n_links"])
+    # as if each document were a chunk
+    for k in (0, 700, 1499):
+        chunk.clear()
+        chunk.add([k], [texts[k]])
+        one = chunk.row(0).to_pylist()[0]
+        own = slice(got["starts"][k], got["starts"][k + 1])
+        assert [(got["keys"][p], n) for p, n in zip(got["pair"][own], got["often"][own])] == [(one["keys"][p], n) for p, n in zip(one["pair"], one["often"])]
+        assert all(got[c][k] == one[c][0] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"))
+
+
+def test_few_units_are_encoded_together(vocabularies, monkeypatch):
+    done, memory = [], alignment.Memory(vocabularies.ready())
+    real = memory._aligned
+    monkeypatch.setattr(memory, "_aligned", lambda a, b: done.append(len(a)) or real(a, b))
+    monkeypatch.setattr(alignment, "TOGETHER", 7)
+    alignment.Chunk(memory).add([1], [" ".join(f"blorfent{k}" for k in range(30))])
+    assert sum(done) == 30 and max(done) <= 7
+
+
+def test_a_chunk_is_a_row_group(spark, vocabularies, monkeypatch):
+    paths, real = [], alignment.Scratch.write
+
+    def write(self, *args):
+        out = real(self, *args)
+        paths.append(self.paths["chunks"][0])
+        return out
+
+    monkeypatch.setattr(alignment.Scratch, "write", write)
+    rows = [(k, f"blorfent {k} wazzle {-k} " * 9) for k in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert alignment.aligned(spark, docs, vocabularies, 100).count() == 90
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{paths[0].removeprefix('file:')}/*.parquet")]
+    assert sum(f.num_rows for f in files) > 10 and all(f.num_row_groups == f.num_rows for f in files if f.num_rows)
+
+
+def test_encoders_go_with_their_task(vocabularies, monkeypatch):
+    class Docs(dict):
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    sent = alignment.Vocabularies(vocabularies.byte_level, vocabularies.pieces)
+    monkeypatch.setattr(pyspark.TaskContext, "get", staticmethod(lambda: types.SimpleNamespace(partitionId=lambda: 3)))
+    column = types.SimpleNamespace(cast=lambda _: types.SimpleNamespace(alias=lambda _: None))
+    run = alignment._chunks(Docs(doc_id=column, text=column), sent, alignment.CHUNK)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["blorfent wazzle", None]})
+    assert [b.to_pylist()[0]["chunk"] for b in run([batch])] == [3 << 32] and sent._ready is None
+
+
 @pytest.mark.parametrize("name", ["op11_neighbours", "op12_audit", "op13_alignment"])
 def test_registered(spark, name):
     assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
